@@ -132,7 +132,7 @@ derived AS (
   SELECT *, {sql_clean_text('text')} AS text_clean
   FROM filled),
 derived2 AS (
-  SELECT ingest_seq, user_id, gmap_id, time, rating, category_all, category_primary,
+  SELECT ingest_seq, user_id, gmap_id, time, rating, category_all, category_primary, text,
          strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp_str,
          CAST(ts AS DATE) AS date, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
          (n_pics IS NOT NULL) AS has_photos, CAST(coalesce(n_pics, 0) AS BIGINT) AS photo_count,
@@ -171,3 +171,156 @@ CLEANED_CHECK_COLUMNS = [
 
 def with_ctes(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip().rstrip(",") + "\n" + body
+
+# ------------------------------------------------------------------ labeling functions
+
+from .. import constants as K  # noqa: E402
+from ..functions.lfs import DEFAULT_LFS  # noqa: E402
+
+
+def sql_any(x: str, terms) -> str:
+    return "(" + " OR ".join(f"contains({x}, {lit(t)})" for t in terms) + ")"
+
+
+def sql_rx(x: str, rx: str, ci: bool = False) -> str:
+    return f"regexp_matches({x}, {lit(rx)}" + (", 'i')" if ci else ")")
+
+
+def sql_family(cat: str) -> str:
+    low = f"lower(coalesce({cat}, ''))"
+    parts = [f"WHEN {sql_any(low, keys)} THEN {lit(fam)}" for fam, keys in K.FAMILY_MAP.items()]
+    return "CASE " + " ".join(parts) + f" ELSE {lit(K.GENERIC_FAMILY)} END"
+
+
+def sql_domain(fam: str) -> str:
+    parts = [f"WHEN {fam} = {lit(f)} THEN {lit_list(t)}" for f, t in K.DOMAIN_TERMS.items() if t]
+    return "CASE " + " ".join(parts) + " ELSE CAST([] AS VARCHAR[]) END"
+
+
+def _v(cond: str, label: int) -> str:
+    return f"CASE WHEN {cond} THEN {label} ELSE -1 END"
+
+
+def sql_lf_votes() -> dict[str, str]:
+    """Vote expression per LF over the ``lf_ctx`` columns."""
+    v = {}
+    v["lf_contains_url_phone_email"] = _v(
+        f"({sql_rx('tl', K.URL_RX)} OR {sql_rx('tl', K.EMAIL_RX)} OR {sql_rx('tl', K.PHONE_RX)})", 1)
+    v["lf_contains_promo_words"] = _v(sql_any("tl", K.PROMO_WORDS), 1)
+    v["lf_promotion_social_handles"] = _v(sql_rx("tl", K.SOCIAL_RX), 1)
+    v["lf_offdomain_by_category"] = _v(
+        f"fam <> 'generic' AND len(tok) >= 25 AND ftot > 0 AND NOT (fhits >= 2 OR CAST(fhits AS DOUBLE) / ftot >= 0.12)"
+        f" AND CAST(ftot - fhits AS DOUBLE) / ftot > 0.9", 2)
+    v["lf_irrelevant_generic_template"] = _v(sql_rx("trim(t)", K.GENERIC_TEMPLATE_RX, True), 2)
+    v["lf_irrelevant_other_business_compare"] = _v(
+        f"wc >= 12 AND {sql_rx('tl', K.COMPARE_RX)} AND {sql_rx('t', K.PROPER_NAME_RX)}", 2)
+    v["lf_irrelevant_politics"] = _v(sql_rx("t", K.POLITICS_RX, True), 2)
+    v["lf_irrelevant_employment"] = _v(sql_rx("t", K.EMPLOYMENT_RX, True), 2)
+    v["lf_irrelevant_too_short"] = _v("wc < 2", 2)
+    hit = f"(wc <= 6 AND {sql_any('trim(tl)', K.GENERIC_SHORT_PHRASES)})"
+    v["lf_generic_short_review"] = (f"CASE WHEN {hit} AND rating IS NOT NULL AND rating >= 4 THEN 0 "
+                                    f"WHEN {hit} THEN 2 ELSE -1 END")
+    v["lf_rant_never_visit_explicit"] = _v("x_explicit", 3)
+    v["lf_rant_never_visit_hearsay"] = _v(f"x_hearsay AND {sql_any('tl', K.HEARSAY_NEGATIVE)}", 3)
+    v["lf_rant_never_visit_phone_only"] = _v("x_phone AND (x_explicit OR x_hearsay OR x_driveby)", 3)
+    v["lf_rant_never_visit_driveby"] = _v("x_driveby", 3)
+    v["lf_rant_never_visit_closed_no_entry"] = _v(sql_rx("t", K.CLOSED_NO_ENTRY_RX, True), 3)
+    v["lf_rant_never_visit_metadata_boost"] = _v(
+        "(x_explicit OR x_driveby OR x_phone) AND NOT coalesce(has_photos, false) AND wc <= 40", 3)
+    v["lf_high_quality_signal"] = _v(f"{sql_any('pad', K.HQ_FIRST_PERSON)} AND {sql_any('pad', K.HQ_PAST_TENSE)}", 0)
+    v["lf_genuine_first_person"] = _v(f"{sql_any('pad', K.FP_PRONOUNS)} AND {sql_any('pad', K.FP_VERBS)}", 0)
+    v["lf_genuine_descriptive"] = _v(f"wc >= 12 AND {sql_any('pad', K.DESCRIPTIVE_TERMS)}", 0)
+    v["lf_genuine_domain_hits"] = _v("fam <> 'generic' AND len(tok) >= 6 AND hits >= 3", 0)
+    v["lf_genuine_rating_len"] = _v("rating IS NOT NULL AND rating >= 4 AND wc >= 15", 0)
+    v["lf_genuine_photos_or_response"] = _v(
+        "(coalesce(has_photos, false) AND coalesce(photo_count, 0) > 0) OR coalesce(has_response, false)", 0)
+    v["lf_rating_based_genuine"] = _v("coalesce(rating, 0.0) >= 4 AND coalesce(word_count, 0) >= 5", 0)
+    return v
+
+
+def lf_ctes(src: str = "nonempty", text_col: str = "text_clean", cat: str | None = None) -> str:
+    cat = cat or "coalesce(nullif(category_primary, ''), category_all, '')"
+    votes = sql_lf_votes()
+    vote_cols = ", ".join(f"{votes[n]} AS {n}" for n in DEFAULT_LFS)
+    return f""",
+lf_ctx0 AS (SELECT *, coalesce(CAST({text_col} AS VARCHAR), '') AS t, {sql_family(cat)} AS fam FROM {src}),
+lf_ctx1 AS (SELECT *, lower(t) AS tl, CAST(len(regexp_extract_all(t, {lit(K.WORD_RX)})) AS BIGINT) AS wc FROM lf_ctx0),
+lf_ctx2 AS (
+  SELECT *, ' ' || tl || ' ' AS pad, regexp_extract_all(tl, {lit(K.LETTER_TOKEN_RX)}) AS tok, {sql_domain('fam')} AS dom,
+         {sql_rx('t', K.NEVER_EXPLICIT_RX, True)} AS x_explicit, {sql_rx('t', K.HEARSAY_RX, True)} AS x_hearsay,
+         {sql_rx('t', K.DRIVEBY_RX, True)} AS x_driveby, {sql_rx('t', K.PHONE_ONLY_RX, True)} AS x_phone
+  FROM lf_ctx1),
+lf_ctx3 AS (
+  SELECT *, len(list_filter(tok, lambda x: list_contains(dom, x))) AS hits,
+         list_filter(tok, lambda x: NOT list_contains({lit_list(K.WHITELIST_COMMON)}, x)) AS ftok
+  FROM lf_ctx2),
+lf_ctx AS (SELECT *, len(ftok) AS ftot, len(list_filter(ftok, lambda x: list_contains(dom, x))) AS fhits FROM lf_ctx3),
+lf_votes AS (SELECT *, {vote_cols} FROM lf_ctx),
+lf_arr AS (SELECT *, [{", ".join(DEFAULT_LFS)}] AS votes FROM lf_votes)"""
+
+
+def labeled_ctes() -> str:
+    return cleaned_ctes() + lf_ctes()
+
+
+def sql_lf_summary() -> str:
+    parts = []
+    for j, n in enumerate(DEFAULT_LFS):
+        parts.append(f"""SELECT {j} AS j, {lit(n)} AS lf_name,
+  coalesce(array_to_string(list_sort(list_distinct(list({n}) FILTER (WHERE {n} <> -1))), ','), '') AS polarity,
+  count(*) FILTER (WHERE {n} <> -1) / count(*) AS coverage,
+  count(*) FILTER (WHERE {n} <> -1 AND n_votes > 1) / count(*) AS overlaps,
+  count(*) FILTER (WHERE {n} <> -1 AND n_labels > 1) / count(*) AS conflicts
+FROM lf_rc""")
+    return with_ctes(labeled_ctes() + """,
+lf_rc AS (SELECT *, len(list_filter(votes, lambda x: x <> -1)) AS n_votes,
+                 len(list_distinct(list_filter(votes, lambda x: x <> -1))) AS n_labels FROM lf_arr)""",
+                     "\nUNION ALL\n".join(parts))
+
+
+def sql_lf_coverage() -> str:
+    parts = [f"SELECT {j} AS j, {lit(n)} AS lf_name, count(*) FILTER (WHERE {n} <> -1) * 100.0 / count(*) "
+             f"AS coverage_pct FROM lf_arr" for j, n in enumerate(DEFAULT_LFS)]
+    return with_ctes(labeled_ctes(), "\nUNION ALL\n".join(parts))
+
+
+def sql_overlap_matrix(k: int = 4) -> str:
+    return with_ctes(labeled_ctes() + f""",
+lf_idx AS (SELECT list_filter(list_transform(votes, lambda x, i: CASE WHEN x <> -1 THEN (i - 1) * {k} + x END),
+                              lambda y: y IS NOT NULL) AS idx FROM lf_arr),
+lf_a AS (SELECT unnest(idx) AS a, idx FROM lf_idx),
+lf_ab AS (SELECT a, unnest(idx) AS b FROM lf_a)""", """
+SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, count(*) / (SELECT count(*) FROM lf_arr) AS value
+FROM lf_ab GROUP BY a, b""")
+
+
+def init_params_ctes(r: float, prec_init: float = 0.7, k: int = 4) -> str:
+    """Posteriors under the moment-initialised parameters (no SGD epochs):
+    mu[j,y,y] = r * clamp(cov(j,y) * prec_init / p_y, 0, 1), other entries 0,
+    clipped to [0.01, 0.99] before the log."""
+    m = len(DEFAULT_LFS)
+    covs = ", ".join(f"count(*) FILTER (WHERE {n} = {c}) / count(*) AS cov_{j}_{c}"
+                     for j, n in enumerate(DEFAULT_LFS) for c in range(k))
+    scores = []
+    for y in range(k):
+        terms = [f"ln({1.0 / k!r})"]
+        for j, n in enumerate(DEFAULT_LFS):
+            mu = f"least(greatest(least(greatest(cov_{j}_{y} * {prec_init!r} / {1.0 / k!r}, 0.0), 1.0) * {r!r}, 0.01), 0.99)"
+            terms.append(f"CASE WHEN {n} = -1 THEN 0.0 WHEN {n} = {y} THEN ln({mu}) ELSE ln(0.01) END")
+        scores.append(" + ".join(terms) + f" AS s{y}")
+    probs = ", ".join(f"exp(s{y} - mx) / ({' + '.join(f'exp(s{i} - mx)' for i in range(k))}) AS p{y}"
+                      for y in range(k))
+    assert m == 23
+    return labeled_ctes() + f""",
+lm_cov AS (SELECT {covs} FROM lf_arr),
+lm_s AS (SELECT a.*, {", ".join(scores)} FROM lf_arr a, lm_cov),
+lm_m AS (SELECT *, greatest(s0, s1, s2, s3) AS mx FROM lm_s),
+lm_p AS (SELECT *, {probs} FROM lm_m),
+lm_pred AS (
+  SELECT *, p0 AS prob_genuine, p1 AS prob_promotion, p2 AS prob_irrelevant, p3 AS prob_rant,
+         CASE WHEN len(list_filter([p0, p1, p2, p3], lambda p: abs(p - greatest(p0, p1, p2, p3)) < 1e-5)) = 1
+              THEN CAST(list_position(list_transform([p0, p1, p2, p3],
+                        lambda p: abs(p - greatest(p0, p1, p2, p3)) < 1e-5), true) - 1 AS INTEGER)
+              ELSE -1 END AS weak_label,
+         greatest(p0, p1, p2, p3) AS confidence
+  FROM lm_p)"""

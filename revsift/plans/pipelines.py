@@ -35,3 +35,14 @@ def fixture_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.nonempty_text(fixture_cleaned(spark, sf_dir))
+
+
+def weak_label_pipeline(nonempty: DataFrame, lfs=None, n_epochs: int = 500, seed: int = 123) -> DataFrame:
+    """votes -> moment matrix -> label-model fit -> posteriors, hard labels, confidence."""
+    from ..functions.lfs import resolve
+    from ..operators import label_model as LM
+    from ..operators import labeling as LB
+    votes = LB.apply_lfs(nonempty, lfs)
+    m = len(resolve(lfs))
+    params = LM.label_model_fit(votes, m, n_epochs=n_epochs, seed=seed)
+    return LM.weak_labels(votes, params)

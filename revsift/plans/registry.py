@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..operators import cleaning as C
 from ..operators import profile as P
 from ..sources import fixtures as FX
@@ -275,3 +276,179 @@ SELECT count(*) FILTER (WHERE has_photos) AS n_with_photos, avg(CAST(has_photos
 FROM cleaned"""))
 def q_share(spark, sf):
     return P.report_photo_response_share(PL.fixture_cleaned(spark, sf))
+
+# ------------------------------------------------------------------ 2.4-2.6 labeling
+
+import numpy as _np  # noqa: E402
+
+from ..functions import lexicon as LX  # noqa: E402
+from ..functions import lfs as LFS  # noqa: E402
+from ..operators import label_model as LM  # noqa: E402
+from ..operators import labeling as LB  # noqa: E402
+
+_LF_COLS = ["ingest_seq"] + LFS.DEFAULT_LFS
+
+
+def _votes(spark, sf):
+    return LB.apply_lfs(PL.fixture_nonempty(spark, sf))
+
+
+def _init_params(votes):
+    """Moment-initialised parameters (zero SGD epochs) - SQL-reproducible."""
+    m = len(LFS.DEFAULT_LFS)
+    return LM.fit_label_model(LM.overlap_to_numpy(LB.vote_overlap_matrix(votes), m), m, n_epochs=0)
+
+
+def _init_scored(spark, sf):
+    v = _votes(spark, sf)
+    return LM.weak_labels(v, _init_params(v))
+
+
+_R_INIT = float(_np.random.RandomState(123).random_sample())
+
+
+@register("category_family", O.with_ctes(O.labeled_ctes(), "SELECT ingest_seq, fam AS family FROM lf_ctx"))
+def q_family(spark, sf):
+    df = PL.fixture_nonempty(spark, sf)
+    return df.select("ingest_seq", LX.category_family(LX.primary_category()).alias("family"))
+
+
+@register("word_tokens", O.with_ctes(O.labeled_ctes(),
+          "SELECT ingest_seq, CAST(len(tok) AS INTEGER) AS n_tokens, array_to_string(tok, ' ') AS tokens FROM lf_ctx"))
+def q_tokens(spark, sf):
+    from ..functions.text import letter_tokens
+    df = PL.fixture_nonempty(spark, sf).select("ingest_seq", letter_tokens(F.lower("text_clean")).alias("tok"))
+    return df.select("ingest_seq", F.size("tok").alias("n_tokens"), F.array_join("tok", " ").alias("tokens"))
+
+
+@register("word_count_rx", O.with_ctes(O.labeled_ctes(), "SELECT ingest_seq, wc FROM lf_ctx"))
+def q_wc(spark, sf):
+    from ..functions.text import regex_word_count
+    return PL.fixture_nonempty(spark, sf).select("ingest_seq", regex_word_count("text_clean").alias("wc"))
+
+
+@register("lexicon_contains", O.with_ctes(O.labeled_ctes(),
+          f"SELECT ingest_seq, {O.sql_any('tl', K.PROMO_WORDS)} AS has_promo, "
+          f"{O.sql_any('tl', K.NEVER_VISITED_PHRASES)} AS has_never_visited FROM lf_ctx"))
+def q_lexicon(spark, sf):
+    from ..functions.text import contains_any
+    tl = F.lower("text_clean")
+    return PL.fixture_nonempty(spark, sf).select(
+        "ingest_seq", contains_any(tl, K.PROMO_WORDS).alias("has_promo"),
+        contains_any(tl, K.NEVER_VISITED_PHRASES).alias("has_never_visited"))
+
+
+@register("domain_term_hits", O.with_ctes(O.labeled_ctes(),
+          "SELECT ingest_seq, fam AS family, CAST(hits AS INTEGER) AS hits, CAST(ftot AS INTEGER) AS filtered_tokens, "
+          "CAST(fhits AS INTEGER) AS filtered_hits FROM lf_ctx"))
+def q_domain_hits(spark, sf):
+    df = LFS.add_lf_context(PL.fixture_nonempty(spark, sf))
+    return df.select("ingest_seq", F.col(LFS.FAM).alias("family"), F.col(LFS.HITS).alias("hits"),
+                     F.col(LFS.FTOT).alias("filtered_tokens"), F.col(LFS.FHITS).alias("filtered_hits"))
+
+
+@register("apply_lfs", O.with_ctes(O.labeled_ctes(), "SELECT " + ", ".join(_LF_COLS) + " FROM lf_votes"))
+def q_apply_lfs(spark, sf):
+    return _votes(spark, sf).select(*_LF_COLS)
+
+
+@register("lf_bind_columns", O.with_ctes(
+    O.cleaned_ctes() + O.lf_ctes("cleaned", "name_clean", "coalesce(category_all, '')"),
+    "SELECT " + ", ".join(_LF_COLS) + " FROM lf_votes"))
+def q_lf_bind(spark, sf):
+    """The LFs bound to other columns: text from ``name_clean``, category from ``category_all``."""
+    df = PL.fixture_cleaned(spark, sf)
+    return LB.apply_lfs(df, text_col="name_clean", category_col="category_all").select(*_LF_COLS)
+
+
+@register("lf_raw_text")
+def q_lf_raw(spark, sf):
+    """The LFs on the raw review text.  Rows check only: raw text holds
+    non-ASCII letters, where word classes and boundaries differ between
+    Java regex and RE2, so the SQL engine cannot serve as an oracle."""
+    df = PL.fixture_cleaned(spark, sf)
+    return LB.apply_lfs(df, text_col="text").select(*_LF_COLS)
+
+
+@register("lf_summary", O.sql_lf_summary())
+def q_lf_summary(spark, sf):
+    return LB.lf_summary(_votes(spark, sf))
+
+
+@register("lf_total_coverage", O.with_ctes(O.labeled_ctes(), """
+SELECT count(*) FILTER (WHERE list_bool_or(list_transform(votes, lambda x: x <> -1))) * 100.0 / count(*)
+       AS total_coverage_pct FROM lf_arr"""))
+def q_lf_total(spark, sf):
+    return LB.lf_total_coverage(_votes(spark, sf))
+
+
+@register("lf_coverage", O.sql_lf_coverage())
+def q_lf_coverage(spark, sf):
+    return LB.lf_coverage(_votes(spark, sf))
+
+
+@register("vote_overlap_matrix", O.sql_overlap_matrix())
+def q_overlap(spark, sf):
+    return LB.vote_overlap_matrix(_votes(spark, sf))
+
+
+@register("label_model_proba", O.with_ctes(O.init_params_ctes(_R_INIT),
+          "SELECT ingest_seq, prob_genuine, prob_promotion, prob_irrelevant, prob_rant FROM lm_pred"))
+def q_lm_proba(spark, sf):
+    return _init_scored(spark, sf).select("ingest_seq", *LM.PROB_COLUMNS)
+
+
+@register("label_model_predict", O.with_ctes(O.init_params_ctes(_R_INIT),
+          "SELECT ingest_seq, weak_label FROM lm_pred"))
+def q_lm_predict(spark, sf):
+    return _init_scored(spark, sf).select("ingest_seq", "weak_label")
+
+
+@register("label_confidence", O.with_ctes(O.init_params_ctes(_R_INIT), "SELECT ingest_seq, confidence FROM lm_pred"))
+def q_lm_conf(spark, sf):
+    return _init_scored(spark, sf).select("ingest_seq", "confidence")
+
+
+@register("label_distribution", O.with_ctes(O.init_params_ctes(_R_INIT), """
+SELECT weak_label AS label,
+       CASE weak_label WHEN -1 THEN 'ABSTAIN' WHEN 0 THEN 'GENUINE' WHEN 1 THEN 'PROMOTION' WHEN 2 THEN 'IRRELEVANT'
+            WHEN 3 THEN 'RANT' ELSE 'UNKNOWN_' || CAST(weak_label AS VARCHAR) END AS label_name,
+       count(*) AS n_rows, count(*) * 100.0 / (SELECT count(*) FROM lm_pred) AS pct
+FROM lm_pred GROUP BY weak_label ORDER BY weak_label"""))
+def q_label_dist(spark, sf):
+    return P.label_distribution(_init_scored(spark, sf))
+
+
+@register("confidence_stats", O.with_ctes(O.init_params_ctes(_R_INIT),
+          "SELECT avg(confidence) AS mean_confidence, stddev_samp(confidence) AS std_confidence FROM lm_pred"))
+def q_conf_stats(spark, sf):
+    return P.confidence_stats(_init_scored(spark, sf))
+
+
+@register("confidence_histogram", O.with_ctes(O.init_params_ctes(_R_INIT) + """,
+hb AS (SELECT min(confidence) AS lo, max(confidence) AS hi FROM lm_pred),
+hc AS (SELECT CAST(CASE WHEN hb.hi = hb.lo THEN 0
+                        ELSE least(floor((confidence - hb.lo) / ((hb.hi - hb.lo) / 50.0)), 49) END AS INTEGER) AS bin,
+              count(*) AS n
+       FROM lm_pred, hb WHERE confidence IS NOT NULL GROUP BY 1)""", """
+SELECT CAST(g.bin AS INTEGER) AS bin, hb.lo + g.bin * ((hb.hi - hb.lo) / 50.0) AS lo,
+       hb.lo + (g.bin + 1) * ((hb.hi - hb.lo) / 50.0) AS hi, CAST(coalesce(hc.n, 0) AS BIGINT) AS n_rows
+FROM (SELECT range AS bin FROM range(50)) g CROSS JOIN hb LEFT JOIN hc ON hc.bin = g.bin ORDER BY g.bin"""))
+def q_conf_hist(spark, sf):
+    return P.confidence_histogram(_init_scored(spark, sf))
+
+
+@register("label_model_fit")
+def q_lm_fit(spark, sf):
+    """Fitted parameters (500 SGD epochs, seed 123) - iterative, rows check only."""
+    v = _votes(spark, sf)
+    m = len(LFS.DEFAULT_LFS)
+    params = LM.label_model_fit(v, m)
+    return LM.params_frame(spark, params)
+
+
+@register("weak_label_pipeline")
+def q_weak_pipeline(spark, sf):
+    from . import pipelines as _pl
+    return _pl.weak_label_pipeline(PL.fixture_nonempty(spark, sf)).select(
+        "ingest_seq", "weak_label", "confidence", *LM.PROB_COLUMNS)

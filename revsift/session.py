@@ -25,6 +25,9 @@ def get_session(master: str | None = None, app: str = "revsift", shuffle_partiti
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", os.environ.get("REVSIFT_DRIVER_MEMORY", "16g"))
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
