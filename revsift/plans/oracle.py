@@ -324,3 +324,33 @@ lm_pred AS (
               ELSE -1 END AS weak_label,
          greatest(p0, p1, p2, p3) AS confidence
   FROM lm_p)"""
+
+# ------------------------------------------------------------------ gold set / predictions
+
+
+def gold_ctes() -> str:
+    return f"""
+fx_gold0 AS (
+  SELECT l.doc_id, {sql_clean_text('d.text')} AS text_clean,
+         CAST(CASE WHEN l.toxic = 1 THEN 3 WHEN l.quality = 1 AND l.doc_id % 5 <> 0 THEN 0
+                   WHEN l.quality = 1 THEN 1 ELSE 2 END AS INTEGER) AS gold_label
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+fx_gold AS (SELECT * FROM fx_gold0
+            WHERE trim(CASE WHEN text_clean IN ('NA', 'NULL', 'NaN', 'None', 'nan', 'null') THEN ''
+                            ELSE coalesce(text_clean, '') END) <> ''),
+fx_pred AS (
+  SELECT doc_id, text_clean, gold_label,
+         CAST((gold_label + CASE WHEN doc_id % 4 = 0 THEN 1 ELSE 0 END) % 4 AS INTEGER) AS predicted_label,
+         CAST(0.25 + CAST(doc_id % 76 AS DOUBLE) / 100.0 AS DOUBLE) AS prediction_confidence
+  FROM fx_gold),
+fx_cm AS (SELECT gold_label AS true_label, predicted_label AS pred_label, count(*) AS n FROM fx_pred GROUP BY ALL),
+fx_labels AS (SELECT DISTINCT label FROM (SELECT gold_label AS label FROM fx_pred UNION ALL
+                                          SELECT predicted_label FROM fx_pred) WHERE label IS NOT NULL)"""
+
+
+LABEL_NAME_SQL = ("CASE {c} WHEN -1 THEN 'ABSTAIN' WHEN 0 THEN 'GENUINE' WHEN 1 THEN 'PROMOTION' "
+                  "WHEN 2 THEN 'IRRELEVANT' WHEN 3 THEN 'RANT' ELSE 'UNKNOWN_' || CAST({c} AS VARCHAR) END")
+
+
+def label_name_sql(c: str) -> str:
+    return LABEL_NAME_SQL.format(c=c)

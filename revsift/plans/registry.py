@@ -452,3 +452,107 @@ def q_weak_pipeline(spark, sf):
     from . import pipelines as _pl
     return _pl.weak_label_pipeline(PL.fixture_nonempty(spark, sf)).select(
         "ingest_seq", "weak_label", "confidence", *LM.PROB_COLUMNS)
+
+# ------------------------------------------------------------------ 2.9 evaluation
+
+from ..operators import evaluation as EV  # noqa: E402
+
+
+def _pred(spark, sf):
+    g = FX.fx_predictions(spark, sf)
+    return C.nonempty_text(g)
+
+
+@register("gold_class_counts", O.with_ctes(O.gold_ctes(), """
+SELECT gold_label AS label, count(*) AS n_rows FROM fx_pred GROUP BY gold_label ORDER BY n_rows DESC, label"""))
+def q_gold_counts(spark, sf):
+    return EV.gold_class_counts(_pred(spark, sf))
+
+
+@register("confusion_matrix", O.with_ctes(O.gold_ctes(), """
+SELECT t.label AS true_label, p.label AS pred_label, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM fx_labels t CROSS JOIN fx_labels p
+LEFT JOIN fx_cm c ON c.true_label = t.label AND c.pred_label = p.label"""))
+def q_confusion(spark, sf):
+    return EV.confusion_matrix(_pred(spark, sf))
+
+
+@register("classification_report", O.with_ctes(O.gold_ctes() + """,
+fx_per AS (
+  SELECT l.label,
+         coalesce(sum(c.n) FILTER (WHERE c.true_label = l.label AND c.pred_label = l.label), 0) AS tp,
+         coalesce(sum(c.n) FILTER (WHERE c.true_label = l.label), 0) AS support,
+         coalesce(sum(c.n) FILTER (WHERE c.pred_label = l.label), 0) AS predicted
+  FROM fx_labels l LEFT JOIN fx_cm c ON c.true_label = l.label OR c.pred_label = l.label
+  GROUP BY l.label),
+fx_prf AS (
+  SELECT label, tp, support,
+         CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS precision,
+         CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall
+  FROM fx_per),
+fx_prf1 AS (
+  SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END
+         AS f1_score FROM fx_prf),
+fx_tot AS (SELECT sum(support) AS total FROM fx_prf1)""", f"""
+SELECT {O.label_name_sql('label')} AS row_name, CAST(label AS INTEGER) AS label, precision, recall, f1_score,
+       CAST(support AS BIGINT) AS support FROM fx_prf1
+UNION ALL
+SELECT 'accuracy', NULL, NULL, NULL, sum(tp) / (SELECT total FROM fx_tot), CAST((SELECT total FROM fx_tot) AS BIGINT)
+FROM fx_prf1
+UNION ALL
+SELECT 'macro avg', NULL, avg(precision), avg(recall), avg(f1_score), CAST((SELECT total FROM fx_tot) AS BIGINT)
+FROM fx_prf1
+UNION ALL
+SELECT 'weighted avg', NULL, sum(precision * support) / (SELECT total FROM fx_tot),
+       sum(recall * support) / (SELECT total FROM fx_tot), sum(f1_score * support) / (SELECT total FROM fx_tot),
+       CAST((SELECT total FROM fx_tot) AS BIGINT)
+FROM fx_prf1"""))
+def q_report(spark, sf):
+    return EV.classification_report(_pred(spark, sf))
+
+
+@register("overall_accuracy", O.with_ctes(O.gold_ctes(), """
+SELECT avg(CASE WHEN gold_label = predicted_label THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n_rows
+FROM fx_pred"""))
+def q_accuracy(spark, sf):
+    return EV.overall_accuracy(_pred(spark, sf))
+
+
+@register("per_class_accuracy", O.with_ctes(O.gold_ctes(), f"""
+SELECT gold_label AS label, {O.label_name_sql('gold_label')} AS label_name,
+       avg(CASE WHEN gold_label = predicted_label THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n_rows
+FROM fx_pred GROUP BY gold_label"""))
+def q_per_class(spark, sf):
+    return EV.per_class_accuracy(_pred(spark, sf))
+
+
+@register("high_confidence_accuracy", O.with_ctes(O.gold_ctes(), """
+SELECT count(*) FILTER (WHERE prediction_confidence > 0.8) AS n_high_confidence, count(*) AS n_rows,
+       avg(CASE WHEN gold_label = predicted_label THEN 1.0 ELSE 0.0 END) FILTER (WHERE prediction_confidence > 0.8)
+         AS accuracy
+FROM fx_pred"""))
+def q_high_conf(spark, sf):
+    return EV.high_confidence_accuracy(_pred(spark, sf))
+
+
+@register("gold_results", O.with_ctes(O.gold_ctes(), f"""
+SELECT doc_id, text_clean, gold_label, predicted_label, prediction_confidence,
+       CAST(gold_label = predicted_label AS INTEGER) AS correct, {O.label_name_sql('predicted_label')} AS predicted_class
+FROM fx_pred"""))
+def q_gold_results(spark, sf):
+    return EV.gold_results(_pred(spark, sf))
+
+
+@register("error_rows", O.with_ctes(O.gold_ctes(), f"""
+SELECT doc_id, substr(text_clean, 1, 100) AS text_preview, {O.label_name_sql('gold_label')} AS true_class,
+       {O.label_name_sql('predicted_label')} AS predicted_class,
+       (SELECT count(*) FROM fx_pred WHERE gold_label <> predicted_label) AS n_incorrect
+FROM fx_pred WHERE gold_label <> predicted_label ORDER BY doc_id LIMIT 5"""))
+def q_errors(spark, sf):
+    return EV.error_rows(_pred(spark, sf))
+
+
+@register("class_counts", O.with_ctes(O.gold_ctes(), """
+SELECT predicted_label AS label, count(*) AS n_rows FROM fx_pred GROUP BY predicted_label ORDER BY label"""))
+def q_class_counts(spark, sf):
+    return P.class_counts(_pred(spark, sf), "predicted_label")
