@@ -354,3 +354,37 @@ LABEL_NAME_SQL = ("CASE {c} WHEN -1 THEN 'ABSTAIN' WHEN 0 THEN 'GENUINE' WHEN 1
 
 def label_name_sql(c: str) -> str:
     return LABEL_NAME_SQL.format(c=c)
+
+# ------------------------------------------------------------------ tf-idf
+
+
+def tfidf_ctes(src: str = "nonempty", key: str = "ingest_seq", max_features: int = 2000, min_df: int = 5,
+               max_df: float = 0.8) -> str:
+    stop = lit_list(K.SPARK_ENGLISH_STOP_WORDS)
+    return f""",
+tf_docs AS (
+  SELECT {key} AS doc_key,
+         list_filter(regexp_extract_all(lower(text_clean), '\\b\\w\\w+\\b'), lambda x: NOT list_contains({stop}, x)) AS toks
+  FROM {src}),
+tf_terms AS (
+  SELECT doc_key, unnest(list_concat(toks, list_transform(range(1, len(toks)),
+                                                          lambda i: toks[i] || ' ' || toks[i + 1]))) AS term
+  FROM tf_docs),
+tf_counts AS (SELECT doc_key, term, count(*) AS cnt FROM tf_terms GROUP BY doc_key, term),
+tf_df AS (SELECT term, count(*) AS df, sum(cnt) AS corpus_count FROM tf_counts GROUP BY term),
+tf_n AS (SELECT count(*) AS n FROM tf_docs),
+tf_top AS (
+  SELECT term, df, corpus_count FROM tf_df, tf_n
+  WHERE df >= {min_df} AND df <= CAST({max_df!r} AS DOUBLE) * n
+  ORDER BY corpus_count DESC, term LIMIT {max_features}),
+tf_vocab AS (
+  SELECT term AS feature_name, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS feature_index, df,
+         ln((1.0 + (SELECT n FROM tf_n)) / (1.0 + df)) + 1.0 AS idf
+  FROM tf_top),
+tf_w AS (
+  SELECT c.doc_key, v.feature_index, (1.0 + ln(c.cnt)) * v.idf AS w
+  FROM tf_counts c JOIN tf_vocab v ON c.term = v.feature_name),
+tf_norm AS (SELECT doc_key, sqrt(sum(w * w)) AS nrm FROM tf_w GROUP BY doc_key),
+tf_long AS (
+  SELECT w.doc_key, w.feature_index, CASE WHEN nrm > 0 THEN w / nrm ELSE 0.0 END AS weight
+  FROM tf_w w JOIN tf_norm n ON w.doc_key = n.doc_key)"""

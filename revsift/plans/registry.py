@@ -556,3 +556,74 @@ def q_errors(spark, sf):
 SELECT predicted_label AS label, count(*) AS n_rows FROM fx_pred GROUP BY predicted_label ORDER BY label"""))
 def q_class_counts(spark, sf):
     return P.class_counts(_pred(spark, sf), "predicted_label")
+
+# ------------------------------------------------------------------ 2.7 text features
+
+from ..operators import tfidf as TF  # noqa: E402
+
+
+def _tf_corpus(spark, sf):
+    return PL.fixture_nonempty(spark, sf)
+
+
+@register("tokenize_stop", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(), """
+SELECT doc_key AS ingest_seq, CAST(len(toks) AS INTEGER) AS n_tokens, array_to_string(toks, ' ') AS tokens FROM tf_docs"""))
+def q_tokenize(spark, sf):
+    df = _tf_corpus(spark, sf).select("ingest_seq", TF.tokenize_stop(F.col("text_clean")).alias("t"))
+    return df.select("ingest_seq", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
+
+
+@register("ngrams_1_2", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(), """
+SELECT doc_key AS ingest_seq, term, CAST(count(*) AS BIGINT) AS n FROM tf_terms GROUP BY ALL"""))
+def q_ngrams(spark, sf):
+    t = TF.doc_terms(_tf_corpus(spark, sf), "ingest_seq")
+    return (t.select("ingest_seq", F.explode("terms").alias("term"))
+            .groupBy("ingest_seq", "term").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("term_doc_freq", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(),
+          "SELECT term, df, CAST(corpus_count AS BIGINT) AS corpus_count FROM tf_df"))
+def q_term_df(spark, sf):
+    t = TF.doc_terms(_tf_corpus(spark, sf), "ingest_seq")
+    return TF.term_doc_freq(TF.term_counts(t, "ingest_seq"))
+
+
+@register("vocabulary_select", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(),
+          "SELECT feature_name, feature_index, df, idf FROM tf_vocab"))
+def q_vocab(spark, sf):
+    vocab, _ = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
+    return vocab
+
+
+@register("save_vocabulary", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(),
+          "SELECT feature_name, feature_index FROM tf_vocab"))
+def q_save_vocab(spark, sf):
+    vocab, _ = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
+    return vocab.select("feature_name", "feature_index")
+
+
+@register("tfidf_fit_transform", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(),
+          "SELECT doc_key AS ingest_seq, feature_index, weight FROM tf_long"))
+def q_tfidf(spark, sf):
+    _, long = TF.tfidf_fit_transform_long(_tf_corpus(spark, sf), "ingest_seq")
+    return long
+
+
+_GOLD_TFIDF = O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes() + "," + O.gold_ctes() + f""",
+gold_docs AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text_clean), '\\b\\w\\w+\\b'),
+                     lambda x: NOT list_contains({O.lit_list(K.SPARK_ENGLISH_STOP_WORDS)}, x)) AS toks FROM fx_gold),
+gold_terms AS (SELECT doc_id, unnest(list_concat(toks, list_transform(range(1, len(toks)),
+                                                  lambda i: toks[i] || ' ' || toks[i + 1]))) AS term FROM gold_docs),
+gold_counts AS (SELECT doc_id, term, count(*) AS cnt FROM gold_terms GROUP BY ALL),
+gold_w AS (SELECT c.doc_id, v.feature_index, (1.0 + ln(c.cnt)) * v.idf AS w
+           FROM gold_counts c JOIN tf_vocab v ON c.term = v.feature_name),
+gold_n AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM gold_w GROUP BY doc_id)""", """
+SELECT w.doc_id, w.feature_index, CASE WHEN nrm > 0 THEN w / nrm ELSE 0.0 END AS weight
+FROM gold_w w JOIN gold_n n ON w.doc_id = n.doc_id""")
+
+
+@register("tfidf_transform", _GOLD_TFIDF)
+def q_tfidf_transform(spark, sf):
+    """Gold-set documents weighted with the vocabulary fitted on the reviews."""
+    vocab, _ = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
+    return TF.tfidf_transform_long(_pred(spark, sf), vocab, "doc_id")
