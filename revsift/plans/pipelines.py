@@ -42,7 +42,53 @@ def weak_label_pipeline(nonempty: DataFrame, lfs=None, n_epochs: int = 500, seed
     from ..functions.lfs import resolve
     from ..operators import label_model as LM
     from ..operators import labeling as LB
-    votes = LB.apply_lfs(nonempty, lfs)
+    from ..session import cut_lineage
+    # stage output: materialised once, reused by the moment matrix and the scoring
+    votes = cut_lineage(LB.apply_lfs(nonempty, lfs))
     m = len(resolve(lfs))
     params = LM.label_model_fit(votes, m, n_epochs=n_epochs, seed=seed)
     return LM.weak_labels(votes, params)
+
+
+def feature_pipeline(weak: DataFrame, key: str = "ingest_seq", max_features: int = 2000, n_components: int = 100,
+                     text_col: str = "text_clean"):
+    """TF-IDF -> truncated SVD -> 100 components + text_length (+ labels).
+
+    Returns ``(features, vocabulary, svd_model)``; ``features`` carries
+    ``key, weak_label, confidence, text_length, svd, features, features_vec``."""
+    from pyspark.sql import functions as F
+    from ..operators import svd as SV
+    from ..operators import tfidf as TF
+    from ..operators import training as TR
+    from ..session import cut_lineage
+    vocab, long = TF.tfidf_fit_transform_long(weak, key, text_col, max_features=max_features)
+    vocab = cut_lineage(vocab)
+    long = cut_lineage(long)
+    sparse = TF.to_sparse_rows(long, key)
+    d = vocab.count()
+    model = SV.svd_fit(sparse, long, d, min(n_components, d))
+    proj = SV.svd_transform(sparse, model).select(key, "svd")
+    keep = [c for c in (key, "weak_label", "confidence", "text_length") if c in weak.columns]
+    feats = weak.select(*keep).join(proj, key, "left").withColumn(
+        "svd", F.coalesce(F.col("svd"), F.array_repeat(F.lit(0.0), model.k)))
+    return TR.assemble_features(feats), vocab, model
+
+
+def train_pipeline(features: DataFrame, key: str = "ingest_seq", label_col: str = "weak_label",
+                   test_size: float = 0.2, seed: int = 42, **forest_kw):
+    """drop abstain -> stratified split -> SMOTE -> balanced weights -> forest.
+    Returns ``(model, test_predictions, train_resampled)``."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+    from ..operators import training as TR
+    from ..session import cut_lineage
+    labeled = TR.drop_abstain(features, label_col)
+    split = cut_lineage(TR.stratified_split(labeled, label_col, [key], test_size, seed))
+    train = split.where(F.col("split") == "train")
+    test = split.where(F.col("split") == "test")
+    res = TR.smote_oversample(train, label_col, key, "features", seed)
+    res = TR.class_weights(res.withColumn("features_vec", array_to_vector("features")), label_col)
+    res = cut_lineage(res)
+    model = TR.random_forest_fit(res, label_col=label_col, weight_col="class_weight", seed=seed, **forest_kw)
+    pred = TR.random_forest_predict(model, test)
+    return model, pred, res

@@ -290,7 +290,10 @@ _LF_COLS = ["ingest_seq"] + LFS.DEFAULT_LFS
 
 
 def _votes(spark, sf):
-    return LB.apply_lfs(PL.fixture_nonempty(spark, sf))
+    """The vote table is a stage output: checkpointed, so later filters on
+    labels cannot be rewritten into the 23 labeling-function expressions."""
+    from ..session import cut_lineage
+    return cut_lineage(LB.apply_lfs(PL.fixture_nonempty(spark, sf)))
 
 
 def _init_params(votes):
@@ -627,3 +630,104 @@ def q_tfidf_transform(spark, sf):
     """Gold-set documents weighted with the vocabulary fitted on the reviews."""
     vocab, _ = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
     return TF.tfidf_transform_long(_pred(spark, sf), vocab, "doc_id")
+
+# ------------------------------------------------------------------ 2.7 SVD / 2.8 training
+
+from ..operators import svd as SV  # noqa: E402
+from ..operators import training as TR  # noqa: E402
+
+
+def _embeddings(spark, sf):
+    e = FX.read_table(spark, sf, "embeddings")
+    return e.select("vec_id", F.col("label").cast("int").alias("label"),
+                    F.col("embedding").cast("array<double>").alias("features"))
+
+
+def _weak_init(spark, sf):
+    """Reviews with moment-initialised weak labels (SQL-reproducible)."""
+    return _init_scored(spark, sf)
+
+
+def _features(spark, sf):
+    return PL.feature_pipeline(PL.weak_label_pipeline(PL.fixture_nonempty(spark, sf)))
+
+
+@register("drop_abstain", O.with_ctes(O.init_params_ctes(_R_INIT),
+          "SELECT ingest_seq, weak_label FROM lm_pred WHERE weak_label <> -1"))
+def q_drop_abstain(spark, sf):
+    return TR.drop_abstain(_weak_init(spark, sf)).select("ingest_seq", "weak_label")
+
+
+_MD5U = "CAST(('0x' || substr(md5('42:' || CAST({k} AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0"
+
+
+@register("stratified_split", O.with_ctes("""
+e AS (SELECT vec_id, CAST(label AS INTEGER) AS label FROM embeddings),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY """ + _MD5U.format(k="vec_id") + """, CAST(vec_id AS VARCHAR))
+             AS rk, count(*) OVER (PARTITION BY label) AS nc FROM e)""", """
+SELECT vec_id, label, CASE WHEN rk <= ceil(0.2 * nc) THEN 'test' ELSE 'train' END AS split FROM r"""))
+def q_split(spark, sf):
+    return TR.stratified_split(_embeddings(spark, sf), "label", ["vec_id"]).select("vec_id", "label", "split")
+
+
+@register("class_weights", O.with_ctes("""
+e AS (SELECT vec_id, CAST(label AS INTEGER) AS label FROM embeddings),
+c AS (SELECT label, count(*) AS nc FROM e GROUP BY label)""", """
+SELECT e.vec_id, e.label, (SELECT count(*) FROM e) / ((SELECT count(*) FROM c) * c.nc) AS class_weight
+FROM e JOIN c USING (label)"""))
+def q_weights(spark, sf):
+    return TR.class_weights(_embeddings(spark, sf), "label").select("vec_id", "label", "class_weight")
+
+
+@register("nearest_neighbours", O.with_ctes("""
+e AS (SELECT vec_id, CAST(label AS INTEGER) AS label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+p AS (SELECT a.vec_id, b.vec_id AS nn_key,
+             list_reduce(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])),
+                         lambda s, v: s + v) AS d2
+      FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id)""", """
+SELECT vec_id, arg_min(nn_key, (d2, nn_key)) AS nn_key, min(d2) AS nn_dist2 FROM p GROUP BY vec_id"""))
+def q_nn(spark, sf):
+    """Exact same-class nearest neighbour; the oracle is a brute-force self-join."""
+    return TR.nearest_neighbours(_embeddings(spark, sf), "label", "vec_id")
+
+
+@register("smote_oversample")
+def q_smote(spark, sf):
+    """SMOTE on the embedding table: every class raised to the majority size."""
+    return TR.smote_oversample(_embeddings(spark, sf), "label", "vec_id").select("label", "vec_id", "synthetic")
+
+
+@register("svd_fit")
+def q_svd_fit(spark, sf):
+    """Singular values and explained variance of the review TF-IDF matrix."""
+    _, _, model = PL.feature_pipeline(_weak_init(spark, sf))
+    return SV.singular_values_frame(spark, model)
+
+
+@register("save_svd_components")
+def q_svd_components(spark, sf):
+    _, vocab, model = PL.feature_pipeline(_weak_init(spark, sf))
+    return SV.components_frame(spark, model, vocab, 10)
+
+
+@register("svd_transform")
+def q_svd_transform(spark, sf):
+    feats, _, _ = PL.feature_pipeline(_weak_init(spark, sf))
+    return feats.select("ingest_seq", "svd")
+
+
+@register("assemble_features")
+def q_assemble(spark, sf):
+    feats, _, _ = PL.feature_pipeline(_weak_init(spark, sf))
+    return feats.select("ingest_seq", "weak_label", "confidence", "text_length", "features")
+
+
+@register("random_forest_fit")
+def q_forest(spark, sf):
+    """Forest on the embedding table (reference settings: 200 trees, depth 25)."""
+    e = _embeddings(spark, sf)
+    from pyspark.ml.functions import array_to_vector
+    split = TR.stratified_split(e, "label", ["vec_id"]).withColumn("features_vec", array_to_vector("features"))
+    model = TR.random_forest_fit(split.where("split = 'train'"), label_col="label")
+    return TR.random_forest_predict(model, split.where("split = 'test'")).select(
+        "vec_id", "label", "predicted_label", "prediction_confidence")
