@@ -731,3 +731,134 @@ def q_forest(spark, sf):
     model = TR.random_forest_fit(split.where("split = 'train'"), label_col="label")
     return TR.random_forest_predict(model, split.where("split = 'test'")).select(
         "vec_id", "label", "predicted_label", "prediction_confidence")
+
+# ------------------------------------------------------------------ trained pipeline, persistence, scoring
+
+from . import models as MD  # noqa: E402
+
+_TRAINED: dict = {}
+
+
+def _trained(spark, sf):
+    """Clean -> weak labels -> features -> SMOTE -> forest, once per session and scale."""
+    k = (spark.sparkContext.applicationId, sf)
+    if k not in _TRAINED:
+        weak = PL.weak_label_pipeline(PL.fixture_nonempty(spark, sf))
+        feats, vocab, svd = PL.feature_pipeline(weak)
+        model, pred, res = PL.train_pipeline(feats)
+        _TRAINED[k] = (MD.Artifacts(vocab, svd, model), pred, res, feats)
+    return _TRAINED[k]
+
+
+@register("train_pipeline")
+def q_train_pipeline(spark, sf):
+    """Held-out report of the forest trained on SMOTE-balanced weak labels."""
+    from ..operators import evaluation as EV
+    _, pred, _, _ = _trained(spark, sf)
+    return EV.classification_report(pred, "weak_label", "predicted_label")
+
+
+@register("random_forest_predict")
+def q_forest_predict(spark, sf):
+    _, pred, _, _ = _trained(spark, sf)
+    return pred.select("ingest_seq", "weak_label", "predicted_label", "prediction_confidence")
+
+
+@register("feature_importance")
+def q_importance(spark, sf):
+    art, _, _, _ = _trained(spark, sf)
+    names = [f"tfidf_svd_{i}" for i in range(art.svd.k)] + ["text_length"]
+    return TR.feature_importance(spark, art.forest, names, 10)
+
+
+@register("cross_validate")
+def q_cv(spark, sf):
+    """3-fold accuracy over the SMOTE output (as originally done), mean and std rows."""
+    _, _, res, _ = _trained(spark, sf)
+    return TR.cross_validate(res, "weak_label", "ingest_seq", folds=3)
+
+
+@register("explained_variance")
+def q_explained(spark, sf):
+    art, _, _, _ = _trained(spark, sf)
+    return SV.singular_values_frame(spark, art.svd).agg(
+        F.sum("explained_variance_ratio").alias("explained_variance_ratio"), F.count(F.lit(1)).alias("n_components"))
+
+
+@register("model_save_load")
+def q_model_io(spark, sf):
+    """Save vocabulary, SVD and forest to shared storage, load them back and
+    score the held-out rows with the loaded copy."""
+    art, pred, _, feats = _trained(spark, sf)
+    path = MD.model_save(art, MD.shared_dir(spark, "model"))
+    loaded = MD.model_load(spark, path)
+    test = feats.join(pred.select("ingest_seq"), "ingest_seq")
+    return TR.random_forest_predict(loaded.forest, test).select("ingest_seq", "predicted_label")
+
+
+@register("gold_evaluation_pipeline")
+def q_gold_eval(spark, sf):
+    """Gold set scored with the saved featurisation and forest, then reported."""
+    from ..operators import evaluation as EV
+    art, _, _, _ = _trained(spark, sf)
+    res = MD.gold_evaluation(_pred(spark, sf).drop("predicted_label", "prediction_confidence"), art)
+    return EV.classification_report(res)
+
+
+@register("score_reviews")
+def q_score(spark, sf):
+    """Every raw review text scored (strip only), as single-review inference does."""
+    art, _, _, _ = _trained(spark, sf)
+    return MD.score_reviews(FX.fx_reviews(spark, sf), art, "ingest_seq", "text")
+
+# ------------------------------------------------------------------ sources / sinks round trips
+
+
+@register("read_reviews")
+def q_read_reviews(spark, sf):
+    """Reviews written as JSON lines to shared storage and read back with the
+    explicit review schema (malformed lines land in ``_corrupt_record``)."""
+    path = MD.shared_dir(spark, "reviews-json")
+    FX.fx_reviews(spark, sf).drop("ingest_seq").write.mode("overwrite").json(path)
+    df = R.read_reviews(spark, path)
+    return df.select("user_id", "gmap_id", "time", "rating", "text", "name",
+                     F.size("pics").alias("n_pics"), F.col("resp").isNotNull().alias("has_resp"))
+
+
+@register("read_meta_json")
+def q_read_meta_json(spark, sf):
+    """Metadata JSON (array or bare-string categories) read back and normalised."""
+    path = MD.shared_dir(spark, "meta-json")
+    raw = FX.fx_meta_raw(spark, sf)
+    as_json = raw.select("gmap_id", F.when(F.col("category").startswith("["), F.from_json("category", "array<string>"))
+                         .alias("arr"), "category")
+    as_json.select(F.when(F.col("arr").isNotNull(),
+                          F.concat(F.lit('{"gmap_id":"'), F.col("gmap_id"), F.lit('","category":'),
+                                   F.to_json("arr"), F.lit("}")))
+                   .otherwise(F.concat(F.lit('{"gmap_id":"'), F.col("gmap_id"), F.lit('","category":'),
+                                       F.to_json(F.struct(F.col("category").alias("c"))).substr(6, 100000),
+                                       F.lit("")))
+                   .alias("value")).write.mode("overwrite").text(path)
+    return C.normalize_meta(R.read_meta(spark, path)).drop("ingest_seq")
+
+
+@register("write_dataset")
+def q_write(spark, sf):
+    """Cleaned reviews written as Parquet and CSV, read back; row counts per format."""
+    base = MD.shared_dir(spark, "cleaned")
+    df = PL.fixture_cleaned(spark, sf).drop("pics", "resp", "timestamp")
+    R.write_dataset(df, base + "/parquet", "parquet")
+    R.write_dataset(df, base + "/csv", "csv")
+    pq = R.read_stage(spark, base + "/parquet").agg(F.count(F.lit(1)).alias("n")).withColumn("fmt", F.lit("parquet"))
+    csv = R.read_stage(spark, base + "/csv", "csv", schema=df.schema).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("fmt", F.lit("csv"))
+    return pq.unionByName(csv)
+
+
+@register("read_labeled_csv")
+def q_read_csv(spark, sf):
+    """A gold-set CSV export read back with header and quoted multi-line text."""
+    path = MD.shared_dir(spark, "gold-csv")
+    R.write_dataset(_pred(spark, sf).select("doc_id", "text_clean", "gold_label"), path, "csv")
+    back = R.read_stage(spark, path, "csv", schema="doc_id long, text_clean string, gold_label int")
+    return C.require_columns(back, ["gold_label", "text_clean"])
