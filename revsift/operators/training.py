@@ -127,31 +127,41 @@ def nearest_neighbours(df: DataFrame, label_col: str, key_col: str, feat_col: st
     ranked = cut_lineage(ranked)   # reused by every widening round
     blocks = ranked.groupBy(label_col, "_blk").agg(F.min("_p").alias("_pmin"), F.max("_p").alias("_pmax"))
     n_blocks = blocks.groupBy(label_col).agg(F.max("_blk").alias("_maxblk"))
-    pending = ranked.select(label_col, F.col(key_col).alias("_k"), F.col(feat_col).alias("_x"), "_p", "_blk")
-    right = ranked.select(label_col, F.col(key_col).alias("_k2"), F.col(feat_col).alias("_y"),
-                          F.col("_blk").alias("_b2"))
+    pts = ranked.select(label_col, F.col(key_col).alias("_k"), F.col(feat_col).alias("_x"), "_p", "_blk")
+    key_type = df.schema[key_col].dataType.simpleString()
+    pending = None                 # None = every row still to resolve
+    pending_blocks = None
+    pending_blocks_small = True
     found = []
     w = 1
     while True:
-        near = pending.withColumn("_b2", F.explode(F.sequence(F.col("_blk") - w, F.col("_blk") + w)))
-        cand = (near.join(right, [label_col, "_b2"]).where(F.col("_k") != F.col("_k2"))
-                .withColumn("_d2", _sqdist("_x", "_y"))
-                .groupBy(label_col, "_k").agg(F.min(F.struct("_d2", "_k2")).alias("_m")))
+        # every point is a candidate for the query blocks within w of its own block
+        cand = pts.withColumn("_q", F.explode(F.sequence(F.col("_blk") - w, F.col("_blk") + w)))
+        if pending_blocks is not None:
+            cand = cand.join(F.broadcast(pending_blocks) if pending_blocks_small else pending_blocks,
+                             [label_col, "_q"])
+        best = cand.groupBy(label_col, "_q").applyInPandas(
+            _block_nearest, f"_k {key_type}, _m_d2 double, _m_k2 {key_type}")
         lo = blocks.select(label_col, (F.col("_blk") + w).alias("_blk"), F.col("_pmin").alias("_lo"))
         hi = blocks.select(label_col, (F.col("_blk") - w).alias("_blk"), F.col("_pmax").alias("_hi"))
-        res = (pending.join(cand, [label_col, "_k"], "left").join(lo, [label_col, "_blk"], "left")
+        src = pts if pending is None else pending
+        res = (src.join(best, "_k", "left").join(lo, [label_col, "_blk"], "left")
                .join(hi, [label_col, "_blk"], "left").join(F.broadcast(n_blocks), label_col))
-        r = F.sqrt(F.col("_m._d2"))
+        r = F.sqrt(F.col("_m_d2"))
         # no block b-w (b+w) means nothing lies below (above) the searched band
         lo_ok = F.col("_lo").isNull() | (F.col("_p") - r > F.col("_lo"))
         hi_ok = F.col("_hi").isNull() | (F.col("_p") + r < F.col("_hi"))
         everything = (F.col("_blk") - w <= 0) & (F.col("_blk") + w >= F.col("_maxblk"))
-        certified = F.col("_m").isNotNull() & ((lo_ok & hi_ok) | everything)
-        found.append(res.where(certified).select(F.col("_k").alias(key_col), F.col("_m._k2").alias("nn_key"),
-                                                 F.col("_m._d2").alias("nn_dist2")))
-        pending = res.where(~certified & ~everything).select(label_col, "_k", "_x", "_p", "_blk")
-        if pending.isEmpty():
+        certified = F.col("_m_d2").isNotNull() & ((lo_ok & hi_ok) | everything)
+        res = cut_lineage(res.withColumn("_ok", certified).withColumn("_all", everything))
+        found.append(res.where("_ok").select(F.col("_k").alias(key_col), F.col("_m_k2").alias("nn_key"),
+                                            F.col("_m_d2").alias("nn_dist2")))
+        pending = res.where(~F.col("_ok") & ~F.col("_all")).select(label_col, "_k", "_x", "_p", "_blk")
+        n_pending = pending.count()
+        if n_pending == 0:
             break
+        pending_blocks = pending.select(label_col, F.col("_blk").alias("_q")).distinct()
+        pending_blocks_small = n_pending <= 100_000
         w *= 2
     out = found[0]
     for f in found[1:]:
@@ -159,6 +169,30 @@ def nearest_neighbours(df: DataFrame, label_col: str, key_col: str, feat_col: st
     return out
 
 
+def _block_nearest(pdf):
+    """One (class, query block) group: queries are the rows of the block
+    itself, candidates every row in the group (at most (2w+1) blocks);
+    exact squared distances, ties to the smaller key."""
+    import numpy as np
+    import pandas as pd
+    q = pdf["_q"].iloc[0]
+    X = np.stack(pdf["_x"].to_numpy())
+    keys = pdf["_k"].to_numpy()
+    is_q = pdf["_blk"].to_numpy() == q
+    Q, qk = X[is_q], keys[is_q]
+    if len(Q) == 0 or len(X) < 2:
+        return pd.DataFrame({"_k": qk, "_m_d2": [None] * len(qk), "_m_k2": [None] * len(qk)})
+    D = ((Q[:, None, :] - X[None, :, :]) ** 2).sum(axis=2)
+    D[qk[:, None] == keys[None, :]] = np.inf
+    kk = np.broadcast_to(keys, D.shape)
+    j = np.lexsort((kk, D), axis=1)[:, 0]
+    rows = np.arange(len(Q))
+    dmin = D[rows, j]
+    ok = np.isfinite(dmin)
+    return pd.DataFrame({"_k": qk, "_m_d2": np.where(ok, dmin, np.nan),
+                         "_m_k2": pd.Series(keys[j]).astype("Int64").where(ok)})
+
+
 def smote_oversample(df: DataFrame, label_col: str, key_col: str, feat_col: str = "features",
                      seed: int = 42) -> DataFrame:
     """Raise every class to the majority size with synthetic rows

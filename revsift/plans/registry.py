@@ -862,3 +862,24 @@ def q_read_csv(spark, sf):
     R.write_dataset(_pred(spark, sf).select("doc_id", "text_clean", "gold_label"), path, "csv")
     back = R.read_stage(spark, path, "csv", schema="doc_id long, text_clean string, gold_label int")
     return C.require_columns(back, ["gold_label", "text_clean"])
+
+
+@register("stream_weak_labels")
+def q_stream(spark, sf):
+    """Review JSON files labelled incrementally by the streaming job (one
+    available-now run), with batch-fitted median, length bounds and
+    label-model parameters."""
+    from ..streaming import scoring as ST
+    base = MD.shared_dir(spark, "stream")
+    FX.fx_reviews(spark, sf).drop("ingest_seq").write.mode("overwrite").json(base + "/in")
+    dedup = _dedup_raw(spark, sf)
+    med = dedup.agg(F.median("rating")).first()[0]
+    lo, hi = C.quantile_bounds(_counted(spark, sf))
+    bounds = _counted(spark, sf).select(lo.alias("lo"), hi.alias("hi")).first()
+    votes = _votes(spark, sf)
+    params = LM.label_model_fit(votes, len(LFS.DEFAULT_LFS))
+    meta = C.meta_first_per_key(_meta(spark, sf)).drop("ingest_seq")
+    stats = ST.BatchStatistics(float(med), float(bounds["lo"]), float(bounds["hi"]), params)
+    q = ST.start(spark, base + "/in", base + "/out", base + "/ckpt", stats, meta=meta, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out")
