@@ -60,10 +60,9 @@ def main():
     params = timed("label_model_fit", lambda: LM.label_model_fit(votes, m))
     weak = timed("label_model_proba", lambda: cut_lineage(LM.weak_labels(votes, params)))
     # 4. features
-    vocab_long = timed("tfidf_fit_transform", lambda: [cut_lineage(x) for x in
-                                                        TF.tfidf_fit_transform_long(weak, "ingest_seq")])
-    vocab, long = vocab_long
-    sparse = TF.to_sparse_rows(long, "ingest_seq")
+    vocab, sparse = timed("tfidf_fit_transform", lambda: [cut_lineage(x) for x in
+                                                           TF.tfidf_fit_transform(weak, "ingest_seq")])
+    long = TF.sparse_to_long(sparse, "ingest_seq")
     d = vocab.count()
     model = timed("svd_fit", lambda: SV.svd_fit(sparse, long, d, min(100, d)))
     feats = timed("svd_transform", lambda: cut_lineage(TR.assemble_features(

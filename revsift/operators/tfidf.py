@@ -69,30 +69,34 @@ def vocabulary_select(freq: DataFrame, n_docs, max_features: int = 2000, min_df:
                       (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
 
 
+def _sparse_rows(weighted: DataFrame, key: str) -> DataFrame:
+    """``(key, indices, values)``: one ``groupBy(doc)`` collects the document's
+    (at most vocabulary-size) weights; the l2 norm and the division happen
+    in-row, so no norm aggregate has to be joined back."""
+    e = F.array_sort(F.collect_list(F.struct("feature_index", "w")))
+    agg = weighted.groupBy(key).agg(e.alias("_e"))
+    norm = F.sqrt(F.aggregate(F.col("_e"), F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
+    return (agg.select(key, "_e", norm.alias("_n"))
+            .select(key, F.col("_e.feature_index").alias("indices"),
+                    F.transform("_e", lambda x: F.when(F.col("_n") > 0, x["w"] / F.col("_n")).otherwise(0.0))
+                    .alias("values")))
+
+
 def _weights(counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
     v = F.broadcast(vocab.select(F.col("feature_name").alias("term"), "feature_index", "idf"))
     return counts.join(v, "term").select(key, "feature_index",
                                          ((F.lit(1.0) + F.log(F.col("cnt"))) * F.col("idf")).alias("w"))
 
 
-def _normalise_long(w: DataFrame, key: str) -> DataFrame:
-    """``(key, feature_index, weight)`` with rows l2-normalised; the norm is a
-    per-document aggregate joined back (no window over unbounded groups)."""
-    norms = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norms, key).select(key, "feature_index",
-                                     F.when(F.col("_norm") > 0, F.col("w") / F.col("_norm")).otherwise(0.0)
-                                     .alias("weight"))
-
-
-def to_sparse_rows(long: DataFrame, key: str) -> DataFrame:
-    """``(key, indices, values)`` sorted by index; at most vocabulary-size entries per row."""
-    agg = long.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("feature_index", "weight"))).alias("_e"))
-    return agg.select(key, F.col("_e.feature_index").alias("indices"), F.col("_e.weight").alias("values"))
+def sparse_to_long(sparse: DataFrame, key: str) -> DataFrame:
+    """``(key, feature_index, weight)`` - a projection, no shuffle."""
+    return sparse.select(key, F.posexplode(F.arrays_zip("indices", "values")).alias("_p", "_z")).select(
+        key, F.col("_z.indices").alias("feature_index"), F.col("_z.values").alias("weight"))
 
 
 def tfidf_fit(df: DataFrame, key: str, text_col: str = "text_clean", max_features: int = 2000, min_df: int = 5,
               max_df: float = 0.8, stop_words=SPARK_ENGLISH_STOP_WORDS):
-    """Returns ``(model, counts)``; counts are reused by the fit-transform."""
+    """Returns ``(vocabulary, counts)``; counts are reused by the fit-transform."""
     terms = doc_terms(df, key, text_col, stop_words)
     counts = term_counts(terms, key)
     n_docs = df.agg(F.count(F.lit(1))).scalar()
@@ -100,13 +104,35 @@ def tfidf_fit(df: DataFrame, key: str, text_col: str = "text_clean", max_feature
     return vocab, counts
 
 
-def tfidf_fit_transform_long(df: DataFrame, key: str, text_col: str = "text_clean", **kw) -> tuple[DataFrame, DataFrame]:
+def tfidf_fit_transform(df: DataFrame, key: str, text_col: str = "text_clean", **kw) -> tuple[DataFrame, DataFrame]:
+    """``(vocabulary, sparse rows)``."""
     vocab, counts = tfidf_fit(df, key, text_col, **kw)
-    return vocab, _normalise_long(_weights(counts, vocab, key), key)
+    return vocab, _sparse_rows(_weights(counts, vocab, key), key)
+
+
+def tfidf_fit_transform_long(df: DataFrame, key: str, text_col: str = "text_clean", **kw) -> tuple[DataFrame, DataFrame]:
+    vocab, sparse = tfidf_fit_transform(df, key, text_col, **kw)
+    return vocab, sparse_to_long(sparse, key)
+
+
+def tfidf_transform(df: DataFrame, vocab: DataFrame, key: str, text_col: str = "text_clean",
+                    stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
+    """Sparse rows of new documents under a fitted (saved) vocabulary.  Term
+    occurrences meet the broadcast vocabulary before any shuffle, so only
+    in-vocabulary occurrences are counted and moved."""
+    v = F.broadcast(vocab.select(F.col("feature_name").alias("term"), "feature_index", "idf"))
+    occ = doc_terms(df, key, text_col, stop_words).select(key, F.explode("terms").alias("term")).join(v, "term")
+    counts = occ.groupBy(key, "feature_index", "idf").agg(F.count(F.lit(1)).alias("cnt"))
+    w = counts.select(key, "feature_index", ((F.lit(1.0) + F.log(F.col("cnt"))) * F.col("idf")).alias("w"))
+    return _sparse_rows(w, key)
 
 
 def tfidf_transform_long(df: DataFrame, vocab: DataFrame, key: str, text_col: str = "text_clean",
                          stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
-    """Weights of new documents under a fitted (saved) vocabulary."""
-    counts = term_counts(doc_terms(df, key, text_col, stop_words), key)
-    return _normalise_long(_weights(counts, vocab, key), key)
+    return sparse_to_long(tfidf_transform(df, vocab, key, text_col, stop_words), key)
+
+
+def to_sparse_rows(long: DataFrame, key: str) -> DataFrame:
+    """Long ``(key, feature_index, weight)`` back to sparse rows sorted by index."""
+    agg = long.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("feature_index", "weight"))).alias("_e"))
+    return agg.select(key, F.col("_e.feature_index").alias("indices"), F.col("_e.weight").alias("values"))

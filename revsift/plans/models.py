@@ -76,8 +76,8 @@ def model_load(spark: SparkSession, path: str) -> Artifacts:
 def featurize(df: DataFrame, art: Artifacts, key: str, text_col: str = "text_clean",
               length_col: str | None = None) -> DataFrame:
     """Saved vocabulary -> TF-IDF -> SVD -> + text length -> feature vector."""
-    long = TF.tfidf_transform_long(df, art.vocabulary, key, text_col)
-    proj = SV.svd_transform(TF.to_sparse_rows(long, key), art.svd).select(key, "svd")
+    sparse = TF.tfidf_transform(df, art.vocabulary, key, text_col)
+    proj = SV.svd_transform(sparse, art.svd).select(key, "svd")
     length = F.col(length_col) if length_col else F.length(F.col(text_col))
     base = df.withColumn("text_length", length.cast("bigint"))
     out = base.join(proj, key, "left").withColumn(

@@ -61,10 +61,10 @@ def feature_pipeline(weak: DataFrame, key: str = "ingest_seq", max_features: int
     from ..operators import tfidf as TF
     from ..operators import training as TR
     from ..session import cut_lineage
-    vocab, long = TF.tfidf_fit_transform_long(weak, key, text_col, max_features=max_features)
+    vocab, sparse = TF.tfidf_fit_transform(weak, key, text_col, max_features=max_features)
     vocab = cut_lineage(vocab)
-    long = cut_lineage(long)
-    sparse = TF.to_sparse_rows(long, key)
+    sparse = cut_lineage(sparse)
+    long = TF.sparse_to_long(sparse, key)
     d = vocab.count()
     model = SV.svd_fit(sparse, long, d, min(n_components, d))
     proj = SV.svd_transform(sparse, model).select(key, "svd")

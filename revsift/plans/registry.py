@@ -883,3 +883,45 @@ def q_stream(spark, sf):
     q = ST.start(spark, base + "/in", base + "/out", base + "/ckpt", stats, meta=meta, available_now=True)
     q.awaitTermination()
     return spark.read.parquet(base + "/out")
+
+# ------------------------------------------------------------------ one query per labeling function (2.5)
+
+
+def _lf_query(name):
+    def q(spark, sf):
+        return _votes(spark, sf).select("ingest_seq", name)
+    q.__doc__ = f"Votes of {name} on every cleaned review."
+    return q
+
+
+for _name in LFS.DEFAULT_LFS:
+    register(_name, O.with_ctes(O.labeled_ctes(), f"SELECT ingest_seq, {_name} FROM lf_votes"))(_lf_query(_name))
+
+
+@register("lf_never_visited", O.with_ctes(O.labeled_ctes(), f"""
+SELECT ingest_seq, CASE WHEN {O.sql_any('tl', K.NEVER_VISITED_PHRASES)} THEN 3 ELSE -1 END AS lf_never_visited
+FROM lf_ctx"""))
+def q_lf_never_visited(spark, sf):
+    """Defined in the original rule set but not part of the default list; available on request."""
+    return LB.apply_lfs(PL.fixture_nonempty(spark, sf), lfs=["lf_never_visited"]).select(
+        "ingest_seq", "lf_never_visited")
+
+
+@register("lf_registry", O.with_ctes(O.labeled_ctes(), "\nUNION ALL\n".join(
+    f"SELECT {j} AS j, {O.lit(n)} AS lf_name, count(*) FILTER (WHERE {n} <> -1) AS n_votes FROM lf_votes"
+    for j, n in enumerate(LFS.DEFAULT_LFS))))
+def q_lf_registry(spark, sf):
+    """The ordered registry (vote-matrix column order) with the votes each LF casts."""
+    votes = _votes(spark, sf)
+    names = LB.lf_names()
+    wide = votes.agg(*[F.count_if(F.col("votes")[j] != -1).alias(f"n{j}") for j in range(len(names))])
+    rows = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(n).alias("lf_name"), F.col(f"n{j}").alias("n_votes"))
+                     for j, n in enumerate(names)])
+    return wide.select(F.inline(rows))
+
+
+@register("require_columns", O.with_ctes(O.gold_ctes(), "SELECT doc_id, gold_label, text_clean FROM fx_gold"))
+def q_require(spark, sf):
+    """Gold set passes the required-column check (a missing column raises before planning)."""
+    return C.require_columns(_pred(spark, sf), ["gold_label", "text_clean"]).select("doc_id", "gold_label",
+                                                                                  "text_clean")

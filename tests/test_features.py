@@ -33,6 +33,10 @@ def test_rows_unit_norm_and_svd_properties(spark, corpus):
     idx = sorted(r["feature_index"] for r in vocab.collect())
     assert idx == list(range(d))
     sparse = TF.to_sparse_rows(long, "doc_id")
+    _, direct = TF.tfidf_fit_transform(corpus, "doc_id", max_features=300, min_df=2)
+    a = {r["doc_id"]: [round(x, 9) for x in r["values"]] for r in direct.collect()}
+    b = {r["doc_id"]: [round(x, 9) for x in r["values"]] for r in sparse.collect()}
+    assert a == b
     model = SV.svd_fit(sparse, long, d, 10)
     V = model.components
     assert np.allclose(V @ V.T, np.eye(10), atol=1e-8)
