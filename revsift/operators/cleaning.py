@@ -216,11 +216,18 @@ def require_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ------------------------------------------------------------------ composition
 
 
-def clean_review_data(df: DataFrame, order_col: str = "ingest_seq", response_flag: str = "filled") -> DataFrame:
+def clean_review_data(df: DataFrame, order_col: str = "ingest_seq", response_flag: str = "filled",
+                      materialize=None) -> DataFrame:
     """The cleaning sequence, in its original order: time -> rating median ->
     'NONE' fill -> photos -> text -> name -> response -> dedupe -> counts ->
-    length quantiles -> rating range.  Optional columns are skipped when absent."""
+    length quantiles -> rating range.  Optional columns are skipped when absent.
+
+    ``materialize`` (e.g. :func:`revsift.session.cut_lineage`) is applied
+    where the plan fans out - the deduplicated table feeds two count
+    aggregations, the quantile subquery and the main branch - so the
+    upstream cleaning runs once instead of once per branch."""
     cols = set(df.columns)
+    materialize = materialize or (lambda x: x)
     if "time" in cols:
         df = derive_time(df)
     if "rating" in cols:
@@ -234,7 +241,7 @@ def clean_review_data(df: DataFrame, order_col: str = "ingest_seq", response_fla
         df = clean_name(df)
     if "resp" in cols:
         df = response_features(df, response_flag=response_flag)
-    df = dedupe_event(df, order_col)
+    df = materialize(dedupe_event(df, order_col))
     if "user_id" in cols:
         df = user_review_count(df)
     if "gmap_id" in cols:

@@ -20,12 +20,14 @@ def clean_pipeline(reviews_raw: DataFrame, meta_raw: DataFrame | None, order_col
     """ingest -> metadata join -> raw dedupe -> clean.  The closing dedupe on
     (gmap_id, user_id, time, text_clean) is provably a no-op after the event
     dedupe on (user_id, gmap_id, time) and is not planned."""
+    from ..session import cut_lineage
     df = reviews_raw
     if meta_raw is not None and "gmap_id" in df.columns:
         meta = C.meta_first_per_key(C.normalize_meta(meta_raw), order_col=order_col)
         df = C.join_meta(df, meta)
-        df = C.dedupe_raw(df, order_col)
-    df = C.clean_review_data(df, order_col=order_col, response_flag=response_flag)
+        # fan-out point: feeds the rating-median subquery and the main branch
+        df = cut_lineage(C.dedupe_raw(df, order_col))
+    df = C.clean_review_data(df, order_col=order_col, response_flag=response_flag, materialize=cut_lineage)
     return df.select(*[c for c in CLEANED_COLUMNS if c in df.columns])
 
 
