@@ -42,8 +42,20 @@ def ngrams_1_2(toks: F.Column) -> F.Column:
 
 
 def doc_terms(df: DataFrame, key: str, text_col: str = "text_clean", stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
-    """``(key, terms)``: the 1-2-gram sequence of each document."""
-    return df.select(key, ngrams_1_2(tokenize_stop(F.col(text_col), stop_words)).alias("terms"))
+    """``(key, terms)``: the 1-2-gram sequence of each document, built with
+    Spark ML's JVM transformers (regex tokenizer, hash-set stop-word
+    remover, bigram generator) - no per-token interpreted lambdas."""
+    from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
+    d = df.select(key, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_txt"))
+    d = RegexTokenizer(inputCol="_txt", outputCol="_tok", pattern=TOKEN_RX, gaps=False, toLowercase=False,
+                       minTokenLength=1).transform(d.withColumn("_txt", F.lower("_txt")))
+    if stop_words:
+        d = StopWordsRemover(inputCol="_tok", outputCol="_uni", stopWords=list(stop_words),
+                             caseSensitive=True).transform(d)
+    else:
+        d = d.withColumn("_uni", F.col("_tok"))
+    d = NGram(n=2, inputCol="_uni", outputCol="_bi").transform(d)
+    return d.select(key, F.concat("_uni", "_bi").alias("terms"))
 
 
 def term_counts(terms: DataFrame, key: str) -> DataFrame:

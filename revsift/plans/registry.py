@@ -572,8 +572,12 @@ def _tf_corpus(spark, sf):
 @register("tokenize_stop", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(), """
 SELECT doc_key AS ingest_seq, CAST(len(toks) AS INTEGER) AS n_tokens, array_to_string(toks, ' ') AS tokens FROM tf_docs"""))
 def q_tokenize(spark, sf):
-    df = _tf_corpus(spark, sf).select("ingest_seq", TF.tokenize_stop(F.col("text_clean")).alias("t"))
-    return df.select("ingest_seq", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
+    t = TF.doc_terms(_tf_corpus(spark, sf), "ingest_seq", stop_words=K.SPARK_ENGLISH_STOP_WORDS)
+    # unigrams are the first half of the term list: n unigrams + (n - 1) bigrams
+    n = ((F.size("terms") + 1) / 2).cast("int")
+    uni = F.slice("terms", 1, F.greatest(n, F.lit(1)))
+    uni = F.when(F.size("terms") == 0, F.array().cast("array<string>")).otherwise(uni)
+    return t.select("ingest_seq", F.size(uni).alias("n_tokens"), F.array_join(uni, " ").alias("tokens"))
 
 
 @register("ngrams_1_2", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(), """
