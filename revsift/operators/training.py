@@ -90,11 +90,6 @@ def class_weights(df: DataFrame, label_col: str, weight_col: str = "class_weight
 # ------------------------------------------------------------------ nearest neighbours and SMOTE
 
 
-def _sqdist(a: str, b: str) -> F.Column:
-    return F.aggregate(F.zip_with(F.col(a), F.col(b), lambda x, y: (x - y) * (x - y)), F.lit(0.0),
-                       lambda acc, v: acc + v)
-
-
 def nearest_neighbours(df: DataFrame, label_col: str, key_col: str, feat_col: str = "features",
                        rows_per_block: int = 64) -> DataFrame:
     """Exact nearest same-class neighbour (Euclidean) of every row:
@@ -251,13 +246,23 @@ def smote_oversample(df: DataFrame, label_col: str, key_col: str, feat_col: str
 def random_forest_fit(train: DataFrame, label_col: str = "label", features_col: str = "features_vec",
                       weight_col: str | None = None, num_trees: int = 200, max_depth: int = 25,
                       min_instances_per_node: int = 2, seed: int = 42, max_bins: int = 32,
-                      subsampling_rate: float = 1.0) -> RandomForestClassificationModel:
+                      subsampling_rate: float = 1.0, max_memory_mb: int = 1024,
+                      cache_node_ids: bool = True, checkpoint_interval: int = 10) -> RandomForestClassificationModel:
     """Spark ML random forest: trees grow level-wise from distributed
-    histograms; ``sqrt`` feature subsets per split (``auto``)."""
+    histograms; ``sqrt`` feature subsets per split (``auto``).
+
+    ``max_memory_mb`` lets one pass over the data split more nodes (fewer
+    passes for 200 deep trees); ``cache_node_ids`` keeps each row's node id
+    next to the data instead of re-walking the trees, and that cache is
+    checkpointed every ``checkpoint_interval`` iterations into the shared
+    checkpoint folder (survives executor loss, bounds lineage)."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
     rf = RandomForestClassifier(labelCol=label_col, featuresCol=features_col, numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances_per_node, seed=seed,
                                 maxBins=max_bins, featureSubsetStrategy="sqrt", bootstrap=True,
-                                subsamplingRate=subsampling_rate)
+                                subsamplingRate=subsampling_rate, maxMemoryInMB=max_memory_mb,
+                                cacheNodeIds=cache_node_ids, checkpointInterval=checkpoint_interval)
     if weight_col:
         rf.setWeightCol(weight_col)
     return rf.fit(train.withColumn(label_col, F.col(label_col).cast("double")))
