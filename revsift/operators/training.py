@@ -107,8 +107,14 @@ def nearest_neighbours(df: DataFrame, label_col: str, key_col: str, feat_col: st
     """
     dim = len(df.select(feat_col).first()[0])
     var = df.agg(*[F.var_pop(F.col(feat_col)[i]).alias(f"v{i}") for i in range(dim)]).first()
-    j = max(range(dim), key=lambda i: (var[i] or 0.0))
-    d = df.select(label_col, key_col, feat_col, F.col(feat_col)[j].alias("_p"))
+    # unit direction weighted by each feature's spread: |p_x - p_y| <= ||x - y|| still holds,
+    # and ties in p need ties in every spread-out feature, not just one coordinate
+    std = [math.sqrt(max(var[i] or 0.0, 0.0)) for i in range(dim)]
+    norm = math.sqrt(sum(v * v for v in std))
+    wvec = [v / norm for v in std] if norm > 0 else [1.0] + [0.0] * (dim - 1)
+    w_lit = F.array(*[F.lit(float(v)) for v in wvec])
+    proj = F.aggregate(F.zip_with(F.col(feat_col), w_lit, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    d = df.select(label_col, key_col, feat_col, proj.alias("_p"))
     n = sum(class_sizes(d, label_col).values())
     nb = _n_buckets(n)
     splits = sorted(set(d.approxQuantile("_p", [i / nb for i in range(1, nb)], 0.001))) if nb > 1 else []
@@ -142,7 +148,8 @@ def nearest_neighbours(df: DataFrame, label_col: str, key_col: str, feat_col: st
         src = pts if pending is None else pending
         res = (src.join(best, "_k", "left").join(lo, [label_col, "_blk"], "left")
                .join(hi, [label_col, "_blk"], "left").join(F.broadcast(n_blocks), label_col))
-        r = F.sqrt(F.col("_m_d2"))
+        # a hair of slack keeps the bound safe against rounding in p and d
+        r = F.sqrt(F.col("_m_d2")) * (1 + 1e-9) + 1e-12
         # no block b-w (b+w) means nothing lies below (above) the searched band
         lo_ok = F.col("_lo").isNull() | (F.col("_p") - r > F.col("_lo"))
         hi_ok = F.col("_hi").isNull() | (F.col("_p") + r < F.col("_hi"))

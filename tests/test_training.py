@@ -80,3 +80,18 @@ def test_class_weights_balanced(spark):
          .distinct().collect()}
     for c in (0, 1, 2):
         assert abs(w[c] - 100 / (3 * (lab == c).sum())) < 1e-12
+
+
+def test_nearest_neighbours_with_heavy_ties(spark):
+    """Most points share the dominant coordinate: the search must stay exact."""
+    rng = np.random.RandomState(11)
+    n = 240
+    X = rng.randn(n, 4)
+    X[:, 0] = np.where(rng.rand(n) < 0.7, 100.0, rng.randn(n) * 50)
+    lab = rng.choice([0, 1], size=n)
+    rows = [(int(i), int(lab[i]), [float(v) for v in X[i]]) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, label int, features array<double>")
+    got = {r["id"]: r["nn_key"] for r in TR.nearest_neighbours(df, "label", "id", rows_per_block=8).collect()}
+    for i in range(n):
+        d = [(float(((X[i] - X[j]) ** 2).sum()), j) for j in range(n) if lab[j] == lab[i] and j != i]
+        assert got[i] == min(d)[1]
