@@ -108,11 +108,17 @@ def sparse_to_long(sparse: DataFrame, key: str) -> DataFrame:
 
 def tfidf_fit(df: DataFrame, key: str, text_col: str = "text_clean", max_features: int = 2000, min_df: int = 5,
               max_df: float = 0.8, stop_words=SPARK_ENGLISH_STOP_WORDS):
-    """Returns ``(vocabulary, counts)``; counts are reused by the fit-transform."""
+    """Returns ``(vocabulary, counts)``; counts are reused by the fit-transform.
+
+    The (doc, term) count table feeds both the document frequencies and the
+    weights, so it is materialised once in the shared checkpoint folder
+    (tokenising and shuffling the corpus again would cost far more than
+    re-reading the counts); the vocabulary (<= max_features rows) too."""
+    from ..session import cut_lineage
     terms = doc_terms(df, key, text_col, stop_words)
-    counts = term_counts(terms, key)
+    counts = cut_lineage(term_counts(terms, key))
     n_docs = df.agg(F.count(F.lit(1))).scalar()
-    vocab = vocabulary_select(term_doc_freq(counts), n_docs, max_features, min_df, max_df)
+    vocab = cut_lineage(vocabulary_select(term_doc_freq(counts), n_docs, max_features, min_df, max_df))
     return vocab, counts
 
 

@@ -49,7 +49,10 @@ def _joined(spark, sf):
 
 
 def _dedup_raw(spark, sf):
-    return C.dedupe_raw(_joined(spark, sf))
+    """Materialised like in ``clean_pipeline``: the median subquery and the
+    main branch both read it."""
+    from ..session import cut_lineage
+    return cut_lineage(C.dedupe_raw(_joined(spark, sf)))
 
 
 def _derived(spark, sf):
@@ -65,7 +68,8 @@ def _derived(spark, sf):
 
 
 def _counted(spark, sf):
-    df = C.dedupe_event(_derived(spark, sf))
+    from ..session import cut_lineage
+    df = cut_lineage(C.dedupe_event(_derived(spark, sf)))
     return C.business_review_count(C.user_review_count(df))
 
 # ------------------------------------------------------------------ 2.1 sources
