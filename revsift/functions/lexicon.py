@@ -25,15 +25,6 @@ def primary_category(primary: str = "category_primary", fallback: str = "categor
     return F.coalesce(F.when(p != "", p), F.col(fallback), F.lit(""))
 
 
-def domain_terms(family: Column) -> Column:
-    """The family's domain-term set as a literal array (constant-bounded)."""
-    out = F.array().cast("array<string>")
-    for fam, terms in DOMAIN_TERMS.items():
-        if terms:
-            out = F.when(family == fam, F.array(*[F.lit(t) for t in terms])).otherwise(out)
-    return out
-
-
 def domain_terms_table(spark) -> "DataFrame":
     """``(family, terms)`` for the 22 families: a constant-size table, joined
     with a broadcast so the per-row family expression is computed once and

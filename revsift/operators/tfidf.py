@@ -26,6 +26,8 @@ TOKEN_RX = r"\b\w\w+\b"
 
 
 def tokenize_stop(text: F.Column, stop_words=SPARK_ENGLISH_STOP_WORDS) -> F.Column:
+    """Column form of the tokenizer + stop-word filter (for ad-hoc use on
+    short columns); :func:`doc_terms` uses the JVM transformers instead."""
     toks = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RX), 0)
     if stop_words:
         stop = F.array(*[F.lit(w) for w in stop_words])
