@@ -47,3 +47,13 @@ def test_every_query_has_a_callable():
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
+
+
+def test_streaming_labels_as_many_reviews_as_batch(spark):
+    """The available-now streaming job (watermarked dedupe, batch-fitted
+    statistics) keeps the same reviews as the batch cleaning path."""
+    q = E.queries()
+    stream = q["stream_weak_labels"](spark, SF_SMALL)
+    batch = q["nonempty_text"](spark, SF_SMALL)
+    assert stream.count() == batch.count() > 0
+    assert set(r[0] for r in stream.select("weak_label").distinct().collect()) <= {-1, 0, 1, 2, 3}
