@@ -25,6 +25,8 @@ def get_session(master: str | None = None, app: str = "revsift", shuffle_partiti
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    # checkpoints (stage outputs) are deleted once their DataFrames are gone
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
         builder = builder.config("spark.driver.memory", os.environ.get("REVSIFT_DRIVER_MEMORY", "16g"))

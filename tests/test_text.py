@@ -71,3 +71,17 @@ def test_response_quirk(spark):
     assert [r["response_length"] for r in rows] == [4, 2]
     src = C.response_features(df, response_flag="source").collect()
     assert [r["has_response"] for r in src] == [False, True]
+
+
+def test_hot_key_counts_and_dedupe(spark):
+    """One user owns a third of all rows: counts and keep-first stay exact."""
+    n = 3000
+    rows = [("hot" if i % 3 == 0 else f"u{i}", f"g{i % 7}", i // 2, f"t{i % 5}", i) for i in range(n)]
+    df = spark.createDataFrame(rows, "user_id string, gmap_id string, time long, text string, ingest_seq long")
+    counted = {r["user_id"]: r["user_review_count"] for r in C.user_review_count(df.repartition(17)).collect()}
+    assert counted["hot"] == n // 3 and counted["u1"] == 1
+    first = {(r["user_id"], r["gmap_id"], r["time"]): r["ingest_seq"] for r in C.dedupe_event(df).collect()}
+    expected = {}
+    for u, g, t, _, s in rows:
+        expected[(u, g, t)] = min(s, expected.get((u, g, t), s))
+    assert first == expected
