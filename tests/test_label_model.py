@@ -86,3 +86,21 @@ def test_lf_summary_definitions(spark):
 def _lf(i):
     from revsift.functions.lfs import LabelingFunction
     return LabelingFunction(f"lf{i}", (0,), lambda: F.lit(-1))
+
+
+def test_permuting_lfs_permutes_parameters(simulated):
+    _, L, _ = simulated
+    m, k = L.shape[1], 4
+
+    def moments(M):
+        onehot = np.zeros((M.shape[0], m * k))
+        for j in range(m):
+            for c in range(k):
+                onehot[:, j * k + c] = M[:, j] == c
+        return onehot.T @ onehot / M.shape[0]
+
+    perm = [3, 0, 5, 1, 4, 2]
+    a = LM.fit_label_model(moments(L), m, n_epochs=200)
+    b = LM.fit_label_model(moments(L[:, perm]), m, n_epochs=200)
+    for new_j, old_j in enumerate(perm):
+        assert np.allclose(b.mu[new_j * k:(new_j + 1) * k], a.mu[old_j * k:(old_j + 1) * k], atol=1e-9)
