@@ -7,8 +7,9 @@ parameter, not by the data) with ``RowMatrix.computeGramianMatrix``
 values exactly.  Signs follow the usual convention: the largest-magnitude
 loading of each component is positive.
 
-Transform: ``V`` (``d x k`` doubles) is broadcast and every sparse row is
-projected in Arrow batches by a pandas UDF (numpy gather + matmul).
+Transform: ``V`` (``d x k`` doubles) is broadcast; a pandas UDF scatters each
+Arrow batch, 1024 rows at a time, into a dense ``rows x d`` block and
+projects it with one BLAS matrix product.
 """
 
 from __future__ import annotations
@@ -80,16 +81,27 @@ def svd_transform(sparse_rows: DataFrame, model: SvdModel, out_col: str = "svd")
     bV = spark.sparkContext.broadcast(np.ascontiguousarray(model.components.T))  # (d, k)
     k = model.k
 
+    dim = model.dim
+    chunk = 1024          # chunk x dim dense block: at most 16 MB for dim <= 2000
+
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def project(indices: pd.Series, values: pd.Series) -> pd.Series:
         Vt = bV.value
-        out = []
-        for idx, val in zip(indices, values):
-            if idx is None or len(idx) == 0:
-                out.append(np.zeros(k))
-            else:
-                out.append(np.asarray(val, dtype=float) @ Vt[np.asarray(idx, dtype=int)])
-        return pd.Series(out)
+        n = len(indices)
+        out = np.zeros((n, k))
+        for start in range(0, n, chunk):
+            idx_part = indices.iloc[start:start + chunk]
+            val_part = values.iloc[start:start + chunk]
+            lens = np.array([0 if i is None else len(i) for i in idx_part], dtype=np.int64)
+            if lens.sum() == 0:
+                continue
+            cols = np.concatenate([np.asarray(i, dtype=np.int64) for i in idx_part if i is not None and len(i)])
+            vals = np.concatenate([np.asarray(v, dtype=float) for v in val_part if v is not None and len(v)])
+            rows = np.repeat(np.arange(len(lens)), lens)
+            block = np.zeros((len(lens), dim))
+            block[rows, cols] = vals
+            out[start:start + len(lens)] = block @ Vt
+        return pd.Series(list(out))
 
     return sparse_rows.withColumn(out_col, project(F.col("indices"), F.col("values")))
 

@@ -41,5 +41,9 @@ def test_rows_unit_norm_and_svd_properties(spark, corpus):
     V = model.components
     assert np.allclose(V @ V.T, np.eye(10), atol=1e-8)
     assert np.all(np.diff(model.singular_values) <= 1e-9)
-    proj = SV.svd_transform(sparse, model).select("svd").collect()
-    assert all(len(r[0]) == 10 for r in proj)
+    proj = SV.svd_transform(sparse, model).select("indices", "values", "svd").collect()
+    assert all(len(r["svd"]) == 10 for r in proj)
+    for r in proj[:50]:
+        x = np.zeros(d)
+        x[np.asarray(r["indices"], dtype=int)] = r["values"]
+        assert np.allclose(np.asarray(r["svd"]), V @ x, atol=1e-10)
