@@ -85,3 +85,16 @@ def test_hot_key_counts_and_dedupe(spark):
     for u, g, t, _, s in rows:
         expected[(u, g, t)] = min(s, expected.get((u, g, t), s))
     assert first == expected
+
+
+def test_samples_are_partition_invariant(spark):
+    from revsift.sources.readers import head_sample, review_sample
+    rows = [(i, f"text {i % 13}") for i in range(500)]
+    base = spark.createDataFrame(rows, "ingest_seq long, text_clean string")
+    got_r, got_h = [], []
+    for parts in (1, 4, 17):
+        df = base.repartition(parts)
+        got_r.append(sorted(r["ingest_seq"] for r in review_sample(df, 100, cols=("text_clean",)).collect()))
+        got_h.append([r["ingest_seq"] for r in head_sample(df, 50).collect()])
+    assert got_r[0] == got_r[1] == got_r[2] and len(got_r[0]) == 100
+    assert got_h[0] == got_h[1] == got_h[2] == list(range(50))
