@@ -138,10 +138,14 @@ def tfidf_fit_transform_long(df: DataFrame, key: str, text_col: str = "text_clea
 def tfidf_transform(df: DataFrame, vocab: DataFrame, key: str, text_col: str = "text_clean",
                     stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
     """Sparse rows of new documents under a fitted (saved) vocabulary.  Term
-    occurrences meet the broadcast vocabulary before any shuffle, so only
-    in-vocabulary occurrences are counted and moved."""
+    occurrences meet the broadcast vocabulary before they are counted, so
+    only in-vocabulary occurrences are aggregated."""
     v = F.broadcast(vocab.select(F.col("feature_name").alias("term"), "feature_index", "idf"))
-    occ = doc_terms(df, key, text_col, stop_words).select(key, F.explode("terms").alias("term")).join(v, "term")
+    # One shuffle, by document: the (doc, feature) counts and the per-document
+    # assembly below are both satisfied by this partitioning, so neither
+    # re-shuffles, and tokenising is spread evenly however the input was split.
+    docs = df.select(key, text_col).repartition(key)
+    occ = doc_terms(docs, key, text_col, stop_words).select(key, F.explode("terms").alias("term")).join(v, "term")
     counts = occ.groupBy(key, "feature_index", "idf").agg(F.count(F.lit(1)).alias("cnt"))
     w = counts.select(key, "feature_index", ((F.lit(1.0) + F.log(F.col("cnt"))) * F.col("idf")).alias("w"))
     return _sparse_rows(w, key)
