@@ -3,13 +3,47 @@ whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
 from revsift.llm import common as C
+from revsift.llm.byte_bpe import bpe_decode, bpe_encode
 from revsift.llm.jaccard_join import jaccard_components
+from revsift.llm.language_id import language_id
+from revsift.llm.packing import pack
+from revsift.llm.quality_knn import quality
+from revsift.llm.quality_rules import quality_rules
+
+
+def op1_language_id(spark, sf_dir):
+    return language_id(C.read(spark, sf_dir, "documents"))
 
 
 def op3_jaccard_join(spark, sf_dir):
     return jaccard_components(C.read(spark, sf_dir, "documents"), "doc_id", "text", words=5, percent=75)
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join,)}
+def op6_quality_classifier(spark, sf_dir):
+    return quality(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "labels"))
+
+
+def op8_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = bpe_decode(bpe_encode(C.read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_packing(spark, sf_dir):
+    return pack(C.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_quality_rules(spark, sf_dir):
+    return (quality_rules(C.read(spark, sf_dir, "documents"))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_jaccard_join, op6_quality_classifier, op8_byte_bpe,
+                                   op9_packing, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
