@@ -13,6 +13,7 @@ from revsift.llm.language_id import language_id
 from revsift.llm.packing import pack
 from revsift.llm.quality_knn import quality
 from revsift.llm.quality_rules import quality_rules
+from revsift.llm.substring_dedup import substring_dedup
 
 
 def op1_language_id(spark, sf_dir):
@@ -27,6 +28,11 @@ def op6_quality_classifier(spark, sf_dir):
     return quality(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "labels"))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    out = substring_dedup(C.read(spark, sf_dir, "documents"), window=13, digest=True)
+    return out.withColumnRenamed("kept", "kept_sha256")
+
+
 def op8_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     out = bpe_decode(bpe_encode(C.read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
@@ -44,6 +50,6 @@ def op10_quality_rules(spark, sf_dir):
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_jaccard_join, op6_quality_classifier, op8_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_jaccard_join, op6_quality_classifier, op7_substring_dedup, op8_byte_bpe,
                                    op9_packing, op10_quality_rules)}
 ORACLE: dict[str, str] = {}

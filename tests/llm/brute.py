@@ -38,3 +38,21 @@ def jaccard_components(rows):
                 a, b = sorted((root(o), root(d)))
                 parent[b] = a
     return {d: (len(s), root(d)) for d, s in sets.items()}
+
+
+def substring_dedup(rows, window=13):
+    """rows: (doc_id, text) -> {doc_id: (n_words, n_removed, kept text)}"""
+    first = {}
+    words = {d: WORD.findall(t or "") for d, t in rows}
+    for d, w in words.items():
+        for i in range(len(w) - window + 1):
+            k = tuple(w[i:i + window])
+            first[k] = min(first.get(k, d), d)
+    out = {}
+    for d, w in words.items():
+        gone = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i:i + window])] < d:
+                gone[i:i + window] = [True] * window
+        out[d] = (len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g))
+    return out
