@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -12,19 +14,28 @@ from revsift.session import configure
 
 #: Rows per Arrow batch, small enough that a batch of long texts fits a Python worker.
 BATCH_ROWS = 1000
+#: Bytes per Arrow batch: long texts make smaller batches (one row at least).
+BATCH_BYTES = "8m"
 #: Bits of the bounded membership bitmap (2 MB): it only thins rows ahead of an exact join.
 BITMAP_BITS = 1 << 24
 #: Word hashes memoised by one task before the table is emptied.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings for these operators (checkpoint folder, small Arrow batches)."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder name for stage tables, inside the checkpoint folder that all executors share."""
+    prepare(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/stages-{uuid.uuid4().hex}"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -108,17 +119,19 @@ def id_bitmap(ids: DataFrame, col: str) -> bytes:
     return bytes(out)
 
 
-def maybe_in(df: DataFrame, col: str, bitmap: bytes) -> DataFrame:
-    """Rows whose id may be in the bitmap (JVM-side test, before any Python or shuffle sees the text)."""
+def maybe_in(df: DataFrame, col: str, bitmap: bytes, inside: bool = True) -> DataFrame:
+    """Rows whose id may be in the bitmap, or (``inside`` false) those whose id is not: the two parts make the whole.
+    The test runs in the JVM, before any Python or shuffle sees the text; a null id is not in it."""
     spark = df.sparkSession
     p = F.pmod(F.xxhash64(F.col(col)), F.lit(BITMAP_BITS))
-    step = 1 << 18  # a literal per 2 Mbit keeps each expression value small
+    step = 1 << 18  # bytes per row of the broadcast table
     parts = [bitmap[i:i + step] for i in range(0, len(bitmap), step)]
     table = F.broadcast(spark.createDataFrame([(i, bytearray(x)) for i, x in enumerate(parts)], "_part int, _bits binary"))
-    at = F.floor(p / 8).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.pmod(at, F.lit(step)) + 1, F.lit(1))), 16, 10).cast("int")
-    return (df.join(table, F.floor(at / step) == F.col("_part"))
-            .where(F.getbit(byte, F.pmod(p, F.lit(8)).cast("int")) == 1).drop("_part", "_bits"))
+    at = F.shiftright(p, 3)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.pmod(at, F.lit(step)) + 1).cast("int"), F.lit(1))), 16, 10)
+    hit = F.col(col).isNotNull() & (F.getbit(byte.cast("int"), F.pmod(p, F.lit(8)).cast("int")) == 1)
+    # xxhash64 of a null is its seed: every row finds its part
+    return (df.join(table, F.floor(at / step) == F.col("_part")).where(hit if inside else ~hit).drop("_part", "_bits"))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

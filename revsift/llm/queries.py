@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from revsift.llm import common as C
 from revsift.llm.byte_bpe import bpe_decode, bpe_encode
+from revsift.llm.fingerprint import fingerprints
+from revsift.llm.html_extract import extract_main_text
 from revsift.llm.jaccard_join import jaccard_components
 from revsift.llm.language_id import language_id
+from revsift.llm.lm_scoring import lm_scores
 from revsift.llm.packing import pack
 from revsift.llm.quality_knn import quality
 from revsift.llm.quality_rules import quality_rules
@@ -20,10 +23,23 @@ def op1_language_id(spark, sf_dir):
     return language_id(C.read(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark, sf_dir):
+    return extract_main_text(C.read(spark, sf_dir, "pages"))
+
+
 def op3_jaccard_join(spark, sf_dir):
     return jaccard_components(C.read(spark, sf_dir, "documents"), "doc_id", "text", words=5, percent=75)
 
 
+def op4_lm_scoring(spark, sf_dir):
+    # 49407 is the tokenizer's own end mark, which it never gives without special tokens
+    return lm_scores(C.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=49407)
+
+
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints(C.read(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark, sf_dir):
     return quality(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "labels"))
 
@@ -50,6 +66,8 @@ def op10_quality_rules(spark, sf_dir):
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_jaccard_join, op6_quality_classifier, op7_substring_dedup, op8_byte_bpe,
-                                   op9_packing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_html_extraction, op3_jaccard_join, op4_lm_scoring, op5_fingerprints, op6_quality_classifier,
+    op7_substring_dedup, op8_byte_bpe, op9_packing, op10_quality_rules)}
+#: SQL where it can express an operator on whole tables.
 ORACLE: dict[str, str] = {}
