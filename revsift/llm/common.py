@@ -101,6 +101,12 @@ def with_text(df: DataFrame, text_col: str, *cols) -> DataFrame:
     return df.select(*cols, F.col(text_col).cast("string").cast("binary").alias("text"))
 
 
+def carried(df: DataFrame, keep) -> tuple[list, str]:
+    """Columns to carry through a mapInArrow unchanged: renamed out of the way of its own columns, and their DDL."""
+    return ([F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(keep)],
+            "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep))
+
+
 def as_table(schema: pa.Schema, **cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in schema], schema=schema)
 

@@ -10,6 +10,7 @@ Counts (words, ids) cover every training text; the attention weights are fitted
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revsift.llm import common as C
+from revsift.llm.word_ids import WordIds
 from revsift.session import cut_lineage
 
 CLASSES, DIM, WINDOW, OVERLAP = 32, 8, 16, 4
@@ -27,9 +29,9 @@ FREQUENT_PAIRS = 400_000
 #: Bounds of the sample the attention weights are fitted on, and of the fit.
 MAX_FIT_TEXTS, STEPS, BATCH = 400, 500, 128
 #: Most frequent words whose counts are broadcast; the counts of all others meet their texts in a join.
-FREQUENT_WORDS = 150_000
+FREQUENT_WORDS = 120_000
 #: Distinct words a task counts before it hands its counts on, and words it remembers while scoring.
-COUNT_WORDS, CACHE_WORDS = 300_000, 150_000
+COUNT_WORDS, CACHE_WORDS = 200_000, 100_000
 #: Hash that stands for the end of a text (no word has it but by a 2**-64 chance).
 END = -1
 MODULUS = 5
@@ -41,17 +43,11 @@ def word_key(word: bytes) -> int:
     return int(np.uint64(C.xxhash.xxh3_64_intdigest(word)).view(np.int64))
 
 
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-    t = Tokenizer.from_file(path)
-    return lambda words: [e.ids for e in t.encode_batch([w.decode("utf-8", "replace") for w in words],
-                                                        add_special_tokens=False)] if words else []
-
-
-def _flat_ids(words: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _flat_ids(words: list[bytes], ids_of: WordIds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids of all words, the id before each in its word or START, ids per word)."""
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.fromiter((i for w in words for i in w), np.int64, int(size.sum()))
+    raw = list(map(ids_of.__getitem__, words))
+    size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+    flat = np.frombuffer(b"".join(raw), "<u4").astype(np.int64)
     before = np.append(START, flat[:-1])[:len(flat)]
     before[(np.cumsum(size) - size)[size > 0]] = START
     return flat, before, size
@@ -60,14 +56,14 @@ def _flat_ids(words: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def _count(path: str, end_id: int):
     """Per task: (0, word hash, count), (1, subword id, count) and (2, pair inside a word, count) of training texts."""
     def run(batches):
-        encode, words, texts = _tokenizer(path), Counter(), 0
+        ids_of, words, texts = WordIds(path), Counter(), 0
 
         def out():
             names = list(words)
             k = np.fromiter(words.values(), np.int64, len(names))
             ids, pairs = np.zeros(0, np.int64), [(np.zeros(0, np.int64),) * 2]
             for a in range(0, len(names), 50_000):
-                flat, before, size = _flat_ids(encode(names[a:a + 50_000]))
+                flat, before, size = _flat_ids(names[a:a + 50_000], ids_of)
                 each = np.repeat(k[a:a + 50_000], size)
                 c = np.bincount(flat, each).astype(np.int64)
                 pair, at = np.unique((before << 32) | flat, return_inverse=True)
@@ -282,7 +278,7 @@ def class_log10(model: Attention, texts: list[tuple[np.ndarray, np.ndarray]], bl
 def _score(path: str, shared):
     def run(batches):
         s = shared.value
-        encode, keys, values, model = _tokenizer(path), s["keys"], s["log10"], s["model"]
+        ids_of, keys, values, model = WordIds(path), s["keys"], s["log10"], s["model"]
         kinds, cls, shares, end_id, end_in, end_base = (s[k] for k in ("kinds", "class", "shares", "end_id", "end_inside",
                                                                        "end_base"))
         as_kind, as_class, in_class, base, rare = {}, {}, {}, {}, {}
@@ -292,11 +288,11 @@ def _score(path: str, shared):
             if len(as_class) > CACHE_WORDS:
                 for d in (as_kind, as_class, in_class, base, rare):
                     d.clear()
-            fresh = list({w for ws in split for w in ws if w not in as_class})
+            fresh = list(set(chain.from_iterable(split)).difference(as_class))
             hashes = np.fromiter(map(word_key, fresh), np.int64, len(fresh))
             at = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
             known = keys[at] == hashes if len(keys) else np.zeros(len(fresh), bool)
-            ids, before, size = _flat_ids(encode(fresh))
+            ids, before, size = _flat_ids(fresh, ids_of)
             total = np.concatenate(([0.0], np.cumsum(shares.log10(ids, before))))
             edge = np.concatenate(([0], np.cumsum(size)))
             inside = (total[edge[1:]] - total[edge[:-1]]).tolist()
@@ -375,8 +371,8 @@ def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
 def _sample(path: str):
     def run(batches):
-        encode = _tokenizer(path)
+        ids_of = WordIds(path)
         for _, texts in C.text_batches(batches):
-            out = [_flat_ids(encode((t or b"").lower().split()))[0].astype(np.int32).tobytes() for t in texts]
+            out = [b"".join(map(ids_of.__getitem__, (t or b"").lower().split())) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
     return run
