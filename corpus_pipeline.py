@@ -15,41 +15,42 @@ from revsift.llm import quality_knn as QK
 from revsift.llm.jaccard_join import jaccard_components
 from revsift.llm.packing import pack
 from revsift.llm.substring_dedup import substring_dedup
+from revsift.session import cut_lineage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Least probability of the predicted language that keeps a document.
 MIN_LANGUAGE_SCORE = 0.5
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is in ``ids``.  A null id is never decided on and goes."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; its labels are those of ``labels`` outside the held-out rows."""
-    scored = QK.quality(docs, C.read(spark, sf_dir, "labels"))
-    return _kept(docs, scored.where("predicted = 1"))
+    scored = QK.quality(docs, C.read(spark, sf_dir, "labels"), keep=COLUMNS)
+    return scored.where("predicted = 1").select(*COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language the model knows with some certainty; texts without letters go."""
-    found = LI.language_id(docs)
-    return _kept(docs, found.where((F.col("lang_pred") != LI.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)))
+    found = LI.language_id(docs, keep=COLUMNS).withColumnRenamed("score", "certainty")
+    return found.where((F.col("lang_pred") != LI.UNKNOWN) & (F.col("certainty") >= MIN_LANGUAGE_SCORE)).select(*COLUMNS)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of every component of near copies."""
-    found = jaccard_components(docs, words=5, percent=75)
-    return _kept(docs.dropDuplicates(["doc_id"]), found.where("component_id = doc_id"))
+    """One document, that of the smallest id, of every component of near copies; rows with a null id stay.
+
+    Only documents that may go are shuffled: a bitmap of the ids to drop (and of repeated ids) parts the table."""
+    found = cut_lineage(jaccard_components(docs, words=5, percent=75).where("doc_id is not null"))
+    drop = found.where("component_id <> doc_id").select("doc_id").distinct()
+    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    bits = C.id_bitmap(drop.union(again), "doc_id")
+    some = C.maybe_in(docs, "doc_id", bits).join(drop, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return C.maybe_in(docs, "doc_id", bits, inside=False).select(*COLUMNS).union(some.select(*COLUMNS))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a smaller id has; a document that loses nothing keeps its text as it is."""
-    found = substring_dedup(docs, window=13).where("n_removed > 0").select("doc_id", "kept").dropDuplicates(["doc_id"])
-    text = F.when(F.col("kept").isNotNull(), F.col("kept")).otherwise(F.col("text"))
-    return (docs.join(found, "doc_id", "left").withColumn("text", text)
-            .withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS))
+    found = substring_dedup(docs, window=13, keep=COLUMNS[1:])
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    return (found.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,13 +90,13 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     kept_out = [e for i, e in enumerate(examples) if i % 5 == 0]
     learn = [e for i, e in enumerate(examples) if i % 5]
     w = fit_ftrl(learn or examples, 1 << BITS, max(1, len(langs)))
-    logits = np.array([x @ w[at] + w[-1] for at, x, _ in kept_out]).reshape(len(kept_out), -1)
+    logits = np.array([x @ w[at] + w[-1] for at, x, _ in kept_out]).reshape(len(kept_out), w.shape[1])
     t_ = fit_temperature(logits, np.array([y for _, _, y in kept_out], int)) if len(langs) > 1 else 1.0
     return {"langs": langs, "w": w.astype(np.float32), "idf": weight, "temperature": t_}
 
 
-def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, lang_pred, score``.
+def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
+    """One row per input row: ``doc_id, lang_pred, score`` and the columns named in ``keep``.
 
     A null text or one without letters (a model without languages too) gives ``und`` and 0.0; ties go to the
     alphabetically first language; repeated rows and null ids give a row each; other columns are not read; an
@@ -121,18 +121,20 @@ def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                 score = np.where(known, p[np.arange(len(p)), best], 0.0)
             else:
                 pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred), pa.array(score)],
-                                             names=["doc_id", "lang_pred", "score"])
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), *b.columns[2:]],
+                                             names=["doc_id", "lang_pred", "score", *keep])
+    extra, ddl = C.carried(df, keep)
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
+    return rows.mapInArrow(run, f"doc_id long, lang_pred string, score double{ddl}")
 
 
-def language_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` of every row, learning from rows that are not held out
+def language_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                keep=()) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` of every row and the columns named in ``keep``, learning from rows that are not held out
     (crc32 of the id as text modulo 4 is 2; a null id is never held out)."""
     C.prepare(df.sparkSession)
     held = F.coalesce(C.crc_mod(id_col, 4) == 2, F.lit(False))
     model = fit(df.where(~held), id_col, text_col, lang_col)
-    out = predict(df, model, id_col, text_col)
+    out = predict(df, model, id_col, text_col, [c for c in keep if c != "doc_id"])
     return out.select("doc_id", F.coalesce(C.crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
-                      "lang_pred", "score")
+                      "lang_pred", "score", *[c for c in keep if c != "doc_id"])

@@ -99,8 +99,8 @@ def vote(vectors: np.ndarray, model: dict) -> np.ndarray:
     return np.clip(out, 0.0, 1.0)
 
 
-def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, score, predicted``.
+def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
+    """One row per input row: ``doc_id, score, predicted`` and the columns named in ``keep``.
 
     A null or empty text has no direction and gets the share of label 1 among the labelled sample; without labels
     every score is 0.5.  Repeated rows and null ids give a row each; other columns are not read; an empty table
@@ -115,18 +115,21 @@ def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "t
             texts = b.column("text").to_pylist()
             x = np.array([CF.weighted(feats.counts(t), m["idf"]) for t in texts], np.float32)
             s = vote(place(x, texts, m["basis"]), m) if texts else np.empty(0)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64())], names=["doc_id", "score"])
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return (rows.mapInArrow(run, "doc_id long, score double")
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64()), *b.columns[2:]],
+                                             names=["doc_id", "score", *keep])
+    extra, ddl = C.carried(df, keep)
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
+    return (rows.mapInArrow(run, f"doc_id long, score double{ddl}")
             .withColumn("predicted", F.when(F.col("score") >= ACCEPT, 1).otherwise(0)))
 
 
-def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row; labels are learned only from rows that are not held out
+def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row and the columns named in ``keep``; labels are learned only from rows that are not held out
     (crc32 of the id as text modulo 4 is 2)."""
     C.prepare(df.sparkSession)
     held = F.coalesce(C.crc_mod(id_col, 4) == 2, F.lit(False))
     model = fit(df.where(~held), labels, df, id_col, text_col)
-    return (score(df, model, id_col, text_col)
+    keep = [c for c in keep if c != "doc_id"]
+    return (score(df, model, id_col, text_col, keep)
             .select("doc_id", F.coalesce(C.crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
-                    "score", "predicted"))
+                    "score", "predicted", *keep))

@@ -175,50 +175,47 @@ def _emit_windows(window: int):
     return run
 
 
-_KEPT = pa.schema([("doc_id", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("n_words", pa.int64()),
-                   ("n_removed", pa.int64()), ("kept", pa.binary())])
-_KEPT_DDL = "doc_id long, s1 long, s2 long, n_words long, n_removed long, kept binary"
-
-
-def _strip(window: int, digest: bool):
+def _strip(window: int, digest: bool, keep):
     def run(batches):
         for b, texts in C.text_batches(batches):
             words, removed, kept = [], [], []
-            for t, at in zip(texts, b.column("starts")):
+            for t, at, copy in zip(texts, b.column("starts"), b.column("copy").to_pylist()):
                 w = t.split() if t else []
-                if at.is_valid and len(w):
+                words.append(len(w))
+                if copy and len(w) >= window:
+                    w = []
+                elif at.is_valid and len(w):
                     edge = np.zeros(len(w) + 1, np.int64)
                     starts = at.values.to_numpy()
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + window, -1)
-                    stay = np.cumsum(edge[:-1]) == 0
-                    words.append(len(w))
-                    removed.append(len(w) - int(stay.sum()))
-                    w = [x for x, k in zip(w, stay.tolist()) if k]
-                else:
-                    words.append(len(w))
-                    removed.append(0)
+                    w = [x for x, gone in zip(w, np.cumsum(edge[:-1]).tolist()) if not gone]
+                removed.append(words[-1] - len(w))
                 text = b" ".join(w)
-                kept.append(hashlib.sha256(text).hexdigest().encode() if digest else text)
-            yield C.as_table(_KEPT, doc_id=b.column("doc_id"), s1=b.column("s1"), s2=b.column("s2"), n_words=words,
-                             n_removed=removed, kept=kept)
+                kept.append(hashlib.sha256(text).hexdigest() if digest else text.decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(words, pa.int64()), pa.array(removed, pa.int64()),
+                 pa.array(kept, pa.string()), *b.columns[4:]], names=["doc_id", "n_words", "n_removed", "kept", *keep])
     return run
 
 
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13,
-                    digest: bool = False) -> DataFrame:
+                    digest: bool = False, keep=()) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_removed, kept`` (the kept words joined by one space; with
-    ``digest`` the lowercase hex SHA-256 of that).
+    ``digest`` the lowercase hex SHA-256 of that) and the columns named in ``keep``.
 
     A word goes if a window of ``window`` words covers it whose words also start in a document with a smaller id.
     Words are compared unchanged.  Null, empty and short texts lose nothing; rows with a null id lose nothing and
     make nobody else lose words; rows that repeat an id with equal text are no smaller document for each other; other
     columns are not read; an empty table gives an empty result."""
     C.prepare(df.sparkSession)
-    docs = (C.with_text(df, text_col, F.col(id_col).cast("long").alias("doc_id"))
+    extra, ddl = C.carried(df, keep)
+    full = (C.with_text(df, text_col, F.col(id_col).cast("long").alias("doc_id"), *extra)
             .withColumn("s1", F.coalesce(F.xxhash64("text"), F.lit(0)))
             .withColumn("s2", F.coalesce(F.xxhash64(F.lit(1), "text"), F.lit(0))))
-    classes = cut_lineage(docs.where("doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
+    docs = full.select("doc_id", "text", "s1", "s2")
+    ids = docs.where("doc_id is not null").select("doc_id", "s1", "s2")
+    classes = cut_lineage(ids.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")))
 
     # anchors that at least two texts share
     e = (docs.where("doc_id is not null").select("s1", "text")
@@ -236,14 +233,14 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     starts = cut_lineage(windows.withColumn("least", F.min("doc_id").over(first)).where("least < doc_id")
                          .groupBy("doc_id", "s1").agg(F.collect_set("at").alias("starts")))
 
-    touched = C.id_bitmap(starts, "doc_id")
-    hit = C.maybe_in(docs, "doc_id", touched).join(starts, ["doc_id", "s1"], "left")
-    rest = C.maybe_in(docs, "doc_id", touched, inside=False).withColumn("starts", F.lit(None).cast("array<int>"))
-    cols = ["doc_id", "s1", "s2", "text", "starts"]
-    kept = hit.select(*cols).union(rest.select(*cols)).mapInArrow(_strip(window, digest), _KEPT_DDL)
-    # a later copy of a whole text loses every word, if it has a window at all
-    copy = (F.col("rep") < F.col("doc_id")) & (F.col("n_words") >= window)
-    none = F.lit(hashlib.sha256(b"").hexdigest() if digest else "").cast("binary")
-    return (kept.join(classes, ["s1", "s2"], "left")
-            .select("doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
-                    F.when(copy, none).otherwise(F.col("kept")).cast("string").alias("kept")))
+    # later copies of a whole text lose every word, if they have a window at all
+    copies = (ids.join(classes.where("size > 1"), ["s1", "s2"]).where("rep < doc_id")
+              .select("doc_id", "s1", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy")).distinct())
+    found = cut_lineage(starts.withColumn("copy", F.lit(False)).union(copies))
+    touched = C.id_bitmap(found, "doc_id")
+    hit = C.maybe_in(full, "doc_id", touched).join(found, ["doc_id", "s1"], "left")
+    rest = (C.maybe_in(full, "doc_id", touched, inside=False)
+            .withColumn("starts", F.lit(None).cast("array<int>")).withColumn("copy", F.lit(False)))
+    cols = ["doc_id", "text", "starts", "copy", *(f"_keep_{i}" for i in range(len(keep)))]
+    return (hit.select(*cols).union(rest.select(*cols))
+            .mapInArrow(_strip(window, digest, list(keep)), f"doc_id long, n_words long, n_removed long, kept string{ddl}"))
