@@ -56,3 +56,34 @@ def substring_dedup(rows, window=13):
                 gone[i:i + window] = [True] * window
         out[d] = (len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g))
     return out
+
+
+def quality_base(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)"""
+    text = text or ""
+    w = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    grams = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+    inside = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)} if len(w) < 400 else _inside(grams)
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(inside),
+            len(w) < 50 or 100 * len(inside) > 50 * len(w))
+
+
+def _inside(grams):
+    from collections import Counter
+    c = Counter(grams)
+    return {i + k for i, g in enumerate(grams) if c[g] > 1 for k in range(3)}
+
+
+def coverage(w):
+    """(words in repeated 3-grams, per n = 2..10 the characters in later occurrences of repeated n-grams)"""
+    chars = []
+    for n in range(2, 11):
+        seen, inside = set(), set()
+        for i in range(len(w) - n + 1):
+            g = tuple(w[i:i + n])
+            if g in seen:
+                inside.update(range(i, i + n))
+            seen.add(g)
+        chars.append(sum(len(w[i]) for i in inside))
+    return len(_inside([tuple(w[i:i + 3]) for i in range(len(w) - 2)])), chars
