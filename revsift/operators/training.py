@@ -5,7 +5,8 @@
   each bucket's offset, and the row number is taken only inside a bucket -
   so a class holding a third of all rows is spread over many tasks;
 * stratified split with exact per-class quotas;
-* SMOTE with an exact within-class nearest neighbour (:func:`nearest_neighbours`);
+* SMOTE on a bounded, documented number of rows per class, with an exact
+  within-class nearest neighbour (:func:`nearest_neighbours`);
 * balanced class weights, Spark ML random forest, feature importances,
   k-fold cross-validation.
 """
@@ -15,7 +16,6 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +25,9 @@ from ..session import cut_lineage
 from ..sources.readers import hash_rank
 
 TARGET_BUCKET_ROWS = 50_000
+# Rows per class that a classifier is fitted on (SMOTE, forest): the one bound
+# on labelled rows; drawn by a seeded hash rank, so any partitioning gives the same.
+MAX_FIT_ROWS_PER_CLASS = 20_000
 
 
 def drop_abstain(df: DataFrame, label_col: str = "weak_label") -> DataFrame:
@@ -47,14 +50,16 @@ def exact_rank(df: DataFrame, part_col: str, order_col: str, tie_col: str, bucke
     ``order_col``.  Windows only ever span one (class, bucket)."""
     counts = df.groupBy(part_col, bucket_col).agg(F.count(F.lit(1)).alias("_bn"))
     w = Window.partitionBy(part_col).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(part_col, bucket_col, F.coalesce(F.sum("_bn").over(w), F.lit(0)).alias("_off"))
+    offsets = counts.select(F.col(part_col).alias("_op"), F.col(bucket_col).alias("_ob"),
+                            F.coalesce(F.sum("_bn").over(w), F.lit(0)).alias("_off"))
     inner = Window.partitionBy(part_col, bucket_col).orderBy(order_col, tie_col)
-    return (df.join(offsets, [part_col, bucket_col])
-            .withColumn("_rank", F.col("_off") + F.row_number().over(inner)).drop("_off"))
+    same = F.col(part_col).eqNullSafe(F.col("_op")) & F.col(bucket_col).eqNullSafe(F.col("_ob"))  # a null class is a class
+    return (df.join(offsets, same).withColumn("_rank", F.col("_off") + F.row_number().over(inner))
+            .drop("_off", "_op", "_ob"))
 
 
 def _n_buckets(n: int) -> int:
-    return int(min(1 << 16, max(1, math.ceil(n / TARGET_BUCKET_ROWS))))
+    return max(1, math.ceil(n / TARGET_BUCKET_ROWS))
 
 
 def class_sizes(df: DataFrame, label_col: str) -> dict:
@@ -65,7 +70,8 @@ def class_sizes(df: DataFrame, label_col: str) -> dict:
 def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float = 0.2, seed: int = 42,
                      split_col: str = "split") -> DataFrame:
     """Exactly ``ceil(test_size * n_class)`` rows of each class go to
-    ``test``, chosen by a seeded hash rank (independent of partitioning)."""
+    ``test``, chosen by a seeded hash rank (independent of partitioning).
+    Rows without a label count as one more class."""
     sizes = class_sizes(df, label_col)
     n = sum(sizes.values())
     B = _n_buckets(n)
@@ -73,9 +79,11 @@ def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float =
     d = df.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
     d = d.withColumn("_tie", F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols]))
     ranked = exact_rank(d, label_col, "_u", "_tie", "_b")
-    quota = F.create_map(*[x for c, m in sizes.items() for x in (F.lit(c), F.lit(int(math.ceil(test_size * m))))])
-    return (ranked.withColumn(split_col, F.when(F.col("_rank") <= quota[F.col(label_col)], "test")
-                              .otherwise("train"))
+    quota = F.lit(0)
+    for c, m in sizes.items():  # one branch per class
+        same = F.col(label_col).isNull() if c is None else F.col(label_col) == F.lit(c)
+        quota = F.when(same, F.lit(int(math.ceil(test_size * m)))).otherwise(quota)
+    return (ranked.withColumn(split_col, F.when(F.col("_rank") <= quota, "test").otherwise("train"))
             .drop("_u", "_b", "_tie", "_rank"))
 
 
@@ -90,162 +98,117 @@ def class_weights(df: DataFrame, label_col: str, weight_col: str = "class_weight
 # ------------------------------------------------------------------ nearest neighbours and SMOTE
 
 
+def bounded_per_class(df: DataFrame, label_col: str, key_col: str, max_rows: int = MAX_FIT_ROWS_PER_CLASS,
+                      seed: int = 42) -> DataFrame:
+    """At most ``max_rows`` rows of each class, those of the lowest seeded hash rank; adds ``_rank`` (from 1)."""
+    B = _n_buckets(sum(class_sizes(df, label_col).values()))
+    d = (df.withColumn("_u", hash_rank([key_col], seed)).withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
+         .withColumn("_tie", F.col(key_col).cast("string")))
+    return exact_rank(d, label_col, "_u", "_tie", "_b").where(F.col("_rank") <= max_rows).drop("_u", "_b", "_tie")
+
+
 def nearest_neighbours(df: DataFrame, label_col: str, key_col: str, feat_col: str = "features",
-                       rows_per_block: int = 64) -> DataFrame:
+                       max_rows_per_class: int = MAX_FIT_ROWS_PER_CLASS, block_rows: int = 1000) -> DataFrame:
     """Exact nearest same-class neighbour (Euclidean) of every row:
-    ``(key, nn_key, nn_dist2)``; ties go to the smaller key.
-
-    1. project on the highest-variance feature ``p`` (``|p_x - p_y| <= d(x, y)``);
-    2. rank rows by ``p`` inside each class (:func:`exact_rank`) and cut the
-       ranks into blocks of ``rows_per_block`` rows;
-    3. search blocks ``[b - w, b + w]`` around a row's block and keep the
-       best candidate at distance ``r``; the answer is certified exact once
-       every point outside the searched blocks is provably farther than
-       ``r`` (``p`` gap > ``r``).  Uncertified rows repeat with ``w``
-       doubled, so the search stops at the narrowest exact band - no cap on
-       candidates, and no row is ever compared with a whole class.
-    """
-    dim = len(df.select(feat_col).first()[0])
-    var = df.agg(*[F.var_pop(F.col(feat_col)[i]).alias(f"v{i}") for i in range(dim)]).first()
-    # unit direction weighted by each feature's spread: |p_x - p_y| <= ||x - y|| still holds,
-    # and ties in p need ties in every spread-out feature, not just one coordinate
-    std = [math.sqrt(max(var[i] or 0.0, 0.0)) for i in range(dim)]
-    norm = math.sqrt(sum(v * v for v in std))
-    wvec = [v / norm for v in std] if norm > 0 else [1.0] + [0.0] * (dim - 1)
-    w_lit = F.array(*[F.lit(float(v)) for v in wvec])
-    proj = F.aggregate(F.zip_with(F.col(feat_col), w_lit, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    d = df.select(label_col, key_col, feat_col, proj.alias("_p"))
-    n = sum(class_sizes(d, label_col).values())
-    nb = _n_buckets(n)
-    splits = sorted(set(d.approxQuantile("_p", [i / nb for i in range(1, nb)], 0.001))) if nb > 1 else []
-    if splits:
-        d = Bucketizer(splits=[-math.inf] + splits + [math.inf], inputCol="_p", outputCol="_qb",
-                       handleInvalid="keep").transform(d)
-    else:
-        d = d.withColumn("_qb", F.lit(0.0))
-    ranked = exact_rank(d.withColumn("_tie", F.col(key_col).cast("string")), label_col, "_p", "_tie", "_qb")
-    ranked = ranked.withColumn("_blk", F.floor((F.col("_rank") - 1) / rows_per_block).cast("long"))
-    ranked = cut_lineage(ranked)   # reused by every widening round
-    blocks = ranked.groupBy(label_col, "_blk").agg(F.min("_p").alias("_pmin"), F.max("_p").alias("_pmax"))
-    n_blocks = blocks.groupBy(label_col).agg(F.max("_blk").alias("_maxblk"))
-    pts = ranked.select(label_col, F.col(key_col).alias("_k"), F.col(feat_col).alias("_x"), "_p", "_blk")
-    key_type = df.schema[key_col].dataType.simpleString()
-    pending = None                 # None = every row still to resolve
-    pending_blocks = None
-    pending_blocks_small = True
-    found = []
-    w = 1
-    while True:
-        # every point is a candidate for the query blocks within w of its own block
-        cand = pts.withColumn("_q", F.explode(F.sequence(F.col("_blk") - w, F.col("_blk") + w)))
-        if pending_blocks is not None:
-            cand = cand.join(F.broadcast(pending_blocks) if pending_blocks_small else pending_blocks,
-                             [label_col, "_q"])
-        best = cand.groupBy(label_col, "_q").applyInPandas(
-            _block_nearest, f"_k {key_type}, _m_d2 double, _m_k2 {key_type}")
-        lo = blocks.select(label_col, (F.col("_blk") + w).alias("_blk"), F.col("_pmin").alias("_lo"))
-        hi = blocks.select(label_col, (F.col("_blk") - w).alias("_blk"), F.col("_pmax").alias("_hi"))
-        src = pts if pending is None else pending
-        res = (src.join(best, "_k", "left").join(lo, [label_col, "_blk"], "left")
-               .join(hi, [label_col, "_blk"], "left").join(F.broadcast(n_blocks), label_col))
-        # a hair of slack keeps the bound safe against rounding in p and d
-        r = F.sqrt(F.col("_m_d2")) * (1 + 1e-9) + 1e-12
-        # no block b-w (b+w) means nothing lies below (above) the searched band
-        lo_ok = F.col("_lo").isNull() | (F.col("_p") - r > F.col("_lo"))
-        hi_ok = F.col("_hi").isNull() | (F.col("_p") + r < F.col("_hi"))
-        everything = (F.col("_blk") - w <= 0) & (F.col("_blk") + w >= F.col("_maxblk"))
-        certified = F.col("_m_d2").isNotNull() & ((lo_ok & hi_ok) | everything)
-        res = cut_lineage(res.withColumn("_ok", certified).withColumn("_all", everything))
-        found.append(res.where("_ok").select(F.col("_k").alias(key_col), F.col("_m_k2").alias("nn_key"),
-                                            F.col("_m_d2").alias("nn_dist2")))
-        pending = res.where(~F.col("_ok") & ~F.col("_all")).select(label_col, "_k", "_x", "_p", "_blk")
-        n_pending = pending.count()
-        if n_pending == 0:
-            break
-        pending_blocks = pending.select(label_col, F.col("_blk").alias("_q")).distinct()
-        pending_blocks_small = n_pending <= 100_000
-        w *= 2
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _block_nearest(pdf):
-    """One (class, query block) group: queries are the rows of the block
-    itself, candidates every row in the group (at most (2w+1) blocks);
-    exact squared distances, ties to the smaller key."""
+    ``(key, nn_key, nn_dist2)``; ties go to the smaller key.  Any key type.
+
+    For the bounded classes a classifier is fitted on: a class above
+    ``max_rows_per_class`` raises (:func:`bounded_per_class` draws one that
+    fits).  The rows of a class are packed into blocks of ``block_rows``; each
+    (query block, candidate block) pair is one row for numpy, so no task ever
+    holds more than two blocks, and a class makes at most
+    ``(max_rows_per_class / block_rows)**2`` pairs."""
+    sizes = class_sizes(df, label_col)
+    if sizes and max(sizes.values()) > max_rows_per_class:
+        raise ValueError(f"a class has more than {max_rows_per_class} rows; draw a bounded sample first")
+    w = Window.partitionBy(label_col).orderBy(key_col)
+    rows = cut_lineage(df.where(F.col(label_col).isNotNull()).select(
+        F.col(label_col).alias("_c"), F.col(key_col).alias("_k"), F.col(feat_col).cast("array<double>").alias("_x"),
+        (F.row_number().over(w) - 1).alias("_i")))
+    packs = rows.groupBy("_c", F.floor(F.col("_i") / block_rows).alias("_g")).agg(
+        F.sort_array(F.collect_list(F.struct("_i", "_x"))).alias("_p"))
+    pairs = packs.select("_c", F.col("_p._i").alias("qi"), F.flatten("_p._x").alias("qx")).join(
+        packs.select("_c", F.col("_p._i").alias("ci"), F.flatten("_p._x").alias("cx")), "_c")
+    kind = df.schema[label_col].dataType.simpleString()
+    best = (pairs.mapInArrow(_block_nearest, f"_c {kind}, _i long, _d2 double, _j long")
+            .groupBy("_c", "_i").agg(F.min(F.struct("_d2", "_j")).alias("_b")))
+    near = rows.select("_c", F.col("_i").alias("_j"), F.col("_k").alias("nn_key"))
+    return (rows.select("_c", "_i", F.col("_k").alias(key_col))
+            .join(best.select("_c", "_i", F.col("_b._d2").alias("nn_dist2"), F.col("_b._j").alias("_j")), ["_c", "_i"], "left")
+            .join(near, ["_c", "_j"], "left").select(key_col, "nn_key", "nn_dist2"))
+
+
+def _block_nearest(batches, step: int = 32):
+    """Best candidate of each query in one pair of blocks: exact squared
+    distances in slices of ``step`` queries, ties to the lower position."""
     import numpy as np
-    import pandas as pd
-    q = pdf["_q"].iloc[0]
-    X = np.stack(pdf["_x"].to_numpy())
-    keys = pdf["_k"].to_numpy()
-    is_q = pdf["_blk"].to_numpy() == q
-    Q, qk = X[is_q], keys[is_q]
-    if len(Q) == 0 or len(X) < 2:
-        return pd.DataFrame({"_k": qk, "_m_d2": [None] * len(qk), "_m_k2": [None] * len(qk)})
-    D = ((Q[:, None, :] - X[None, :, :]) ** 2).sum(axis=2)
-    D[qk[:, None] == keys[None, :]] = np.inf
-    kk = np.broadcast_to(keys, D.shape)
-    j = np.lexsort((kk, D), axis=1)[:, 0]
-    rows = np.arange(len(Q))
-    dmin = D[rows, j]
-    ok = np.isfinite(dmin)
-    return pd.DataFrame({"_k": qk, "_m_d2": np.where(ok, dmin, np.nan),
-                         "_m_k2": pd.Series(keys[j]).astype("Int64").where(ok)})
-
-
-def smote_oversample(df: DataFrame, label_col: str, key_col: str, feat_col: str = "features",
-                     seed: int = 42) -> DataFrame:
+    import pyarrow as pa
+    for b in batches:
+        for r in range(b.num_rows):
+            qi, ci = (np.asarray(b.column(n)[r].values) for n in ("qi", "ci"))
+            q = np.asarray(b.column("qx")[r].values).reshape(len(qi), -1)
+            c = np.asarray(b.column("cx")[r].values).reshape(len(ci), -1)
+            d2, at = np.empty(len(qi)), np.empty(len(qi), np.int64)
+            for a in range(0, len(qi), step):
+                d = ((q[a:a + step, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+                d[qi[a:a + step, None] == ci[None, :]] = np.inf
+                at[a:a + step] = d.argmin(axis=1)
+                d2[a:a + step] = d.min(axis=1)
+            ok = np.isfinite(d2)
+            label = pa.array([b.column("_c")[r].as_py()] * int(ok.sum()), b.column("_c").type)
+            yield pa.RecordBatch.from_arrays([label, pa.array(qi[ok].astype(np.int64)), pa.array(d2[ok]),
+                                              pa.array(ci[at[ok]].astype(np.int64))], names=["_c", "_i", "_d2", "_j"])
+
+
+def smote_oversample(df: DataFrame, label_col: str, key_col: str, feat_col: str = "features", seed: int = 42,
+                     max_rows_per_class: int = MAX_FIT_ROWS_PER_CLASS) -> DataFrame:
     """Raise every class to the majority size with synthetic rows
     ``x + u * (nn(x) - x)`` (Chawla et al., 2002, one neighbour).
 
-    Synthetic row ``s`` of class ``c`` uses the base row of rank
-    ``s mod n_c`` (rows ranked by a seeded hash) and a hash-derived gap
-    ``u`` in [0, 1).  Synthetic ids come from a distributed ``range`` and
-    meet their base rows through an equi-join on (class, rank); a base row
-    reused many times is a skewed key that AQE splits.  Output keeps the
-    original rows (``synthetic = false``) plus the new ones."""
+    Works on at most ``max_rows_per_class`` rows of each class (lowest seeded
+    hash rank), the documented bound of the classifier's fit.  Synthetic row
+    ``s`` of class ``c`` uses the base row of rank ``s mod n_c`` and a
+    hash-derived gap ``u`` in [0, 1).  Output keeps the bounded rows
+    (``synthetic`` false, ``synthetic_id`` null, their key of any type) plus
+    the new ones (null key, ``synthetic_id`` from 0).  A null label, or a
+    minority class of one row, raises."""
     spark = df.sparkSession
-    sizes = class_sizes(df, label_col)
+    rows = cut_lineage(bounded_per_class(df.select(label_col, key_col, F.col(feat_col).cast("array<double>").alias(feat_col)),
+                                         label_col, key_col, max_rows_per_class, seed))
+    sizes = class_sizes(rows, label_col)
+    base = rows.select(label_col, key_col, feat_col, F.lit(False).alias("synthetic"),
+                       F.lit(None).cast("long").alias("synthetic_id"))
     if not sizes:
-        return df.withColumn("synthetic", F.lit(False))
+        return base
+    if None in sizes:
+        raise ValueError(f"{label_col} has null labels")
     n_max = max(sizes.values())
-    need = {c: n_max - m for c, m in sizes.items() if n_max > m and m >= 2}
-    base = df.select(label_col, key_col, feat_col).withColumn("synthetic", F.lit(False))
+    need = {c: n_max - m for c, m in sizes.items() if n_max > m}
+    lone = sorted(str(c) for c in need if sizes[c] < 2)
+    if lone:
+        raise ValueError(f"classes of one row have no neighbour: {', '.join(lone)}")
     if not need:
         return base
-    minority = df.where(F.col(label_col).isin(list(need)))
-    nn = nearest_neighbours(minority, label_col, key_col, feat_col)
-    n = sum(sizes[c] for c in need)
-    B = _n_buckets(n)
-    u = hash_rank([key_col], seed)
-    d = (minority.select(label_col, key_col, feat_col).withColumn("_u", u)
-         .withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
-         .withColumn("_tie", F.col(key_col).cast("string")))
-    ranked = exact_rank(d, label_col, "_u", "_tie", "_b").select(label_col, key_col, feat_col,
-                                                                  (F.col("_rank") - 1).alias("_r0"))
+    minority = rows.where(F.col(label_col).isin(list(need)))
+    nn = nearest_neighbours(minority, label_col, key_col, feat_col, max_rows_per_class)
     feats = minority.select(F.col(key_col).alias("nn_key"), F.col(feat_col).alias("_nnx"))
-    ranked = ranked.join(nn, key_col).join(feats, "nn_key")
-    offsets, acc = [], 0
+    ranked = (minority.withColumn("_r0", F.col("_rank") - 1).drop("_rank").join(nn, key_col).join(feats, "nn_key"))
+    plan, acc = [], 0
     for c in sorted(need):
-        offsets.append((c, acc, need[c], sizes[c]))
+        plan.append((c, acc, need[c], sizes[c]))
         acc += need[c]
-    plan = spark.createDataFrame(offsets, f"{label_col} int, _start long, _need long, _nc long")
-    ids = spark.range(acc).select(F.col("id").alias("_sid"))
-    # map each synthetic id to its class: k classes -> a short CASE chain
-    cls = F.lit(None).cast("int")
-    for c, start, cnt, _ in reversed(offsets):
-        cls = F.when((F.col("_sid") >= start) & (F.col("_sid") < start + cnt), F.lit(int(c))).otherwise(cls)
-    syn = ids.withColumn(label_col, cls).join(F.broadcast(plan), label_col)
-    syn = syn.select(label_col, "_sid", ((F.col("_sid") - F.col("_start")) % F.col("_nc")).alias("_r0"))
+    kind = df.schema[label_col].dataType.simpleString()
+    plan = spark.createDataFrame(plan, f"`{label_col}` {kind}, _start long, _need long, _nc long")
+    # one row per class, spread over its synthetic ids
+    syn = (F.broadcast(plan).select(label_col, "_nc", "_start", F.explode(F.sequence(F.lit(0), F.col("_need") - 1)).alias("_s"))
+           .select(label_col, (F.col("_start") + F.col("_s")).alias("_sid"), (F.col("_s") % F.col("_nc")).alias("_r0")))
     gap = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:gap:"), F.col("_sid").cast("string"))), 1, 8), 16, 10) \
         .cast("bigint") / F.lit(4294967296.0)
-    out = syn.join(ranked, [label_col, "_r0"]).select(
-        label_col, (F.lit(-1) - F.col("_sid")).cast("long").alias(key_col),
-        F.zip_with(F.col(feat_col), F.col("_nnx"), lambda a, b: a + gap * (b - a)).alias(feat_col),
-        F.lit(True).alias("synthetic"))
-    return base.unionByName(out.withColumn(key_col, F.col(key_col).cast(base.schema[key_col].dataType)))
+    out = syn.join(ranked, [label_col, "_r0"]).withColumn("_gap", gap).select(
+        label_col, F.lit(None).cast(df.schema[key_col].dataType).alias(key_col),
+        F.zip_with(F.col(feat_col), F.col("_nnx"), lambda a, b: a + F.col("_gap") * (b - a)).alias(feat_col),
+        F.lit(True).alias("synthetic"), F.col("_sid").cast("long").alias("synthetic_id"))
+    return base.unionByName(out)
 
 # ------------------------------------------------------------------ forest
 
@@ -291,17 +254,20 @@ def feature_importance(spark, model, names, top: int = 10) -> DataFrame:
                                                                                     "feature").limit(top)
 
 
-def cross_validate(df: DataFrame, label_col: str, key_col: str, folds: int = 3, seed: int = 42,
+def cross_validate(df: DataFrame, label_col: str, key_cols, folds: int = 3, seed: int = 42,
                    **forest_kw) -> DataFrame:
     """Stratified k-fold accuracy: fold = hash-rank position mod k within
     each class (exact, partition independent); one forest per fold.
     Returns per-fold accuracy plus mean and population std rows."""
     spark = df.sparkSession
+    keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     sizes = class_sizes(df, label_col)
     B = _n_buckets(sum(sizes.values()))
-    d = (df.withColumn("_u", hash_rank([key_col], seed)).withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
-         .withColumn("_tie", F.col(key_col).cast("string")))
-    d = exact_rank(d, label_col, "_u", "_tie", "_b").withColumn("_fold", ((F.col("_rank") - 1) % folds).cast("int"))
+    tie = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in keys])
+    d = df.withColumn("_tie", tie)
+    d = d.withColumn("_u", hash_rank(["_tie"], seed)).withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
+    d = cut_lineage(exact_rank(d, label_col, "_u", "_tie", "_b")   # ranked once, read by every fold
+                    .withColumn("_fold", ((F.col("_rank") - 1) % folds).cast("int")))
     rows = []
     for f in range(folds):
         tr, te = d.where(F.col("_fold") != f), d.where(F.col("_fold") == f)

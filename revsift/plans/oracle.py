@@ -45,18 +45,8 @@ def sql_split_wc(x: str) -> str:
 # ------------------------------------------------------------------ fixtures
 
 
-def _text_case() -> str:
-    parts = []
-    for i, p in enumerate(FX.PHRASES):
-        if p is None:
-            continue
-        if p == "DOC":
-            val = "text"
-        elif i in FX.APPEND_DOC_SLOTS:
-            val = f"CASE WHEN doc_id % 40 >= 20 THEN {lit(p + ' ')} || text ELSE {lit(p)} END"
-        else:
-            val = lit(p)
-        parts.append(f"WHEN {i} THEN {val}")
+def _phrase_case() -> str:
+    parts = [f"WHEN {i} THEN {lit(p)}" for i, p in enumerate(FX.PHRASES) if p is not None]
     return "CASE doc_id % 20 " + " ".join(parts) + " ELSE NULL END"
 
 
@@ -69,14 +59,19 @@ fx_base AS (
          CAST({FX.BASE_TIME_MS} + doc_id * {FX.HOUR_MS} AS BIGINT) AS time,
          CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 41 = 0 THEN 7.0
               ELSE CAST(1 + (doc_id // 3) % 5 AS DOUBLE) END AS rating,
-         {_text_case()} AS text,
+         {_phrase_case()} AS phrase,
+         CASE WHEN {_phrase_case()} IS NULL THEN text ELSE {_phrase_case()} || ' ' || text END AS text,
          CASE WHEN doc_id % 11 = 0 THEN NULL
               ELSE 'o''neil user-' || CAST(doc_id % {FX.N_USERS} AS VARCHAR) END AS name,
          CASE WHEN doc_id % 3 = 0 THEN doc_id % 4 END AS n_pics,
          (doc_id % 6 = 0) AS resp_present
   FROM documents),
 fx_reviews AS (
-  SELECT * FROM fx_base
+  SELECT * EXCLUDE (phrase) FROM fx_base
+  UNION ALL
+  SELECT ingest_seq + {FX.SHORT_OFFSET}, user_id, gmap_id, time + {FX.SHORT_DELAY_MS}, rating, phrase, name, n_pics,
+         resp_present
+  FROM fx_base WHERE ingest_seq % {FX.SHORT_EVERY} = {FX.SHORT_SLOT}
   UNION ALL
   SELECT ingest_seq + {FX.EXACT_COPY_OFFSET}, user_id, gmap_id, time, rating, text, name, n_pics, resp_present
   FROM fx_base WHERE ingest_seq % 10 = 4
@@ -159,7 +154,7 @@ nonempty0 AS (
   SELECT * REPLACE (CASE WHEN text_clean IN ('NA', 'NULL', 'NaN', 'None', 'nan', 'null') THEN ''
                          ELSE coalesce(text_clean, '') END AS text_clean)
   FROM cleaned),
-nonempty AS (SELECT * FROM nonempty0 WHERE trim(text_clean) <> '')"""
+nonempty AS MATERIALIZED (SELECT * FROM nonempty0 WHERE trim(text_clean) <> '')"""
 
 
 CLEANED_CHECK_COLUMNS = [
@@ -256,7 +251,7 @@ lf_ctx3 AS (
   FROM lf_ctx2),
 lf_ctx AS (SELECT *, len(ftok) AS ftot, len(list_filter(ftok, lambda x: list_contains(dom, x))) AS fhits FROM lf_ctx3),
 lf_votes AS (SELECT *, {vote_cols} FROM lf_ctx),
-lf_arr AS (SELECT *, [{", ".join(DEFAULT_LFS)}] AS votes FROM lf_votes)"""
+lf_arr AS MATERIALIZED (SELECT *, [{", ".join(DEFAULT_LFS)}] AS votes FROM lf_votes)"""
 
 
 def labeled_ctes() -> str:
@@ -273,7 +268,7 @@ def sql_lf_summary() -> str:
   count(*) FILTER (WHERE {n} <> -1 AND n_labels > 1) / count(*) AS conflicts
 FROM lf_rc""")
     return with_ctes(labeled_ctes() + """,
-lf_rc AS (SELECT *, len(list_filter(votes, lambda x: x <> -1)) AS n_votes,
+lf_rc AS MATERIALIZED (SELECT *, len(list_filter(votes, lambda x: x <> -1)) AS n_votes,
                  len(list_distinct(list_filter(votes, lambda x: x <> -1))) AS n_labels FROM lf_arr)""",
                      "\nUNION ALL\n".join(parts))
 

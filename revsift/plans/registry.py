@@ -699,10 +699,37 @@ def q_nn(spark, sf):
     return TR.nearest_neighbours(_embeddings(spark, sf), "label", "vec_id")
 
 
-@register("smote_oversample")
+@register("smote_oversample", O.with_ctes(f"""
+e AS (SELECT vec_id, CAST(label AS INTEGER) AS label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+p AS (SELECT a.vec_id, b.vec_id AS nn_key,
+             list_reduce(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])),
+                         lambda s, v: s + v) AS d2
+      FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+nn AS (SELECT vec_id, arg_min(nn_key, (d2, nn_key)) AS nn_key FROM p GROUP BY vec_id),
+ranked AS (SELECT label, vec_id, x, count(*) OVER (PARTITION BY label) AS nc,
+                  row_number() OVER (PARTITION BY label ORDER BY {_MD5U.format(k='vec_id')}, CAST(vec_id AS VARCHAR)) - 1 AS r0
+           FROM e),
+cls AS (SELECT label, count(*) AS nc FROM e GROUP BY label),
+need AS (SELECT label, nc, (SELECT max(nc) FROM cls) - nc AS n FROM cls),
+plan AS (SELECT *, CAST(coalesce(sum(n) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
+                   AS start FROM need),
+ids AS (SELECT label, nc, start + i AS sid, i % nc AS r0 FROM (SELECT *, unnest(range(n)) AS i FROM plan)),
+syn AS (SELECT i.label, i.sid, r.x AS a, f.x AS b,
+               CAST(('0x' || substr(md5('42:gap:' || CAST(i.sid AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0 AS gap
+        FROM ids i JOIN ranked r ON r.label = i.label AND r.r0 = i.r0 JOIN nn ON nn.vec_id = r.vec_id
+        JOIN e f ON f.vec_id = nn.nn_key),
+vec AS (SELECT label, CAST(NULL AS BIGINT) AS vec_id, sid AS synthetic_id,
+               list_transform(list_zip(a, b), lambda z: z[1] + gap * (z[2] - z[1])) AS x FROM syn
+        UNION ALL SELECT label, vec_id, NULL, x FROM e)""", """
+SELECT label, vec_id, synthetic_id, synthetic_id IS NOT NULL AS synthetic, x[1] AS x_first, x[len(x)] AS x_last,
+       list_sum(list_transform(x, lambda v, i: v * i)) AS x_weighted FROM vec"""))
 def q_smote(spark, sf):
-    """SMOTE on the embedding table: every class raised to the majority size."""
-    return TR.smote_oversample(_embeddings(spark, sf), "label", "vec_id").select("label", "vec_id", "synthetic")
+    """SMOTE on the embedding table: every class raised to the majority size, with a digest of each vector."""
+    x = F.col("features")
+    weighted = F.aggregate(F.transform(x, lambda v, i: v * (i + 1)), F.lit(0.0), lambda s, v: s + v)
+    return TR.smote_oversample(_embeddings(spark, sf), "label", "vec_id").select(
+        "label", "vec_id", "synthetic_id", "synthetic", F.get(x, F.lit(0)).alias("x_first"),
+        F.element_at(x, -1).alias("x_last"), weighted.alias("x_weighted"))
 
 
 @register("svd_fit")
@@ -783,7 +810,7 @@ def q_importance(spark, sf):
 def q_cv(spark, sf):
     """3-fold accuracy over the SMOTE output (as originally done), mean and std rows."""
     _, _, res, _ = _trained(spark, sf)
-    return TR.cross_validate(res, "weak_label", "ingest_seq", folds=3)
+    return TR.cross_validate(res, "weak_label", ["ingest_seq", "synthetic_id"], folds=3)
 
 
 @register("explained_variance")
@@ -837,16 +864,11 @@ def q_read_reviews(spark, sf):
 def q_read_meta_json(spark, sf):
     """Metadata JSON (array or bare-string categories) read back and normalised."""
     path = MD.shared_dir(spark, "meta-json")
-    raw = FX.fx_meta_raw(spark, sf)
-    as_json = raw.select("gmap_id", F.when(F.col("category").startswith("["), F.from_json("category", "array<string>"))
-                         .alias("arr"), "category")
-    as_json.select(F.when(F.col("arr").isNotNull(),
-                          F.concat(F.lit('{"gmap_id":"'), F.col("gmap_id"), F.lit('","category":'),
-                                   F.to_json("arr"), F.lit("}")))
-                   .otherwise(F.concat(F.lit('{"gmap_id":"'), F.col("gmap_id"), F.lit('","category":'),
-                                       F.to_json(F.struct(F.col("category").alias("c"))).substr(6, 100000),
-                                       F.lit("")))
-                   .alias("value")).write.mode("overwrite").text(path)
+    raw = FX.fx_meta_raw(spark, sf).withColumn("arr", F.when(F.col("category").startswith("["),
+                                                             F.from_json("category", "array<string>")))
+    lines = F.when(F.col("arr").isNotNull(), F.to_json(F.struct("gmap_id", F.col("arr").alias("category")))
+                   ).otherwise(F.to_json(F.struct("gmap_id", "category")))
+    raw.select(lines.alias("value")).write.mode("overwrite").text(path)
     return C.normalize_meta(R.read_meta(spark, path)).drop("ingest_seq")
 
 

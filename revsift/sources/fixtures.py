@@ -23,8 +23,10 @@ N_CATEGORY_SLOTS = 23          # slot 22 has no metadata row (unmatched join)
 EXACT_COPY_OFFSET = 1_000_000_000
 EDIT_COPY_OFFSET = 2_000_000_000
 EDITED_TEXT = "edited later"
+# short reviews: extra rows (own key range, half an hour later) with the phrase alone, null where there is none
+SHORT_OFFSET, SHORT_EVERY, SHORT_SLOT, SHORT_DELAY_MS = 3_000_000_000, 7, 2, 1800000
 
-# phrase per doc_id % 20; None = null text; "DOC" = the whole document text
+# phrase per doc_id % 20, put in front of the whole document text; None = the document text alone
 PHRASES = [
     None,
     "Call 307-555-1234 for a limited time discount!",
@@ -43,12 +45,10 @@ PHRASES = [
     "My brother came by and we were happy",
     "We went for lunch and I ordered the soup",
     "The sauce was delicious and crispy with spicy fresh salad and a cold beer on the menu",
-    "DOC",
-    "DOC",
+    None,
+    None,
     "  Visit   https://shop.example.com \n now - 50% off!! ",
 ]
-# phrases that get the whole document appended when doc_id % 40 >= 20
-APPEND_DOC_SLOTS = [1, 2, 5, 6, 7, 9, 10, 11, 12, 13, 14, 15, 16]
 
 CATEGORIES = [
     ["Sewing shop", "Store"], "Bakery", ["Barber shop"], ["Beginner school"], ["Auto repair service"],
@@ -77,13 +77,8 @@ def fx_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id") % 20
     phrase = F.lit(None).cast("string")
     for i in range(len(PHRASES) - 1, -1, -1):
-        p = PHRASES[i]
-        if p is None:
-            continue
-        val = F.col("text") if p == "DOC" else F.lit(p)
-        if i in APPEND_DOC_SLOTS:
-            val = F.when(F.col("doc_id") % 40 >= 20, F.concat(F.lit(p + " "), F.col("text"))).otherwise(F.lit(p))
-        phrase = F.when(k == i, val).otherwise(phrase)
+        if PHRASES[i] is not None:
+            phrase = F.when(k == i, F.lit(PHRASES[i])).otherwise(phrase)
     c = F.floor(F.col("doc_id") / 3)
     n_pics = F.when(F.col("doc_id") % 3 == 0, F.col("doc_id") % 4)
     time_ms = F.lit(BASE_TIME_MS) + F.col("doc_id") * F.lit(HOUR_MS)
@@ -95,7 +90,8 @@ def fx_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("doc_id") % 17 == 0, F.lit(None).cast("double"))
          .when(F.col("doc_id") % 41 == 0, F.lit(7.0))
          .otherwise((F.lit(1) + c % 5).cast("double")).alias("rating"),
-        phrase.alias("text"),
+        F.when(phrase.isNull(), F.col("text")).otherwise(F.concat(phrase, F.lit(" "), F.col("text"))).alias("text"),
+        phrase.alias("phrase"),
         F.when(F.col("doc_id") % 11 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("o'neil user-"), (F.col("doc_id") % N_USERS).cast("string"))).alias("name"),
         F.when(n_pics.isNotNull(),
@@ -110,7 +106,11 @@ def fx_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = (base.where(F.col("ingest_seq") % 10 == 3)
               .withColumn("ingest_seq", F.col("ingest_seq") + F.lit(EDIT_COPY_OFFSET))
               .withColumn("text", F.lit(EDITED_TEXT)))
-    return base.unionByName(exact).unionByName(edited)
+    short = (base.where(F.col("ingest_seq") % SHORT_EVERY == SHORT_SLOT)
+             .withColumn("ingest_seq", F.col("ingest_seq") + F.lit(SHORT_OFFSET))
+             .withColumn("time", F.col("time") + F.lit(SHORT_DELAY_MS))
+             .withColumn("text", F.col("phrase")))
+    return base.unionByName(exact).unionByName(edited).unionByName(short).drop("phrase")
 
 
 def fx_meta_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ def test_exact_rank_matches_sort(spark):
 
 def test_nearest_neighbours_brute_force(spark):
     df, X, lab = _points(spark, n=250)
-    got = {r["id"]: r["nn_key"] for r in TR.nearest_neighbours(df, "label", "id", rows_per_block=8).collect()}
+    got = {r["id"]: r["nn_key"] for r in TR.nearest_neighbours(df, "label", "id", block_rows=8).collect()}
     for i in range(len(lab)):
         same = [j for j in range(len(lab)) if lab[j] == lab[i] and j != i]
         d = [(float(((X[i] - X[j]) ** 2).sum()), j) for j in same]
@@ -91,7 +91,7 @@ def test_nearest_neighbours_with_heavy_ties(spark):
     lab = rng.choice([0, 1], size=n)
     rows = [(int(i), int(lab[i]), [float(v) for v in X[i]]) for i in range(n)]
     df = spark.createDataFrame(rows, "id long, label int, features array<double>")
-    got = {r["id"]: r["nn_key"] for r in TR.nearest_neighbours(df, "label", "id", rows_per_block=8).collect()}
+    got = {r["id"]: r["nn_key"] for r in TR.nearest_neighbours(df, "label", "id", block_rows=8).collect()}
     for i in range(n):
         d = [(float(((X[i] - X[j]) ** 2).sum()), j) for j in range(n) if lab[j] == lab[i] and j != i]
         assert got[i] == min(d)[1]
