@@ -16,8 +16,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from revsift.operators import evaluation as EV  # noqa: E402
 from revsift.operators import label_model as LM  # noqa: E402
 from revsift.operators import labeling as LB  # noqa: E402
@@ -59,16 +57,18 @@ def main():
     m = len(LB.lf_names())
     params = timed("label_model_fit", lambda: LM.label_model_fit(votes, m))
     weak = timed("label_model_proba", lambda: cut_lineage(LM.weak_labels(votes, params)))
-    # 4. features
-    vocab, sparse = timed("tfidf_fit_transform", lambda: [cut_lineage(x) for x in
-                                                           TF.tfidf_fit_transform(weak, "ingest_seq")])
+    # 4. features: vocabulary pass, then TF-IDF rows as a projection that carries the label columns
+    def tfidf():
+        vocab = TF.tfidf_fit(weak, "ingest_seq")
+        rows = TF.tfidf_columns(weak.select("ingest_seq", "weak_label", "confidence", "text_length", "text_clean"), vocab)
+        return vocab, cut_lineage(rows.drop("text_clean"))
+
+    vocab, sparse = timed("tfidf_fit_transform", tfidf)
     long = TF.sparse_to_long(sparse, "ingest_seq")
     d = vocab.count()
     model = timed("svd_fit", lambda: SV.svd_fit(sparse, long, d, min(100, d)))
     feats = timed("svd_transform", lambda: cut_lineage(TR.assemble_features(
-        weak.select("ingest_seq", "weak_label", "confidence", "text_length")
-        .join(SV.svd_transform(sparse, model).select("ingest_seq", "svd"), "ingest_seq", "left")
-        .withColumn("svd", F.coalesce("svd", F.array_repeat(F.lit(0.0), model.k))))))
+        SV.svd_transform(sparse, model).drop("indices", "values"))))
     # 5. training: split + SMOTE + forest (reference settings)
     labeled = TR.drop_abstain(feats)
     split = timed("stratified_split", lambda: cut_lineage(TR.stratified_split(labeled, "weak_label", ["ingest_seq"])))

@@ -43,32 +43,38 @@ def ngrams_1_2(toks: F.Column) -> F.Column:
     return F.concat(toks, F.transform(pairs, lambda z: F.concat(z["a"], F.lit(" "), z["b"])))
 
 
-def doc_terms(df: DataFrame, key: str, text_col: str = "text_clean", stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
-    """``(key, terms)``: the 1-2-gram sequence of each document, built with
-    Spark ML's JVM transformers (regex tokenizer, hash-set stop-word
-    remover, bigram generator) - no per-token interpreted lambdas."""
+def with_terms(df: DataFrame, text_col: str = "text_clean", out: str = "terms",
+               stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
+    """Adds the 1-2-gram sequence of each document, built with Spark ML's JVM
+    transformers (regex tokenizer, hash-set stop-word remover, bigram
+    generator) - no per-token interpreted lambdas, no shuffle."""
     from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
-    d = df.select(key, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_txt"))
+    d = df.withColumn("_txt", F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     d = RegexTokenizer(inputCol="_txt", outputCol="_tok", pattern=TOKEN_RX, gaps=False, toLowercase=False,
-                       minTokenLength=1).transform(d.withColumn("_txt", F.lower("_txt")))
+                       minTokenLength=1).transform(d)
     if stop_words:
         d = StopWordsRemover(inputCol="_tok", outputCol="_uni", stopWords=list(stop_words),
                              caseSensitive=True).transform(d)
     else:
         d = d.withColumn("_uni", F.col("_tok"))
     d = NGram(n=2, inputCol="_uni", outputCol="_bi").transform(d)
-    return d.select(key, F.concat("_uni", "_bi").alias("terms"))
+    return d.withColumn(out, F.concat("_uni", "_bi")).drop("_txt", "_tok", "_uni", "_bi")
 
 
-def term_counts(terms: DataFrame, key: str) -> DataFrame:
-    """``(key, term, cnt)``: occurrences of each term in each document."""
-    return (terms.select(key, F.explode("terms").alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("cnt")))
+def doc_terms(df: DataFrame, key: str, text_col: str = "text_clean", stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
+    """``(key, terms)``: the 1-2-gram sequence of each document."""
+    return with_terms(df.select(key, text_col), text_col, "terms", stop_words).select(key, "terms")
 
 
-def term_doc_freq(counts: DataFrame) -> DataFrame:
-    """``(term, df, corpus_count)``."""
-    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("corpus_count"))
+def term_doc_freq(terms: DataFrame) -> DataFrame:
+    """``(term, df, corpus_count)`` of documents given as ``terms`` arrays.
+    Each document's distinct terms count for df, all its terms for
+    corpus_count; both are partial sums by term, so no (document, term) pair
+    is ever shuffled."""
+    marks = F.concat(F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c"))),
+                     F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c"))))
+    return (terms.select(F.explode(marks).alias("m")).groupBy(F.col("m.term").alias("term"))
+            .agg(F.sum("m.d").alias("df"), F.sum("m.c").alias("corpus_count")))
 
 
 def vocabulary_select(freq: DataFrame, n_docs, max_features: int = 2000, min_df: int = 5,
@@ -83,25 +89,6 @@ def vocabulary_select(freq: DataFrame, n_docs, max_features: int = 2000, min_df:
                       (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
 
 
-def _sparse_rows(weighted: DataFrame, key: str) -> DataFrame:
-    """``(key, indices, values)``: one ``groupBy(doc)`` collects the document's
-    (at most vocabulary-size) weights; the l2 norm and the division happen
-    in-row, so no norm aggregate has to be joined back."""
-    e = F.array_sort(F.collect_list(F.struct("feature_index", "w")))
-    agg = weighted.groupBy(key).agg(e.alias("_e"))
-    norm = F.sqrt(F.aggregate(F.col("_e"), F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    return (agg.select(key, "_e", norm.alias("_n"))
-            .select(key, F.col("_e.feature_index").alias("indices"),
-                    F.transform("_e", lambda x: F.when(F.col("_n") > 0, x["w"] / F.col("_n")).otherwise(0.0))
-                    .alias("values")))
-
-
-def _weights(counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-    v = F.broadcast(vocab.select(F.col("feature_name").alias("term"), "feature_index", "idf"))
-    return counts.join(v, "term").select(key, "feature_index",
-                                         ((F.lit(1.0) + F.log(F.col("cnt"))) * F.col("idf")).alias("w"))
-
-
 def sparse_to_long(sparse: DataFrame, key: str) -> DataFrame:
     """``(key, feature_index, weight)`` - a projection, no shuffle."""
     return sparse.select(key, F.posexplode(F.arrays_zip("indices", "values")).alias("_p", "_z")).select(
@@ -109,25 +96,53 @@ def sparse_to_long(sparse: DataFrame, key: str) -> DataFrame:
 
 
 def tfidf_fit(df: DataFrame, key: str, text_col: str = "text_clean", max_features: int = 2000, min_df: int = 5,
-              max_df: float = 0.8, stop_words=SPARK_ENGLISH_STOP_WORDS):
-    """Returns ``(vocabulary, counts)``; counts are reused by the fit-transform.
-
-    The (doc, term) count table feeds both the document frequencies and the
-    weights, so it is materialised once in the shared checkpoint folder
-    (tokenising and shuffling the corpus again would cost far more than
-    re-reading the counts); the vocabulary (<= max_features rows) too."""
+              max_df: float = 0.8, stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
+    """The vocabulary (at most ``max_features`` rows), materialised: it is the
+    only thing a transform needs."""
     from ..session import cut_lineage
-    terms = doc_terms(df, key, text_col, stop_words)
-    counts = cut_lineage(term_counts(terms, key))
+    freq = term_doc_freq(doc_terms(df, key, text_col, stop_words))
     n_docs = df.agg(F.count(F.lit(1))).scalar()
-    vocab = cut_lineage(vocabulary_select(term_doc_freq(counts), n_docs, max_features, min_df, max_df))
-    return vocab, counts
+    return cut_lineage(vocabulary_select(freq, n_docs, max_features, min_df, max_df))
+
+
+def tfidf_columns(df: DataFrame, vocab: DataFrame, text_col: str = "text_clean",
+                  stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
+    """Adds ``indices`` and ``values``, the l2-normalised sparse row of each
+    document (empty arrays if it has no term of the vocabulary).
+
+    A document is one row, so this is a projection: terms are counted inside
+    the row against the vocabulary, and weights and norm are expressions over
+    the row's counts.  No shuffle, no join, every other column is carried."""
+    from pyspark.ml.feature import CountVectorizerModel
+    rows = vocab.select("feature_index", "feature_name", "idf").orderBy("feature_index").collect()  # <= max_features
+    if not rows:
+        return df.withColumn("indices", F.array().cast("array<int>")).withColumn("values", F.array().cast("array<double>"))
+    d = with_terms(df, text_col, "_terms", stop_words)
+    model = CountVectorizerModel.from_vocabulary([r["feature_name"] for r in rows], inputCol="_terms", outputCol="_counts")
+    d = model.transform(d).withColumn("_v", F.unwrap_udt("_counts"))
+    idf = F.lit([float(r["idf"]) for r in rows])
+    w = F.transform(F.arrays_zip(F.col("_v.indices").alias("i"), F.col("_v.values").alias("n")),
+                    lambda z: (F.lit(1.0) + F.log(z["n"])) * F.get(idf, z["i"]))
+    d = d.withColumn("_w", w)
+    norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda acc, x: acc + x * x))
+    d = d.withColumn("_n", norm)
+    return (d.withColumn("indices", F.col("_v.indices"))
+            .withColumn("values", F.transform("_w", lambda x: F.when(F.col("_n") > 0, x / F.col("_n")).otherwise(0.0)))
+            .drop("_terms", "_counts", "_v", "_w", "_n"))
 
 
-def tfidf_fit_transform(df: DataFrame, key: str, text_col: str = "text_clean", **kw) -> tuple[DataFrame, DataFrame]:
-    """``(vocabulary, sparse rows)``."""
-    vocab, counts = tfidf_fit(df, key, text_col, **kw)
-    return vocab, _sparse_rows(_weights(counts, vocab, key), key)
+def tfidf_transform(df: DataFrame, vocab: DataFrame, key: str, text_col: str = "text_clean",
+                    stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
+    """``(key, indices, values)`` of the documents with a term of a fitted (saved) vocabulary."""
+    return (tfidf_columns(df.select(key, text_col), vocab, text_col, stop_words)
+            .select(key, "indices", "values").where(F.size("indices") > 0))
+
+
+def tfidf_fit_transform(df: DataFrame, key: str, text_col: str = "text_clean", stop_words=SPARK_ENGLISH_STOP_WORDS,
+                        **kw) -> tuple[DataFrame, DataFrame]:
+    """``(vocabulary, sparse rows)``: one pass for the vocabulary, one for the rows."""
+    vocab = tfidf_fit(df, key, text_col, stop_words=stop_words, **kw)
+    return vocab, tfidf_transform(df, vocab, key, text_col, stop_words)
 
 
 def tfidf_fit_transform_long(df: DataFrame, key: str, text_col: str = "text_clean", **kw) -> tuple[DataFrame, DataFrame]:
@@ -135,28 +150,6 @@ def tfidf_fit_transform_long(df: DataFrame, key: str, text_col: str = "text_clea
     return vocab, sparse_to_long(sparse, key)
 
 
-def tfidf_transform(df: DataFrame, vocab: DataFrame, key: str, text_col: str = "text_clean",
-                    stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
-    """Sparse rows of new documents under a fitted (saved) vocabulary.  Term
-    occurrences meet the broadcast vocabulary before they are counted, so
-    only in-vocabulary occurrences are aggregated."""
-    v = F.broadcast(vocab.select(F.col("feature_name").alias("term"), "feature_index", "idf"))
-    # One shuffle, by document: the (doc, feature) counts and the per-document
-    # assembly below are both satisfied by this partitioning, so neither
-    # re-shuffles, and tokenising is spread evenly however the input was split.
-    docs = df.select(key, text_col).repartition(key)
-    occ = doc_terms(docs, key, text_col, stop_words).select(key, F.explode("terms").alias("term")).join(v, "term")
-    counts = occ.groupBy(key, "feature_index", "idf").agg(F.count(F.lit(1)).alias("cnt"))
-    w = counts.select(key, "feature_index", ((F.lit(1.0) + F.log(F.col("cnt"))) * F.col("idf")).alias("w"))
-    return _sparse_rows(w, key)
-
-
 def tfidf_transform_long(df: DataFrame, vocab: DataFrame, key: str, text_col: str = "text_clean",
                          stop_words=SPARK_ENGLISH_STOP_WORDS) -> DataFrame:
     return sparse_to_long(tfidf_transform(df, vocab, key, text_col, stop_words), key)
-
-
-def to_sparse_rows(long: DataFrame, key: str) -> DataFrame:
-    """Long ``(key, feature_index, weight)`` back to sparse rows sorted by index."""
-    agg = long.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("feature_index", "weight"))).alias("_e"))
-    return agg.select(key, F.col("_e.feature_index").alias("indices"), F.col("_e.weight").alias("values"))

@@ -75,14 +75,11 @@ def model_load(spark: SparkSession, path: str) -> Artifacts:
 
 def featurize(df: DataFrame, art: Artifacts, key: str, text_col: str = "text_clean",
               length_col: str | None = None) -> DataFrame:
-    """Saved vocabulary -> TF-IDF -> SVD -> + text length -> feature vector."""
-    sparse = TF.tfidf_transform(df, art.vocabulary, key, text_col)
-    proj = SV.svd_transform(sparse, art.svd).select(key, "svd")
+    """Saved vocabulary -> TF-IDF -> SVD -> + text length -> feature vector: a
+    projection of each row, so scoring shuffles nothing."""
     length = F.col(length_col) if length_col else F.length(F.col(text_col))
-    base = df.withColumn("text_length", length.cast("bigint"))
-    out = base.join(proj, key, "left").withColumn(
-        "svd", F.coalesce(F.col("svd"), F.array_repeat(F.lit(0.0), art.svd.k)))
-    return TR.assemble_features(out)
+    rows = TF.tfidf_columns(df.withColumn("text_length", length.cast("bigint")), art.vocabulary, text_col)
+    return TR.assemble_features(SV.svd_transform(rows, art.svd).drop("indices", "values"))
 
 
 def score_reviews(df: DataFrame, art: Artifacts, key: str, text_col: str = "text") -> DataFrame:

@@ -58,21 +58,17 @@ def feature_pipeline(weak: DataFrame, key: str = "ingest_seq", max_features: int
 
     Returns ``(features, vocabulary, svd_model)``; ``features`` carries
     ``key, weak_label, confidence, text_length, svd, features, features_vec``."""
-    from pyspark.sql import functions as F
     from ..operators import svd as SV
     from ..operators import tfidf as TF
     from ..operators import training as TR
     from ..session import cut_lineage
-    vocab, sparse = TF.tfidf_fit_transform(weak, key, text_col, max_features=max_features)
-    vocab = cut_lineage(vocab)
-    sparse = cut_lineage(sparse)
-    long = TF.sparse_to_long(sparse, key)
-    d = vocab.count()
-    model = SV.svd_fit(sparse, long, d, min(n_components, d))
-    proj = SV.svd_transform(sparse, model).select(key, "svd")
+    vocab = TF.tfidf_fit(weak, key, text_col, max_features=max_features)
     keep = [c for c in (key, "weak_label", "confidence", "text_length") if c in weak.columns]
-    feats = weak.select(*keep).join(proj, key, "left").withColumn(
-        "svd", F.coalesce(F.col("svd"), F.array_repeat(F.lit(0.0), model.k)))
+    sparse = cut_lineage(TF.tfidf_columns(weak.select(*dict.fromkeys([*keep, text_col])), vocab, text_col)
+                         .select(*keep, "indices", "values"))
+    d = vocab.count()
+    model = SV.svd_fit(sparse, TF.sparse_to_long(sparse, key), d, min(n_components, d))
+    feats = SV.svd_transform(sparse, model).drop("indices", "values")
     return TR.assemble_features(feats), vocab, model
 
 

@@ -596,20 +596,20 @@ def q_ngrams(spark, sf):
           "SELECT term, df, CAST(corpus_count AS BIGINT) AS corpus_count FROM tf_df"))
 def q_term_df(spark, sf):
     t = TF.doc_terms(_tf_corpus(spark, sf), "ingest_seq")
-    return TF.term_doc_freq(TF.term_counts(t, "ingest_seq"))
+    return TF.term_doc_freq(t)
 
 
 @register("vocabulary_select", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(),
           "SELECT feature_name, feature_index, df, idf FROM tf_vocab"))
 def q_vocab(spark, sf):
-    vocab, _ = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
+    vocab = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
     return vocab
 
 
 @register("save_vocabulary", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes(),
           "SELECT feature_name, feature_index FROM tf_vocab"))
 def q_save_vocab(spark, sf):
-    vocab, _ = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
+    vocab = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
     return vocab.select("feature_name", "feature_index")
 
 
@@ -636,7 +636,7 @@ FROM gold_w w JOIN gold_n n ON w.doc_id = n.doc_id""")
 @register("tfidf_transform", _GOLD_TFIDF)
 def q_tfidf_transform(spark, sf):
     """Gold-set documents weighted with the vocabulary fitted on the reviews."""
-    vocab, _ = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
+    vocab = TF.tfidf_fit(_tf_corpus(spark, sf), "ingest_seq")
     return TF.tfidf_transform_long(_pred(spark, sf), vocab, "doc_id")
 
 # ------------------------------------------------------------------ 2.7 SVD / 2.8 training

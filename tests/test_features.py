@@ -32,11 +32,12 @@ def test_rows_unit_norm_and_svd_properties(spark, corpus):
     assert d <= 300
     idx = sorted(r["feature_index"] for r in vocab.collect())
     assert idx == list(range(d))
-    sparse = TF.to_sparse_rows(long, "doc_id")
-    _, direct = TF.tfidf_fit_transform(corpus, "doc_id", max_features=300, min_df=2)
-    a = {r["doc_id"]: [round(x, 9) for x in r["values"]] for r in direct.collect()}
-    b = {r["doc_id"]: [round(x, 9) for x in r["values"]] for r in sparse.collect()}
+    sparse = TF.tfidf_transform(corpus, vocab, "doc_id")
+    a = {(r["doc_id"], i): round(x, 9) for r in sparse.collect() for i, x in zip(r["indices"], r["values"])}
+    b = {(r["doc_id"], r["feature_index"]): round(r["weight"], 9) for r in long.collect()}
     assert a == b
+    plan = TF.tfidf_columns(corpus, vocab)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan  # scoring shuffles nothing
     model = SV.svd_fit(sparse, long, d, 10)
     V = model.components
     assert np.allclose(V @ V.T, np.eye(10), atol=1e-8)
