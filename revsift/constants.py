@@ -42,10 +42,6 @@ NEVER_VISITED_PHRASES = [
     "seems", "probably", "think", "might", "looks",
 ]
 
-STRONG_RANT_WORDS = [
-    "terrible", "worst", "awful", "scam", "cheated", "fraud", "disgusting", "rude", "never again",
-]
-
 # Ordered: the first family with a key that is a substring of the category wins.
 FAMILY_MAP = {
     "restaurant": [

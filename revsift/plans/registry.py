@@ -849,7 +849,9 @@ def q_score(spark, sf):
 # ------------------------------------------------------------------ sources / sinks round trips
 
 
-@register("read_reviews")
+@register("read_reviews", O.with_ctes(O.fx_reviews_ctes(), """
+SELECT user_id, gmap_id, time, rating, text, name, CAST(n_pics AS INTEGER) AS n_pics, resp_present AS has_resp
+FROM fx_reviews"""))
 def q_read_reviews(spark, sf):
     """Reviews written as JSON lines to shared storage and read back with the
     explicit review schema (malformed lines land in ``_corrupt_record``)."""
@@ -860,7 +862,7 @@ def q_read_reviews(spark, sf):
                      F.size("pics").alias("n_pics"), F.col("resp").isNotNull().alias("has_resp"))
 
 
-@register("read_meta_json")
+@register("read_meta_json", O.with_ctes(O.fx_meta_ctes(), "SELECT gmap_id, category_all, category_primary FROM fx_meta"))
 def q_read_meta_json(spark, sf):
     """Metadata JSON (array or bare-string categories) read back and normalised."""
     path = MD.shared_dir(spark, "meta-json")
@@ -872,20 +874,24 @@ def q_read_meta_json(spark, sf):
     return C.normalize_meta(R.read_meta(spark, path)).drop("ingest_seq")
 
 
-@register("write_dataset")
+_WRITTEN = ("ingest_seq", "user_id", "gmap_id", "time", "rating", "text_clean", "text_length", "word_count", "has_photos")
+
+
+@register("write_dataset", O.with_ctes(O.cleaned_ctes(), " UNION ALL ".join(
+          f"SELECT '{fmt}' AS fmt, {', '.join(_WRITTEN)} FROM cleaned" for fmt in ("parquet", "csv"))))
 def q_write(spark, sf):
-    """Cleaned reviews written as Parquet and CSV, read back; row counts per format."""
+    """Cleaned reviews, all columns, written as Parquet and as CSV and read back."""
     base = MD.shared_dir(spark, "cleaned")
-    df = PL.fixture_cleaned(spark, sf).drop("pics", "resp", "timestamp")
+    df = PL.fixture_cleaned(spark, sf)
     R.write_dataset(df, base + "/parquet", "parquet")
     R.write_dataset(df, base + "/csv", "csv")
-    pq = R.read_stage(spark, base + "/parquet").agg(F.count(F.lit(1)).alias("n")).withColumn("fmt", F.lit("parquet"))
-    csv = R.read_stage(spark, base + "/csv", "csv", schema=df.schema).agg(
-        F.count(F.lit(1)).alias("n")).withColumn("fmt", F.lit("csv"))
-    return pq.unionByName(csv)
+    flat = R.flat_schema(df.schema)
+    back = [R.read_stage(spark, base + "/parquet").withColumn("fmt", F.lit("parquet")),
+            R.read_stage(spark, base + "/csv", "csv", schema=flat).withColumn("fmt", F.lit("csv"))]
+    return back[0].select("fmt", *_WRITTEN).unionByName(back[1].select("fmt", *_WRITTEN))
 
 
-@register("read_labeled_csv")
+@register("read_labeled_csv", O.with_ctes(O.gold_ctes(), "SELECT doc_id, text_clean, gold_label FROM fx_pred"))
 def q_read_csv(spark, sf):
     """A gold-set CSV export read back with header and quoted multi-line text."""
     path = MD.shared_dir(spark, "gold-csv")
@@ -894,25 +900,19 @@ def q_read_csv(spark, sf):
     return C.require_columns(back, ["gold_label", "text_clean"])
 
 
-@register("stream_weak_labels")
+@register("stream_weak_labels", O.with_ctes(O.init_params_ctes(_R_INIT),
+          "SELECT ingest_seq, weak_label, confidence FROM lm_pred"))
 def q_stream(spark, sf):
-    """Review JSON files labelled incrementally by the streaming job (one
-    available-now run), with batch-fitted median, length bounds and
-    label-model parameters."""
-    from ..streaming import scoring as ST
+    """Review JSON files taken in by the stream (one available-now run), then
+    labelled by the batch operators over everything taken in."""
+    from ..session import cut_lineage
+    from ..streaming import ingest as ST
     base = MD.shared_dir(spark, "stream")
-    FX.fx_reviews(spark, sf).drop("ingest_seq").write.mode("overwrite").json(base + "/in")
-    dedup = _dedup_raw(spark, sf)
-    med = dedup.agg(F.median("rating")).first()[0]
-    lo, hi = C.quantile_bounds(_counted(spark, sf))
-    bounds = _counted(spark, sf).select(lo.alias("lo"), hi.alias("hi")).first()
-    votes = _votes(spark, sf)
-    params = LM.label_model_fit(votes, len(LFS.DEFAULT_LFS))
-    meta = C.meta_first_per_key(_meta(spark, sf)).drop("ingest_seq")
-    stats = ST.BatchStatistics(float(med), float(bounds["lo"]), float(bounds["hi"]), params)
-    q = ST.start(spark, base + "/in", base + "/out", base + "/ckpt", stats, meta=meta, available_now=True)
-    q.awaitTermination()
-    return spark.read.parquet(base + "/out")
+    FX.fx_reviews(spark, sf).write.mode("overwrite").json(base + "/in")
+    ST.start(spark, base + "/in", base + "/stage", base + "/ckpt", available_now=True).awaitTermination()
+    cleaned = PL.clean_pipeline(ST.stage(spark, base + "/stage"), FX.fx_meta_raw(spark, sf))
+    votes = cut_lineage(LB.apply_lfs(C.nonempty_text(cleaned)))
+    return LM.weak_labels(votes, _init_params(votes)).select("ingest_seq", "weak_label", "confidence")
 
 # ------------------------------------------------------------------ one query per labeling function (2.5)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,19 +53,25 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (tests, local runs) fall back to a fresh scratch folder."""
+    """The cluster's shared ``spark.checkpoint.dir``.  Only in local mode, where
+    driver and executors are one process, an unset folder is made in Spark's own
+    scratch folder; on a cluster executors would write to their own disks, so
+    there an unset folder is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="revsift-ckpt-")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or local_folder(sc.master, sc.getConf().get("spark.local.dir", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def local_folder(master: str, scratch: str) -> str:
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{scratch.split(',')[0]}/revsift-{uuid.uuid4().hex[:12]}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

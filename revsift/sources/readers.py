@@ -33,7 +33,8 @@ def _with_ingest_order(df: DataFrame) -> DataFrame:
 
 def read_reviews(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SCHEMA) -> DataFrame:
     """JSON lines (plain or .gz) with an explicit schema; malformed lines are
-    kept in ``_corrupt_record`` instead of failing the job."""
+    kept in ``_corrupt_record`` instead of failing the job
+    (:func:`split_rejects` parts them off)."""
     df = (spark.read.schema(schema)
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record")
@@ -41,6 +42,14 @@ def read_reviews(spark: SparkSession, path: str, schema: T.StructType = REVIEW_S
     return _with_ingest_order(df)
 
 
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(reviews, rejects)`` of :func:`read_reviews`: a malformed line is no
+    review and must not reach medians, quantiles or counts; it goes to the
+    reject table with its read-order key."""
+    bad = F.col("_corrupt_record").isNotNull()
+    return df.where(~bad).drop("_corrupt_record"), df.where(bad).select("ingest_seq", "_corrupt_record")
+
+
 def read_meta(spark: SparkSession, path: str) -> DataFrame:
     """Business metadata; ``category`` read as text keeps arrays as JSON text
     and bare strings as is (reading it as an array would null the strings).
@@ -60,6 +69,13 @@ def read_stage(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
     return reader.csv(path)
 
 
+def flat_schema(schema: T.StructType) -> T.StructType:
+    """Schema of a CSV export: nested columns are JSON text there."""
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, nested) else f.dataType)
+                         for f in schema.fields])
+
+
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                   partition_by=None) -> str:
     w = df.write.mode(mode)
@@ -73,7 +89,8 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
             if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
                 flat = flat.withColumn(f.name, F.to_json(F.col(f.name)))
         w = flat.write.mode(mode)
-        w.option("header", True).option("escape", '"').csv(path)
+        (w.option("header", True).option("escape", "\"").option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))  # texts keep their outer white space
     else:
         raise ValueError(fmt)
     return path

@@ -5,12 +5,14 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
 NAMES = ["clean_pipeline", "apply_lfs", "lf_summary", "vote_overlap_matrix", "label_model_proba",
-         "classification_report", "tfidf_fit_transform", "nearest_neighbours", "stratified_split"]
+         "classification_report", "tfidf_fit_transform", "nearest_neighbours", "stratified_split", "smote_oversample",
+         "read_reviews", "read_meta_json", "write_dataset", "read_labeled_csv", "stream_weak_labels"]
 
 
 def _norm(v):
@@ -49,11 +51,24 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_streaming_labels_as_many_reviews_as_batch(spark):
-    """The available-now streaming job (watermarked dedupe, batch-fitted
-    statistics) keeps the same reviews as the batch cleaning path."""
-    q = E.queries()
-    stream = q["stream_weak_labels"](spark, SF_SMALL)
-    batch = q["nonempty_text"](spark, SF_SMALL)
-    assert stream.count() == batch.count() > 0
-    assert set(r[0] for r in stream.select("weak_label").distinct().collect()) <= {-1, 0, 1, 2, 3}
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from revsift.session import local_folder
+    assert local_folder("local[4]", "/tmp/x,/tmp/y").startswith("/tmp/x/")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError):
+            local_folder(master, "/tmp")
+
+
+def test_reviews_hold_every_whole_text(spark):
+    from revsift.sources import fixtures as FX
+    docs = spark.read.parquet(os.path.join(SF_SMALL, "documents.parquet")).select("doc_id", "text")
+    whole = FX.fx_reviews(spark, SF_SMALL).alias("r").join(docs.alias("d"), docs.doc_id == F.col("r.ingest_seq"))
+    n, held = whole.agg(F.count("*"), F.sum(F.col("r.text").endswith(F.col("d.text")).cast("int"))).first()
+    assert n == held == docs.count()
+
+
+def test_malformed_lines_go_to_the_reject_table(spark, tmp_path):
+    from revsift.sources import readers as R
+    (tmp_path / "r.json").write_text('{"user_id":"u","gmap_id":"g","time":1,"rating":4,"text":"fine"}\n{"user_id": broken\n')
+    good, bad = R.split_rejects(R.read_reviews(spark, str(tmp_path)).persist())
+    assert [r.text for r in good.collect()] == ["fine"] and bad.count() == 1
