@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,15 +23,15 @@ from ..functions.text import char_length, clean_text, fill_none, split_word_coun
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str = "ingest_seq") -> DataFrame:
     """One row per key, the one with the lowest ``order_col`` ("keep first").
 
-    ``min_by`` is a partial aggregate: each map task collapses its own
-    duplicates before the shuffle, so a key that owns a third of all rows
-    ships one row per map task, never the whole group.  Null keys compare
-    equal, like pandas ``drop_duplicates``.
+    ``row_number() = 1``: Spark keeps the first row of each key in every map
+    task already (window group limit), so a key that owns a third of all rows
+    ships one row per task, and rows are hashed and sorted by narrow keys only:
+    a text key is compared by its SHA-256.  Null keys compare equal, like
+    pandas ``drop_duplicates``.
     """
-    cols = df.columns
-    return (df.groupBy(*keys)
-            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_first"))
-            .select(*[F.col(f"_first.{c}").alias(c) for c in cols]))
+    narrow = [F.sha2(F.col(k), 256) if k.startswith("text") else F.col(k) for k in keys]
+    w = Window.partitionBy(*narrow).orderBy(order_col)
+    return df.withColumn("_first", F.row_number().over(w)).where("_first = 1").drop("_first")
 
 
 RAW_DEDUPE_KEYS = ("gmap_id", "user_id", "time", "text")

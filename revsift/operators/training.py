@@ -41,6 +41,20 @@ def assemble_features(df: DataFrame, svd_col: str = "svd", extra_cols=("text_len
     arr = F.concat(F.col(svd_col), F.array(*[F.col(c).cast("double") for c in extra_cols]))
     return df.withColumn(out_col, arr).withColumn(out_col + "_vec", array_to_vector(F.col(out_col)))
 
+
+def wide_features(df: DataFrame, k: int, svd_col: str = "svd", prefix: str = "tfidf_svd_",
+                  cols=("weak_label", "confidence", "text_length"), key: str = "ingest_seq") -> DataFrame:
+    """One column per component (``tfidf_svd_0`` ...) next to the label columns, for an export."""
+    parts = [F.get(F.col(svd_col), F.lit(i)).alias(f"{prefix}{i}") for i in range(k)]
+    return df.select(key, *parts, *[c for c in cols if c in df.columns])
+
+
+def resampling_counts(before: DataFrame, after: DataFrame, label_col: str) -> DataFrame:
+    """``(label, n_before, n_after)`` of a resampling."""
+    a = before.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_before"))
+    b = after.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_after"))
+    return a.join(b, "label", "left")
+
 # ------------------------------------------------------------------ exact ranks
 
 

@@ -88,18 +88,11 @@ def q_meta_first(spark, sf):
 
 
 @register("head_sample", O.with_ctes(O.cleaned_ctes(),
-          "SELECT ingest_seq, text_clean FROM cleaned ORDER BY ingest_seq LIMIT 1000"))
+          "SELECT " + ", ".join(O.CLEANED_CHECK_COLUMNS) + " FROM cleaned ORDER BY ingest_seq LIMIT 1000"))
 def q_head_sample(spark, sf):
-    return R.head_sample(PL.fixture_cleaned(spark, sf), 1000).select("ingest_seq", "text_clean")
-
+    df = R.head_sample(PL.fixture_cleaned(spark, sf), 1000).withColumn("timestamp_str", _ts_str("timestamp"))
+    return df.select(*O.CLEANED_CHECK_COLUMNS)
 
-@register("review_sample", O.with_ctes(O.cleaned_ctes(), """
-SELECT ingest_seq, text_clean FROM nonempty
-ORDER BY CAST(('0x' || substr(md5('42:' || CAST(ingest_seq AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0,
-         ingest_seq
-LIMIT 100"""))
-def q_review_sample(spark, sf):
-    return R.review_sample(PL.fixture_nonempty(spark, sf), 100, cols=("text_clean",))
 
 # ------------------------------------------------------------------ 2.3 cleaning
 
@@ -314,6 +307,14 @@ def _init_scored(spark, sf):
 _R_INIT = float(_np.random.RandomState(123).random_sample())
 
 
+@register("review_sample", O.with_ctes(O.init_params_ctes(_R_INIT), """
+SELECT ingest_seq, text_clean, weak_label, confidence, prob_genuine, prob_promotion, prob_irrelevant, prob_rant FROM lm_pred
+ORDER BY CAST(('0x' || substr(md5('42:' || CAST(ingest_seq AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0, ingest_seq
+LIMIT 100"""))
+def q_review_sample(spark, sf):
+    return R.review_sample(_init_scored(spark, sf), 100)
+
+
 @register("category_family", O.with_ctes(O.labeled_ctes(), "SELECT ingest_seq, fam AS family FROM lf_ctx"))
 def q_family(spark, sf):
     df = PL.fixture_nonempty(spark, sf)
@@ -827,8 +828,8 @@ def q_model_io(spark, sf):
     art, pred, _, feats = _trained(spark, sf)
     path = MD.model_save(art, MD.shared_dir(spark, "model"))
     loaded = MD.model_load(spark, path)
-    test = feats.join(pred.select("ingest_seq"), "ingest_seq")
-    return TR.random_forest_predict(loaded.forest, test).select("ingest_seq", "predicted_label")
+    held = FX.fx_reviews(spark, sf).join(pred.select("ingest_seq"), "ingest_seq")   # raw texts of the held-out rows
+    return MD.score_reviews(held, loaded, "ingest_seq", "text")
 
 
 @register("gold_evaluation_pipeline")
@@ -837,7 +838,57 @@ def q_gold_eval(spark, sf):
     from ..operators import evaluation as EV
     art, _, _, _ = _trained(spark, sf)
     res = MD.gold_evaluation(_pred(spark, sf).drop("predicted_label", "prediction_confidence"), art)
-    return EV.classification_report(res)
+    return EV.evaluation_summary(res)
+
+
+@register("evaluation_summary", O.with_ctes(O.gold_ctes() + """,
+cl AS (SELECT label, (SELECT count(*) FROM fx_pred WHERE gold_label = label) AS support,
+              (SELECT count(*) FROM fx_pred WHERE predicted_label = label) AS predicted,
+              (SELECT count(*) FROM fx_pred WHERE gold_label = label AND predicted_label = label) AS tp FROM fx_labels),
+pr AS (SELECT *, CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS p,
+              CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS r FROM cl),
+f1 AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS f FROM pr),
+ev AS (SELECT avg(CASE WHEN gold_label = predicted_label THEN 1.0 ELSE 0.0 END) AS acc, count(*) AS n FROM fx_pred)""", f"""
+SELECT 'overall' AS section, 'accuracy' AS name, acc AS value, n AS n_rows FROM ev
+UNION ALL SELECT 'class accuracy', {O.label_name_sql('gold_label')},
+  avg(CASE WHEN gold_label = predicted_label THEN 1.0 ELSE 0.0 END), count(*) FROM fx_pred GROUP BY gold_label
+UNION ALL SELECT 'high confidence', 'accuracy', avg(CASE WHEN gold_label = predicted_label THEN 1.0 ELSE 0.0 END), count(*)
+  FROM fx_pred WHERE prediction_confidence > 0.8
+UNION ALL SELECT 'precision', {O.label_name_sql('label')}, p, support FROM f1
+UNION ALL SELECT 'precision', 'accuracy', NULL, (SELECT n FROM ev)
+UNION ALL SELECT 'precision', 'macro avg', avg(p), (SELECT n FROM ev) FROM f1
+UNION ALL SELECT 'precision', 'weighted avg', sum(p * support) / sum(support), (SELECT n FROM ev) FROM f1
+UNION ALL SELECT 'recall', {O.label_name_sql('label')}, r, support FROM f1
+UNION ALL SELECT 'recall', 'accuracy', NULL, (SELECT n FROM ev)
+UNION ALL SELECT 'recall', 'macro avg', avg(r), (SELECT n FROM ev) FROM f1
+UNION ALL SELECT 'recall', 'weighted avg', sum(r * support) / sum(support), (SELECT n FROM ev) FROM f1
+UNION ALL SELECT 'f1_score', {O.label_name_sql('label')}, f, support FROM f1
+UNION ALL SELECT 'f1_score', 'accuracy', acc, n FROM ev
+UNION ALL SELECT 'f1_score', 'macro avg', avg(f), (SELECT n FROM ev) FROM f1
+UNION ALL SELECT 'f1_score', 'weighted avg', sum(f * support) / sum(support), (SELECT n FROM ev) FROM f1"""))
+def q_eval_summary(spark, sf):
+    """All figures of an evaluation at once, on the fixed prediction table."""
+    from ..operators import evaluation as EV
+    return EV.evaluation_summary(_pred(spark, sf))
+
+
+@register("resampling_counts", """
+SELECT CAST(label AS INTEGER) AS label, count(*) AS n_before, (SELECT max(c) FROM (SELECT count(*) AS c FROM embeddings GROUP BY label))
+  AS n_after FROM embeddings GROUP BY label""")
+def q_resampling_counts(spark, sf):
+    """Class counts before and after SMOTE."""
+    e = _embeddings(spark, sf)
+    return TR.resampling_counts(e, TR.smote_oversample(e, "label", "vec_id"), "label")
+
+
+@register("nonempty_removed", O.with_ctes(O.cleaned_ctes(), """
+SELECT (SELECT count(*) FROM cleaned) AS n_before, (SELECT count(*) FROM nonempty) AS n_after,
+       (SELECT count(*) FROM cleaned) - (SELECT count(*) FROM nonempty) AS n_removed"""))
+def q_nonempty_removed(spark, sf):
+    """How many cleaned reviews the non-empty filter removes."""
+    from ..session import cut_lineage
+    cleaned = cut_lineage(PL.fixture_cleaned(spark, sf))
+    return C.removed_count(cleaned, C.nonempty_text(cleaned))
 
 
 @register("score_reviews")
