@@ -13,6 +13,7 @@ from revsift.llm.html_extract import extract_main_text
 from revsift.llm.jaccard_join import jaccard_components
 from revsift.llm.language_id import language_id
 from revsift.llm.lm_scoring import lm_scores
+from revsift.llm.oracle import ORACLE  # noqa: F401  SQL where it can express an operator
 from revsift.llm.packing import pack
 from revsift.llm.quality_knn import quality
 from revsift.llm.quality_rules import quality_rules
@@ -69,5 +70,3 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_jaccard_join, op4_lm_scoring, op5_fingerprints, op6_quality_classifier,
     op7_substring_dedup, op8_byte_bpe, op9_packing, op10_quality_rules)}
-#: SQL where it can express an operator on whole tables.
-ORACLE: dict[str, str] = {}

@@ -355,3 +355,14 @@ def test_pipeline_stages(spark, docs):
     fourth = {r.doc_id: (r.text, r.n_chars) for r in P.STAGES[3][1](spark, docs, SF_SMALL).collect()}
     want = {d: k if gone else dict(rows)[d] for d, (_, gone, k) in brute.substring_dedup(rows).items()}
     assert fourth == {d: (t, len(t)) for d, t in want.items()}
+
+
+@pytest.mark.parametrize("name", ["op3_jaccard_join", "op7_substring_dedup", "op10_quality_rules"])
+def test_sql_agrees(spark, name):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    df = E.queries()[name](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[name])
+    assert sorted(rel.columns) == sorted(df.columns)
+    assert sorted(rel.fetchall()) == sorted(tuple(r[c] for c in rel.columns) for r in df.collect())
