@@ -23,10 +23,23 @@ _NONE = np.int64(1 << 40)
 #: Buckets below this size are merged one entry at a time: numpy calls would cost more.
 _SMALL = 12
 #: Characters of text a task encodes together, and pre-tokens it remembers.
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 8_000_000
 CACHE_PIECES = 150_000
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+
+
+class Numbers(dict):
+    """Numbers things in the order they are first asked for."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+
 class RankBitmap:
     """Set of small integers with find-first-set over three levels of 64-bit words."""
 
@@ -64,12 +77,8 @@ class RankTable:
     """Merge table of a rank file: (left id, right id) -> id of the joined bytes."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        self.ranks = read_ranks(path)
         self.size = max(self.ranks.values()) + 1
-        self.bytes_of = [b""] * self.size
-        for token, r in self.ranks.items():
-            self.bytes_of[r] = token
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
         self.pairs = {}
         #: Tokens that can join a neighbour to a token of a lower rank: their merges must go one at a time.
@@ -206,24 +215,29 @@ class RankTable:
 
 def _encode(path: str, pattern: str):
     def run(batches):
-        table, split, cache = RankTable(path), regex.compile(pattern), {}
+        table, split = RankTable(path), regex.compile(pattern)
+        number, encoded = Numbers(), []   # pre-token -> number -> ids
 
         def done(chunk):
-            fresh = {p for _, pieces in chunk for ps in pieces for p in ps if p not in cache}
-            fresh = list(fresh)
-            cache.update(zip(fresh, table.encode([p.encode() for p in fresh])))
+            # numbers are dealt in order, so the new pre-tokens are those at the end
+            fresh = list(number)[len(encoded):]
+            encoded.extend(table.encode([p.encode() for p in fresh]))
             for ids, pieces in chunk:
-                flat = [b"".join(map(cache.__getitem__, ps)) for ps in pieces]
+                flat = [b"".join(map(encoded.__getitem__, ps.tolist())) for ps in pieces]
                 ends = np.cumsum([0, *(len(x) // 4 for x in flat)]).astype(np.int32)
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(flat))])
                 yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(ends), values)],
                                                  names=["doc_id", "ids"])
-            if len(cache) > CACHE_PIECES:
-                cache.clear()
+            if len(number) > CACHE_PIECES:
+                number.clear()
+                encoded.clear()
 
         chunk, size = [], 0
         for b in batches:
-            pieces = [split.findall(t) if t else [] for t in b.column("text").to_pylist()]
+            pieces = []
+            for t in b.column("text").to_pylist():
+                found = split.findall(t) if t else []
+                pieces.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
             chunk.append((b.column("doc_id"), pieces))
             size += b.nbytes
             if size >= CHUNK_CHARS:
@@ -236,10 +250,10 @@ def _encode(path: str, pattern: str):
 
 def _decode(path: str):
     def run(batches):
-        get = RankTable(path).bytes_of.__getitem__
+        token = {r: t for t, r in read_ranks(path).items()}
         for b in batches:
             ids = b.column("ids")
-            out = [b"".join(map(get, x.values.to_pylist())) if x.is_valid else None for x in ids]
+            out = [b"".join(map(token.__getitem__, x.values.to_numpy().tolist())) if x.is_valid else None for x in ids]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.array(out, pa.binary())],
                                              names=["doc_id", "ids", "decoded"])
     return run
