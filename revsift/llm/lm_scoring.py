@@ -31,7 +31,7 @@ MAX_FIT_TEXTS, STEPS, BATCH = 400, 500, 128
 #: Most frequent words whose counts are broadcast; the counts of all others meet their texts in a join.
 FREQUENT_WORDS = 120_000
 #: Distinct words a task counts before it hands its counts on, and words it remembers while scoring.
-COUNT_WORDS, CACHE_WORDS = 200_000, 100_000
+COUNT_WORDS, CACHE_WORDS = 400_000, 350_000
 #: Hash that stands for the end of a text (no word has it but by a 2**-64 chance).
 END = -1
 MODULUS = 5
@@ -39,13 +39,13 @@ MODULUS = 5
 START = 1 << 24
 
 
-def word_key(word: bytes) -> int:
-    return int(np.uint64(C.xxhash.xxh3_64_intdigest(word)).view(np.int64))
+def word_keys(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(C.xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
 def _flat_ids(words: list[bytes], ids_of: WordIds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids of all words, the id before each in its word or START, ids per word)."""
-    raw = list(map(ids_of.__getitem__, words))
+    raw = list(map(ids_of.ids, words))
     size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
     flat = np.frombuffer(b"".join(raw), "<u4").astype(np.int64)
     before = np.append(START, flat[:-1])[:len(flat)]
@@ -53,41 +53,58 @@ def _flat_ids(words: list[bytes], ids_of: WordIds) -> tuple[np.ndarray, np.ndarr
     return flat, before, size
 
 
-def _count(path: str, end_id: int):
-    """Per task: (0, word hash, count), (1, subword id, count) and (2, pair inside a word, count) of training texts."""
+def _count_words(batches):
+    """Per task (word, count) of its training texts; the null word counts the texts' ends."""
+    words, texts = Counter(), 0
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array([*words, None], pa.binary()), pa.array([*words.values(), texts], pa.int64())],
+                                          names=["word", "n"])
+    for _, batch in C.text_batches(batches):
+        words.update(chain.from_iterable((t or b"").lower().split() for t in batch))
+        texts += len(batch)
+        if len(words) > COUNT_WORDS:
+            yield out()
+            words, texts = Counter(), 0
+    yield out()
+
+
+def _count_ids(path: str, end_id: int):
+    """From (word, count) of distinct words: (0, word hash, count), (1, subword id, count), (2, pair in a word, count)."""
     def run(batches):
-        ids_of, words, texts = WordIds(path), Counter(), 0
-
-        def out():
-            names = list(words)
-            k = np.fromiter(words.values(), np.int64, len(names))
-            ids, pairs = np.zeros(0, np.int64), [(np.zeros(0, np.int64),) * 2]
-            for a in range(0, len(names), 50_000):
-                flat, before, size = _flat_ids(names[a:a + 50_000], ids_of)
-                each = np.repeat(k[a:a + 50_000], size)
-                c = np.bincount(flat, each).astype(np.int64)
-                pair, at = np.unique((before << 32) | flat, return_inverse=True)
-                pairs.append((pair, np.bincount(at, each, len(pair)).astype(np.int64)))
-                ids = np.pad(ids, (0, max(0, len(c) - len(ids))))
-                ids[:len(c)] += c
-            some = np.flatnonzero(ids)
-            pair, pair_n = (np.concatenate(x) for x in zip(*pairs))
-            kind = np.repeat(np.arange(3, dtype=np.int32), [len(names) + 1, len(some) + 1, len(pair)])
-            key = np.concatenate((np.fromiter(map(word_key, names), np.int64, len(names)), [END], some, [end_id], pair))
-            n = np.concatenate((k, [texts], ids[some], [texts], pair_n))
-            return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key), pa.array(n)], names=["kind", "key", "n"])
-
-        for b, batch in C.text_batches(batches):
-            for t in batch:
-                words.update((t or b"").lower().split())
-            texts += len(batch)
-            if len(words) > COUNT_WORDS:
-                yield out()
-                words, texts = Counter(), 0
-        yield out()
+        ids_of = WordIds(path)
+        ids, pairs = np.zeros(0, np.int64), {}
+        for b in batches:
+            names, n = b.column("word").to_pylist(), b.column("n").to_numpy()
+            real = np.array([w is not None for w in names], bool)
+            key = np.full(len(names), END, np.int64)
+            names = [w for w in names if w is not None]
+            key[real] = word_keys(names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), pa.array(key), b.column("n")],
+                                             names=["kind", "key", "n"])
+            flat, before, size = _flat_ids(names, ids_of)
+            each = np.repeat(n[real], size)
+            c = np.bincount(np.append(flat, end_id), np.append(each, n[~real].sum())).astype(np.int64)
+            ids = np.pad(ids, (0, max(0, len(c) - len(ids))))
+            ids[:len(c)] += c
+            pair, at = np.unique((before << 32) | flat, return_inverse=True)
+            for k, v in zip(pair.tolist(), np.bincount(at, each, len(pair)).astype(np.int64).tolist()):
+                pairs[k] = pairs.get(k, 0) + v
+            if len(pairs) > COUNT_WORDS:
+                yield _pair_rows(pairs)
+                pairs = {}
+        some = np.flatnonzero(ids)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(some), np.int32)), pa.array(some), pa.array(ids[some])],
+                                         names=["kind", "key", "n"])
+        yield _pair_rows(pairs)
     return run
 
 
+def _pair_rows(pairs: dict[int, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), 2, np.int32)), pa.array(list(pairs), pa.int64()),
+                                       pa.array(list(pairs.values()), pa.int64())], names=["kind", "key", "n"])
+
+
 # ---------------------------------------------------------------- the model
 def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(class of each id, log10 share of its class): ids in order of frequency, cut into classes of about equal mass."""
@@ -137,11 +154,6 @@ class PairShares:
         return np.log10((n + extra * self.share[ids]) / (total + extra))
 
 
-def windows_of(n: int) -> np.ndarray:
-    """Starts of the windows over n ids; all but the first score only past their first OVERLAP positions."""
-    return np.arange(0, max(1, n - OVERLAP), WINDOW - OVERLAP)
-
-
 def _mask() -> np.ndarray:
     return np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
@@ -178,6 +190,27 @@ class Attention:
             keep.update(e=e, q=q, k=k, v=v, a=a, m=m, h=h)
         return z
 
+    def target_log(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Natural log-probability of the given classes: :meth:`forward` at ``y`` alone, with the products that only
+        depend on the kind or the position taken once."""
+        if not hasattr(self, "tables"):
+            qkv = np.concatenate((self.wq / np.float32(np.sqrt(DIM)), self.wk, self.wv), axis=1)
+            self.tables = (self.emb @ qkv, self.pos @ qkv, self.emb @ self.wu + self.last, self.pos @ self.wu, self.wo @ self.wu)
+        emb_qkv, pos_qkv, emb_u, pos_u, out_u = self.tables
+        e = emb_qkv[x]
+        e += pos_qkv
+        a = np.matmul(e[..., :DIM], e[..., DIM:2 * DIM].transpose(0, 2, 1))
+        a += self.mask
+        np.exp(a, out=a)
+        m = np.matmul(a, e[..., 2 * DIM:])
+        m /= a.sum(axis=2, keepdims=True)
+        z = m @ out_u
+        z += emb_u[x]
+        z += pos_u
+        picked = np.take_along_axis(z, y[..., None], 2)[..., 0]
+        np.exp(z, out=z)
+        return picked - np.log(z.sum(axis=2))
+
     def gradients(self, x, y, weight):
         s: dict = {}
         z = self.forward(x, s)
@@ -229,90 +262,108 @@ class Attention:
         return self
 
 
-def _batch(texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of all texts (kinds, classes): (kind before, class, 1.0 where this window is the one that scores it)."""
-    sizes = np.array([len(c) for _, c in texts], np.int64)
-    if not len(sizes):
-        e = np.zeros((0, WINDOW), np.int64)
-        return e, e, e.astype(np.float32)
-    first = np.concatenate(([0], np.cumsum(sizes)))
-    classes = np.concatenate([c for _, c in texts]).astype(np.int64)
-    before = np.concatenate([[TYPES], *(k for k, _ in texts)])[:-1].astype(np.int64)
-    before[first[:-1]] = TYPES
-    starts = [windows_of(n) for n in sizes]
-    count = np.array([len(s) for s in starts])
-    inside = np.concatenate(starts)
-    at = inside[:, None] + np.arange(WINDOW)
+def _windows(kinds: np.ndarray, classes: np.ndarray, sizes: np.ndarray):
+    """Windows of texts that lie one after the other: (kind before, class, 1.0 where this window is the one that
+    scores it, text)."""
+    first = np.cumsum(sizes) - sizes
+    before = np.empty(len(kinds), np.int32)
+    before[1:] = kinds[:-1]
+    before[first] = TYPES
+    count = np.maximum(1, -(-(sizes - OVERLAP) // (WINDOW - OVERLAP)))
     owner = np.repeat(np.arange(len(sizes)), count)
+    inside = (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) * (WINDOW - OVERLAP)
+    at = inside[:, None] + np.arange(WINDOW)
     weight = at < sizes[owner][:, None]
     weight &= (inside == 0)[:, None] | (np.arange(WINDOW) >= OVERLAP)
     at += first[owner][:, None]
-    at = np.minimum(at, len(classes) - 1)
-    return before[at], classes[at], weight.astype(np.float32)
-
+    np.minimum(at, len(classes) - 1, out=at)
+    return before[at], classes[at], weight.astype(np.float32), owner
 
-def class_log10(model: Attention, texts: list[tuple[np.ndarray, np.ndarray]], block: int = 4096) -> np.ndarray:
-    """log10 probability of each text's class sequence; every position is scored by exactly one window."""
-    out = np.zeros(len(texts))
-    group, size = [], 0
 
-    def flush():
-        x, y, weight = _batch([texts[i] for i in group])
+def _batch(texts: list[tuple[np.ndarray, np.ndarray]]):
+    """The windows of (kinds, classes) of several texts, without their owners."""
+    if not texts:
+        e = np.zeros((0, WINDOW), np.int64)
+        return e, e, e.astype(np.float32)
+    sizes = np.array([len(c) for _, c in texts], np.int64)
+    return _windows(np.concatenate([k for k, _ in texts]), np.concatenate([c for _, c in texts]).astype(np.int64), sizes)[:3]
+
+
+def flat_log10(model: Attention, kinds: np.ndarray, classes: np.ndarray, sizes: np.ndarray, most: int = 200_000,
+               block: int = 2048) -> np.ndarray:
+    """log10 probability of each text's class sequence; every position is scored by exactly one window.  Texts are
+    taken in groups of about ``most`` ids, windows in blocks."""
+    out = np.zeros(len(sizes))
+    ends = np.cumsum(sizes)
+    a = 0
+    while a < len(sizes):
+        start = ends[a] - sizes[a]
+        b = max(a + 1, int(np.searchsorted(ends, start + most)))
+        part = slice(int(start), int(ends[b - 1]))
+        x, y, weight, owner = _windows(kinds[part], classes[part].astype(np.int64), sizes[a:b])
         got = np.empty(len(x))
-        for a in range(0, len(x), block):
-            z = model.forward(x[a:a + block])
-            z = np.take_along_axis(z, y[a:a + block][..., None], 2)[..., 0]
-            got[a:a + block] = (z * weight[a:a + block]).sum(axis=1, dtype=np.float64)
-        owner = np.repeat(np.arange(len(group)), [len(windows_of(len(texts[i][1]))) for i in group])
-        out[group] = np.bincount(owner, got, len(group)) / np.log(10)
-
-    for i, t in enumerate(texts):
-        group.append(i)
-        size += len(t[1])
-        if size > 400_000 or i == len(texts) - 1:
-            flush()
-            group, size = [], 0
+        for i in range(0, len(x), block):
+            z = model.target_log(x[i:i + block], y[i:i + block])
+            got[i:i + block] = (z * weight[i:i + block]).sum(axis=1, dtype=np.float64)
+        out[a:b] = np.bincount(owner, got, b - a) / np.log(10)
+        a = b
     return out
 
 
+def class_log10(model: Attention, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """:func:`flat_log10` of texts given as (kinds, classes)."""
+    return flat_log10(model, np.concatenate([k for k, _ in texts]), np.concatenate([c for _, c in texts]),
+                      np.array([len(c) for _, c in texts], np.int64))
+
+
+class _Words:
+    """What scoring needs of each word, in arrays by the word's number; number 0 is the end of a text."""
+
+    def __init__(self, s: dict, ids_of: WordIds):
+        self.s, self.ids_of, self.number = s, ids_of, {}
+        one = np.array([s["end_id"]])
+        self.kinds, self.classes = s["kinds"][one], s["class"][one]
+        self.start, self.length = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.inside, self.base = np.array([s["end_inside"]]), np.array([s["end_base"]])
+        self.rare, self.key = np.zeros(1, bool), np.zeros(1, np.int64)
+
+    def add(self, fresh: list[bytes]):
+        s = self.s
+        key = word_keys(fresh)
+        at = np.minimum(np.searchsorted(s["keys"], key), max(0, len(s["keys"]) - 1))
+        known = s["keys"][at] == key if len(s["keys"]) else np.zeros(len(fresh), bool)
+        ids, before, size = _flat_ids(fresh, self.ids_of)
+        total = np.concatenate(([0.0], np.cumsum(s["shares"].log10(ids, before))))
+        edge = np.concatenate(([0], np.cumsum(size)))
+        base = np.where(known, s["log10"][at], 0.0) if len(s["keys"]) else np.zeros(len(fresh))
+        self.number.update(zip(fresh, range(len(self.start), len(self.start) + len(fresh))))
+        for name, new in (("start", edge[:-1] + len(self.kinds)), ("length", size), ("inside", total[edge[1:]] - total[edge[:-1]]),
+                          ("base", base), ("rare", ~known), ("key", key), ("kinds", s["kinds"][ids]), ("classes", s["class"][ids])):
+            setattr(self, name, np.concatenate((getattr(self, name), new)))
+
+
 def _score(path: str, shared):
     def run(batches):
-        s = shared.value
-        ids_of, keys, values, model = WordIds(path), s["keys"], s["log10"], s["model"]
-        kinds, cls, shares, end_id, end_in, end_base = (s[k] for k in ("kinds", "class", "shares", "end_id", "end_inside",
-                                                                       "end_base"))
-        as_kind, as_class, in_class, base, rare = {}, {}, {}, {}, {}
-        end_kind, end_class = kinds[[end_id]].tobytes(), cls[[end_id]].tobytes()
+        s, ids_of = shared.value, WordIds(path)
+        words = _Words(s, ids_of)
         for b, texts in C.text_batches(batches):
             split = [(t or b"").lower().split() for t in texts]
-            if len(as_class) > CACHE_WORDS:
-                for d in (as_kind, as_class, in_class, base, rare):
-                    d.clear()
-            fresh = list(set(chain.from_iterable(split)).difference(as_class))
-            hashes = np.fromiter(map(word_key, fresh), np.int64, len(fresh))
-            at = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
-            known = keys[at] == hashes if len(keys) else np.zeros(len(fresh), bool)
-            ids, before, size = _flat_ids(fresh, ids_of)
-            total = np.concatenate(([0.0], np.cumsum(shares.log10(ids, before))))
-            edge = np.concatenate(([0], np.cumsum(size)))
-            inside = (total[edge[1:]] - total[edge[:-1]]).tolist()
-            raw_kind, raw_class, edge = kinds[ids].tobytes(), cls[ids].tobytes(), edge.tolist()
-            for i, (w, h, ok, k) in enumerate(zip(fresh, hashes.tolist(), known.tolist(), at.tolist())):
-                as_kind[w] = raw_kind[2 * edge[i]:2 * edge[i + 1]]
-                as_class[w] = raw_class[edge[i]:edge[i + 1]]
-                in_class[w] = inside[i]
-                base[w] = values[k] if ok else 0.0
-                if not ok:
-                    rare[w] = h
-            seqs = [(np.frombuffer(b"".join(map(as_kind.__getitem__, ws)) + end_kind, np.uint16),
-                     np.frombuffer(b"".join(map(as_class.__getitem__, ws)) + end_class, np.uint8)) for ws in split]
-            score = class_log10(model, seqs)
-            score += [sum(map(in_class.__getitem__, ws)) + end_in for ws in split]
-            odd = [[rare[w] for w in ws if w in rare] for ws in split]
+            if len(words.number) > CACHE_WORDS:
+                words = _Words(s, ids_of)
+            words.add(list(set(chain.from_iterable(split)).difference(words.number)))
+            sizes = np.fromiter(map(len, split), np.int64, len(split)) + 1
+            get = words.number.__getitem__
+            at = np.fromiter(chain.from_iterable(chain(map(get, ws), (0,)) for ws in split), np.int64, int(sizes.sum()))
+            first = np.cumsum(sizes) - sizes
+            length = words.length[at]
+            place = np.repeat(words.start[at] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+            score = flat_log10(s["model"], words.kinds[place], words.classes[place], np.add.reduceat(length, first))
+            score += np.add.reduceat(words.inside[at], first)
+            rare = words.rare[at]
+            ends = np.concatenate(([0], np.cumsum(np.add.reduceat(rare.astype(np.int64), first)))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(ws) + 1 for ws in split], pa.int64()),
-                 pa.array([sum(map(base.__getitem__, ws)) + end_base for ws in split], pa.float64()),
-                 pa.array(odd, pa.list_(pa.int64())), pa.array(score, pa.float64())],
+                [b.column("doc_id"), pa.array(sizes), pa.array(np.add.reduceat(words.base[at], first)),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(words.key[at[rare]])), pa.array(score)],
                 names=["doc_id", "n_tokens", "frequent", "rare", "score"])
     return run
 
@@ -328,8 +379,8 @@ def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     docs = C.with_text(df, text_col, F.col(id_col).cast("long").alias("doc_id"))
     held = F.coalesce(C.crc_mod("doc_id", MODULUS) == 1, F.lit(False))
     train = docs.where(~held)
-    counts = cut_lineage(train.mapInArrow(_count(path, end_id), "kind int, key long, n long").groupBy("kind", "key")
-                         .agg(F.sum("n").alias("n")).where("n > 0"))
+    distinct_words = train.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = cut_lineage(distinct_words.where("n > 0").mapInArrow(_count_ids(path, end_id), "kind int, key long, n long"))
     words = counts.where("kind = 0").select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_z = float(np.log10(total + 0.5 * (distinct + 1)))
@@ -337,13 +388,14 @@ def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     top = words.where(F.col("key") != END).orderBy(F.desc("n"), "key").limit(FREQUENT_WORDS).toPandas().sort_values("key")
     keys, n = top["key"].to_numpy(np.int64), top["n"].to_numpy(np.float64)
     ends = [r["n"] for r in words.where(F.col("key") == END).collect()]
-    ids = counts.where("kind = 1").toPandas()   # at most as many rows as the tokenizer has ids
+    # at most as many rows as the tokenizer has ids
+    ids = counts.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     from tokenizers import Tokenizer
     per_id = np.zeros(max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1))
     per_id[ids["key"].to_numpy(np.int64)] = ids["n"].to_numpy(np.float64)
     cls, share = classes_of(per_id)
     kinds = types_of(per_id)
-    pair = counts.where("kind = 2").orderBy(F.desc("n"), "key").limit(FREQUENT_PAIRS).toPandas()
+    pair = counts.where("kind = 2").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT_PAIRS).toPandas()
     shares = PairShares(pair["key"].to_numpy(np.int64), pair["n"].to_numpy(np.int64), cls, share)
 
     fit_on = (train.where("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(MAX_FIT_TEXTS)
@@ -352,7 +404,7 @@ def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     model = Attention().fit([(kinds[i], cls[i]) for i in fit_on])
     end_base = float(np.log10((ends[0] if ends else 0) + 0.5)) - log_z
     shared = spark.sparkContext.broadcast({
-        "keys": keys, "log10": (np.log10(n + 0.5) - log_z).tolist(), "kinds": kinds, "class": cls, "shares": shares,
+        "keys": keys, "log10": np.log10(n + 0.5) - log_z, "kinds": kinds, "class": cls, "shares": shares,
         "model": model, "end_id": end_id, "end_inside": float(share[end_id]), "end_base": end_base})
     scored = cut_lineage(docs.mapInArrow(_score(path, shared), "doc_id long, n_tokens long, frequent double, "
                                          "rare array<long>, score double")

@@ -43,15 +43,18 @@ class WordIds(dict):
             self.clear()
         out = self.old.pop(word, None)
         if out is None:
-            text = word.decode("utf-8", "replace")
-            if "<|" in text or max(text) >= _LATIN_END or not text.isprintable():
-                out = np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                low = text.lower()
-                out = self._piece(low) if low.isalpha() else b"".join(map(self._piece, _SPLIT.findall(low)))
+            out = self.ids(word)
         self[word] = out
         return out
 
+    def ids(self, word: bytes) -> bytes:
+        """Ids of a word, its pre-tokens remembered but not the word."""
+        text = word.decode("utf-8", "replace")
+        if "<|" in text or max(text) >= _LATIN_END or not text.isprintable():
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        low = text.lower()
+        return self._piece(low) if low.isalpha() else b"".join(map(self._piece, _SPLIT.findall(low)))
+
     def _piece(self, piece: str) -> bytes:
         out = self.pieces.get(piece)
         if out is None:

@@ -126,6 +126,8 @@ def test_op4_model():
         assert weight.sum() == len(t[1])
     together = L.class_log10(m, texts)
     assert np.allclose(together, [L.class_log10(m, [t])[0] for t in texts], rtol=1e-4)
+    xs, ys, _ = L._batch(texts)
+    assert np.allclose(m.target_log(xs, ys), np.take_along_axis(m.forward(xs), ys[..., None], 2)[..., 0], atol=1e-4)
     x = np.array([t[0][:16] for t in texts[-2:]])
     p = np.exp(m.forward(x)).sum(axis=2)
     assert np.allclose(p, 1, atol=1e-4)
