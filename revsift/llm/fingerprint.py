@@ -76,10 +76,10 @@ def _with_bucket(docs: DataFrame, ids: DataFrame) -> DataFrame:
                            .otherwise(F.greatest(F.lit(0), F.least(F.lit(fine - 1), part))).cast("int"))
 
 
-def with_next(docs: DataFrame, value_cols: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, value_cols: list[str], derive=lambda d: d) -> DataFrame:
     """Adds ``next_<col>`` of the row after each in descending doc_id (ties by text, null ids last; after the last
     the first).  Rows are dealt into ranges of ids; a range also gets a copy of the next lower range's first rows, so
-    each is finished alone."""
+    each is finished alone.  ``derive`` adds columns once the copies are chosen, so it runs once per row."""
     ids = docs.select("doc_id")
     real = _with_bucket(docs, ids)
     top = _with_bucket(ids, ids).groupBy("c", "f").agg(F.max("doc_id").alias("top"))
@@ -98,7 +98,7 @@ def with_next(docs: DataFrame, value_cols: list[str]) -> DataFrame:
     ghost = C.maybe_in(docs, "doc_id", C.id_bitmap(known, "top")).join(known, F.col("doc_id") == F.col("top")).drop("top")
     none = to.where("top is null").drop("top")
     ghost = ghost.unionByName(docs.where("doc_id is null").join(F.broadcast(none), F.lit(True)).select(ghost.columns))
-    both = real.withColumn("ghost", F.lit(0)).unionByName(ghost.withColumn("ghost", F.lit(1)))
+    both = derive(real.withColumn("ghost", F.lit(0)).unionByName(ghost.withColumn("ghost", F.lit(1))))
     order = Window.partitionBy("c", "f").orderBy("ghost", F.desc_nulls_last("doc_id"), "text")
     for v in value_cols:
         both = both.withColumn(f"next_{v}", F.lead(v).over(order))
@@ -113,7 +113,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     C.prepare(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    docs = with_next(with_fingerprint(docs, "text", "fingerprint"), ["text", "fingerprint"])
+    docs = with_next(docs, ["text", "fingerprint"], lambda d: with_fingerprint(d, "text", "fingerprint"))
     docs = docs.withColumn("n_chars", F.char_length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     docs = docs.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")),
