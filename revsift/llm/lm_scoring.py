@@ -5,15 +5,19 @@ the ids before it (rare ones by group), and the id's share of its class, given t
 from counts over all training texts.  Classes hold about equal mass, so frequent ids stand alone.  A text is scored in windows that overlap: every id is scored once, with at
 least ``OVERLAP`` ids before it (fewer at the start of the text), by batched masked attention.
 
-Counts (words, ids) cover every training text; the attention weights are fitted on a bounded sample of them."""
+Counts (words, ids, pairs, the class after each kind) cover every training text.  The attention weights start from a
+small sample and are then fitted on every window of every training text: texts are dealt by a hash into parts of about
+``PART_IDS`` ids, each part takes Adam steps through its windows, and the parts' weights are averaged by their ids."""
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +30,10 @@ CLASSES, DIM, WINDOW, OVERLAP = 32, 8, 16, 4
 TYPES, RARE_TYPES = 2048, 64
 #: Most frequent pairs of ids inside words whose counts are broadcast; other pairs use the id's share of its class.
 FREQUENT_PAIRS = 400_000
-#: Bounds of the sample the attention weights are fitted on, and of the fit.
+#: Texts and steps of the starting weights; the fit goes on from them through all training texts.
 MAX_FIT_TEXTS, STEPS, BATCH = 400, 500, 128
+#: Ids of a part of the training texts, windows per step, first rate and ids read at a time in the fit on all texts.
+PART_IDS, PART_BATCH, PART_RATE, PART_READ = 2_000_000, 256, 0.004, 200_000
 #: Most frequent words whose counts are broadcast; the counts of all others meet their texts in a join.
 FREQUENT_WORDS = 120_000
 #: Distinct words a task counts before it hands its counts on, and words it remembers while scoring.
@@ -177,6 +183,7 @@ class Attention:
         q, k, v = e @ (self.wq / np.float32(np.sqrt(DIM))), e @ self.wk, e @ self.wv
         a = np.matmul(q, k.transpose(0, 2, 1))
         a += self.mask
+        a -= a.max(axis=2, keepdims=True)
         np.exp(a, out=a)
         a /= a.sum(axis=2, keepdims=True)
         m = np.matmul(a, v)
@@ -201,12 +208,14 @@ class Attention:
         e += pos_qkv
         a = np.matmul(e[..., :DIM], e[..., DIM:2 * DIM].transpose(0, 2, 1))
         a += self.mask
+        a -= a.max(axis=2, keepdims=True)
         np.exp(a, out=a)
         m = np.matmul(a, e[..., 2 * DIM:])
         m /= a.sum(axis=2, keepdims=True)
         z = m @ out_u
         z += emb_u[x]
         z += pos_u
+        z -= z.max(axis=2, keepdims=True)
         picked = np.take_along_axis(z, y[..., None], 2)[..., 0]
         np.exp(z, out=z)
         return picked - np.log(z.sum(axis=2))
@@ -221,7 +230,6 @@ class Attention:
         d *= (weight / max(1.0, weight.sum()))[..., None]
         f = lambda t: t.reshape(-1, t.shape[-1])
         g = {"wu": f(s["h"]).T @ f(d), "last": np.zeros_like(self.last)}
-        np.add.at(g["last"], x.ravel(), f(d))
         dh = d @ self.wu.T
         dm = dh @ self.wo.T
         g["wo"] = f(s["m"]).T @ f(dh)
@@ -233,34 +241,60 @@ class Attention:
         g["wq"], g["wk"], g["wv"] = f(s["e"]).T @ f(dq) * scale, f(s["e"]).T @ f(dk), f(s["e"]).T @ f(dv)
         de = dh + dq @ self.wq.T * scale + dk @ self.wk.T + dv @ self.wv.T
         g["pos"], g["emb"] = de.sum(axis=0), np.zeros_like(self.emb)
-        np.add.at(g["emb"], x.ravel(), f(de))
+        order = np.argsort(x.ravel(), kind="stable")
+        kind, first = np.unique(x.ravel()[order], return_index=True)
+        g["last"][kind] = np.add.reduceat(f(d)[order], first, axis=0)
+        g["emb"][kind] = np.add.reduceat(f(de)[order], first, axis=0)
         loss = -(np.take_along_axis(z, y[..., None], 2)[..., 0] * weight).sum() / max(1.0, weight.sum())
         return float(loss), g
 
-    def fit(self, texts: list[tuple[np.ndarray, np.ndarray]], seed: int = 17) -> "Attention":
-        """texts: (kinds, classes) of their ids.  Adam on random batches of windows; starts from smoothed pair counts."""
+    def fit(self, texts: list[tuple[np.ndarray, np.ndarray]], seed: int = 17, pairs: np.ndarray | None = None) -> "Attention":
+        """texts: (kinds, classes) of their ids.  Adam on random batches of windows; starts from smoothed counts of
+        (kind before, class): ``pairs``, or those of the texts."""
         x, y, weight = _batch(texts)
         if not len(x):
             return self
-        pairs = np.zeros((TYPES + 1, CLASSES))
-        np.add.at(pairs, (x[weight > 0], y[weight > 0]), 1)
+        if pairs is None:
+            pairs = np.zeros((TYPES + 1, CLASSES))
+            np.add.at(pairs, (x[weight > 0], y[weight > 0]), 1)
         any_ = (pairs.sum(axis=0) + 0.5) / (pairs.sum() + 0.5 * CLASSES)
-        pairs += 4 * any_
+        pairs = pairs + 4 * any_
         self.last = np.log(pairs / pairs.sum(axis=1, keepdims=True)).astype(np.float32)
         self.wu *= 0.1
         rng = np.random.default_rng(seed)
-        m = {k: np.zeros_like(getattr(self, k)) for k in self.NAMES}
-        v = {k: np.zeros_like(getattr(self, k)) for k in self.NAMES}
+        self.start()
         for t in range(1, STEPS + 1):
             at = rng.integers(len(x), size=BATCH)
-            _, g = self.gradients(x[at], y[at], weight[at])
-            for k in self.NAMES:
-                m[k] += 0.1 * (g[k] - m[k])
-                v[k] += 0.01 * (g[k] * g[k] - v[k])
-                step = 0.02 * (1 - t / (STEPS + 1)) * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.99 ** t)) + 1e-8)
-                setattr(self, k, (getattr(self, k) - step).astype(np.float32))
+            self.step(x[at], y[at], weight[at], 0.02 * (1 - t / (STEPS + 1)))
         return self
 
+    def start(self):
+        self.t = 0
+        self.m = {k: np.zeros_like(getattr(self, k)) for k in self.NAMES}
+        self.v = {k: np.zeros_like(getattr(self, k)) for k in self.NAMES}
+
+    def step(self, x, y, weight, rate: float):
+        """One step of Adam."""
+        _, g = self.gradients(x, y, weight)
+        self.t += 1
+        m, v, rate, spread = self.m, self.v, np.float32(rate / (1 - 0.9 ** self.t)), np.float32(1 / (1 - 0.99 ** self.t))
+        for k in self.NAMES:
+            m[k] += np.float32(0.1) * (g[k] - m[k])
+            v[k] += np.float32(0.01) * (g[k] * g[k] - v[k])
+            setattr(self, k, getattr(self, k) - rate * m[k] / (np.sqrt(v[k] * spread) + np.float32(1e-8)))
+
+    def weights(self) -> np.ndarray:
+        return np.concatenate([getattr(self, k).ravel() for k in self.NAMES]).astype(np.float64)
+
+    def put(self, weights: np.ndarray) -> "Attention":
+        """A model of these weights, without what only the fit needs."""
+        out, at = Attention(), 0
+        for k in self.NAMES:
+            old = getattr(self, k)
+            setattr(out, k, weights[at:at + old.size].reshape(old.shape).astype(np.float32))
+            at += old.size
+        return out
+
 
 def _windows(kinds: np.ndarray, classes: np.ndarray, sizes: np.ndarray):
     """Windows of texts that lie one after the other: (kind before, class, 1.0 where this window is the one that
@@ -316,6 +350,107 @@ def class_log10(model: Attention, texts: list[tuple[np.ndarray, np.ndarray]]) ->
                       np.array([len(c) for _, c in texts], np.int64))
 
 
+# ---------------------------------------------------------------- the fit on all training texts
+def _encode(path: str, kinds: np.ndarray, cls: np.ndarray, end_id: int):
+    """(h, text) -> (h, kinds, classes) of the text's ids and its end."""
+    def run(batches):
+        ids_of, end = WordIds(path), end_id.to_bytes(4, "little")
+        for b, texts in C.text_batches(batches):
+            raw = [b"".join(map(ids_of.__getitem__, (t or b"").lower().split())) + end for t in texts]
+            edge = np.concatenate(([0], np.cumsum([len(r) // 4 for r in raw])))
+            ids = np.frombuffer(b"".join(raw), "<u4")
+            cols = [pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer((edge * a.itemsize).astype(np.int32)),
+                                                                  pa.py_buffer(a)]) for a in (kinds[ids], cls[ids])]
+            yield pa.RecordBatch.from_arrays([b.column("h"), *cols], names=["h", "kinds", "classes"])
+    return run
+
+
+def _encoded(batches):
+    """(kinds, classes, sizes) of about PART_READ ids of whole texts at a time."""
+    kinds, classes, n = [], [], 0
+
+    def out():
+        return (np.frombuffer(b"".join(kinds), np.uint16), np.frombuffer(b"".join(classes), np.uint8),
+                np.fromiter(map(len, classes), np.int64, len(classes)))
+    for b in batches:
+        for k, c in zip(b.column("kinds").to_pylist(), b.column("classes").to_pylist()):
+            kinds.append(k)
+            classes.append(c)
+            n += len(c)
+            if n >= PART_READ:
+                yield out()
+                kinds, classes, n = [], [], 0
+    if n:
+        yield out()
+
+
+def _count_classes(batches):
+    """(kind before * CLASSES + class, count) of a part."""
+    size = (TYPES + 1) * CLASSES
+    total = np.zeros(size, np.int64)
+    for kinds, classes, sizes in _encoded(batches):
+        before = np.empty(len(kinds), np.int64)
+        before[1:] = kinds[:-1]
+        before[np.cumsum(sizes) - sizes] = TYPES
+        total += np.bincount(before * CLASSES + classes, minlength=size)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["key", "n"])
+
+
+def _fit_part(shared, slots: int):
+    """(slot, ids, weights times ids) after a part's windows, each taken once."""
+    def run(batches):
+        model, seen = copy.deepcopy(shared.value), 0
+        rng, t, most = np.random.default_rng(19), 0, PART_IDS / (WINDOW - OVERLAP) / PART_BATCH
+        for kinds, classes, sizes in _encoded(batches):
+            x, y, weight, _ = _windows(kinds, classes.astype(np.int64), sizes)
+            for at in np.array_split(rng.permutation(len(x)), -(-len(x) // PART_BATCH)):
+                model.step(x[at], y[at], weight[at], PART_RATE * max(0.05, 1 - t / most))
+                t += 1
+            seen += len(classes)
+        if seen:
+            yield _weights_row(TaskContext.get().partitionId() % slots, seen, model.weights() * seen)
+    return run
+
+
+def _weights_row(slot: int, n: int, weights: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([n], pa.int64()),
+                                       pa.array([weights.tobytes()], pa.binary())], names=["slot", "n", "weights"])
+
+
+def _sum_weights(batches):
+    n, total = 0, 0.0
+    for b in batches:
+        for m, w in zip(b.column("n").to_pylist(), b.column("weights").to_pylist()):
+            n, total = n + m, total + np.frombuffer(w)
+    if n:
+        yield _weights_row(0, n, total)
+
+
+def fit_all(train: DataFrame, path: str, kinds: np.ndarray, cls: np.ndarray, n_ids: int, end_id: int) -> Attention:
+    """The model of all rows (doc_id, text) of ``train``, which have ``n_ids`` ids.  Which part a text is in, and its
+    place there, follow from its hash: the partitions of the table don't matter."""
+    spark = train.sparkSession
+    parts = max(1, -(-n_ids // PART_IDS))
+    encoded = cut_lineage(train.select(F.xxhash64("doc_id", "text").alias("h"), "text")
+                          .mapInArrow(_encode(path, kinds, cls, end_id), "h long, kinds binary, classes binary")
+                          .repartition(parts, "h").sortWithinPartitions("h", "kinds", "classes"))
+    # at most (TYPES + 1) * CLASSES rows
+    got = encoded.mapInArrow(_count_classes, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    pairs = np.zeros((TYPES + 1) * CLASSES)
+    pairs[got["key"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
+    first = encoded.orderBy("h", "kinds", "classes").limit(MAX_FIT_TEXTS).collect()
+    model = Attention().fit([(np.frombuffer(r["kinds"], np.uint16), np.frombuffer(r["classes"], np.uint8)) for r in first],
+                            pairs=pairs.reshape(TYPES + 1, CLASSES))
+    if not first:
+        return model
+    slots = int(np.ceil(np.sqrt(parts)))
+    row = "slot int, n long, weights binary"
+    rows = (encoded.mapInArrow(_fit_part(spark.sparkContext.broadcast(model), slots), row)
+            .repartition(slots, "slot").mapInArrow(_sum_weights, row).collect())
+    return model.put(sum(np.frombuffer(r["weights"]) for r in rows) / sum(r["n"] for r in rows))
+
+
 class _Words:
     """What scoring needs of each word, in arrays by the word's number; number 0 is the end of a text."""
 
@@ -398,10 +533,7 @@ def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     pair = counts.where("kind = 2").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT_PAIRS).toPandas()
     shares = PairShares(pair["key"].to_numpy(np.int64), pair["n"].to_numpy(np.int64), cls, share)
 
-    fit_on = (train.where("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(MAX_FIT_TEXTS)
-              .mapInArrow(_sample(path), "ids binary").collect())
-    fit_on = [np.append(np.frombuffer(r["ids"], np.int32), end_id) for r in fit_on]
-    model = Attention().fit([(kinds[i], cls[i]) for i in fit_on])
+    model = fit_all(train, path, kinds, cls, int(per_id.sum()), end_id)
     end_base = float(np.log10((ends[0] if ends else 0) + 0.5)) - log_z
     shared = spark.sparkContext.broadcast({
         "keys": keys, "log10": np.log10(n + 0.5) - log_z, "kinds": kinds, "class": cls, "shares": shares,
@@ -419,12 +551,3 @@ def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                     F.lit(int(total)).cast("long").alias("train_tokens"),
                     (F.col("frequent") + F.coalesce("sum_rare", F.lit(0.0)) + missing * F.lit(unseen)).alias("base_score"),
                     "score"))
-
-
-def _sample(path: str):
-    def run(batches):
-        ids_of = WordIds(path)
-        for _, texts in C.text_batches(batches):
-            out = [b"".join(map(ids_of.__getitem__, (t or b"").lower().split())) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
-    return run

@@ -159,6 +159,38 @@ def test_op4_shares_sum_to_one_in_each_class():
         assert np.allclose(np.bincount(cls, p, L.CLASSES)[np.unique(cls)], 1)
 
 
+def _lm_table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def test_op4_fit_reads_every_training_text(spark, rows, monkeypatch):
+    from revsift.llm import lm_scoring as L
+    from revsift.llm.word_ids import WordIds
+    path = PT.path("word_bpe_49k.json")
+    monkeypatch.setattr(L, "MAX_FIT_TEXTS", 2)
+    seen, fit = [], L.Attention.fit
+    monkeypatch.setattr(L.Attention, "fit", lambda self, texts, **kw: seen.append((len(texts), kw["pairs"])) or fit(self, texts, **kw))
+    ids_of = WordIds(path)
+    flat = [np.append(np.frombuffer(b"".join(ids_of.ids(w) for w in (t or "").lower().encode().split()), "<u4"), 49407) for _, t in rows]
+    counts = np.bincount(np.concatenate(flat), minlength=49408).astype(float)
+    kinds, (cls, _) = L.types_of(counts), L.classes_of(counts)
+    train = _lm_table(spark, rows).selectExpr("doc_id", "cast(text as binary) AS text")
+    got = L.fit_all(train, path, kinds, cls, sum(map(len, flat)), 49407)
+    want = np.zeros((L.TYPES + 1, L.CLASSES))
+    for i in flat:
+        np.add.at(want, (np.append(L.TYPES, kinds[i[:-1]]), cls[i]), 1)
+    assert seen[0][0] == 2 and np.array_equal(seen[0][1], want)
+    # small parts: every part's windows change the weights, however the table is partitioned
+    monkeypatch.setattr(L, "PART_IDS", 20_000)
+    many = L.fit_all(train, path, kinds, cls, sum(map(len, flat)), 49407)
+    again = L.fit_all(train.repartition(7), path, kinds, cls, sum(map(len, flat)), 49407)
+    assert np.allclose(many.weights(), again.weights(), atol=1e-5)
+    texts = [(kinds[i], cls[i]) for i in flat]
+    start = fit(L.Attention(), texts[:2], pairs=want)
+    for model in (got, many):
+        assert L.class_log10(model, texts).sum() > L.class_log10(start, texts).sum()
+
+
 def test_op5_fingerprints(spark, rows):
     got = {r.doc_id: r for r in E.queries()["op5_fingerprints"](spark, SF_SMALL).collect()}
     order = sorted(((d, t or "") for d, t in rows), reverse=True)
