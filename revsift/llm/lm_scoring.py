@@ -28,7 +28,7 @@ from revsift.session import cut_lineage
 CLASSES, DIM, WINDOW, OVERLAP = 32, 8, 16, 4
 #: Kinds of id that attention reads: all but the last RARE_TYPES are single frequent ids.
 TYPES, RARE_TYPES = 2048, 64
-#: Most frequent pairs of ids inside words whose counts are broadcast; other pairs use the id's share of its class.
+#: Most frequent pairs of ids inside words whose counts are broadcast; the counts of all others meet their texts in a join.
 FREQUENT_PAIRS = 400_000
 #: Texts and steps of the starting weights; the fit goes on from them through all training texts.
 MAX_FIT_TEXTS, STEPS, BATCH = 400, 500, 128
@@ -138,26 +138,73 @@ def types_of(counts: np.ndarray) -> np.ndarray:
 
 class PairShares:
     """log10 of an id's share of its class, given the id before it in its word: pair counts, smoothed by the share
-    over all texts with as much weight as the context has different followers in that class."""
+    over all texts with as much weight as the context has different followers in that class.
 
-    def __init__(self, keys: np.ndarray, n: np.ndarray, cls: np.ndarray, log_share: np.ndarray):
+    ``contexts``: (context, total, followers) over all pairs where ``keys`` are only the most frequent ones.  A pair
+    outside ``keys`` then scores as never seen, and :meth:`bonus` of its count makes that whole."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, cls: np.ndarray, log_share: np.ndarray, contexts=None):
         order = np.argsort(keys)
         self.keys, self.n = np.append(keys[order], np.int64(1 << 62)), np.append(n[order].astype(np.float64), 0.0)
         self.cls, self.share = cls, 10.0 ** log_share
-        context = ((keys >> 32) << 8) | cls[keys & 0xFFFFFFFF]
-        self.context, at, self.kinds = np.unique(context, return_inverse=True, return_counts=True)
-        self.total = np.append(np.bincount(at, n, len(self.context)), 0.0)
-        self.context, self.kinds = np.append(self.context, np.int64(1 << 62)), np.append(self.kinds, 0)
+        context, at, kinds = np.unique(contexts_of(keys, cls), return_inverse=True, return_counts=True)
+        total = held = np.bincount(at, n, len(context))
+        if contexts is not None:
+            order = np.argsort(contexts[0])
+            every, total, kinds = (np.asarray(c)[order] for c in contexts)
+            held = np.zeros(len(every))
+            held[np.searchsorted(every, context)] = np.bincount(at, n, len(context))
+            context = every
+        self.context, self.kinds = np.append(context, np.int64(1 << 62)), np.append(kinds, 0)
+        self.total, self.open = np.append(total.astype(np.float64), 0.0), np.append(total > held, False)
+
+    def _context(self, ids: np.ndarray, before: np.ndarray):
+        """(place, known, weight of the share over all texts) of each pair's context."""
+        context = (before << 8) | self.cls[ids]
+        at = np.searchsorted(self.context, context)
+        known = self.context[at] == context
+        return at, known, np.where(known, self.kinds[at], 0) + 0.5
 
     def log10(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
         key = (before << 32) | ids
         at = np.searchsorted(self.keys, key)
         n = np.where(self.keys[at] == key, self.n[at], 0.0)
-        context = (before << 8) | self.cls[ids]
-        at = np.searchsorted(self.context, context)
-        known = self.context[at] == context
-        total, extra = np.where(known, self.total[at], 0.0), np.where(known, self.kinds[at], 0) + 0.5
-        return np.log10((n + extra * self.share[ids]) / (total + extra))
+        at, known, extra = self._context(ids, before)
+        return np.log10((n + extra * self.share[ids]) / (np.where(known, self.total[at], 0.0) + extra))
+
+    def outside(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Whether a pair may have a count outside ``keys``: it is not in them, and its context has such pairs."""
+        key = (before << 32) | ids
+        at, known, _ = self._context(ids, before)
+        return known & self.open[at] & (self.keys[np.searchsorted(self.keys, key)] != key)
+
+    def bonus(self, keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """What the count of a pair outside ``keys`` adds to :meth:`log10`."""
+        ids, before = keys & 0xFFFFFFFF, keys >> 32
+        return np.log10(1 + n / (self._context(ids, before)[2] * self.share[ids]))
+
+
+def contexts_of(keys: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """(id before, class) of pairs as one number."""
+    return ((keys >> 32) << 8) | cls[keys & 0xFFFFFFFF]
+
+
+def _count_contexts(cls: np.ndarray):
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(contexts_of(b.column("key").to_numpy(), cls)), b.column("n")],
+                                             names=["context", "n"])
+    return run
+
+
+def _pair_bonus(shared):
+    def run(batches):
+        shares = shared.value["shares"]
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column("key"), pa.array(shares.bonus(b.column("key").to_numpy(), b.column("n").to_numpy()))],
+                names=["key", "bonus"])
+    return run
 
 
 def _mask() -> np.ndarray:
@@ -461,6 +508,7 @@ class _Words:
         self.start, self.length = np.zeros(1, np.int64), np.ones(1, np.int64)
         self.inside, self.base = np.array([s["end_inside"]]), np.array([s["end_base"]])
         self.rare, self.key = np.zeros(1, bool), np.zeros(1, np.int64)
+        self.pairs, self.pair_start, self.n_pairs = np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def add(self, fresh: list[bytes]):
         s = self.s
@@ -472,8 +520,12 @@ class _Words:
         edge = np.concatenate(([0], np.cumsum(size)))
         base = np.where(known, s["log10"][at], 0.0) if len(s["keys"]) else np.zeros(len(fresh))
         self.number.update(zip(fresh, range(len(self.start), len(self.start) + len(fresh))))
+        outside = s["shares"].outside(ids, before) if s["more_pairs"] else np.zeros(len(ids), bool)
+        odd = np.concatenate(([0], np.cumsum(outside)))[edge]
         for name, new in (("start", edge[:-1] + len(self.kinds)), ("length", size), ("inside", total[edge[1:]] - total[edge[:-1]]),
-                          ("base", base), ("rare", ~known), ("key", key), ("kinds", s["kinds"][ids]), ("classes", s["class"][ids])):
+                          ("base", base), ("rare", ~known), ("key", key), ("kinds", s["kinds"][ids]), ("classes", s["class"][ids]),
+                          ("pair_start", odd[:-1] + len(self.pairs)), ("n_pairs", np.diff(odd)),
+                          ("pairs", ((before << 32) | ids)[outside])):
             setattr(self, name, np.concatenate((getattr(self, name), new)))
 
 
@@ -491,18 +543,26 @@ def _score(path: str, shared):
             at = np.fromiter(chain.from_iterable(chain(map(get, ws), (0,)) for ws in split), np.int64, int(sizes.sum()))
             first = np.cumsum(sizes) - sizes
             length = words.length[at]
-            place = np.repeat(words.start[at] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+            place = _places(words.start[at], length)
             score = flat_log10(s["model"], words.kinds[place], words.classes[place], np.add.reduceat(length, first))
             score += np.add.reduceat(words.inside[at], first)
             rare = words.rare[at]
             ends = np.concatenate(([0], np.cumsum(np.add.reduceat(rare.astype(np.int64), first)))).astype(np.int32)
+            n_pairs = words.n_pairs[at]
+            pair_ends = np.concatenate(([0], np.cumsum(np.add.reduceat(n_pairs, first)))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(sizes), pa.array(np.add.reduceat(words.base[at], first)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(words.key[at[rare]])), pa.array(score)],
-                names=["doc_id", "n_tokens", "frequent", "rare", "score"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(words.key[at[rare]])),
+                 pa.ListArray.from_arrays(pa.array(pair_ends), pa.array(words.pairs[_places(words.pair_start[at], n_pairs)])),
+                 pa.array(score)], names=["doc_id", "n_tokens", "frequent", "rare", "pairs", "score"])
     return run
 
 
+def _places(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run, one run after the other."""
+    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
 def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
     """One row per input row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -530,19 +590,34 @@ def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     per_id[ids["key"].to_numpy(np.int64)] = ids["n"].to_numpy(np.float64)
     cls, share = classes_of(per_id)
     kinds = types_of(per_id)
-    pair = counts.where("kind = 2").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT_PAIRS).toPandas()
-    shares = PairShares(pair["key"].to_numpy(np.int64), pair["n"].to_numpy(np.int64), cls, share)
+    pairs = cut_lineage(counts.where("kind = 2").groupBy("key").agg(F.sum("n").alias("n")))
+    pair = pairs.orderBy(F.desc("n"), "key").limit(FREQUENT_PAIRS).toPandas()
+    # at most as many contexts as the tokenizer has ids, times CLASSES
+    context = (pairs.mapInArrow(_count_contexts(cls), "context long, n long").groupBy("context")
+               .agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas())
+    shares = PairShares(pair["key"].to_numpy(np.int64), pair["n"].to_numpy(np.int64), cls, share,
+                        [context[c].to_numpy(np.int64) for c in ("context", "n", "kinds")])
+    more_pairs = len(pair) == FREQUENT_PAIRS and bool(shares.open.any())
 
     model = fit_all(train, path, kinds, cls, int(per_id.sum()), end_id)
     end_base = float(np.log10((ends[0] if ends else 0) + 0.5)) - log_z
     shared = spark.sparkContext.broadcast({
         "keys": keys, "log10": np.log10(n + 0.5) - log_z, "kinds": kinds, "class": cls, "shares": shares,
-        "model": model, "end_id": end_id, "end_inside": float(share[end_id]), "end_base": end_base})
+        "model": model, "end_id": end_id, "end_inside": float(share[end_id]), "end_base": end_base,
+        "more_pairs": more_pairs})
     scored = cut_lineage(docs.mapInArrow(_score(path, shared), "doc_id long, n_tokens long, frequent double, "
-                                         "rare array<long>, score double")
+                                         "rare array<long>, pairs array<long>, score double")
                          .withColumn("row", F.monotonically_increasing_id()))
     odd = scored.select("row", F.explode("rare").alias("key")).join(words, "key")
     odd = odd.groupBy("row").agg(F.count("*").alias("found"), F.sum(F.log10(F.col("n") + 0.5) - log_z).alias("sum_rare"))
+    if more_pairs:
+        least, key = int(pair["n"].iloc[-1]), int(pair["key"].iloc[-1])
+        others = pairs.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("key") > key)))
+        bonus = others.mapInArrow(_pair_bonus(shared), "key long, bonus double")
+        bonus = (scored.select("row", F.explode("pairs").alias("key")).join(bonus, "key")
+                 .groupBy("row").agg(F.sum("bonus").alias("bonus")))
+        scored = (scored.join(bonus, "row", "left")
+                  .withColumn("score", F.col("score") + F.coalesce("bonus", F.lit(0.0))).drop("bonus"))
     missing = F.size("rare") - F.coalesce("found", F.lit(0))
     end_unknown = 0 if ends else 1
     return (scored.join(odd, "row", "left")

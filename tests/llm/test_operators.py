@@ -191,6 +191,16 @@ def test_op4_fit_reads_every_training_text(spark, rows, monkeypatch):
         assert L.class_log10(model, texts).sum() > L.class_log10(start, texts).sum()
 
 
+def test_op4_pairs_outside_the_broadcast_keep_their_counts(spark, rows, monkeypatch):
+    from revsift.llm import lm_scoring as L
+    df, path = _lm_table(spark, rows[:120]), PT.path("word_bpe_49k.json")
+    want = {r.doc_id: r.score for r in L.lm_scores(df, path, end_id=49407).collect()}
+    for limit in (1, 300):
+        monkeypatch.setattr(L, "FREQUENT_PAIRS", limit)
+        got = {r.doc_id: r.score for r in L.lm_scores(df, path, end_id=49407).collect()}
+        assert got == pytest.approx(want, rel=1e-6)
+
+
 def test_op5_fingerprints(spark, rows):
     got = {r.doc_id: r for r in E.queries()["op5_fingerprints"](spark, SF_SMALL).collect()}
     order = sorted(((d, t or "") for d, t in rows), reverse=True)
