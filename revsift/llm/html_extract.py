@@ -25,7 +25,8 @@ MAX_WORD_PAGES, TRAIN_PAGES, TREES, LEAVES_DEPTH, SHRINK = 200, 700, 40, 4, 0.25
 
 # fixed values: HTML element groups
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg title select math object canvas".split())
+#: Their content is not page text, up to the closing tag or the end of the page, as in browsers.
+RAW = frozenset("script style template textarea iframe title".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody "
                   "td tfoot th thead tr ul".split())
@@ -35,7 +36,7 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "
            "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
            "option": ({"option"}, {"select"})}
 TAG_FAMILIES = (("article", "main"), ("nav", "menu"), ("header",), ("footer",), ("aside",), ("form", "button", "input",
-                "label", "fieldset", "dialog"), ("p", "blockquote", "pre", "figcaption", "figure"),
+                "label", "fieldset", "dialog", "select", "option"), ("p", "blockquote", "pre", "figcaption", "figure"),
                 ("h1", "h2", "h3", "h4", "h5", "h6"), ("ul", "ol", "li", "dl", "dd", "dt"), ("a",),
                 ("div", "section", "span"), ("table", "tr", "td", "th", "tbody"), ("body", "html"))
 ATTR_FAMILIES = (

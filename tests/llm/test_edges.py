@@ -103,6 +103,28 @@ def test_odd_pages(spark):
     assert extract_main_text(df.where("1 = 0")).collect() == []
 
 
+def test_pages_with_embedded_elements(spark):
+    from revsift.llm.html_extract import Page, extract_main_text
+    tags = ("math", "object", "canvas", "noscript", "svg", "select")
+    inner = {"math": "<mi>x</mi><mo>=</mo><mn>42</mn>", "svg": "<text>x = 42</text>", "select": "<option>x = 42"}
+    body = "<p>a long paragraph of an article, with commas, that goes on for a while.</p>"
+    rows = []
+    for i, tag in enumerate(tags):
+        here = f"<p>before it, <{tag}>{inner.get(tag, 'x = 42')}"
+        rows.append((2 * i, f"<article>{body * 5}{here}</{tag}> after it.</p>{body * 5}</article>"))
+        rows.append((2 * i + 1, f"<article>{body * 5}{here} </p>{body * 5}<p>the last words.</p></article>"))
+        for _, page in rows[-2:]:  # elements with a parent, and features and a decision of their own
+            assert tag in Page(page).tags
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(
+        [(i, "u", h) for i, h in rows], "page_id long, url string, html string")).collect()}
+    for i, tag in enumerate(tags):
+        closed, unclosed = got[2 * i], got[2 * i + 1]
+        assert closed.count("a long paragraph") == 10 and "before it," in closed and "after it." in closed
+        assert unclosed.count("a long paragraph") == 10 and unclosed.endswith("the last words.")
+        if tag != "select":  # a form control: the trees decide
+            assert "42" in closed
+
+
 def test_pipeline_on_odd_rows(spark, odd, tmp_path):
     import corpus_pipeline as P
     docs = odd.withColumn("n_chars", odd.doc_id)
