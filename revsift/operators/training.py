@@ -5,8 +5,8 @@
   each bucket's offset, and the row number is taken only inside a bucket -
   so a class holding a third of all rows is spread over many tasks;
 * stratified split with exact per-class quotas;
-* SMOTE on a bounded, documented number of rows per class, with an exact
-  within-class nearest neighbour (:func:`nearest_neighbours`);
+* SMOTE with an exact within-class nearest neighbour
+  (:func:`nearest_neighbours`), for classes of any size;
 * balanced class weights, Spark ML random forest, feature importances,
   k-fold cross-validation.
 """
@@ -25,7 +25,7 @@ from ..session import cut_lineage
 from ..sources.readers import hash_rank
 
 TARGET_BUCKET_ROWS = 50_000
-# Rows per class that a classifier is fitted on (SMOTE, forest): the one bound
+# Rows per class that ``train_pipeline`` fits its classifier on: the one bound
 # on labelled rows; drawn by a seeded hash rank, so any partitioning gives the same.
 MAX_FIT_ROWS_PER_CLASS = 20_000
 
@@ -112,44 +112,59 @@ def class_weights(df: DataFrame, label_col: str, weight_col: str = "class_weight
 # ------------------------------------------------------------------ nearest neighbours and SMOTE
 
 
-def bounded_per_class(df: DataFrame, label_col: str, key_col: str, max_rows: int = MAX_FIT_ROWS_PER_CLASS,
+def bounded_per_class(df: DataFrame, label_col: str, key_col: str, max_rows: int | None = MAX_FIT_ROWS_PER_CLASS,
                       seed: int = 42) -> DataFrame:
-    """At most ``max_rows`` rows of each class, those of the lowest seeded hash rank; adds ``_rank`` (from 1)."""
+    """At most ``max_rows`` rows of each class (None: all), those of the lowest seeded hash rank; adds ``_rank`` (from 1)."""
     B = _n_buckets(sum(class_sizes(df, label_col).values()))
     d = (df.withColumn("_u", hash_rank([key_col], seed)).withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
          .withColumn("_tie", F.col(key_col).cast("string")))
-    return exact_rank(d, label_col, "_u", "_tie", "_b").where(F.col("_rank") <= max_rows).drop("_u", "_b", "_tie")
+    ranked = exact_rank(d, label_col, "_u", "_tie", "_b").drop("_u", "_b", "_tie")
+    return ranked if max_rows is None else ranked.where(F.col("_rank") <= max_rows)
 
 
 def nearest_neighbours(df: DataFrame, label_col: str, key_col: str, feat_col: str = "features",
-                       max_rows_per_class: int = MAX_FIT_ROWS_PER_CLASS, block_rows: int = 1000) -> DataFrame:
+                       block_rows: int = 1000) -> DataFrame:
     """Exact nearest same-class neighbour (Euclidean) of every row:
-    ``(key, nn_key, nn_dist2)``; ties go to the smaller key.  Any key type.
-
-    For the bounded classes a classifier is fitted on: a class above
-    ``max_rows_per_class`` raises (:func:`bounded_per_class` draws one that
-    fits).  The rows of a class are packed into blocks of ``block_rows``; each
-    (query block, candidate block) pair is one row for numpy, so no task ever
-    holds more than two blocks, and a class makes at most
-    ``(max_rows_per_class / block_rows)**2`` pairs."""
-    sizes = class_sizes(df, label_col)
-    if sizes and max(sizes.values()) > max_rows_per_class:
-        raise ValueError(f"a class has more than {max_rows_per_class} rows; draw a bounded sample first")
-    w = Window.partitionBy(label_col).orderBy(key_col)
-    rows = cut_lineage(df.where(F.col(label_col).isNotNull()).select(
-        F.col(label_col).alias("_c"), F.col(key_col).alias("_k"), F.col(feat_col).cast("array<double>").alias("_x"),
-        (F.row_number().over(w) - 1).alias("_i")))
-    packs = rows.groupBy("_c", F.floor(F.col("_i") / block_rows).alias("_g")).agg(
-        F.sort_array(F.collect_list(F.struct("_i", "_x"))).alias("_p"))
-    pairs = packs.select("_c", F.col("_p._i").alias("qi"), F.flatten("_p._x").alias("qx")).join(
-        packs.select("_c", F.col("_p._i").alias("ci"), F.flatten("_p._x").alias("cx")), "_c")
-    kind = df.schema[label_col].dataType.simpleString()
-    best = (pairs.mapInArrow(_block_nearest, f"_c {kind}, _i long, _d2 double, _j long")
-            .groupBy("_c", "_i").agg(F.min(F.struct("_d2", "_j")).alias("_b")))
-    near = rows.select("_c", F.col("_i").alias("_j"), F.col("_k").alias("nn_key"))
+    ``(key, nn_key, nn_dist2)``; ties go to the smaller key.  Any key type,
+    classes of any size.
+
+    The rows of a class are packed into blocks of ``block_rows`` in order of
+    their distance to one row of the table, the pivot; numpy compares two
+    blocks, so no task holds more.  Each block is searched in itself first.
+    Its farthest neighbour found so rules out all blocks whose pivot distances
+    are farther off than that (triangle inequality)."""
+    labelled = df.where(F.col(label_col).isNotNull()).select(
+        F.col(label_col).alias("_c"), F.col(key_col).alias("_k"), F.col(feat_col).cast("array<double>").alias("_x"))
+    pivot = labelled.orderBy("_k").select("_x").first()
+    pivot = F.array(*[F.lit(float(v)) for v in (pivot[0] if pivot else [])]).cast("array<double>")
+    far = F.sqrt(F.aggregate(F.zip_with("_x", pivot, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
+    rows = cut_lineage(labelled.withColumn("_far", far))
+    n = _n_buckets(rows.count())
+    edges = rows.approxQuantile("_far", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
+    bucket = F.size(F.filter(F.array(*map(F.lit, edges)).cast("array<double>"), lambda e: e <= F.col("_far")))
+    rows = cut_lineage(exact_rank(rows.withColumn("_b", bucket), "_c", "_far", "_k", "_b")
+                       .withColumn("_i", (F.col("_rank") - 1).cast("long")).drop("_rank", "_b"))
+    packs = cut_lineage(rows.groupBy("_c", F.floor(F.col("_i") / block_rows).alias("_g")).agg(
+        F.sort_array(F.collect_list(F.struct("_k", "_i", "_x"))).alias("_p"), F.min("_far").alias("_lo"), F.max("_far").alias("_hi")))
+    q = packs.select("_c", "_g", F.col("_p._i").alias("qi"), F.flatten("_p._x").alias("qx"))
+    c = packs.select("_c", F.col("_g").alias("_h"), F.col("_p._i").alias("ci"), F.flatten("_p._x").alias("cx"),
+                     F.col("_p._k").alias("ck"))
+    kind, key = (df.schema[x].dataType.simpleString() for x in (label_col, key_col))
+    out = f"_c {kind}, _i long, _d2 double, nn_key {key}"
+    own = cut_lineage(packs.select("_c", F.col("_p._i").alias("qi"), F.flatten("_p._x").alias("qx"), F.col("_p._i").alias("ci"),
+                                   F.flatten("_p._x").alias("cx"), F.col("_p._k").alias("ck")).mapInArrow(_block_nearest, out))
+    reach = own.groupBy("_c", F.floor(F.col("_i") / block_rows).alias("_g")).agg(F.sqrt(F.max("_d2")).alias("_u"))
+    at = packs.select("_c", "_g", "_lo", "_hi").join(reach, ["_c", "_g"], "left")   # a block of one row reaches everywhere
+    to = packs.select("_c", F.col("_g").alias("_h"), F.col("_lo").alias("_lo2"), F.col("_hi").alias("_hi2"))
+    gap = F.greatest(F.col("_lo2") - F.col("_hi"), F.col("_lo") - F.col("_hi2"))
+    slack = F.lit(1e-9) * (F.col("_hi") + F.col("_hi2"))   # rounding of the pivot distances
+    near = at.join(to, "_c").where((F.col("_g") != F.col("_h")) & (F.col("_u").isNull() | (gap <= F.col("_u") + slack)))
+    pairs = near.select("_c", "_g", "_h").join(q, ["_c", "_g"]).join(c, ["_c", "_h"])
+    other = pairs.select("_c", "qi", "qx", "ci", "cx", "ck").mapInArrow(_block_nearest, out)
+    best = own.unionByName(other).groupBy("_c", "_i").agg(F.min(F.struct("_d2", "nn_key")).alias("_best"))
     return (rows.select("_c", "_i", F.col("_k").alias(key_col))
-            .join(best.select("_c", "_i", F.col("_b._d2").alias("nn_dist2"), F.col("_b._j").alias("_j")), ["_c", "_i"], "left")
-            .join(near, ["_c", "_j"], "left").select(key_col, "nn_key", "nn_dist2"))
+            .join(best, ["_c", "_i"], "left").select(key_col, F.col("_best.nn_key").alias("nn_key"),
+                                                     F.col("_best._d2").alias("nn_dist2")))
 
 
 def _block_nearest(batches, step: int = 32):
@@ -171,18 +186,18 @@ def _block_nearest(batches, step: int = 32):
             ok = np.isfinite(d2)
             label = pa.array([b.column("_c")[r].as_py()] * int(ok.sum()), b.column("_c").type)
             yield pa.RecordBatch.from_arrays([label, pa.array(qi[ok].astype(np.int64)), pa.array(d2[ok]),
-                                              pa.array(ci[at[ok]].astype(np.int64))], names=["_c", "_i", "_d2", "_j"])
+                                              b.column("ck")[r].values.take(pa.array(at[ok]))], names=["_c", "_i", "_d2", "nn_key"])
 
 
 def smote_oversample(df: DataFrame, label_col: str, key_col: str, feat_col: str = "features", seed: int = 42,
-                     max_rows_per_class: int = MAX_FIT_ROWS_PER_CLASS) -> DataFrame:
+                     max_rows_per_class: int | None = None) -> DataFrame:
     """Raise every class to the majority size with synthetic rows
     ``x + u * (nn(x) - x)`` (Chawla et al., 2002, one neighbour).
 
-    Works on at most ``max_rows_per_class`` rows of each class (lowest seeded
-    hash rank), the documented bound of the classifier's fit.  Synthetic row
+    Takes all rows, or with ``max_rows_per_class`` at most so many of each
+    class (lowest seeded hash rank), to bound a classifier's fit.  Synthetic row
     ``s`` of class ``c`` uses the base row of rank ``s mod n_c`` and a
-    hash-derived gap ``u`` in [0, 1).  Output keeps the bounded rows
+    hash-derived gap ``u`` in [0, 1).  Output keeps the rows taken
     (``synthetic`` false, ``synthetic_id`` null, their key of any type) plus
     the new ones (null key, ``synthetic_id`` from 0).  A null label, or a
     minority class of one row, raises."""
@@ -204,7 +219,7 @@ def smote_oversample(df: DataFrame, label_col: str, key_col: str, feat_col: str
     if not need:
         return base
     minority = rows.where(F.col(label_col).isin(list(need)))
-    nn = nearest_neighbours(minority, label_col, key_col, feat_col, max_rows_per_class)
+    nn = nearest_neighbours(minority, label_col, key_col, feat_col)
     feats = minority.select(F.col(key_col).alias("nn_key"), F.col(feat_col).alias("_nnx"))
     ranked = (minority.withColumn("_r0", F.col("_rank") - 1).drop("_rank").join(nn, key_col).join(feats, "nn_key"))
     plan, acc = [], 0

@@ -84,7 +84,7 @@ def train_pipeline(features: DataFrame, key: str = "ingest_seq", label_col: str
     split = cut_lineage(TR.stratified_split(labeled, label_col, [key], test_size, seed))
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
-    res = cut_lineage(TR.smote_oversample(train, label_col, key, "features", seed))
+    res = cut_lineage(TR.smote_oversample(train, label_col, key, "features", seed, TR.MAX_FIT_ROWS_PER_CLASS))
     res = TR.class_weights(res.withColumn("features_vec", array_to_vector("features")), label_col)
     res = cut_lineage(res)
     model = TR.random_forest_fit(res, label_col=label_col, weight_col="class_weight", seed=seed, **forest_kw)

@@ -95,3 +95,18 @@ def test_nearest_neighbours_with_heavy_ties(spark):
     for i in range(n):
         d = [(float(((X[i] - X[j]) ** 2).sum()), j) for j in range(n) if lab[j] == lab[i] and j != i]
         assert got[i] == min(d)[1]
+
+
+def test_classes_of_any_size(spark):
+    """A class of more rows than a classifier's fit takes: every row has its exact neighbour, and SMOTE keeps every row."""
+    n = TR.MAX_FIT_ROWS_PER_CLASS + 500
+    x = np.random.RandomState(5).permutation(n).astype(float) ** 1.1
+    df = spark.createDataFrame([(i, int(i < 60), [float(v), 0.0]) for i, v in enumerate(x)], "id long, label int, features array<double>")
+    got = {r["id"]: r["nn_dist2"] for r in TR.nearest_neighbours(df, "label", "id").collect()}
+    assert len(got) == n
+    for same in (np.arange(60), np.arange(60, n)):
+        order = same[np.argsort(x[same])]
+        gap = np.concatenate(([np.inf], np.diff(x[order]), [np.inf]))
+        assert np.allclose([got[i] for i in order], np.minimum(gap[:-1], gap[1:]) ** 2)
+    counts = TR.resampling_counts(df, TR.smote_oversample(df, "label", "id"), "label").collect()
+    assert {(r["label"], r["n_before"], r["n_after"]) for r in counts} == {(0, n - 60, n - 60), (1, 60, n - 60)}
