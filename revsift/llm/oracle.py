@@ -69,4 +69,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT repetitive AS kept FROM v"""
 
 
-ORACLE = {"op3_jaccard_join": OP3, "op7_substring_dedup": OP7, "op10_quality_rules": _op10()}
+def _op12(heights=(6, 3)) -> str:
+    """Trees of at most 16**6 leaves a source and 16**3 sources: every level is a query of its own."""
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(i) + 1), lambda k: ascii(i[k])::BIGINT)), "
+           "lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), "
+           "lambda x, y: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)")
+
+    def leaf(*values):
+        return "sha256(" + " || ".join(f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || {v}, '-')" for v in values) + ")"
+
+    def tree(name, height):
+        """Levels {name}1.. (g, k, n, run, h) above a table {name}0 (g, k, n, h), and the last node of each group."""
+        out = []
+        for j in range(height):
+            out.append(f"""{name}{j + 1} AS (SELECT g, k // 16 AS k, (n + 15) // 16 AS n, string_agg(h, '' ORDER BY k) AS run, sha256(string_agg(h, '' ORDER BY k)) AS h
+      FROM {name}{j} WHERE n > 1 GROUP BY g, k // 16, n)""")
+        tops = " UNION ALL ".join(f"SELECT g, h FROM {name}{j} WHERE n = 1" for j in range(height + 1))
+        out.append(f"{name}top AS ({tops})")
+        return ",\n".join(out)
+
+    def walk(first, columns, steps):
+        """f0, f1, ..: from each leaf up, one level a query: h is the folded hash so far, p the siblings so far."""
+        out = [f"f0 AS (SELECT {columns} FROM {first})"]
+        for m, (name, j, g, k) in enumerate(steps):
+            slot = f"({k} // {16 ** j}) % 16"
+            left, right = f"substr(run, 1, 64 * ({slot}))", f"substr(run, 64 * ({slot}) + 65)"
+            out.append(f"""f{m + 1} AS (SELECT a.* EXCLUDE (h, p), CASE WHEN run IS NULL THEN a.h ELSE sha256({left} || a.h || {right}) END AS h,
+      p || coalesce({left} || {right}, '') AS p
+      FROM f{m} a LEFT JOIN {name}{j + 1} b ON b.g = {g} AND b.k = {k} // {16 ** (j + 1)})""")
+        return ",\n".join(out)
+    steps = [("t", j, "tg", "tk") for j in range(heights[0])] + [("r", j, "'all'", "rk") for j in range(heights[1])]
+    return f"""
+WITH d AS (SELECT *, CAST(doc_id AS VARCHAR) AS i FROM documents),
+c AS (SELECT *, CASE WHEN {crc} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed FROM d),
+l AS (SELECT doc_id, coalesce('=' || source, '') AS g, {leaf("doc_id", "source", "lang", "n_chars", "text")} AS h,
+             {leaf("doc_id", "source", "lang", "n_chars", "changed")} AS t FROM c),
+t0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS k, count(*) OVER (PARTITION BY g) AS n FROM l),
+{tree("t", heights[0])},
+r0 AS (SELECT 'all' AS g, g AS source, h, row_number() OVER (ORDER BY encode(g)) - 1 AS k, count(*) OVER () AS n FROM ttop),
+{tree("r", heights[1])},
+{walk("t0 JOIN r0 ON r0.source = t0.g", "doc_id, t0.h AS leaf, r0.h AS subroot, r0.k AS rk, t0.g AS tg, t0.k AS tk, t0.t AS h, '' AS p", steps)}
+SELECT doc_id, leaf, subroot, rtop.h AS root, sha256(p) AS proof_sha256, f.h AS folded_root, f.h = rtop.h AS verified
+FROM f{sum(heights)} f, rtop"""
+
+
+ORACLE = {"op3_jaccard_join": OP3, "op7_substring_dedup": OP7, "op10_quality_rules": _op10(), "op12_merkle_manifest": _op12()}

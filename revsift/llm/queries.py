@@ -13,11 +13,14 @@ from revsift.llm.html_extract import extract_main_text
 from revsift.llm.jaccard_join import jaccard_components
 from revsift.llm.language_id import language_id
 from revsift.llm.lm_scoring import lm_scores
+from revsift.llm.merkle import merkle_manifest
 from revsift.llm.oracle import ORACLE  # noqa: F401  SQL where it can express an operator
 from revsift.llm.packing import pack
 from revsift.llm.quality_knn import quality
 from revsift.llm.quality_rules import quality_rules
 from revsift.llm.substring_dedup import substring_dedup
+from revsift.llm.toxicity import toxicity
+from revsift.llm.whitening import whiten
 
 
 def op1_language_id(spark, sf_dir):
@@ -67,6 +70,19 @@ def op10_quality_rules(spark, sf_dir):
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
 
 
+def op11_toxicity(spark, sf_dir):
+    return toxicity(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "labels"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle_manifest(C.read(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    return whiten(C.read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_jaccard_join, op4_lm_scoring, op5_fingerprints, op6_quality_classifier,
-    op7_substring_dedup, op8_byte_bpe, op9_packing, op10_quality_rules)}
+    op7_substring_dedup, op8_byte_bpe, op9_packing, op10_quality_rules, op11_toxicity, op12_merkle_manifest,
+    op13_embedding_whitening)}
