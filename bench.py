@@ -64,9 +64,8 @@ def main():
         return vocab, cut_lineage(rows.drop("text_clean"))
 
     vocab, sparse = timed("tfidf_fit_transform", tfidf)
-    long = TF.sparse_to_long(sparse, "ingest_seq")
     d = vocab.count()
-    model = timed("svd_fit", lambda: SV.svd_fit(sparse, long, d, min(100, d)))
+    model = timed("svd_fit", lambda: SV.svd_fit(sparse, d, min(100, d)))
     feats = timed("svd_transform", lambda: cut_lineage(TR.assemble_features(
         SV.svd_transform(sparse, model).drop("indices", "values"))))
     # 5. training: split + SMOTE + forest (reference settings)

@@ -25,18 +25,27 @@ def primary_category(primary: str = "category_primary", fallback: str = "categor
     return F.coalesce(F.when(p != "", p), F.col(fallback), F.lit(""))
 
 
-def domain_terms_table(spark) -> "DataFrame":
-    """``(family, terms)`` for the 22 families: a constant-size table, joined
-    with a broadcast so the per-row family expression is computed once and
-    the per-token lambdas only see a plain column."""
-    rows = [(fam, list(terms)) for fam, terms in DOMAIN_TERMS.items()]
-    return spark.createDataFrame(rows, "_dt_family string, _dt_terms array<string>")
+def is_in(x: Column, terms) -> Column:
+    """Membership in a fixed set of strings; above ten terms the optimiser makes it one hash lookup."""
+    return x.isin(*terms) if terms else F.lit(False)
 
 
-def count_in(tokens: Column, terms: Column) -> Column:
-    return F.size(F.filter(tokens, lambda x: F.array_contains(terms, x)))
+def count_in(tokens: Column, terms) -> Column:
+    return F.size(F.filter(tokens, lambda x: is_in(x, terms)))
+
+
+def domain_hits(tokens: Column, family: Column) -> Column:
+    """How many tokens (repeats count) are terms of the row's family; 0 for a family without terms.
+
+    One branch per family, of which a row runs one: its tokens are looked up in that family's hash set, whatever the
+    number of terms.  No join, and no scan over the terms of a family."""
+    out = F.lit(0)
+    for fam in reversed(list(DOMAIN_TERMS)):
+        terms = list(DOMAIN_TERMS[fam])
+        if terms:
+            out = F.when(family == fam, count_in(tokens, terms)).otherwise(out)
+    return out
 
 
 def drop_whitelist(tokens: Column) -> Column:
-    wl = F.array(*[F.lit(w) for w in WHITELIST_COMMON])
-    return F.filter(tokens, lambda x: ~F.array_contains(wl, x))
+    return F.filter(tokens, lambda x: ~is_in(x, WHITELIST_COMMON))

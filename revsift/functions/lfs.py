@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .lexicon import category_family, count_in, domain_terms_table, drop_whitelist, primary_category
+from .lexicon import category_family, domain_hits, drop_whitelist, primary_category
 from .text import contains_any, letter_tokens, regex_word_count
 
 
@@ -50,10 +50,10 @@ def _ci(rx: str) -> str:
 
 
 # helper column names produced by :func:`add_lf_context`
-T, TL, PAD, WC, FAM, TOK, DOM, HITS, FTOT, FHITS = (
-    "_lf_t", "_lf_tl", "_lf_pad", "_lf_wc", "_lf_fam", "_lf_tok", "_lf_dom", "_lf_hits", "_lf_ftot", "_lf_fhits")
+T, TL, PAD, WC, FAM, TOK, FTOK, HITS, FTOT, FHITS = (
+    "_lf_t", "_lf_tl", "_lf_pad", "_lf_wc", "_lf_fam", "_lf_tok", "_lf_ftok", "_lf_hits", "_lf_ftot", "_lf_fhits")
 X_EXPLICIT, X_HEARSAY, X_DRIVEBY, X_PHONE = "_lf_explicit", "_lf_hearsay", "_lf_driveby", "_lf_phone"
-CONTEXT_COLUMNS = [T, TL, PAD, WC, FAM, TOK, DOM, HITS, FTOT, FHITS, X_EXPLICIT, X_HEARSAY, X_DRIVEBY, X_PHONE]
+CONTEXT_COLUMNS = [T, TL, PAD, WC, FAM, TOK, FTOK, HITS, FTOT, FHITS, X_EXPLICIT, X_HEARSAY, X_DRIVEBY, X_PHONE]
 
 
 def add_lf_context(df: DataFrame, text_col: str = "text_clean", category_col: str | None = None) -> DataFrame:
@@ -70,22 +70,16 @@ def add_lf_context(df: DataFrame, text_col: str = "text_clean", category_col: st
     df = df.select("*", t.alias(T))
     df = df.select("*", F.lower(F.col(T)).alias(TL), regex_word_count(F.col(T)).alias(WC),
                    category_family(cat).alias(FAM))
-    # Broadcast join against the constant 22-row term table: a plan barrier,
-    # so the family CASE is evaluated once per row and never inlined into
-    # the per-token lambdas below (higher-order functions run interpreted).
-    terms = F.broadcast(domain_terms_table(df.sparkSession))
-    df = (df.join(terms, F.col(FAM) == F.col("_dt_family"), "left")
-          .withColumn(DOM, F.coalesce(F.col("_dt_terms"), F.array().cast("array<string>")))
-          .drop("_dt_family", "_dt_terms"))
     df = df.select("*", F.concat(F.lit(" "), F.col(TL), F.lit(" ")).alias(PAD),
                    letter_tokens(F.col(TL)).alias(TOK),
                    F.col(T).rlike(_ci(K.NEVER_EXPLICIT_RX)).alias(X_EXPLICIT),
                    F.col(T).rlike(_ci(K.HEARSAY_RX)).alias(X_HEARSAY),
                    F.col(T).rlike(_ci(K.DRIVEBY_RX)).alias(X_DRIVEBY),
                    F.col(T).rlike(_ci(K.PHONE_ONLY_RX)).alias(X_PHONE))
-    ftok = drop_whitelist(F.col(TOK))
-    return df.select("*", count_in(F.col(TOK), F.col(DOM)).alias(HITS), F.size(ftok).alias(FTOT),
-                     count_in(ftok, F.col(DOM)).alias(FHITS))
+    # the family and the tokens are each read by several expressions below, so the optimiser computes them once per row
+    df = df.select("*", drop_whitelist(F.col(TOK)).alias(FTOK))
+    return df.select("*", domain_hits(F.col(TOK), F.col(FAM)).alias(HITS), F.size(F.col(FTOK)).alias(FTOT),
+                     domain_hits(F.col(FTOK), F.col(FAM)).alias(FHITS))
 
 # ------------------------------------------------------------------ the 23 registered LFs (fixed order)
 

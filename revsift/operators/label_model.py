@@ -100,15 +100,58 @@ def _break_permutation_symmetry(mu: np.ndarray, prior: np.ndarray, m: int, k: in
     return mu @ Z
 
 
+#: Least covariance, in absolute value, that a triplet may divide by or multiply.
+TRIPLET_MIN_COV = 1e-6
+
+
+def triplet_start(O: np.ndarray, m: int, k: int = CARDINALITY, class_balance=None, prec_init: float = 0.7) -> LabelModelParams:
+    """Closed-form parameters from triplets of rules, without any epoch.
+
+    For class y let x_j say that rule j votes y.  If the rules are independent given whether the class is y, then
+    ``cov(x_i, x_j) = p (1 - p) d_i d_j`` with ``d_j = P(x_j | y) - P(x_j | not y)``, so every pair (i, k) of other
+    rules gives ``d_j ** 2 p (1 - p) = cov(ij) cov(jk) / cov(ik)``.  The median over all pairs whose three covariances
+    are large enough and whose quotient is positive is taken, with d_j positive (rules beat chance), and
+    ``P(x_j | y) = P(x_j) + (1 - p) d_j``, ``P(x_j | not y) = P(x_j) - p d_j``, cut to 0..1.  The table is general: a
+    rule has a probability for votes of every class under every class.  A rule and class without a usable triplet start
+    at ``prec_init`` precision: ``P(x_j | y) = P(x_j) prec_init / p``, the rest of its votes spread over the others."""
+    prior = np.full(k, 1.0 / k) if class_balance is None else np.asarray(class_balance, dtype=float)
+    mu = np.zeros((m * k, k))
+    for y in range(k):
+        at = np.arange(m) * k + y
+        mean = O[at, at]
+        cov = O[np.ix_(at, at)] - np.outer(mean, mean)
+        usable = np.abs(cov) > TRIPLET_MIN_COV
+        np.fill_diagonal(usable, False)
+        p = prior[y]
+        for j in range(m):
+            i, l = np.nonzero(np.triu(usable & usable[j][:, None] & usable[j][None, :], 1))
+            q = cov[j, i] * cov[j, l] / cov[i, l]
+            q = q[q > 0]
+            if len(q):
+                d = np.sqrt(np.median(q) / (p * (1 - p)))
+                yes, no = mean[j] + (1 - p) * d, mean[j] - p * d
+            else:
+                yes = mean[j] * prec_init / p
+                no = (mean[j] - p * min(yes, 1.0)) / (1 - p)
+            mu[at[j]] = min(max(no, 0.0), 1.0)
+            mu[at[j], y] = min(max(yes, 0.0), 1.0)
+    return LabelModelParams(mu=mu, prior=prior, m=m, k=k)
+
+
 def fit_label_model(O: np.ndarray, m: int, k: int = CARDINALITY, n_epochs: int = 500, lr: float = 0.01,
                     momentum: float = 0.9, l2: float = 0.0, seed: int = 123, prec_init: float = 0.7,
-                    class_balance=None, log_freq: int = 100) -> LabelModelParams:
-    """Full-batch SGD with momentum on the moment-matching objective."""
+                    class_balance=None, log_freq: int = 100, start: str = "precision") -> LabelModelParams:
+    """Full-batch SGD with momentum on the moment-matching objective, from ``start``: "precision" (every rule at
+    ``prec_init`` precision, scaled by a random draw) or "triplets" (:func:`triplet_start`)."""
     prior = np.full(k, 1.0 / k) if class_balance is None else np.asarray(class_balance, dtype=float)
     P = np.diag(prior)
     rng = np.random.RandomState(seed)
-    mu0 = init_mu(O, m, k, prior, prec_init)
-    mu = mu0 * rng.random_sample()
+    if start == "triplets":
+        mu0 = triplet_start(O, m, k, prior, prec_init).mu
+        mu = mu0.copy()
+    else:
+        mu0 = init_mu(O, m, k, prior, prec_init)
+        mu = mu0 * rng.random_sample()
     mask = _mask(m, k)
     dO = np.diag(O)
     vel = np.zeros_like(mu)

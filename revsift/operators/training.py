@@ -1,12 +1,12 @@
 """Training-set preparation and the classifier.
 
-* exact per-class ranks without a per-class window (:func:`exact_rank`):
+* exact per-class ranks without a per-class window (:func:`.ranks.exact_rank`):
   rows are bucketed by their ordering value, per-(class, bucket) counts give
   each bucket's offset, and the row number is taken only inside a bucket -
   so a class holding a third of all rows is spread over many tasks;
 * stratified split with exact per-class quotas;
 * SMOTE with an exact within-class nearest neighbour
-  (:func:`nearest_neighbours`), for classes of any size;
+  (:mod:`.neighbours`), for classes of any size;
 * balanced class weights, Spark ML random forest, feature importances,
   k-fold cross-validation.
 """
@@ -14,17 +14,19 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ABSTAIN
 from ..session import cut_lineage
 from ..sources.readers import hash_rank
+from .neighbours import nearest_neighbours
+from .ranks import class_sizes, exact_rank, n_buckets
 
-TARGET_BUCKET_ROWS = 50_000
 # Rows per class that ``train_pipeline`` fits its classifier on: the one bound
 # on labelled rows; drawn by a seeded hash rank, so any partitioning gives the same.
 MAX_FIT_ROWS_PER_CLASS = 20_000
@@ -55,30 +57,7 @@ def resampling_counts(before: DataFrame, after: DataFrame, label_col: str) -> Da
     b = after.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_after"))
     return a.join(b, "label", "left")
 
-# ------------------------------------------------------------------ exact ranks
-
-
-def exact_rank(df: DataFrame, part_col: str, order_col: str, tie_col: str, bucket_col: str) -> DataFrame:
-    """1-based rank of each row inside its ``part_col`` group, ordered by
-    ``(order_col, tie_col)``, given a ``bucket_col`` that is monotone in
-    ``order_col``.  Windows only ever span one (class, bucket)."""
-    counts = df.groupBy(part_col, bucket_col).agg(F.count(F.lit(1)).alias("_bn"))
-    w = Window.partitionBy(part_col).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col(part_col).alias("_op"), F.col(bucket_col).alias("_ob"),
-                            F.coalesce(F.sum("_bn").over(w), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy(part_col, bucket_col).orderBy(order_col, tie_col)
-    same = F.col(part_col).eqNullSafe(F.col("_op")) & F.col(bucket_col).eqNullSafe(F.col("_ob"))  # a null class is a class
-    return (df.join(offsets, same).withColumn("_rank", F.col("_off") + F.row_number().over(inner))
-            .drop("_off", "_op", "_ob"))
-
-
-def _n_buckets(n: int) -> int:
-    return max(1, math.ceil(n / TARGET_BUCKET_ROWS))
-
-
-def class_sizes(df: DataFrame, label_col: str) -> dict:
-    """``{label: rows}`` - one row per class, so collecting it is bounded."""
-    return {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}
+# ------------------------------------------------------------------ split and weights
 
 
 def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float = 0.2, seed: int = 42,
@@ -88,7 +67,7 @@ def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float =
     Rows without a label count as one more class."""
     sizes = class_sizes(df, label_col)
     n = sum(sizes.values())
-    B = _n_buckets(n)
+    B = n_buckets(n)
     u = hash_rank(key_cols, seed)
     d = df.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
     d = d.withColumn("_tie", F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols]))
@@ -102,95 +81,29 @@ def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float =
 
 
 def class_weights(df: DataFrame, label_col: str, weight_col: str = "class_weight") -> DataFrame:
-    """``n / (k * n_class)`` per row ("balanced"); class totals are a k-row aggregate."""
+    """``n / (k * n_class)`` per row ("balanced"); class totals are a k-row aggregate.
+    Rows without a label count as one more class, as in :func:`stratified_split`."""
     per = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))
     n = df.agg(F.count(F.lit(1))).scalar()
     k = per.agg(F.count(F.lit(1))).scalar()
-    w = per.select(label_col, (n / (k * F.col("_nc"))).alias(weight_col))
-    return df.join(F.broadcast(w), label_col)
+    w = per.select(F.col(label_col).alias("_wl"), (n / (k * F.col("_nc"))).alias(weight_col))
+    return df.join(F.broadcast(w), F.col(label_col).eqNullSafe(F.col("_wl"))).drop("_wl")
 
-# ------------------------------------------------------------------ nearest neighbours and SMOTE
+# ------------------------------------------------------------------ bounded samples and SMOTE
 
 
 def bounded_per_class(df: DataFrame, label_col: str, key_col: str, max_rows: int | None = MAX_FIT_ROWS_PER_CLASS,
                       seed: int = 42) -> DataFrame:
     """At most ``max_rows`` rows of each class (None: all), those of the lowest seeded hash rank; adds ``_rank`` (from 1)."""
-    B = _n_buckets(sum(class_sizes(df, label_col).values()))
+    B = n_buckets(sum(class_sizes(df, label_col).values()))
     d = (df.withColumn("_u", hash_rank([key_col], seed)).withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
          .withColumn("_tie", F.col(key_col).cast("string")))
     ranked = exact_rank(d, label_col, "_u", "_tie", "_b").drop("_u", "_b", "_tie")
     return ranked if max_rows is None else ranked.where(F.col("_rank") <= max_rows)
 
 
-def nearest_neighbours(df: DataFrame, label_col: str, key_col: str, feat_col: str = "features",
-                       block_rows: int = 1000) -> DataFrame:
-    """Exact nearest same-class neighbour (Euclidean) of every row:
-    ``(key, nn_key, nn_dist2)``; ties go to the smaller key.  Any key type,
-    classes of any size.
-
-    The rows of a class are packed into blocks of ``block_rows`` in order of
-    their distance to one row of the table, the pivot; numpy compares two
-    blocks, so no task holds more.  Each block is searched in itself first.
-    Its farthest neighbour found so rules out all blocks whose pivot distances
-    are farther off than that (triangle inequality)."""
-    labelled = df.where(F.col(label_col).isNotNull()).select(
-        F.col(label_col).alias("_c"), F.col(key_col).alias("_k"), F.col(feat_col).cast("array<double>").alias("_x"))
-    pivot = labelled.orderBy("_k").select("_x").first()
-    pivot = F.array(*[F.lit(float(v)) for v in (pivot[0] if pivot else [])]).cast("array<double>")
-    far = F.sqrt(F.aggregate(F.zip_with("_x", pivot, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
-    rows = cut_lineage(labelled.withColumn("_far", far))
-    n = _n_buckets(rows.count())
-    edges = rows.approxQuantile("_far", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
-    bucket = F.size(F.filter(F.array(*map(F.lit, edges)).cast("array<double>"), lambda e: e <= F.col("_far")))
-    rows = cut_lineage(exact_rank(rows.withColumn("_b", bucket), "_c", "_far", "_k", "_b")
-                       .withColumn("_i", (F.col("_rank") - 1).cast("long")).drop("_rank", "_b"))
-    packs = cut_lineage(rows.groupBy("_c", F.floor(F.col("_i") / block_rows).alias("_g")).agg(
-        F.sort_array(F.collect_list(F.struct("_k", "_i", "_x"))).alias("_p"), F.min("_far").alias("_lo"), F.max("_far").alias("_hi")))
-    q = packs.select("_c", "_g", F.col("_p._i").alias("qi"), F.flatten("_p._x").alias("qx"))
-    c = packs.select("_c", F.col("_g").alias("_h"), F.col("_p._i").alias("ci"), F.flatten("_p._x").alias("cx"),
-                     F.col("_p._k").alias("ck"))
-    kind, key = (df.schema[x].dataType.simpleString() for x in (label_col, key_col))
-    out = f"_c {kind}, _i long, _d2 double, nn_key {key}"
-    own = cut_lineage(packs.select("_c", F.col("_p._i").alias("qi"), F.flatten("_p._x").alias("qx"), F.col("_p._i").alias("ci"),
-                                   F.flatten("_p._x").alias("cx"), F.col("_p._k").alias("ck")).mapInArrow(_block_nearest, out))
-    reach = own.groupBy("_c", F.floor(F.col("_i") / block_rows).alias("_g")).agg(F.sqrt(F.max("_d2")).alias("_u"))
-    at = packs.select("_c", "_g", "_lo", "_hi").join(reach, ["_c", "_g"], "left")   # a block of one row reaches everywhere
-    to = packs.select("_c", F.col("_g").alias("_h"), F.col("_lo").alias("_lo2"), F.col("_hi").alias("_hi2"))
-    gap = F.greatest(F.col("_lo2") - F.col("_hi"), F.col("_lo") - F.col("_hi2"))
-    slack = F.lit(1e-9) * (F.col("_hi") + F.col("_hi2"))   # rounding of the pivot distances
-    near = at.join(to, "_c").where((F.col("_g") != F.col("_h")) & (F.col("_u").isNull() | (gap <= F.col("_u") + slack)))
-    pairs = near.select("_c", "_g", "_h").join(q, ["_c", "_g"]).join(c, ["_c", "_h"])
-    other = pairs.select("_c", "qi", "qx", "ci", "cx", "ck").mapInArrow(_block_nearest, out)
-    best = own.unionByName(other).groupBy("_c", "_i").agg(F.min(F.struct("_d2", "nn_key")).alias("_best"))
-    return (rows.select("_c", "_i", F.col("_k").alias(key_col))
-            .join(best, ["_c", "_i"], "left").select(key_col, F.col("_best.nn_key").alias("nn_key"),
-                                                     F.col("_best._d2").alias("nn_dist2")))
-
-
-def _block_nearest(batches, step: int = 32):
-    """Best candidate of each query in one pair of blocks: exact squared
-    distances in slices of ``step`` queries, ties to the lower position."""
-    import numpy as np
-    import pyarrow as pa
-    for b in batches:
-        for r in range(b.num_rows):
-            qi, ci = (np.asarray(b.column(n)[r].values) for n in ("qi", "ci"))
-            q = np.asarray(b.column("qx")[r].values).reshape(len(qi), -1)
-            c = np.asarray(b.column("cx")[r].values).reshape(len(ci), -1)
-            d2, at = np.empty(len(qi)), np.empty(len(qi), np.int64)
-            for a in range(0, len(qi), step):
-                d = ((q[a:a + step, None, :] - c[None, :, :]) ** 2).sum(axis=2)
-                d[qi[a:a + step, None] == ci[None, :]] = np.inf
-                at[a:a + step] = d.argmin(axis=1)
-                d2[a:a + step] = d.min(axis=1)
-            ok = np.isfinite(d2)
-            label = pa.array([b.column("_c")[r].as_py()] * int(ok.sum()), b.column("_c").type)
-            yield pa.RecordBatch.from_arrays([label, pa.array(qi[ok].astype(np.int64)), pa.array(d2[ok]),
-                                              b.column("ck")[r].values.take(pa.array(at[ok]))], names=["_c", "_i", "_d2", "nn_key"])
-
-
 def smote_oversample(df: DataFrame, label_col: str, key_col: str, feat_col: str = "features", seed: int = 42,
-                     max_rows_per_class: int | None = None) -> DataFrame:
+                     max_rows_per_class: int | None = None, parents: bool = False) -> DataFrame:
     """Raise every class to the majority size with synthetic rows
     ``x + u * (nn(x) - x)`` (Chawla et al., 2002, one neighbour).
 
@@ -199,14 +112,19 @@ def smote_oversample(df: DataFrame, label_col: str, key_col: str, feat_col: str
     ``s`` of class ``c`` uses the base row of rank ``s mod n_c`` and a
     hash-derived gap ``u`` in [0, 1).  Output keeps the rows taken
     (``synthetic`` false, ``synthetic_id`` null, their key of any type) plus
-    the new ones (null key, ``synthetic_id`` from 0).  A null label, or a
-    minority class of one row, raises."""
+    the new ones (null key, ``synthetic_id`` from 0).  ``parents`` adds the keys
+    of the two rows a synthetic one lies between (``base_key``, ``nn_key``;
+    null for the rows taken).  A null label, or a minority class of one row,
+    raises."""
     spark = df.sparkSession
     rows = cut_lineage(bounded_per_class(df.select(label_col, key_col, F.col(feat_col).cast("array<double>").alias(feat_col)),
                                          label_col, key_col, max_rows_per_class, seed))
     sizes = class_sizes(rows, label_col)
     base = rows.select(label_col, key_col, feat_col, F.lit(False).alias("synthetic"),
                        F.lit(None).cast("long").alias("synthetic_id"))
+    if parents:
+        none = F.lit(None).cast(df.schema[key_col].dataType)
+        base = base.select("*", none.alias("base_key"), none.alias("nn_key"))
     if not sizes:
         return base
     if None in sizes:
@@ -227,28 +145,52 @@ def smote_oversample(df: DataFrame, label_col: str, key_col: str, feat_col: str
         plan.append((c, acc, need[c], sizes[c]))
         acc += need[c]
     kind = df.schema[label_col].dataType.simpleString()
-    plan = spark.createDataFrame(plan, f"`{label_col}` {kind}, _start long, _need long, _nc long")
-    # one row per class, spread over its synthetic ids
-    syn = (F.broadcast(plan).select(label_col, "_nc", "_start", F.explode(F.sequence(F.lit(0), F.col("_need") - 1)).alias("_s"))
-           .select(label_col, (F.col("_start") + F.col("_s")).alias("_sid"), (F.col("_s") % F.col("_nc")).alias("_r0")))
+    # a range of synthetic ids per class, dealt over tasks as any range
+    syn = reduce(DataFrame.unionByName, [
+        spark.range(start, start + n).select(F.lit(c).cast(kind).alias(label_col), F.col("id").alias("_sid"),
+                                             ((F.col("id") - start) % m).alias("_r0")) for c, start, n, m in plan])
     gap = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:gap:"), F.col("_sid").cast("string"))), 1, 8), 16, 10) \
         .cast("bigint") / F.lit(4294967296.0)
     out = syn.join(ranked, [label_col, "_r0"]).withColumn("_gap", gap).select(
         label_col, F.lit(None).cast(df.schema[key_col].dataType).alias(key_col),
         F.zip_with(F.col(feat_col), F.col("_nnx"), lambda a, b: a + F.col("_gap") * (b - a)).alias(feat_col),
-        F.lit(True).alias("synthetic"), F.col("_sid").cast("long").alias("synthetic_id"))
+        F.lit(True).alias("synthetic"), F.col("_sid").cast("long").alias("synthetic_id"),
+        *([F.col(key_col).alias("base_key"), "nn_key"] if parents else []))
     return base.unionByName(out)
 
 # ------------------------------------------------------------------ forest
 
 
+# Rows that a forest's fit reads, and rows each of its trees is grown on, about.
+MAX_FOREST_ROWS, ROWS_PER_TREE = 400_000, 20_000
+
+
+def forest_sample(train: DataFrame, features_col: str = "features_vec", label_col: str = "label",
+                  max_rows: int | None = MAX_FOREST_ROWS, rows_per_tree: int | None = ROWS_PER_TREE,
+                  seed: int = 42) -> tuple[DataFrame, float]:
+    """The rows a forest is fitted on and each tree's share of them.
+
+    Up to ``max_rows`` all rows are taken; beyond, those whose hashed label and
+    features fall below ``max_rows / n``, whatever the partitioning.  Each tree
+    then draws ``rows_per_tree`` of them with replacement (all of them when
+    there are fewer).  So neither the rows held in memory nor the nodes of a
+    tree, the histograms or the model grow with the table.  None: no bound."""
+    n = train.count()
+    if max_rows is not None and n > max_rows:
+        draw = F.pmod(F.xxhash64(vector_to_array(F.col(features_col)), F.col(label_col), F.lit(seed)), F.lit(1 << 32)) / float(1 << 32)
+        train, n = train.where(draw < max_rows / n), max_rows
+    return train, 1.0 if rows_per_tree is None or n <= rows_per_tree else rows_per_tree / n
+
+
 def random_forest_fit(train: DataFrame, label_col: str = "label", features_col: str = "features_vec",
                       weight_col: str | None = None, num_trees: int = 200, max_depth: int = 25,
                       min_instances_per_node: int = 2, seed: int = 42, max_bins: int = 32,
-                      subsampling_rate: float = 1.0, max_memory_mb: int = 1024,
-                      cache_node_ids: bool = True, checkpoint_interval: int = 10) -> RandomForestClassificationModel:
+                      max_rows: int | None = MAX_FOREST_ROWS, rows_per_tree: int | None = ROWS_PER_TREE,
+                      max_memory_mb: int = 1024, cache_node_ids: bool = True,
+                      checkpoint_interval: int = 10) -> RandomForestClassificationModel:
     """Spark ML random forest: trees grow level-wise from distributed
-    histograms; ``sqrt`` feature subsets per split (``auto``).
+    histograms; ``sqrt`` feature subsets per split (``auto``).  The rows
+    are bounded by ``max_rows`` and ``rows_per_tree`` (:func:`forest_sample`).
 
     ``max_memory_mb`` lets one pass over the data split more nodes (fewer
     passes for 200 deep trees); ``cache_node_ids`` keeps each row's node id
@@ -257,14 +199,20 @@ def random_forest_fit(train: DataFrame, label_col: str = "label", features_col:
     checkpoint folder (survives executor loss, bounds lineage)."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(train.sparkSession)
+    rows, share = forest_sample(train, features_col, label_col, max_rows, rows_per_tree, seed)
     rf = RandomForestClassifier(labelCol=label_col, featuresCol=features_col, numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances_per_node, seed=seed,
                                 maxBins=max_bins, featureSubsetStrategy="sqrt", bootstrap=True,
-                                subsamplingRate=subsampling_rate, maxMemoryInMB=max_memory_mb,
+                                subsamplingRate=share, maxMemoryInMB=max_memory_mb,
                                 cacheNodeIds=cache_node_ids, checkpointInterval=checkpoint_interval)
     if weight_col:
         rf.setWeightCol(weight_col)
-    return rf.fit(train.withColumn(label_col, F.col(label_col).cast("double")))
+    return rf.fit(rows.withColumn(label_col, F.col(label_col).cast("double")))
+
+
+def forest_shape(spark, model) -> DataFrame:
+    """``(tree, nodes, depth)`` of a fitted forest."""
+    return spark.createDataFrame([(i, t.numNodes, t.depth) for i, t in enumerate(model.trees)], "tree int, nodes int, depth int")
 
 
 def random_forest_predict(model, df: DataFrame, features_col: str = "features_vec") -> DataFrame:
@@ -283,25 +231,47 @@ def feature_importance(spark, model, names, top: int = 10) -> DataFrame:
                                                                                     "feature").limit(top)
 
 
-def cross_validate(df: DataFrame, label_col: str, key_cols, folds: int = 3, seed: int = 42,
-                   **forest_kw) -> DataFrame:
-    """Stratified k-fold accuracy: fold = hash-rank position mod k within
-    each class (exact, partition independent); one forest per fold.
-    Returns per-fold accuracy plus mean and population std rows."""
-    spark = df.sparkSession
+def with_folds(df: DataFrame, label_col: str, key_cols, folds: int, seed: int = 42) -> DataFrame:
+    """Adds ``_fold``: a row's hash-rank position inside its class, modulo ``folds``
+    (exact, partition independent)."""
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    sizes = class_sizes(df, label_col)
-    B = _n_buckets(sum(sizes.values()))
-    tie = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in keys])
-    d = df.withColumn("_tie", tie)
-    d = d.withColumn("_u", hash_rank(["_tie"], seed)).withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
-    d = cut_lineage(exact_rank(d, label_col, "_u", "_tie", "_b")   # ranked once, read by every fold
-                    .withColumn("_fold", ((F.col("_rank") - 1) % folds).cast("int")))
+    buckets = n_buckets(sum(class_sizes(df, label_col).values()))
+    d = df.withColumn("_tie", F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in keys]))
+    d = d.withColumn("_u", hash_rank(["_tie"], seed)).withColumn("_b", F.floor(F.col("_u") * buckets).cast("int"))
+    return (exact_rank(d, label_col, "_u", "_tie", "_b").withColumn("_fold", ((F.col("_rank") - 1) % folds).cast("int"))
+            .drop("_rank", "_u", "_b", "_tie"))
+
+
+def fold_training_set(folded: DataFrame, fold: int, label_col: str, key_col: str, feat_col: str = "features", seed: int = 42,
+                      max_rows_per_class: int | None = MAX_FIT_ROWS_PER_CLASS, parents: bool = False) -> DataFrame:
+    """The rows outside a fold, oversampled among themselves: neighbours and synthetic rows come from them alone."""
+    rest = folded.where(F.col("_fold") != fold).select(label_col, key_col, feat_col)
+    return smote_oversample(rest, label_col, key_col, feat_col, seed, max_rows_per_class, parents)
+
+
+def cross_validate(df: DataFrame, label_col: str, key_cols, folds: int = 3, seed: int = 42, folds_before_smote: bool = False,
+                   feat_col: str = "features", features_col: str = "features_vec", **forest_kw) -> DataFrame:
+    """Stratified k-fold accuracy with one forest per fold: per-fold accuracy
+    plus mean (fold -1) and population std (fold -2).
+
+    By default the folds part the rows as given, which for oversampled rows
+    puts synthetic ones and their parents on both sides.  ``folds_before_smote``
+    takes rows that are not oversampled yet (one key column, ``feat_col`` an
+    array): each fold's training part is oversampled by itself
+    (:func:`fold_training_set`) and tested on the fold's own rows."""
+    spark = df.sparkSession
+    key = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    d = cut_lineage(with_folds(df, label_col, key, folds, seed))   # ranked once, read by every fold
     rows = []
     for f in range(folds):
-        tr, te = d.where(F.col("_fold") != f), d.where(F.col("_fold") == f)
-        model = random_forest_fit(tr, label_col=label_col, **forest_kw)
-        pred = random_forest_predict(model, te)
+        te = d.where(F.col("_fold") == f)
+        if folds_before_smote:
+            tr = cut_lineage(fold_training_set(d, f, label_col, key[0], feat_col, seed)).withColumn(features_col, array_to_vector(F.col(feat_col)))
+            te = te.withColumn(features_col, array_to_vector(F.col(feat_col)))
+        else:
+            tr = d.where(F.col("_fold") != f)
+        model = random_forest_fit(tr, label_col=label_col, features_col=features_col, **forest_kw)
+        pred = random_forest_predict(model, te, features_col)
         acc = pred.agg(F.avg((F.col("predicted_label") == F.col(label_col)).cast("double"))).first()[0]
         rows.append((f, float(acc if acc is not None else 0.0)))
     accs = [a for _, a in rows]

@@ -289,6 +289,30 @@ SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, count(*) / (SELECT coun
 FROM lf_ab GROUP BY a, b""")
 
 
+def triplet_ctes(prec_init: float = 0.7, k: int = 4, min_cov: float = 1e-6) -> str:
+    """lm_mu (j, vote, y, mu): the closed-form start of the label model, uniform classes."""
+    p = 1.0 / k
+    return labeled_ctes() + f""",
+tr_v AS (SELECT CAST(j AS INTEGER) - 1 AS j, CAST(votes[j] AS INTEGER) AS y, ingest_seq FROM lf_arr, range(1, {len(DEFAULT_LFS)} + 1) r(j)),
+tr_n AS (SELECT count(*) AS n FROM lf_arr),
+tr_g AS (SELECT j, y FROM range({len(DEFAULT_LFS)}) a(j), range({k}) b(y)),
+tr_m AS (SELECT g.j, g.y, count(v.ingest_seq) / (SELECT n FROM tr_n) AS m FROM tr_g g LEFT JOIN tr_v v ON v.j = g.j AND v.y = g.y GROUP BY ALL),
+tr_o AS (SELECT a.j AS i, b.j AS j, a.y, count(*) / (SELECT n FROM tr_n) AS o
+         FROM tr_v a JOIN tr_v b ON a.ingest_seq = b.ingest_seq AND a.y = b.y AND a.j <> b.j WHERE a.y >= 0 GROUP BY ALL),
+tr_c AS (SELECT a.j AS i, b.j AS j, a.y, coalesce(o.o, 0.0) - a.m * b.m AS c
+         FROM tr_m a JOIN tr_m b ON a.y = b.y AND a.j <> b.j LEFT JOIN tr_o o ON o.i = a.j AND o.j = b.j AND o.y = a.y),
+tr_u AS (SELECT * FROM tr_c WHERE abs(c) > {min_cov!r}),
+tr_q AS (SELECT a.j, a.y, a.c * b.c / ik.c AS q
+         FROM (SELECT j, i, y, c FROM tr_u) a JOIN tr_u b ON b.j = a.j AND b.y = a.y AND b.i > a.i
+         JOIN tr_u ik ON ik.i = a.i AND ik.j = b.i AND ik.y = a.y),
+tr_d AS (SELECT j, y, sqrt(median(q) / {p * (1 - p)!r}) AS d FROM tr_q WHERE q > 0 GROUP BY j, y),
+tr_p AS (SELECT m.j, m.y, CASE WHEN d IS NULL THEN m.m * {prec_init!r} / {p!r} ELSE m.m + {1 - p!r} * d END AS yes,
+                CASE WHEN d IS NULL THEN (m.m - {p!r} * least(m.m * {prec_init!r} / {p!r}, 1.0)) / {1 - p!r} ELSE m.m - {p!r} * d END AS no
+         FROM tr_m m LEFT JOIN tr_d d ON d.j = m.j AND d.y = m.y),
+lm_mu AS (SELECT CAST(t.j AS INTEGER) AS j, CAST(t.y AS INTEGER) AS vote, CAST(c.y AS INTEGER) AS y,
+                 least(greatest(CASE WHEN t.y = c.y THEN yes ELSE no END, 0.0), 1.0) AS mu FROM tr_p t, range({k}) c(y))"""
+
+
 def init_params_ctes(r: float, prec_init: float = 0.7, k: int = 4) -> str:
     """Posteriors under the moment-initialised parameters (no SGD epochs):
     mu[j,y,y] = r * clamp(cov(j,y) * prec_init / p_y, 0, 1), other entries 0,

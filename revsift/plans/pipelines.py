@@ -67,7 +67,7 @@ def feature_pipeline(weak: DataFrame, key: str = "ingest_seq", max_features: int
     sparse = cut_lineage(TF.tfidf_columns(weak.select(*dict.fromkeys([*keep, text_col])), vocab, text_col)
                          .select(*keep, "indices", "values"))
     d = vocab.count()
-    model = SV.svd_fit(sparse, TF.sparse_to_long(sparse, key), d, min(n_components, d))
+    model = SV.svd_fit(sparse, d, min(n_components, d))
     feats = SV.svd_transform(sparse, model).drop("indices", "values")
     return TR.assemble_features(feats), vocab, model
 

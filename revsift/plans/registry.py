@@ -427,6 +427,30 @@ def q_label_dist(spark, sf):
     return P.label_distribution(_init_scored(spark, sf))
 
 
+def _triplet_params(votes):
+    m = len(LFS.DEFAULT_LFS)
+    return LM.triplet_start(LM.overlap_to_numpy(LB.vote_overlap_matrix(votes), m), m)
+
+
+@register("label_model_start", O.with_ctes(O.triplet_ctes(), "SELECT j, vote, y, mu FROM lm_mu"))
+def q_lm_start(spark, sf):
+    """Closed-form parameters P(rule j votes c | class y) from triplets of rules."""
+    return LM.params_frame(spark, _triplet_params(_votes(spark, sf)))
+
+
+@register("label_model_proba_general", O.with_ctes(O.triplet_ctes() + """,
+ls AS (SELECT v.ingest_seq, m.y, ln(0.25) + sum(CASE WHEN v.y = -1 THEN 0.0 ELSE ln(least(greatest(m.mu, 0.01), 0.99)) END) AS s
+       FROM tr_v v JOIN lm_mu m ON m.j = v.j AND m.vote = CASE WHEN v.y = -1 THEN 0 ELSE v.y END GROUP BY ALL),
+le AS (SELECT ingest_seq, y, exp(s - max(s) OVER (PARTITION BY ingest_seq)) AS e FROM ls),
+lp AS (SELECT ingest_seq, y, e / sum(e) OVER (PARTITION BY ingest_seq) AS p FROM le)""", """
+SELECT ingest_seq, max(p) FILTER (WHERE y = 0) AS prob_genuine, max(p) FILTER (WHERE y = 1) AS prob_promotion,
+       max(p) FILTER (WHERE y = 2) AS prob_irrelevant, max(p) FILTER (WHERE y = 3) AS prob_rant FROM lp GROUP BY ingest_seq"""))
+def q_lm_proba_general(spark, sf):
+    """Posteriors under a general table, where a vote says something about every class."""
+    v = _votes(spark, sf)
+    return LM.label_model_proba(v, _triplet_params(v)).select("ingest_seq", *LM.PROB_COLUMNS)
+
+
 @register("confidence_stats", O.with_ctes(O.init_params_ctes(_R_INIT),
           "SELECT avg(confidence) AS mean_confidence, stddev_samp(confidence) AS std_confidence FROM lm_pred"))
 def q_conf_stats(spark, sf):
@@ -700,6 +724,21 @@ def q_nn(spark, sf):
     return TR.nearest_neighbours(_embeddings(spark, sf), "label", "vec_id")
 
 
+@register("nearest_neighbours_blocks", ORACLE["nearest_neighbours"])
+def q_nn_blocks(spark, sf):
+    """The same in blocks of 16 rows, so that cells, rings and the search across blocks all take part."""
+    return TR.nearest_neighbours(_embeddings(spark, sf), "label", "vec_id", block_rows=16)
+
+
+@register("stratified_folds", O.with_ctes("""
+e AS (SELECT vec_id, CAST(label AS INTEGER) AS label FROM embeddings)""", f"""
+SELECT vec_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {_MD5U.format(k="vec_id")}, CAST(vec_id AS VARCHAR)) - 1) % 3
+       AS INTEGER) AS fold FROM e"""))
+def q_folds(spark, sf):
+    """Fold of every row in a stratified 3-fold cross-validation."""
+    return TR.with_folds(_embeddings(spark, sf), "label", "vec_id", 3).select("vec_id", "label", F.col("_fold").alias("fold"))
+
+
 @register("smote_oversample", O.with_ctes(f"""
 e AS (SELECT vec_id, CAST(label AS INTEGER) AS label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
 p AS (SELECT a.vec_id, b.vec_id AS nn_key,
@@ -758,6 +797,85 @@ def q_assemble(spark, sf):
     return feats.select("ingest_seq", "weak_label", "confidence", "text_length", "features")
 
 
+#: Components of the given basis: orthonormal cosines over the vocabulary (DCT-IV), a rule that SQL states as well.
+GIVEN_K = 8
+_GIVEN = O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes() + f""",
+gd AS (SELECT count(*) AS d FROM tf_vocab),
+basis AS (SELECT CAST(c AS INTEGER) AS component, feature_index, sqrt(2.0 / d) * cos(pi() / d * (feature_index + 0.5) * (c + 0.5)) AS loading
+          FROM tf_vocab, gd, range({GIVEN_K}) r(c)),
+proj AS (SELECT n.ingest_seq, c.component, coalesce(sum(l.weight * b.loading), 0.0) AS x
+         FROM nonempty n CROSS JOIN (SELECT DISTINCT component FROM basis) c
+         LEFT JOIN tf_long l ON l.doc_key = n.ingest_seq
+         LEFT JOIN basis b ON b.component = c.component AND b.feature_index = l.feature_index
+         GROUP BY n.ingest_seq, c.component)""", "{}")
+
+
+def _given(spark, sf):
+    """(sparse rows of all cleaned reviews, vocabulary, model of the given basis)"""
+    from ..session import cut_lineage
+    corpus = _tf_corpus(spark, sf).select("ingest_seq", "text_clean", "text_length")
+    vocab = TF.tfidf_fit(corpus, "ingest_seq")
+    d = vocab.count()
+    c = F.explode(F.sequence(F.lit(0), F.lit(GIVEN_K - 1))).alias("component")
+    loading = F.sqrt(F.lit(2.0 / max(d, 1))) * F.cos(F.lit(_np.pi / max(d, 1)) * (F.col("feature_index") + 0.5) * (F.col("component") + 0.5))
+    basis = vocab.select("feature_index", c).withColumn("loading", loading)
+    sparse = cut_lineage(TF.tfidf_columns(corpus, vocab).drop("text_clean"))
+    return sparse, vocab, SV.model_from_basis(basis, d)
+
+
+@register("svd_transform_given", _GIVEN.replace("{}", "SELECT ingest_seq, component, x FROM proj"))
+def q_svd_transform_given(spark, sf):
+    """Projection of every cleaned review onto a given orthonormal basis."""
+    sparse, _, model = _given(spark, sf)
+    return SV.svd_transform(sparse, model).select("ingest_seq", F.posexplode("svd").alias("component", "x"))
+
+
+@register("assemble_features_given", _GIVEN.replace("{}", f"""
+SELECT p.ingest_seq, {GIVEN_K + 1} AS n_features, max(x) FILTER (WHERE component = 0) AS first_feature,
+       CAST(max(n.text_length) AS DOUBLE) AS last_feature, sum(x * (component + 1)) + max(n.text_length) * {GIVEN_K + 1} AS weighted
+FROM proj p JOIN nonempty n ON n.ingest_seq = p.ingest_seq GROUP BY p.ingest_seq"""))
+def q_assemble_given(spark, sf):
+    """Components of a given basis followed by the text length, as one feature array."""
+    sparse, _, model = _given(spark, sf)
+    x = F.col("features")
+    weighted = F.aggregate(F.transform(x, lambda v, i: v * (i + 1)), F.lit(0.0), lambda s, v: s + v)
+    return TR.assemble_features(SV.svd_transform(sparse, model)).select(
+        "ingest_seq", F.size(x).alias("n_features"), F.get(x, F.lit(0)).alias("first_feature"),
+        F.element_at(x, -1).alias("last_feature"), weighted.alias("weighted"))
+
+
+@register("save_svd_components_given", _GIVEN.replace("{}", """
+SELECT component, feature_name, loading FROM basis JOIN tf_vocab USING (feature_index)"""))
+def q_svd_components_given(spark, sf):
+    """The component export of a model whose basis is given."""
+    _, vocab, model = _given(spark, sf)
+    return SV.components_frame(spark, model, vocab, 10)
+
+
+@register("explained_variance_given", _GIVEN.replace("{}", """
+SELECT component, var_pop(x) AS explained_variance, var_pop(x) / (
+         SELECT sum(q / n - (s / n) * (s / n)) FROM (SELECT sum(weight) AS s, sum(weight * weight) AS q FROM tf_long GROUP BY feature_index),
+                (SELECT count(*) AS n FROM nonempty)) AS explained_variance_ratio
+FROM proj GROUP BY component"""))
+def q_explained_given(spark, sf):
+    """Variance along each component of a given basis, and its share of the features' variance."""
+    sparse, _, model = _given(spark, sf)
+    return SV.explained_variance(SV.svd_transform(sparse, model))
+
+
+@register("svd_gramian", O.with_ctes(O.cleaned_ctes() + O.tfidf_ctes() + """,
+ds AS (SELECT doc_key, sum(weight) AS total FROM tf_long GROUP BY doc_key)""", """
+SELECT feature_index, sum(weight * weight) AS diagonal, sum(weight * total) AS row_sum, sum(weight) AS column_sum
+FROM tf_long JOIN ds USING (doc_key) GROUP BY feature_index"""))
+def q_gramian(spark, sf):
+    """The Gramian that the exact SVD is taken from: its diagonal and row sums, and the column sums of the matrix."""
+    corpus = _tf_corpus(spark, sf).select("ingest_seq", "text_clean")
+    vocab = TF.tfidf_fit(corpus, "ingest_seq")
+    G, sums, _ = SV.gramian(TF.tfidf_columns(corpus, vocab), vocab.count())
+    rows = [(i, float(G[i, i]), float(G[i].sum()), float(sums[i])) for i in range(len(G))]
+    return spark.createDataFrame(rows, "feature_index int, diagonal double, row_sum double, column_sum double")
+
+
 @register("random_forest_fit")
 def q_forest(spark, sf):
     """Forest on the embedding table (reference settings: 200 trees, depth 25)."""
@@ -814,6 +932,12 @@ def q_cv(spark, sf):
     return TR.cross_validate(res, "weak_label", ["ingest_seq", "synthetic_id"], folds=3)
 
 
+@register("cross_validate_before_smote")
+def q_cv_before(spark, sf):
+    """3-fold accuracy on the embedding table where each fold's training part is oversampled by itself."""
+    return TR.cross_validate(_embeddings(spark, sf), "label", "vec_id", folds=3, folds_before_smote=True)
+
+
 @register("explained_variance")
 def q_explained(spark, sf):
     art, _, _, _ = _trained(spark, sf)

@@ -38,7 +38,7 @@ def test_rows_unit_norm_and_svd_properties(spark, corpus):
     assert a == b
     plan = TF.tfidf_columns(corpus, vocab)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan  # scoring shuffles nothing
-    model = SV.svd_fit(sparse, long, d, 10)
+    model = SV.svd_fit(sparse, d, 10)
     V = model.components
     assert np.allclose(V @ V.T, np.eye(10), atol=1e-8)
     assert np.all(np.diff(model.singular_values) <= 1e-9)

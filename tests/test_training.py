@@ -110,3 +110,117 @@ def test_classes_of_any_size(spark):
         assert np.allclose([got[i] for i in order], np.minimum(gap[:-1], gap[1:]) ** 2)
     counts = TR.resampling_counts(df, TR.smote_oversample(df, "label", "id"), "label").collect()
     assert {(r["label"], r["n_before"], r["n_after"]) for r in counts} == {(0, n - 60, n - 60), (1, 60, n - 60)}
+
+
+def _clusters(spark, n=3000, centres=40, dim=8, seed=6):
+    rng = np.random.RandomState(seed)
+    mid = rng.randn(centres, dim) * 30
+    lab = rng.choice([0, 1], size=n, p=[0.8, 0.2])
+    X = mid[rng.randint(centres, size=n)] + rng.randn(n, dim)
+    return spark.createDataFrame([(int(i), int(lab[i]), [float(v) for v in X[i]]) for i in range(n)],
+                                 "id long, label int, features array<double>"), X, lab
+
+
+def _brute(X, lab):
+    out = {}
+    for i in range(len(lab)):
+        d = ((X - X[i]) ** 2).sum(axis=1)
+        d[(lab != lab[i]) | (np.arange(len(lab)) == i)] = np.inf
+        out[i] = int(d.argmin()) if np.isfinite(d.min()) else None
+    return out
+
+
+def test_index_opens_few_blocks_of_clustered_rows(spark):
+    """Cells and rings rule out most pairs of blocks, and the answer stays that of all pairs."""
+    from revsift.operators.neighbours import neighbour_search
+    df, X, lab = _clusters(spark)
+    got, report = neighbour_search(df, "label", "id", block_rows=25, report=True)
+    assert {r["id"]: r["nn_key"] for r in got.collect()} == _brute(X, lab)
+    for r in report.collect():
+        assert r.vectors == (lab == r.label).sum() and r.blocks >= r.vectors / 25
+        assert r.block_pairs < 0.2 * r.blocks ** 2
+
+
+def test_index_on_rows_without_structure(spark):
+    """Where nothing can be ruled out, the search is exact all the same."""
+    from revsift.operators.neighbours import neighbour_search
+    rng = np.random.RandomState(3)
+    X = rng.randn(400, 24)
+    lab = rng.choice([0, 1, 2], size=400)
+    df = spark.createDataFrame([(i, str(lab[i]), [float(v) for v in X[i]]) for i in range(400)], "id int, label string, features array<double>")
+    got, report = neighbour_search(df, "label", "id", block_rows=16, report=True)
+    assert {r["id"]: r["nn_key"] for r in got.collect()} == _brute(X, lab)
+    assert all(r.block_pairs <= r.blocks ** 2 for r in report.collect())
+
+
+def test_copies_are_neighbours_without_pairs(spark):
+    """A third of a class are copies: each takes the smallest other key, and no block of copies is compared."""
+    from revsift.operators.neighbours import neighbour_search
+    rng = np.random.RandomState(9)
+    X = np.concatenate([rng.randn(60, 3), np.tile([[0.25, 0.5, -1.0]], (500, 1)), np.array([[9.0, 9.0, 9.0]])])
+    lab = np.array([0] * 560 + [1])
+    order = rng.permutation(560)
+    X[:560] = X[:560][order]
+    df = spark.createDataFrame([(i, int(lab[i]), [float(v) for v in X[i]]) for i in range(561)] , "id long, label int, features array<double>")
+    none = spark.createDataFrame([(900, None, [0.0, 0.0, 0.0])], df.schema)
+    got, report = neighbour_search(df.unionByName(none), "label", "id", block_rows=10, report=True)
+    assert {r["id"]: r["nn_key"] for r in got.collect()} == _brute(X, lab)
+    assert {r.label: r.vectors for r in report.collect()} == {0: 61, 1: 1}
+    assert neighbour_search(df.where("1 = 0"), "label", "id")[0].collect() == []
+
+
+def test_smote_names_the_parents(spark):
+    df, X, lab = _points(spark, n=120)
+    out = TR.smote_oversample(df, "label", "id", parents=True)
+    for r in out.where("synthetic").collect():
+        assert lab[r.base_key] == lab[r.nn_key] == r.label
+        a, b = X[r.base_key], X[r.nn_key]
+        t = (np.array(r.features) - a) @ (b - a) / ((b - a) @ (b - a))
+        assert 0 <= t < 1 and np.allclose(a + t * (b - a), r.features)
+    assert out.where("not synthetic and (base_key is not null or nn_key is not null)").count() == 0
+
+
+def test_class_weights_keep_rows_without_a_label(spark):
+    df = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, None)], "id int, label int")
+    got = {r.id: r.class_weight for r in TR.class_weights(df, "label").collect()}
+    assert got == {1: 4 / 6, 2: 4 / 6, 3: 4 / 3, 4: 4 / 3}
+
+
+def test_folds_before_smote_part_parents_from_tests(spark):
+    """No synthetic row of a fold's training set has a parent in the fold it is tested on."""
+    df, X, lab = _points(spark, n=150)
+    folded = TR.with_folds(df, "label", "id", 3).cache()
+    where = {r.id: r._fold for r in folded.collect()}
+    assert sorted(where) == list(range(150))
+    for f in range(3):
+        train = TR.fold_training_set(folded, f, "label", "id", parents=True).collect()
+        assert {r.id for r in train if not r.synthetic} == {i for i, k in where.items() if k != f}
+        assert all(where[r.base_key] != f and where[r.nn_key] != f for r in train if r.synthetic)
+        sizes = [sum(r.label == c for r in train) for c in (0, 1, 2)]
+        assert len(set(sizes)) == 1
+    cv = TR.cross_validate(df, "label", "id", folds_before_smote=True, num_trees=5, max_depth=4)
+    got = {r.fold: r.accuracy for r in cv.collect()}
+    assert set(got) == {-2, -1, 0, 1, 2} and abs(got[-1] - np.mean([got[f] for f in range(3)])) < 1e-12
+
+
+def test_forest_is_bounded(spark):
+    """Beyond the bounds, neither the rows of the fit nor the nodes of its trees grow with the table."""
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.RandomState(2)
+    X = rng.randn(4000, 4)
+    y = rng.randint(0, 2, 4000)   # noise: an unbounded tree would take all rows apart
+    df = spark.createDataFrame([(float(y[i]), [float(v) for v in X[i]]) for i in range(4000)], "label double, features array<double>")
+    df = df.withColumn("features_vec", array_to_vector("features"))
+    small, large = df.limit(1000), df
+    counts, nodes = [], []
+    for rows in (small, large):
+        taken, share = TR.forest_sample(rows, max_rows=1000, rows_per_tree=200)
+        assert share == 0.2
+        counts.append(taken.count())
+        model = TR.random_forest_fit(rows, num_trees=4, max_rows=1000, rows_per_tree=200)
+        nodes.append(max(r.nodes for r in TR.forest_shape(spark, model).collect()))
+    assert counts[0] == 1000 and 850 < counts[1] < 1150
+    assert max(nodes) <= 2 * 200 and nodes[1] < 1.5 * nodes[0]
+    assert TR.forest_sample(df) [1] == 1.0 and TR.forest_sample(df, rows_per_tree=None)[0].count() == 4000
+    a, b = (TR.forest_sample(df.repartition(k), max_rows=1000)[0].agg(F.sum(F.hash("features"))).first()[0] for k in (2, 9))
+    assert a == b
