@@ -12,13 +12,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..constants import LENGTH_QUANTILES, NONE_TOKEN, RATING_RANGE
 from ..functions.text import char_length, clean_text, fill_none, split_word_count, strip_ws, title_case
+from .quantiles import quantiles
 
 # ------------------------------------------------------------------ dedupe
 
+#: String keys that are ids: compared as they are.
+SHORT_KEYS = ("user_id", "gmap_id")
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str = "ingest_seq") -> DataFrame:
     """One row per key, the one with the lowest ``order_col`` ("keep first").
@@ -26,10 +30,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_col: str = "ingest_seq"
     ``row_number() = 1``: Spark keeps the first row of each key in every map
     task already (window group limit), so a key that owns a third of all rows
     ships one row per task, and rows are hashed and sorted by narrow keys only:
-    a text key is compared by its SHA-256.  Null keys compare equal, like
-    pandas ``drop_duplicates``.
+    a string key is compared by its SHA-256, unless it is a known short id.
+    Null keys compare equal, like pandas ``drop_duplicates``.
     """
-    narrow = [F.sha2(F.col(k), 256) if k.startswith("text") else F.col(k) for k in keys]
+    wide = {f.name for f in df.schema if isinstance(f.dataType, StringType)} - set(SHORT_KEYS)
+    narrow = [F.sha2(F.col(k), 256) if k in wide else F.col(k) for k in keys]
     w = Window.partitionBy(*narrow).orderBy(order_col)
     return df.withColumn("_first", F.row_number().over(w)).where("_first = 1").drop("_first")
 
@@ -68,7 +73,7 @@ def normalize_meta(meta_raw: DataFrame, category_col: str = "category") -> DataF
     ``category_primary`` (first element, "" if none)."""
     c = F.col(category_col)
     cats = (F.when(c.isNull(), F.array().cast("array<string>"))
-            .when(F.ltrim(c).startswith("["), F.from_json(c, "array<string>"))
+            .when(F.ltrim(c).startswith("["), F.coalesce(F.from_json(c, "array<string>"), F.array(c)))   # "[new] Cafe" is a name
             .otherwise(F.array(c)))
     keep = [x for x in meta_raw.columns if x != category_col]
     return (meta_raw.select(*keep, cats.alias("_cats"))
@@ -102,11 +107,12 @@ def derive_time(df: DataFrame, time_col: str = "time") -> DataFrame:
             .withColumn("month", F.month("timestamp")))
 
 
-def impute_median(df: DataFrame, col: str = "rating") -> DataFrame:
+def impute_median(df: DataFrame, col: str = "rating", bounded: bool = False) -> DataFrame:
     """Null -> global median (exact, linearly interpolated).  The median is a
     scalar subquery; ``percentile`` keeps a value->count map, which stays
-    small because ratings have few distinct values."""
-    med = df.agg(F.median(F.col(col))).scalar()
+    small because ratings have few distinct values.  ``bounded``: the same
+    number by :mod:`.quantiles`, whose state is bounded for any column."""
+    med = F.lit(quantiles(df, col, [0.5])[0]) if bounded else df.agg(F.median(F.col(col))).scalar()
     return df.withColumn(col, F.coalesce(F.col(col), med))
 
 
@@ -176,16 +182,19 @@ def business_review_count(df: DataFrame, business_col: str = "gmap_id") -> DataF
 # ------------------------------------------------------------------ filters
 
 
-def quantile_bounds(df: DataFrame, col: str = "text_length", q=LENGTH_QUANTILES) -> tuple[Column, Column]:
+def quantile_bounds(df: DataFrame, col: str = "text_length", q=LENGTH_QUANTILES, bounded: bool = False) -> tuple[Column, Column]:
     """Linear-interpolated quantiles as two scalar-subquery Columns, rounded
     to 6 dp (interpolation between integer lengths at these ranks has at most
-    two decimals, so rounding removes float noise without moving a bound)."""
+    two decimals, so rounding removes float noise without moving a bound).
+    ``bounded``: the same numbers as literals, by :mod:`.quantiles`."""
+    if bounded:
+        return tuple(F.round(F.lit(x), 6) for x in quantiles(df, col, q))
     qs = df.agg(F.percentile(F.col(col), F.array(*[F.lit(x) for x in q])).alias("qs")).scalar()
     return F.round(F.get(qs, 0), 6), F.round(F.get(qs, 1), 6)
 
 
-def filter_length_quantiles(df: DataFrame, col: str = "text_length", q=LENGTH_QUANTILES) -> DataFrame:
-    lo, hi = quantile_bounds(df, col, q)
+def filter_length_quantiles(df: DataFrame, col: str = "text_length", q=LENGTH_QUANTILES, bounded: bool = False) -> DataFrame:
+    lo, hi = quantile_bounds(df, col, q, bounded)
     return df.where((F.col(col) >= lo) & (F.col(col) <= hi))
 
 

@@ -51,7 +51,7 @@ def model_save(art: Artifacts, path: str) -> str:
 
 
 def model_load(spark: SparkSession, path: str) -> Artifacts:
-    """Restore the artefacts; a missing part fails with a clear message."""
+    """Restore the artefacts.  A missing part, or parts that were not fitted together, fail with a clear message."""
     def need(p):
         try:
             return spark.read.parquet(p)
@@ -70,9 +70,19 @@ def model_load(spark: SparkSession, path: str) -> Artifacts:
         forest = RandomForestClassificationModel.load(path + "/forest")
     except Exception as e:  # noqa: BLE001
         raise FileNotFoundError(f"model part not found: {path}/forest ({type(e).__name__})") from None
+    check_fit(path, vocab.count(), model, forest.numFeatures)
     return Artifacts(vocab, model, forest)
 
 
+def check_fit(path: str, n_terms: int, model: SV.SvdModel, n_features: int) -> None:
+    """Vocabulary, SVD and forest must have been fitted on each other: sizes that differ name the parts."""
+    if n_terms != model.dim:
+        raise ValueError(f"model parts do not fit together in {path}: the vocabulary has {n_terms} terms, the SVD {model.dim} features")
+    if n_features != model.k + 1:
+        raise ValueError(f"model parts do not fit together in {path}: the forest takes {n_features} features, "
+                         f"the SVD gives {model.k} and the text length one")
+
+
 def featurize(df: DataFrame, art: Artifacts, key: str, text_col: str = "text_clean",
               length_col: str | None = None) -> DataFrame:
     """Saved vocabulary -> TF-IDF -> SVD -> + text length -> feature vector: a

@@ -124,6 +124,13 @@ def q_impute(spark, sf):
     return C.impute_median(_dedup_raw(spark, sf), "rating").select("ingest_seq", "rating")
 
 
+@register("impute_rating_median_bounded", ORACLE["impute_rating_median"])
+def q_impute_bounded(spark, sf):
+    """The same ratings with the median found by a sketch's brackets."""
+    from ..session import cut_lineage
+    return C.impute_median(cut_lineage(_dedup_raw(spark, sf)), "rating", bounded=True).select("ingest_seq", "rating")
+
+
 @register("fill_text_none", O.with_ctes(O.cleaned_ctes(), "SELECT ingest_seq, text, name FROM filled"))
 def q_fill(spark, sf):
     return C.fill_text_none(_dedup_raw(spark, sf)).select("ingest_seq", "text", "name")
@@ -189,6 +196,13 @@ def q_len_filter(spark, sf):
     return C.filter_length_quantiles(_counted(spark, sf)).select("ingest_seq", "text_length")
 
 
+@register("filter_length_quantiles_bounded", ORACLE["filter_length_quantiles"])
+def q_len_filter_bounded(spark, sf):
+    """The same rows with quantiles found by a sketch's brackets instead of a map of all lengths."""
+    from ..session import cut_lineage
+    return C.filter_length_quantiles(cut_lineage(_counted(spark, sf)), bounded=True).select("ingest_seq", "text_length")
+
+
 @register("filter_rating_range", O.with_ctes(O.cleaned_ctes(),
           "SELECT ingest_seq, rating FROM counted WHERE rating BETWEEN 1 AND 5"))
 def q_rating_filter(spark, sf):
@@ -893,9 +907,18 @@ from . import models as MD  # noqa: E402
 _TRAINED: dict = {}
 
 
+def _version(spark, sf, *tables) -> tuple:
+    """Files of the input tables with their sizes and modification times: a changed table is another input."""
+    out = []
+    for t in tables:
+        m = FX.read_table(spark, sf, t).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+        out += [tuple(map(str, r)) for r in m.distinct().collect()]
+    return tuple(sorted(out))
+
+
 def _trained(spark, sf):
-    """Clean -> weak labels -> features -> SMOTE -> forest, once per session and scale."""
-    k = (spark.sparkContext.applicationId, sf)
+    """Clean -> weak labels -> features -> SMOTE -> forest, once per session and state of the documents' files."""
+    k = (spark.sparkContext.applicationId, sf, _version(spark, sf, "documents"))
     if k not in _TRAINED:
         weak = PL.weak_label_pipeline(PL.fixture_nonempty(spark, sf))
         feats, vocab, svd = PL.feature_pipeline(weak)

@@ -104,3 +104,33 @@ def test_permuting_lfs_permutes_parameters(simulated):
     b = LM.fit_label_model(moments(L[:, perm]), m, n_epochs=200)
     for new_j, old_j in enumerate(perm):
         assert np.allclose(b.mu[new_j * k:(new_j + 1) * k], a.mu[old_j * k:(old_j + 1) * k], atol=1e-9)
+
+
+def test_triplet_start_recovers_accuracies(spark):
+    """Rules that err independently: the closed form finds P(vote | class) of every rule, without an epoch."""
+    rng = np.random.RandomState(7)
+    n, m, k = 40_000, 8, 4
+    y = rng.randint(k, size=n)
+    right, speaks = rng.uniform(0.5, 0.9, m), rng.uniform(0.5, 0.9, m)
+    O = np.zeros((m * k, m * k))
+    onehot = np.zeros((n, m * k))
+    for j in range(m):
+        wrong = (y + rng.randint(1, k, size=n)) % k
+        vote = np.where(rng.rand(n) < right[j], y, wrong)
+        said = rng.rand(n) < speaks[j]
+        onehot[np.flatnonzero(said), j * k + vote[said]] = 1
+    O = onehot.T @ onehot / n
+    mu = LM.triplet_start(O, m, k).mu
+    for j in range(m):
+        for c in range(k):
+            for cls in range(k):
+                want = speaks[j] * (right[j] if c == cls else (1 - right[j]) / (k - 1))
+                assert abs(mu[j * k + c, cls] - want) < 0.05
+    # a rule that always says the same has no covariance: it starts at the given precision
+    O2 = np.zeros((m * k + k, m * k + k))
+    both = np.concatenate([onehot, np.tile([1.0, 0, 0, 0], (n, 1))], axis=1)
+    O2 = both.T @ both / n
+    last = LM.triplet_start(O2, m + 1, k).mu[m * k:]
+    assert last[0][0] == 1.0 and np.allclose(last[1:], 0.0)
+    fitted = LM.fit_label_model(O, m, k, n_epochs=50, start="triplets")
+    assert np.abs(fitted.mu - mu).max() < 0.1
