@@ -22,8 +22,8 @@ from revsift.llm import common as C
 _NONE = np.int64(1 << 40)
 #: Buckets below this size are merged one entry at a time: numpy calls would cost more.
 _SMALL = 12
-#: Characters of text a task encodes together, and pre-tokens it remembers.
-CHUNK_CHARS = 8_000_000
+#: Bytes of text a task encodes together, and pre-tokens it remembers.
+CHUNK_BYTES = 1_500_000
 CACHE_PIECES = 150_000
 
 
@@ -213,9 +213,14 @@ class RankTable:
         return out
 
 
-def _encode(path: str, pattern: str):
+def _decoded(token: dict[int, bytes], ids: np.ndarray) -> bytes:
+    return b"".join(map(token.__getitem__, ids.tolist()))
+
+
+def _encode(path: str, pattern: str, decode: bool = False):
     def run(batches):
         table, split = RankTable(path), regex.compile(pattern)
+        token = {r: t for t, r in table.ranks.items()} if decode else None
         number, encoded = Numbers(), []   # pre-token -> number -> ids
 
         def done(chunk):
@@ -226,8 +231,10 @@ def _encode(path: str, pattern: str):
                 flat = [b"".join(map(encoded.__getitem__, ps.tolist())) for ps in pieces]
                 ends = np.cumsum([0, *(len(x) // 4 for x in flat)]).astype(np.int32)
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(flat))])
-                yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(ends), values)],
-                                                 names=["doc_id", "ids"])
+                columns = [ids, pa.ListArray.from_arrays(pa.array(ends), values)]
+                if decode:   # from the ids alone, in the same worker
+                    columns.append(pa.array([_decoded(token, np.frombuffer(x, "<i4")) for x in flat], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][:len(columns)])
             if len(number) > CACHE_PIECES:
                 number.clear()
                 encoded.clear()
@@ -240,7 +247,7 @@ def _encode(path: str, pattern: str):
                 pieces.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
             chunk.append((b.column("doc_id"), pieces))
             size += b.nbytes
-            if size >= CHUNK_CHARS:
+            if size >= CHUNK_BYTES:
                 yield from done(chunk)
                 chunk, size = [], 0
         if chunk:
@@ -253,18 +260,20 @@ def _decode(path: str):
         token = {r: t for t, r in read_ranks(path).items()}
         for b in batches:
             ids = b.column("ids")
-            out = [b"".join(map(token.__getitem__, x.values.to_numpy().tolist())) if x.is_valid else None for x in ids]
+            out = [_decoded(token, x.values.to_numpy()) if x.is_valid else None for x in ids]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.array(out, pa.binary())],
                                              names=["doc_id", "ids", "decoded"])
     return run
 
 
-def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, ids array<int>``.  A null or empty text gives an empty array; repeated rows
+def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+               decode: bool = False) -> DataFrame:
+    """One row per input row: ``doc_id, ids array<int>``, and with ``decode`` the bytes that the ids stand for,
+    ``decoded binary``, looked up by the task that made them (:func:`bpe_decode` does it for any ids).  A null or empty text gives an empty array; repeated rows
     and null ids give a row each; other columns are not read; an empty table gives an empty result."""
     C.prepare(df.sparkSession)
     return (df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(_encode(path, pattern), "doc_id long, ids array<int>"))
+            .mapInArrow(_encode(path, pattern, decode), "doc_id long, ids array<int>" + (", decoded binary" if decode else "")))
 
 
 def bpe_decode(df: DataFrame, path: str) -> DataFrame:

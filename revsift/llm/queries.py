@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from revsift.llm import common as C
-from revsift.llm.byte_bpe import bpe_decode, bpe_encode
+from revsift.llm.byte_bpe import bpe_encode
 from revsift.llm.fingerprint import fingerprints
 from revsift.llm.html_extract import extract_main_text
 from revsift.llm.jaccard_join import jaccard_components
@@ -55,7 +55,7 @@ def op7_substring_dedup(spark, sf_dir):
 
 def op8_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    out = bpe_decode(bpe_encode(C.read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    out = bpe_encode(C.read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decode=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
