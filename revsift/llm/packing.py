@@ -24,8 +24,6 @@ from revsift.session import cut_lineage
 
 #: Salts that split the numbering of a length shared by many pieces.
 SALTS = 64
-#: Distinct lengths offered to one subset-sum: the longest ones first fit worst, so they go first.
-POOL = 256
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
@@ -87,12 +85,10 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int,
         left[first] -= 1
         others = sorted(left, reverse=True)
         others = [n for n in others if left[n]]
-        # short lengths close the gap, long ones fill it: offer both ends when there are many
-        pool = others if len(others) <= POOL else others[:POOL // 2] + others[-POOL // 2:]
-        _, used = fill(pool, [left[n] for n in pool], capacity - first)
+        _, used = fill(others, [left[n] for n in others], capacity - first)
         left[first] += 1
         pattern = {first: 1}
-        for n, k in zip(pool, used):
+        for n, k in zip(others, used):
             if k:
                 pattern[n] = pattern.get(n, 0) + k
         times = min(left[n] // k for n, k in pattern.items())
