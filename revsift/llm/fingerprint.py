@@ -2,8 +2,8 @@
 
 The hashes of a text's word shingles are taken once.  Their top bits choose a bin, and each bin keeps its smallest
 hash; a bin that no shingle falls into borrows from the first filled bin on its own hashed walk over the bins
-(optimal densification).  Of every bin only the low-order bits are kept, packed as hex digits.  Two unrelated digits agree once
-in 2**bits by chance; the likeness takes that bias out."""
+(optimal densification), and hashes what it borrows with its own number.  Of every bin only the low-order bits are kept,
+packed as hex digits.  Two unrelated digits agree once in 2**bits by chance; the likeness takes that bias out."""
 
 from __future__ import annotations
 
@@ -34,7 +34,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``, the fingerprint of the text column: BINS hex digits.  Words are maximal runs without ASCII white
     space; a text of fewer than five is one shingle, a null text counts as empty and has a fingerprint too."""
     keep = [F.col(f"`{c}`") for c in df.columns]
-    trimmed = F.expr(f"trim(BOTH ' \\t\\n\\u000b\\f\\r' FROM coalesce(`{text}`, ''))")
+    trimmed = F.expr(f"trim(BOTH ' \\t\\n\\u000b\\u000c\\r' FROM coalesce(`{text}`, ''))")
     step = df.select(*keep, F.split(trimmed, "[\\x20\\x09-\\x0D]+").alias("_w"))
     step = step.select(*keep, F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
     many = F.transform(F.sequence(F.lit(1), F.size("_h") - (WORDS - 1)), lambda i: F.xxhash64(F.slice("_h", i, WORDS)))
@@ -43,12 +43,14 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     first = F.filter("_s", lambda x, i: (i == 0) | (F.shiftright(x, shift) != F.shiftright(F.get("_s", i - 1), shift)))
     step = step.select(*keep, first.alias("_m"))
     step = step.select(*keep, "_m", F.transform("_m", lambda x: (F.shiftright(x, shift) + BINS // 2).cast("int")).alias("_b"))
-    step = step.select(*keep, "_b", F.map_from_arrays("_b", F.transform("_m", lambda x: x.bitwiseAND(F.lit(15)).cast("int"))).alias("_d"))
+    step = step.select(*keep, "_b", F.map_from_arrays("_b", "_m").alias("_d"))
     own = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.try_element_at("_d", b))
     step = step.select(*keep, "_b", own.alias("_v"))
-    full = F.when(F.size("_b") == BINS, F.col("_v")).otherwise(F.transform("_v", lambda v, b: F.coalesce(v, _lent(b))))
+    # a borrowed hash is hashed with the bin that borrows it, or texts of few shingles would agree in one digit everywhere
+    full = F.when(F.size("_b") == BINS, F.col("_v")).otherwise(
+        F.transform("_v", lambda v, b: F.coalesce(v, F.xxhash64(_lent(b), b))))
     step = step.select(*keep, full.alias("_f"))
-    return step.select(*keep, F.array_join(F.transform("_f", lambda v: F.substring(F.lit("0123456789abcdef"), v + 1, F.lit(1))), "").alias(out))
+    return step.select(*keep, F.array_join(F.transform("_f", lambda v: F.substring(F.lit("0123456789abcdef"), v.bitwiseAND(F.lit(15)).cast("int") + 1, F.lit(1))), "").alias(out))
 
 
 def likeness(a: str, b: str) -> Column:
