@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+class Shared:
+    """A broadcast object of this package's classes.  Their code travels inside the pickled bytes, as a UDF's does, so
+    executors need no installed copy; each worker unpickles once."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._bytes, self._value = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self):
+        return {"_bytes": self._bytes, "_value": None}
+
+    @property
+    def value(self):
+        if self._value is None:
+            self._value = pickle.loads(self._bytes.value)
+        return self._value
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name for stage tables, inside the checkpoint folder that all executors share."""
     prepare(spark)

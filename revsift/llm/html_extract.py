@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from revsift.llm import common as C
 
+#: Words of each of the pages whose words feed the grammar (its vocabulary; extraction always reads whole pages).
+WORDS_PER_PAGE = 400
 #: Pages whose words feed the grammar, pages it builds, and trees fitted on them (bounds of the fit).
 MAX_WORD_PAGES, TRAIN_PAGES, TREES, LEAVES_DEPTH, SHRINK = 200, 700, 40, 4, 0.25
 
@@ -52,8 +54,8 @@ ATTR_FAMILIES = (
 FAMILY_OF_TAG = {t: i for i, f in enumerate(TAG_FAMILIES) for t in f}
 FAMILY_OF_ATTR = {t: i for i, f in enumerate(ATTR_FAMILIES) for t in f.split()}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)",
-                    re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|$)",
+                    re.S)  # a quote that never closes is a character of its tag
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -417,12 +419,15 @@ def extract_main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "ur
     spark = C.prepare(df.sparkSession)
     pages = df.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                       F.col(html_col).cast("string").alias("html"))
-    # the words of a bounded sample of pages, whatever their markup
-    some = (pages.select("page_id", "html").where("html is not null")
-            .select(F.col("page_id"), F.slice(F.split(F.regexp_replace("html", "<[^>]*>", " "), r"\s+"), 1, 400).alias("w"))
-            .orderBy(F.xxhash64("page_id"), "page_id").limit(MAX_WORD_PAGES).collect())
+    # the first words of a bounded sample of pages, whatever their markup: those of the smallest hashed ids
+    known = pages.where("html is not null")
+    least = known.select(F.xxhash64("page_id").alias("h")).orderBy("h").limit(MAX_WORD_PAGES).agg(F.max("h")).first()[0]
+    some = [] if least is None else (
+        known.where(F.xxhash64("page_id") <= least)
+        .select(F.slice(F.split(F.regexp_replace("html", "<[^>]*>", " "), r"\s+"), 1, WORDS_PER_PAGE).alias("w"))
+        .limit(MAX_WORD_PAGES).collect())
     words = sorted({w for r in some for w in r["w"] if w and "<" not in w and "&" not in w})
-    model = spark.sparkContext.broadcast(train(words))
+    model = C.Shared(spark, train(words))
     kind = dict(pages.dtypes)["page_id"]
 
     def run(batches):
