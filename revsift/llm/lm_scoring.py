@@ -1,9 +1,12 @@
 """Language-model scoring: a causal self-attention model over subword ids, trained in numpy, beside a unigram base.
 
-Subword ids come from a given tokenizer.  The output is factored: attention predicts the *class* of the next id from
-the ids before it (rare ones by group), and the id's share of its class, given the id before it in its word, comes
-from counts over all training texts.  Classes hold about equal mass, so frequent ids stand alone.  A text is scored in windows that overlap: every id is scored once, with at
-least ``OVERLAP`` ids before it (fewer at the start of the text), by batched masked attention.
+Subword ids come from a given tokenizer.  The probability of the next id has three factors: whether its word goes on or
+another one begins (or the text ends), given the id before; its *class*, which attention predicts from the ids before
+(rare ones by group); and its share of the class, given the id before it in its word, or that it begins one.  The first
+and the last come from counts over all training texts; the end of a text is one of the ids that begin a word.  Over all
+next ids and both cases the probabilities sum to one.  Classes hold about equal mass, so frequent ids stand alone.  A
+text is scored in windows that overlap: every id is scored once, with at least ``OVERLAP`` ids before it (fewer at the
+start of the text), by batched masked attention.
 
 Counts (words, ids, pairs, the class after each kind) cover every training text.  The attention weights start from a
 small sample and are then fitted on every window of every training text: texts are dealt by a hash into parts of about
@@ -90,7 +93,9 @@ def _count_ids(path: str, end_id: int):
                                              names=["kind", "key", "n"])
             flat, before, size = _flat_ids(names, ids_of)
             each = np.repeat(n[real], size)
-            c = np.bincount(np.append(flat, end_id), np.append(each, n[~real].sum())).astype(np.int64)
+            if not real.all():   # the end of a text begins where a word could
+                flat, before, each = np.append(flat, end_id), np.append(before, START), np.append(each, n[~real].sum())
+            c = np.bincount(flat, each).astype(np.int64)
             ids = np.pad(ids, (0, max(0, len(c) - len(ids))))
             ids[:len(c)] += c
             pair, at = np.unique((before << 32) | flat, return_inverse=True)
@@ -184,6 +189,28 @@ class PairShares:
         return np.log10(1 + n / (self._context(ids, before)[2] * self.share[ids]))
 
 
+def boundaries(per_id: np.ndarray, context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log10 that a word goes on after each id, log10 that it ends there): how often ids were followed inside a word,
+    from the totals ``n`` of the contexts (id before, class), out of how often they were met."""
+    before = context >> 8
+    known = before < len(per_id)
+    inside = np.bincount(before[known], n[known], len(per_id))
+    goes_on = (inside + 0.5) / (per_id + 1.0)
+    return np.log10(goes_on), np.log10(1.0 - goes_on)
+
+
+def frequent(counts: DataFrame, most: int) -> int:
+    """The least count such that at most ``most`` rows have it or more.  The driver reads how many rows there are of
+    each count, from the top, until they are too many: no row of the table itself."""
+    least, rows = 1 << 62, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("n")).toLocalIterator():
+        rows += r["rows"]
+        if rows > most:
+            break
+        least = r["n"]
+    return least
+
+
 def contexts_of(keys: np.ndarray, cls: np.ndarray) -> np.ndarray:
     """(id before, class) of pairs as one number."""
     return ((keys >> 32) << 8) | cls[keys & 0xFFFFFFFF]
@@ -486,14 +513,16 @@ def fit_all(train: DataFrame, path: str, kinds: np.ndarray, cls: np.ndarray, n_i
     got = encoded.mapInArrow(_count_classes, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     pairs = np.zeros((TYPES + 1) * CLASSES)
     pairs[got["key"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
-    first = encoded.orderBy("h", "kinds", "classes").limit(MAX_FIT_TEXTS).collect()
+    least = encoded.select("h").orderBy("h").limit(MAX_FIT_TEXTS).agg(F.max("h")).first()[0]
+    first = [] if least is None else encoded.where(F.col("h") <= least).limit(MAX_FIT_TEXTS).collect()
+    first = sorted(first, key=lambda r: (r["h"], r["kinds"], r["classes"]))
     model = Attention().fit([(np.frombuffer(r["kinds"], np.uint16), np.frombuffer(r["classes"], np.uint8)) for r in first],
                             pairs=pairs.reshape(TYPES + 1, CLASSES))
     if not first:
         return model
     slots = int(np.ceil(np.sqrt(parts)))
     row = "slot int, n long, weights binary"
-    rows = (encoded.mapInArrow(_fit_part(spark.sparkContext.broadcast(model), slots), row)
+    rows = (encoded.mapInArrow(_fit_part(C.Shared(spark, model), slots), row)
             .repartition(slots, "slot").mapInArrow(_sum_weights, row).collect())
     return model.put(sum(np.frombuffer(r["weights"]) for r in rows) / sum(r["n"] for r in rows))
 
@@ -506,9 +535,11 @@ class _Words:
         one = np.array([s["end_id"]])
         self.kinds, self.classes = s["kinds"][one], s["class"][one]
         self.start, self.length = np.zeros(1, np.int64), np.ones(1, np.int64)
-        self.inside, self.base = np.array([s["end_inside"]]), np.array([s["end_base"]])
+        begins = np.array([START])
+        self.inside, self.base = s["shares"].log10(one, begins), np.array([s["end_base"]])
         self.rare, self.key = np.zeros(1, bool), np.zeros(1, np.int64)
-        self.pairs, self.pair_start, self.n_pairs = np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.pairs = ((begins << 32) | one)[s["shares"].outside(one, begins)] if s["more_pairs"] else np.zeros(0, np.int64)
+        self.pair_start, self.n_pairs = np.zeros(1, np.int64), np.array([len(self.pairs)])
 
     def add(self, fresh: list[bytes]):
         s = self.s
@@ -516,8 +547,11 @@ class _Words:
         at = np.minimum(np.searchsorted(s["keys"], key), max(0, len(s["keys"]) - 1))
         known = s["keys"][at] == key if len(s["keys"]) else np.zeros(len(fresh), bool)
         ids, before, size = _flat_ids(fresh, self.ids_of)
-        total = np.concatenate(([0.0], np.cumsum(s["shares"].log10(ids, before))))
         edge = np.concatenate(([0], np.cumsum(size)))
+        last = np.zeros(len(ids), bool)
+        last[edge[1:][size > 0] - 1] = True
+        goes_on, ends = s["boundaries"]
+        total = np.concatenate(([0.0], np.cumsum(s["shares"].log10(ids, before) + np.where(last, ends[ids], goes_on[ids]))))
         base = np.where(known, s["log10"][at], 0.0) if len(s["keys"]) else np.zeros(len(fresh))
         self.number.update(zip(fresh, range(len(self.start), len(self.start) + len(fresh))))
         outside = s["shares"].outside(ids, before) if s["more_pairs"] else np.zeros(len(ids), bool)
@@ -580,7 +614,8 @@ def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_z = float(np.log10(total + 0.5 * (distinct + 1)))
     unseen = float(np.log10(0.5)) - log_z
-    top = words.where(F.col("key") != END).orderBy(F.desc("n"), "key").limit(FREQUENT_WORDS).toPandas().sort_values("key")
+    listed = words.where(F.col("key") != END)
+    top = listed.where(F.col("n") >= frequent(listed, FREQUENT_WORDS)).toPandas().sort_values("key")
     keys, n = top["key"].to_numpy(np.int64), top["n"].to_numpy(np.float64)
     ends = [r["n"] for r in words.where(F.col("key") == END).collect()]
     # at most as many rows as the tokenizer has ids
@@ -591,29 +626,28 @@ def lm_scores(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     cls, share = classes_of(per_id)
     kinds = types_of(per_id)
     pairs = cut_lineage(counts.where("kind = 2").groupBy("key").agg(F.sum("n").alias("n")))
-    pair = pairs.orderBy(F.desc("n"), "key").limit(FREQUENT_PAIRS).toPandas()
+    least = frequent(pairs, FREQUENT_PAIRS)
+    pair = pairs.where(F.col("n") >= least).toPandas().sort_values("key")
     # at most as many contexts as the tokenizer has ids, times CLASSES
     context = (pairs.mapInArrow(_count_contexts(cls), "context long, n long").groupBy("context")
                .agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas())
     shares = PairShares(pair["key"].to_numpy(np.int64), pair["n"].to_numpy(np.int64), cls, share,
                         [context[c].to_numpy(np.int64) for c in ("context", "n", "kinds")])
-    more_pairs = len(pair) == FREQUENT_PAIRS and bool(shares.open.any())
+    more_pairs = bool(shares.open.any())
 
     model = fit_all(train, path, kinds, cls, int(per_id.sum()), end_id)
     end_base = float(np.log10((ends[0] if ends else 0) + 0.5)) - log_z
-    shared = spark.sparkContext.broadcast({
+    shared = C.Shared(spark, {
         "keys": keys, "log10": np.log10(n + 0.5) - log_z, "kinds": kinds, "class": cls, "shares": shares,
-        "model": model, "end_id": end_id, "end_inside": float(share[end_id]), "end_base": end_base,
-        "more_pairs": more_pairs})
+        "model": model, "end_id": end_id, "end_base": end_base, "more_pairs": more_pairs,
+        "boundaries": boundaries(per_id, context["context"].to_numpy(np.int64), context["n"].to_numpy(np.float64))})
     scored = cut_lineage(docs.mapInArrow(_score(path, shared), "doc_id long, n_tokens long, frequent double, "
                                          "rare array<long>, pairs array<long>, score double")
                          .withColumn("row", F.monotonically_increasing_id()))
     odd = scored.select("row", F.explode("rare").alias("key")).join(words, "key")
     odd = odd.groupBy("row").agg(F.count("*").alias("found"), F.sum(F.log10(F.col("n") + 0.5) - log_z).alias("sum_rare"))
     if more_pairs:
-        least, key = int(pair["n"].iloc[-1]), int(pair["key"].iloc[-1])
-        others = pairs.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("key") > key)))
-        bonus = others.mapInArrow(_pair_bonus(shared), "key long, bonus double")
+        bonus = pairs.where(F.col("n") < least).mapInArrow(_pair_bonus(shared), "key long, bonus double")
         bonus = (scored.select("row", F.explode("pairs").alias("key")).join(bonus, "key")
                  .groupBy("row").agg(F.sum("bonus").alias("bonus")))
         scored = (scored.join(bonus, "row", "left")

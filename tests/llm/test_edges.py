@@ -125,6 +125,59 @@ def test_pages_with_embedded_elements(spark):
             assert "42" in closed
 
 
+def test_unclosed_quotes_in_tags(spark):
+    from revsift.llm.html_extract import extract_main_text
+    body = "<p>a long paragraph of an article, with commas, that goes on for a while.</p>"
+    page = f"<article>{body * 5}<p>before <a href='#x>link</a> after.</p>{body * 5}</article>"
+    got = extract_main_text(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).first().text
+    assert "href" not in got and "<" not in got and got.count("a long paragraph") == 10 and "before link after." in got
+
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})   # the driver's path only: workers get the code with their functions
+import public_tokenizers as PT
+from revsift.session import get_session
+from revsift.llm import html_extract, lm_scoring, merkle, toxicity, whitening
+spark = get_session("local[2]", shuffle_partitions=2, extra={{"spark.ui.showConsoleProgress": "false"}})
+docs = spark.createDataFrame([(i, "some words of text number %d" % i, "en", "s", 3) for i in range(30)],
+                             "doc_id long, text string, lang string, source string, n_chars long")
+pages = spark.createDataFrame([(i, "u", "<article><p>a paragraph of some length, with a comma.</p></article>") for i in range(9)],
+                              "page_id long, url string, html string")
+vectors = spark.createDataFrame([(i, [float(i), 1.0, float(i % 3)]) for i in range(9)], "vec_id long, embedding array<double>")
+labels = docs.selectExpr("doc_id", "1 quality", "cast(doc_id % 2 as int) toxic")
+assert html_extract.extract_main_text(pages).count() == 9
+assert len(lm_scoring.lm_scores(docs, PT.path("word_bpe_49k.json"), end_id=49407).collect()) == 30
+assert len(toxicity.toxicity(docs, labels).collect()) == len(merkle.merkle_manifest(docs).collect()) == 30
+assert len(whitening.whiten(vectors).collect()) == 27
+print("all ran")
+"""
+
+
+def test_workers_without_the_package(tmp_path):
+    """Everything that tasks need travels with them: the package lies on the driver's path alone."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    (tmp_path / "run.py").write_text(SCRIPT.format(repo=repo))
+    done = subprocess.run([sys.executable, "run.py"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "all ran" in done.stdout, done.stderr[-3000:]
+
+
+def test_near_copies_of_repeated_ids(spark):
+    """A text that only shares its id with a copy stays; of a group one row stays, whatever ids repeat in it."""
+    import corpus_pipeline as P
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a + " one more"
+    rows = [(1, a), (5, a), (5, b), (5, b), (6, near), (7, ""), (7, c), (7, None), (8, c), (8, near), (9, c + " "), (None, a), (None, a)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1, "extra") for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long, group_id string").repartition(3)
+    got = sorted((str(r.doc_id), str(r.text)) for r in P.ngram_jaccard_join(spark, df, "").collect())
+    assert got == sorted([("1", a), ("5", b), ("7", ""), ("7", "None"), ("7", c), ("None", a), ("None", a)])
+
+
 def test_pipeline_on_odd_rows(spark, odd, tmp_path):
     import corpus_pipeline as P
     docs = odd.withColumn("n_chars", odd.doc_id)

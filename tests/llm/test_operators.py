@@ -159,6 +159,60 @@ def test_op4_shares_sum_to_one_in_each_class():
         assert np.allclose(np.bincount(cls, p, L.CLASSES)[np.unique(cls)], 1)
 
 
+def test_op4_next_events_sum_to_one():
+    """After any ids: the word goes on, another word begins, or the text ends; over all of them, probability one."""
+    from revsift.llm import lm_scoring as L
+    rng = np.random.default_rng(3)
+    n, end = 400, 399
+    per_id = rng.integers(0, 50, n).astype(float)
+    cls, share = L.classes_of(per_id)
+    kinds = L.types_of(per_id)
+    keys = np.unique((rng.integers(0, n, 900) << 32) | rng.integers(0, n, 900))
+    # no id is followed more often than it was met
+    keys = keys[per_id[keys >> 32] > 5]
+    starts = (np.int64(L.START) << 32) | np.unique(np.append(rng.integers(0, n, 60), end))
+    counts = np.ones(len(keys), np.int64)
+    shares = L.PairShares(np.concatenate((keys, starts)), np.concatenate((counts, np.full(len(starts), 3))), cls, share)
+    context, at = np.unique(L.contexts_of(keys, cls), return_inverse=True)
+    goes_on, ends = L.boundaries(per_id, context, np.bincount(at, counts).astype(float))
+    model = L.Attention()
+    every = np.arange(n)
+    for a in (3, 77, 250):
+        history = np.array([[L.TYPES, *kinds[rng.integers(0, n, 8)], kinds[a]] + [0] * (L.WINDOW - 10)])
+        p_class = np.exp(model.forward(history)[0, 9])
+        inside = (p_class[cls] * 10 ** shares.log10(every, np.full(n, a))).sum() * 10 ** goes_on[a]
+        begins = (p_class[cls] * 10 ** shares.log10(every, np.full(n, L.START))).sum() * 10 ** ends[a]
+        present = p_class[np.unique(cls)].sum()   # classes without an id have no share to give
+        assert inside + begins == pytest.approx(present, abs=1e-4)
+        assert 10 ** goes_on[a] + 10 ** ends[a] == pytest.approx(1)
+
+
+def test_op4_scores_are_the_factors(spark, rows, monkeypatch):
+    """Every score, recomputed id by id: boundary, class and share, the end of the text included."""
+    from revsift.llm import lm_scoring as L
+    seen, score = [], L._score
+    monkeypatch.setattr(L, "_score", lambda path, shared: seen.append(shared.value) or score(path, shared))
+    path = PT.path("word_bpe_49k.json")
+    some = [*rows[:60], (900_001, None), (900_002, "one"), (900_003, " ")]
+    got = {r.doc_id: r.score for r in L.lm_scores(_lm_table(spark, some), path, end_id=49407).collect()}
+    s, ids_of = seen[0], L.WordIds(path)
+    goes_on, ends = s["boundaries"]
+    for d, t in some:
+        ids, before, size = L._flat_ids((t or "").lower().encode().split(), ids_of)
+        ids, before = np.append(ids, 49407), np.append(before, L.START)
+        want = s["shares"].log10(ids, before).sum()
+        for i in range(len(ids) - 1):   # what follows each id
+            want += ends[ids[i]] if before[i + 1] == L.START else goes_on[ids[i]]
+        want += L.class_log10(s["model"], [(s["kinds"][ids], s["class"][ids])])[0]
+        assert got[d] == pytest.approx(want, rel=1e-4, abs=1e-3)
+
+
+def test_op4_least_frequent_count(spark):
+    from revsift.llm.lm_scoring import frequent
+    df = spark.createDataFrame([(i, n) for i, n in enumerate([9, 9, 7, 7, 7, 2, 2, 1])], "key long, n long")
+    assert [frequent(df, k) for k in (1, 2, 4, 5, 7, 8, 99)] == [1 << 62, 9, 9, 7, 2, 1, 1]
+
+
 def _lm_table(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
 
@@ -222,6 +276,18 @@ def test_op5_fingerprints(spark, rows):
     assert abs(np.mean(near)) < 0.03 and np.mean(np.abs(near)) < 0.06 and np.mean(np.abs(nxt)) < 0.03
 
 
+def test_op5_trims_white_space_and_nothing_else(spark):
+    """Letters that look like escapes stay; form feeds and the like go; texts that differ in them are told apart."""
+    from revsift.llm.fingerprint import with_fingerprint
+    texts = ["fff", "", "four words of beef", "our words of bee", "\ff of\f", "f of", "\x0b\x0c\r\n\t t", "t", "ttt nnn", "rn", "vb f"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {r.i: r.fp for r in with_fingerprint(spark.createDataFrame(rows, "i int, t string"), "t", "fp").collect()}
+    words = [tuple(brute.WORD.findall(t)) for t in texts]
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            assert (got[i] == got[j]) == (words[i] == words[j]), (texts[i], texts[j])
+
+
 def test_op5_no_python_in_the_plan(spark, docs):
     from revsift.llm.fingerprint import fingerprints
     plan = fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
@@ -287,6 +353,17 @@ def test_op8_round_trip(spark, rows):
         assert got[d].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_op8_decodes_any_ids(spark):
+    """Decoding in the worker that encodes, and by itself, give the same bytes; chunks cut anywhere change nothing."""
+    from revsift.llm import byte_bpe
+    path = PT.path("byte_bpe_multi_50k.tiktoken")
+    texts = [None, "", "a b", "Ünï cödé 漢字", "x" * 5000, " ".join(f"w{i}" for i in range(4000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    one = {r.doc_id: (r.ids, bytes(r.decoded)) for r in byte_bpe.bpe_encode(df, path, PT.PATTERN, decode=True).collect()}
+    two = {r.doc_id: (r.ids, bytes(r.decoded)) for r in byte_bpe.bpe_decode(byte_bpe.bpe_encode(df, path, PT.PATTERN), path).collect()}
+    assert one == two and all(one[i][1].decode() == (t or "") for i, t in enumerate(texts))
+
+
 def test_op8_long_and_odd_pieces():
     import base64
     tiktoken = pytest.importorskip("tiktoken")
@@ -330,6 +407,24 @@ def test_op9_packing(spark, rows):
     assert sum(r.length for r in got) / (4096 * len(layout)) > 0.95
 
 
+def test_op9_fills_windows_from_all_lengths():
+    """Thousands of distinct lengths: every one is offered to the subset-sum, so next to nothing is padded."""
+    from revsift.llm.packing import plan
+    rng = random.Random(4)
+    hist = {}
+    for _ in range(20_000):
+        n = rng.randint(700, 2500)
+        hist[n] = hist.get(n, 0) + 1
+    bins = plan(hist, 4096)
+    used = {}
+    for times, pattern in bins:
+        assert sum(n * k for n, k in pattern.items()) <= 4096
+        for n, k in pattern.items():
+            used[n] = used.get(n, 0) + times * k
+    assert used == hist
+    assert sum(n * c for n, c in hist.items()) / (4096 * sum(t for t, _ in bins)) > 0.98
+
+
 def test_op9_fill_and_plan():
     from revsift.llm.packing import fill, plan
     rng = random.Random(6)
