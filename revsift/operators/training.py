@@ -4,7 +4,7 @@
   rows are bucketed by their ordering value, per-(class, bucket) counts give
   each bucket's offset, and the row number is taken only inside a bucket -
   so a class holding a third of all rows is spread over many tasks;
-* stratified split with exact per-class quotas;
+* stratified split with exact per-class quotas, a projection that shuffles no row;
 * SMOTE with an exact within-class nearest neighbour
   (:mod:`.neighbours`), for classes of any size;
 * balanced class weights, Spark ML random forest, feature importances,
@@ -18,7 +18,7 @@ from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import ABSTAIN
@@ -27,6 +27,8 @@ from ..sources.readers import hash_rank
 from .neighbours import nearest_neighbours
 from .ranks import class_sizes, exact_rank, n_buckets
 
+# Buckets of the hash in which a class's quota is looked for: the rows ranked are about a class's rows over these.
+SPLIT_BUCKETS = 1 << 14
 # Rows per class that ``train_pipeline`` fits its classifier on: the one bound
 # on labelled rows; drawn by a seeded hash rank, so any partitioning gives the same.
 MAX_FIT_ROWS_PER_CLASS = 20_000
@@ -63,21 +65,31 @@ def resampling_counts(before: DataFrame, after: DataFrame, label_col: str) -> Da
 def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float = 0.2, seed: int = 42,
                      split_col: str = "split") -> DataFrame:
     """Exactly ``ceil(test_size * n_class)`` rows of each class go to
-    ``test``, chosen by a seeded hash rank (independent of partitioning).
-    Rows without a label count as one more class."""
-    sizes = class_sizes(df, label_col)
-    n = sum(sizes.values())
-    B = n_buckets(n)
+    ``test``: those of the lowest seeded hash rank (independent of partitioning).
+    Rows without a label count as one more class; rows that share a key go
+    the same way.
+
+    No row is shuffled.  Counts per class and bucket of the hash show in which
+    bucket a class's quota is reached; only the rows of that bucket are ranked,
+    and the last one taken is the class's threshold.  The split is a projection
+    with one comparison per class."""
     u = hash_rank(key_cols, seed)
-    d = df.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * B).cast("int"))
-    d = d.withColumn("_tie", F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols]))
-    ranked = exact_rank(d, label_col, "_u", "_tie", "_b")
-    quota = F.lit(0)
-    for c, m in sizes.items():  # one branch per class
-        same = F.col(label_col).isNull() if c is None else F.col(label_col) == F.lit(c)
-        quota = F.when(same, F.lit(int(math.ceil(test_size * m)))).otherwise(quota)
-    return (ranked.withColumn(split_col, F.when(F.col("_rank") <= quota, "test").otherwise("train"))
-            .drop("_u", "_b", "_tie", "_rank"))
+    tie = F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])
+    keys = df.select(F.col(label_col).alias("_c"), u.alias("_u"), tie.alias("_tie")).withColumn("_b", F.floor(F.col("_u") * SPLIT_BUCKETS))
+    counts = cut_lineage(keys.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n")))   # at most classes x SPLIT_BUCKETS
+    whole = Window.partitionBy("_c")
+    sums = counts.select("_c", "_b", "_n", F.ceil(F.sum("_n").over(whole) * F.lit(test_size)).alias("_quota"),
+                         F.sum("_n").over(whole.orderBy("_b")).alias("_upto"))
+    met = (sums.where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
+           .select(F.col("_c").alias("_mc"), F.col("_b").alias("_mb"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take")))
+    near = keys.join(F.broadcast(met), F.col("_c").eqNullSafe(F.col("_mc")) & (F.col("_b") == F.col("_mb")))   # a row per class
+    last = (near.withColumn("_rank", F.row_number().over(whole.orderBy("_u", "_tie")))
+            .where("_rank = _take").select("_c", "_u", "_tie").collect())
+    test = F.lit(False)
+    for r in last:  # one branch per class
+        same = F.col(label_col).isNull() if r["_c"] is None else F.col(label_col) == F.lit(r["_c"])
+        test = F.when(same, (u < F.lit(r["_u"])) | ((u == F.lit(r["_u"])) & (tie <= F.lit(r["_tie"])))).otherwise(test)
+    return df.withColumn(split_col, F.when(test, "test").otherwise("train"))
 
 
 def class_weights(df: DataFrame, label_col: str, weight_col: str = "class_weight") -> DataFrame:

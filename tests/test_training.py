@@ -30,6 +30,20 @@ def test_split_quotas_exact_and_partition_invariant(spark):
     assert results[0] == results[1] == results[2]
 
 
+def test_split_is_a_projection_and_null_labels_are_a_class(spark):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i % 3, f"k{i % 90}") for i in range(400)], "id long, label int, part string")
+    out = TR.stratified_split(df, "label", ["part", "id"], test_size=0.25)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Window" not in plan
+    rows = out.collect()
+    for c in {r.label for r in rows}:
+        mine = [r for r in rows if r.label == c]
+        assert sum(r.split == "test" for r in mine) == math.ceil(0.25 * len(mine))
+    assert TR.stratified_split(df.where("1 = 0"), "label", ["id"]).collect() == []
+    assert {r.split for r in TR.stratified_split(df, "label", ["id"], test_size=0.0).collect()} == {"train"}
+    assert {r.split for r in TR.stratified_split(df, "label", ["id"], test_size=1.0).collect()} == {"test"}
+
+
 def test_exact_rank_matches_sort(spark):
     df = spark.createDataFrame([(i % 3, float((i * 37) % 101), i) for i in range(500)], "g int, v double, k long")
     d = df.withColumn("b", F.floor(F.col("v") / 10)).withColumn("t", F.col("k").cast("string"))
