@@ -36,6 +36,62 @@ def test_op1_language_id(spark, docs):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_op1_ftrl_against_one_coordinate_at_a_time():
+    """The regression's weights, from a plain restatement of FTRL-proximal with elastic net over dicts."""
+    from math import exp, sqrt
+
+    from revsift.llm import language_id as L
+    rng = np.random.default_rng(1)
+    rows = [(np.sort(rng.choice(12, 4, replace=False)), rng.random(4), int(rng.integers(3))) for _ in range(25)]
+    rows.append((np.array([3, 12]), np.array([0.5, 0.001]), 1))   # too little of feature 12 to leave zero
+    z, n = {}, {}
+
+    def weight(i, c):
+        v = z.get((i, c), 0.0)
+        if abs(v) <= L.L1:
+            return 0.0
+        return -(v - (L.L1 if v > 0 else -L.L1)) / ((L.BETA + sqrt(n.get((i, c), 0.0))) / L.ALPHA + L.L2)
+    order = np.random.default_rng(7)
+    for _ in range(L.EPOCHS):
+        for r in order.permutation(len(rows)):
+            at, x, y = rows[r]
+            features = [*zip(at.tolist(), x.tolist()), (13, 1.0)]
+            score = [sum(v * weight(i, c) for i, v in features) for c in range(3)]
+            total = sum(exp(v) for v in score)
+            old = {(i, c): weight(i, c) for i, _ in features for c in range(3)}
+            for i, v in features:
+                for c in range(3):
+                    g = v * (exp(score[c]) / total - (c == y))
+                    before = n.get((i, c), 0.0)
+                    z[i, c] = z.get((i, c), 0.0) + g - (sqrt(before + g * g) - sqrt(before)) / L.ALPHA * old[i, c]
+                    n[i, c] = before + g * g
+    want = np.array([[weight(i, c) for c in range(3)] for i in range(14)])
+    assert np.allclose(L.fit_ftrl(rows, 13, 3), want, atol=1e-9) and (want[12] == 0).all()
+
+
+def test_op1_predictions_against_one_text_at_a_time(spark, docs, rows):
+    """Every prediction and score from the model's parts: n-gram counts by slicing, TF-IDF, weights, temperature."""
+    from revsift.llm import char_features as CF
+    from revsift.llm import language_id as L
+    model = L.fit(docs)
+    feats = CF.CharNgrams(L.BITS, L.NGRAM, fold=True)
+    got = {r.doc_id: r for r in L.predict(docs, model).collect()}
+    texts = [t or "" for _, t in rows]
+    seen = sum((feats.counts(t) > 0).astype(int) for t in texts if t)
+    assert np.allclose(model["idf"], np.log((1 + sum(map(bool, texts))) / (1 + seen)) + 1, atol=1e-5) or docs.where("lang is null").count()
+    for d, t in rows[::7]:
+        if not any(c.isalpha() for c in t or ""):
+            assert got[d].lang_pred == "und"
+            continue
+        c = feats.counts(t)
+        v = np.log1p(c.astype(float)) * model["idf"]
+        v /= np.sqrt(v @ v)
+        logit = (v @ model["w"][:-1] + model["w"][-1]) / model["temperature"]
+        p = np.exp(logit - logit.max())
+        p /= p.sum()
+        assert got[d].lang_pred == model["langs"][int(p.argmax())] and got[d].score == pytest.approx(p.max(), abs=1e-3)
+
+
 def test_op2_html(spark):
     import html
     pages = spark.read.parquet(os.path.join(SF_SMALL, "pages.parquet")).collect()
