@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revsift.llm import common as C
+
 #: Code points handled at once; longer texts are cut with an overlap, so no n-gram is lost.
 BLOCK = 1 << 21
 _K = np.uint32(0x9E3779B1)
@@ -63,7 +65,7 @@ def document_frequency(df: DataFrame, text_col: str, feats: CharNgrams) -> tuple
                     n += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(total))), pa.array(np.append([n], total))],
                                          names=["bucket", "n"])
-    rows = (df.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "bucket long, n long")
+    rows = (df.select(F.col(text_col).cast("string").alias("text")).mapInArrow(C.trimmed(run), "bucket long, n long")
             .groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 0").toPandas())
     total = np.zeros(1 << feats.bits, np.int64)
     inside = rows["bucket"].to_numpy() >= 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import uuid
 
@@ -32,6 +34,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def trimmed(run):
+    """A mapInArrow function that gives its memory back to the system when its partition ends.  Python workers are
+    reused: what the arrays and caches of one stage took would stay with the process through the stages after it."""
+    def out(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):   # another C library
+                pass
+    return out
+
+
 class Shared:
     """A broadcast object of this package's classes.  Their code travels inside the pickled bytes, as a UDF's does, so
     executors need no installed copy; each worker unpickles once."""

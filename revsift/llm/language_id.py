@@ -125,7 +125,7 @@ def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                                              names=["doc_id", "lang_pred", "score", *keep])
     extra, ddl = C.carried(df, keep)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
-    return rows.mapInArrow(run, f"doc_id long, lang_pred string, score double{ddl}")
+    return rows.mapInArrow(C.trimmed(run), f"doc_id long, lang_pred string, score double{ddl}")
 
 
 def language_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -122,7 +122,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     are not read; an empty table gives an empty result.  Equal lengths are numbered by (doc_id, start, checksum)."""
     spark = C.prepare(df.sparkSession)
     docs = C.with_text(df, text_col, F.col(id_col).cast("long").alias("doc_id"))
-    pieces = cut_lineage(docs.mapInArrow(_cut(path, end_id, capacity), _DDL)
+    pieces = cut_lineage(docs.mapInArrow(C.trimmed(_cut(path, end_id, capacity)), _DDL)
                          .withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SALTS))))
     counts = cut_lineage(pieces.groupBy("length", "salt").count())
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)

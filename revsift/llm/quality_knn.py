@@ -119,7 +119,7 @@ def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "t
                                              names=["doc_id", "score", *keep])
     extra, ddl = C.carried(df, keep)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
-    return (rows.mapInArrow(run, f"doc_id long, score double{ddl}")
+    return (rows.mapInArrow(C.trimmed(run), f"doc_id long, score double{ddl}")
             .withColumn("predicted", F.when(F.col("score") >= ACCEPT, 1).otherwise(0)))
 
 

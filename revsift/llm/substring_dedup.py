@@ -26,8 +26,8 @@ from revsift.session import cut_lineage
 
 #: Rounds of pair naming; a symbol whose context can't fit a window is useless, so few are enough.
 ROUNDS = 6
-#: Bytes of text parsed together.
-BLOCK_BYTES = 3_000_000
+#: Bytes of text parsed together: their symbols take about a hundred times as much while they are named.
+BLOCK_BYTES = 1_500_000
 _FAR = np.int64(1) << np.int64(40)
 
 
@@ -219,7 +219,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # anchors that at least two texts share
     e = (docs.where("doc_id is not null").select("s1", "text")
-         .mapInArrow(_emit_anchors(window), "anchor long, s1 long"))
+         .mapInArrow(C.trimmed(_emit_anchors(window)), "anchor long, s1 long"))
     w = Window.partitionBy("anchor")
     shared = (e.withColumn("lo", F.min("s1").over(w)).withColumn("hi", F.max("s1").over(w))
               .where("lo <> hi").groupBy("s1").agg(F.collect_set("anchor").alias("anchors")))
@@ -228,7 +228,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # the windows at shared anchors, against the smallest document that has them
     near = C.maybe_in(docs, "doc_id", C.id_bitmap(shared, "rep")).select("doc_id", "s1", "text")
     near = near.join(shared.select(F.col("rep").alias("doc_id"), "s1", "anchors"), ["doc_id", "s1"])
-    windows = near.mapInArrow(_emit_windows(window), "w long, w2 int, doc_id long, s1 long, at int")
+    windows = near.mapInArrow(C.trimmed(_emit_windows(window)), "w long, w2 int, doc_id long, s1 long, at int")
     first = Window.partitionBy("w", "w2")
     starts = cut_lineage(windows.withColumn("least", F.min("doc_id").over(first)).where("least < doc_id")
                          .groupBy("doc_id", "s1").agg(F.collect_set("at").alias("starts")))
@@ -243,4 +243,4 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .withColumn("starts", F.lit(None).cast("array<int>")).withColumn("copy", F.lit(False)))
     cols = ["doc_id", "text", "starts", "copy", *(f"_keep_{i}" for i in range(len(keep)))]
     return (hit.select(*cols).union(rest.select(*cols))
-            .mapInArrow(_strip(window, digest, list(keep)), f"doc_id long, n_words long, n_removed long, kept string{ddl}"))
+            .mapInArrow(C.trimmed(_strip(window, digest, list(keep))), f"doc_id long, n_words long, n_removed long, kept string{ddl}"))

@@ -9,6 +9,7 @@ import regex
 CACHE = 150_000
 #: Pre-tokens of a lower-case word (fixed by the tokenizer file).
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_MARKS = (b".", b",")
 #: Below this character a printable text is in normal form C, and lower-casing looks at single characters.
 _LATIN_END = "ɐ"
 
@@ -49,6 +50,10 @@ class WordIds(dict):
 
     def ids(self, word: bytes) -> bytes:
         """Ids of a word, its pre-tokens remembered but not the word."""
+        if word.isalpha():   # ASCII letters: one pre-token
+            return self._piece(word.lower().decode("ascii"))
+        if word[-1:] in _MARKS and word[:-1].isalpha():   # and a full stop or comma behind it: two
+            return self._piece(word[:-1].lower().decode("ascii")) + self._piece(word[-1:].decode("ascii"))
         text = word.decode("utf-8", "replace")
         if "<|" in text or max(text) >= _LATIN_END or not text.isprintable():
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
