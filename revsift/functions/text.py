@@ -3,7 +3,7 @@ inside whole-stage codegen on the executors."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import LETTER_TOKEN_RX, NONE_TOKEN, WHITESPACE_CLASS, WORD_RX
@@ -17,16 +17,30 @@ def strip_ws(col) -> Column:
     """Python ``str.strip()``: remove every Unicode whitespace at both ends
     (``F.trim`` only removes ASCII spaces)."""
     ws = WHITESPACE_CLASS
-    return F.regexp_replace(_c(col), f"^{ws}+|{ws}+$", "")
+    # a run is tried from its first character alone, so long runs cost their length
+    return F.regexp_replace(_c(col), f"^{ws}++|(?<!{ws}){ws}++$", "")
 
 
 def clean_text(col) -> Column:
     """strip -> collapse whitespace runs to one space -> drop every character
     that is not an ASCII letter, digit or space.  The order matters: edge and
-    double spaces can survive the last step."""
+    double spaces can survive the last step.  A replacement costs far more
+    than a character read: single spaces, which stay, are no match, and a run
+    of dropped characters is one."""
     stripped = strip_ws(col)
-    collapsed = F.regexp_replace(stripped, f"{WHITESPACE_CLASS}+", " ")
-    return F.regexp_replace(collapsed, "[^A-Za-z0-9 ]", "")
+    ws = WHITESPACE_CLASS
+    collapsed = F.regexp_replace(stripped, f" {ws}++|(?! ){ws}++", " ")
+    return F.regexp_replace(collapsed, "[^A-Za-z0-9 ]++", "")
+
+
+def computed_once(df: DataFrame, **cols: Column) -> DataFrame:
+    """Sets columns to expressions that each row evaluates once.  A generator's
+    output is not replaced by its expression, so filters and projections above
+    read the value and don't repeat the work."""
+    made = F.inline(F.array(F.struct(*[c.alias(f"_once_{n}") for n, c in cols.items()])))
+    out = df.select("*", made)
+    kept = [F.col(f"`_once_{n}`").alias(n) if n in cols else F.col(f"`{n}`") for n in df.columns]
+    return out.select(*kept, *[F.col(f"`_once_{n}`").alias(n) for n in cols if n not in df.columns])
 
 
 def fill_none(col) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..constants import LENGTH_QUANTILES, NONE_TOKEN, RATING_RANGE
-from ..functions.text import char_length, clean_text, fill_none, split_word_count, strip_ws, title_case
+from ..functions.text import char_length, clean_text, computed_once, fill_none, split_word_count, strip_ws, title_case
 from .quantiles import quantiles
 
 # ------------------------------------------------------------------ dedupe
@@ -213,7 +213,7 @@ def nonempty_text(df: DataFrame, col: str = "text_clean", null_tokens: Sequence[
     if null_tokens:
         c = F.when(c.isin(*null_tokens), F.lit(None).cast("string")).otherwise(c)
     c = F.coalesce(c, F.lit(""))
-    return df.withColumn(col, c).where(F.trim(F.col(col)) != "")
+    return computed_once(df, **{col: c}).where(F.trim(F.col(col)) != "")
 
 
 def require_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
