@@ -1,8 +1,9 @@
-"""Scalar text expressions.  All are built-in Column expressions, so they run
-inside whole-stage codegen on the executors."""
+"""Scalar text expressions.  All but :func:`clean_text` are built-in Column
+expressions, so they run inside whole-stage codegen on the executors."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +25,17 @@ def strip_ws(col) -> Column:
 def clean_text(col) -> Column:
     """strip -> collapse whitespace runs to one space -> drop every character
     that is not an ASCII letter, digit or space.  The order matters: edge and
-    double spaces can survive the last step.  A replacement costs far more
-    than a character read: single spaces, which stay, are no match, and a run
-    of dropped characters is one."""
-    stripped = strip_ws(col)
-    ws = WHITESPACE_CLASS
-    collapsed = F.regexp_replace(stripped, f" {ws}++|(?! ){ws}++", " ")
-    return F.regexp_replace(collapsed, "[^A-Za-z0-9 ]++", "")
+    double spaces can survive the last step.
+
+    An Arrow function: ``str.split`` knows the same white space as
+    ``WHITESPACE_CLASS``, and splitting and dropping bytes cost far less than
+    three regular expressions, which took most of the cleaning's time."""
+    drop = bytes(set(range(128)) - set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789 "))
+
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else " ".join(t.decode("utf-8", "replace").split()).encode("ascii", "ignore")
+                         .translate(None, drop).decode() for t in texts.to_pylist()], pa.string())
+    return F.arrow_udf(clean, "string")(_c(col).cast("string").cast("binary"))
 
 
 def computed_once(df: DataFrame, **cols: Column) -> DataFrame:
