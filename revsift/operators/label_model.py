@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ABSTAIN, CARDINALITY, CLASSES
+from ..functions.text import computed_once
 from .labeling import vote_overlap_matrix
 
 PROB_COLUMNS = ["prob_genuine", "prob_promotion", "prob_irrelevant", "prob_rant"]
@@ -209,8 +210,10 @@ def label_model_predict(df: DataFrame, prob_cols=PROB_COLUMNS, tol: float = 1e-5
     mx = F.array_max(probs)
     n_top = F.size(F.filter(probs, lambda p: F.abs(p - mx) < tol))
     first = F.array_position(F.transform(probs, lambda p: F.abs(p - mx) < tol), True) - 1
-    return (df.withColumn("weak_label", F.when(n_top == 1, first.cast("int")).otherwise(F.lit(ABSTAIN)))
-            .withColumn("confidence", F.greatest(*[F.col(c) for c in prob_cols])))
+    # filters on label or confidence read the value: put in their place, the nested class scores would be written out
+    # thousands of times in one expression
+    return computed_once(df, weak_label=F.when(n_top == 1, first.cast("int")).otherwise(F.lit(ABSTAIN)),
+                         confidence=F.greatest(*[F.col(c) for c in prob_cols]))
 
 
 def weak_labels(df: DataFrame, params: LabelModelParams, votes_col: str = "votes") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import LABEL_NAMES
+from ..session import cut_lineage
 
 
 def profile_schema_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -81,10 +82,11 @@ def confidence_stats(df: DataFrame, col: str = "confidence") -> DataFrame:
 
 def confidence_histogram(df: DataFrame, col: str = "confidence", bins: int = 50) -> DataFrame:
     """Equal-width bins between min and max, last bin closed, empty bins
-    kept: ``(bin, lo, hi, n_rows)``.  Bounds are scalar subqueries."""
+    kept: ``(bin, lo, hi, n_rows)``.  Bounds are scalar subqueries on one
+    materialised row, so the expressions that name them stay small."""
     spark = df.sparkSession
-    lo = df.agg(F.min(col)).scalar()
-    hi = df.agg(F.max(col)).scalar()
+    bounds = cut_lineage(df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")))
+    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
     width = (hi - lo) / F.lit(float(bins))
     idx = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((F.col(col) - lo) / width), F.lit(bins - 1))).cast("int")
