@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import SPARK_ENGLISH_STOP_WORDS
+from ..functions.text import computed_once
 
 TOKEN_RX = r"\b\w\w+\b"
 
@@ -126,8 +127,9 @@ def tfidf_columns(df: DataFrame, vocab: DataFrame, text_col: str = "text_clean",
     d = d.withColumn("_w", w)
     norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda acc, x: acc + x * x))
     d = d.withColumn("_n", norm)
-    return (d.withColumn("indices", F.col("_v.indices"))
-            .withColumn("values", F.transform("_w", lambda x: F.when(F.col("_n") > 0, x / F.col("_n")).otherwise(0.0)))
+    # made once a row: a filter on the arrays, also the one Spark infers for their explode, would tokenise the text again
+    return (computed_once(d, indices=F.col("_v.indices"),
+                          values=F.transform("_w", lambda x: F.when(F.col("_n") > 0, x / F.col("_n")).otherwise(0.0)))
             .drop("_terms", "_counts", "_v", "_w", "_n"))
 
 

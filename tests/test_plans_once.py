@@ -9,6 +9,7 @@ from revsift.functions.text import clean_text, computed_once
 from revsift.operators import cleaning as C
 from revsift.operators import label_model as LM
 from revsift.operators import profile as P
+from revsift.operators import tfidf as TF
 
 
 def plan(df) -> str:
@@ -62,3 +63,15 @@ def test_histogram_bounds_stay_out_of_its_plan(spark):
     hist = P.confidence_histogram(df)
     assert len(plan(hist)) < 4 * len(plan(df))
     assert sum(r["n_rows"] for r in hist.collect()) == df.count()
+
+
+def test_weights_are_computed_once(spark):
+    import math
+    vocab = spark.createDataFrame([("apple", 0, 1.5), ("pear", 1, 1.0)], "feature_name string, feature_index int, idf double")
+    df = spark.createDataFrame([(1, "apple pear apple"), (2, "plum"), (3, None)], "k int, text_clean string")
+    long = TF.tfidf_transform_long(df, vocab, "k")
+    assert plan(long).count("UDF(") == 4   # tokens, stop words, bigrams, counts
+    a, b = (1 + math.log(2)) * 1.5, 1.0
+    got = {(r["k"], r["feature_index"]): r["weight"] for r in long.collect()}
+    assert got.keys() == {(1, 0), (1, 1)}
+    assert abs(got[1, 0] - a / math.hypot(a, b)) < 1e-12 and abs(got[1, 1] - b / math.hypot(a, b)) < 1e-12
