@@ -34,11 +34,11 @@ def _cut(path: str, end_id: int, capacity: int):
     def run(batches):
         ids_of, end = WordIds(path), np.array([end_id], "<u4").tobytes()
         for b in batches:
-            # no token spans ASCII white space, so the ids of a text are those of its words in a row
-            split = [t.split() if t else [] for t in b.column("text").to_pylist()]
             cols = {f.name: [] for f in _PIECES}
-            for doc_id, ws in zip(b.column("doc_id").to_pylist(), split):
-                ids = b"".join(map(ids_of.__getitem__, ws)) + end
+            # no token spans ASCII white space, so the ids of a text are those of its words in a row; the words of one
+            # text at a time: those of a whole batch take ten times its size
+            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
+                ids = b"".join(map(ids_of.__getitem__, (text.as_py() or b"").split())) + end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = ids[4 * start:4 * (start + capacity)]
