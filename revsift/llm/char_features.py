@@ -103,7 +103,7 @@ def sparse_rows(df: DataFrame, feats: CharNgrams, *cols: str, extra=lambda text:
                                              names=[*names, "at", "cnt", "extra"])
     types = dict(df.dtypes)
     ddl = ", ".join(f"{n} {types[n]}" for n in names) + ", at binary, cnt binary, extra array<double>"
-    return df.select(*names, F.col("text")).mapInArrow(run, ddl).collect()
+    return df.select(*names, F.col("text")).mapInArrow(C.trimmed(run), ddl).collect()
 
 
 def dense(row, bits: int) -> np.ndarray:

@@ -24,6 +24,8 @@ DIMENSIONS, NEIGHBOURS, POWER = 64, 15, 6
 #: Weight of the style shares beside the latent coordinates, whose length is at most 1.
 STYLE_WEIGHT = 1.5
 ACCEPT = 0.7
+#: Rows whose dense TF-IDF vectors (16 KB each) are held at once.
+ROWS = 256
 
 
 def latent(vectors: np.ndarray, k: int, seed: int = 11) -> np.ndarray:
@@ -89,13 +91,13 @@ def vote(vectors: np.ndarray, model: dict) -> np.ndarray:
     if not len(y):
         return np.full(len(vectors), model["prior"])
     out, k = np.empty(len(vectors)), min(NEIGHBOURS, len(y))
-    for a in range(0, len(vectors), 256):
-        cos = vectors[a:a + 256] @ known.T
+    for a in range(0, len(vectors), ROWS):
+        cos = vectors[a:a + ROWS] @ known.T
         at = np.argpartition(-cos, k - 1, axis=1)[:, :k]
         w = np.maximum(np.take_along_axis(cos, at, 1).astype(np.float64), 0.0) ** POWER
         total = w.sum(axis=1)
         share = (w * y[at]).sum(axis=1)
-        out[a:a + 256] = np.where(total > 1e-9, share / np.maximum(total, 1e-9), model["prior"])
+        out[a:a + ROWS] = np.where(total > 1e-9, share / np.maximum(total, 1e-9), model["prior"])
     return np.clip(out, 0.0, 1.0)
 
 
@@ -108,19 +110,25 @@ def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "t
     spark = C.prepare(df.sparkSession)
     feats = CF.CharNgrams(BITS, NGRAM, fold=False)
     shared = spark.sparkContext.broadcast(model)
+    extra, ddl = C.carried(df, keep)
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
+    return (rows.mapInArrow(C.trimmed(_score(shared, feats, keep)), f"doc_id long, score double{ddl}")
+            .withColumn("predicted", F.when(F.col("score") >= ACCEPT, 1).otherwise(0)))
+
 
+def _score(shared, feats: CF.CharNgrams, keep):
     def run(batches):
         m = shared.value
         for b in batches:
-            texts = b.column("text").to_pylist()
-            x = np.array([CF.weighted(feats.counts(t), m["idf"]) for t in texts], np.float32)
-            s = vote(place(x, texts, m["basis"]), m) if texts else np.empty(0)
+            s, x = np.empty(b.num_rows), np.empty((min(ROWS, b.num_rows), 1 << BITS), np.float32)
+            for a in range(0, len(s), ROWS):
+                texts = b.column("text").slice(a, ROWS).to_pylist()
+                for i, t in enumerate(texts):
+                    x[i] = CF.weighted(feats.counts(t), m["idf"])
+                s[a:a + ROWS] = vote(place(x[:len(texts)], texts, m["basis"]), m)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64()), *b.columns[2:]],
                                              names=["doc_id", "score", *keep])
-    extra, ddl = C.carried(df, keep)
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
-    return (rows.mapInArrow(C.trimmed(run), f"doc_id long, score double{ddl}")
-            .withColumn("predicted", F.when(F.col("score") >= ACCEPT, 1).otherwise(0)))
+    return run
 
 
 def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:

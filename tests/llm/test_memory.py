@@ -40,3 +40,23 @@ def test_packing_splits_one_text_at_a_time():
     # what the tokenizer takes is the same for any batch
     few = peak(lambda: list(_cut(public_tokenizers.path("word_bpe_49k.json"), 2, 4096)([batch.slice(0, 3)])))
     assert most - few < 2 * batch.nbytes
+
+
+def test_quality_holds_the_vectors_of_few_rows():
+    from types import SimpleNamespace
+
+    from revsift.llm import char_features as CF
+    from revsift.llm import quality_knn as QK
+    rng = np.random.default_rng(3)
+    texts = [None, ""] + [" ".join(rng.choice(["alpha", "Beta", "42", "x!"], 12)) for _ in range(998)]
+    feats = CF.CharNgrams(QK.BITS, QK.NGRAM, fold=False)
+    model = {"idf": np.ones(1 << QK.BITS, np.float32), "basis": rng.standard_normal((1 << QK.BITS, 8)).astype(np.float32),
+             "y": rng.integers(0, 2, 50).astype(np.float32), "prior": 0.5}
+    x = lambda some: np.array([CF.weighted(feats.counts(t), model["idf"]) for t in some], np.float32)
+    model["vectors"] = QK.place(x(texts[:50]), texts[:50], model["basis"])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    out = []
+    run = QK._score(SimpleNamespace(value=model), feats, [])
+    most = peak(lambda: out.extend(run([batch])))
+    assert np.allclose(out[0].column("score").to_numpy(), QK.vote(QK.place(x(texts), texts, model["basis"]), model), atol=1e-5)
+    assert most < 1000 * (4 << QK.BITS) / 2   # all rows' vectors would be 16 MB, and twice that while they are put together
