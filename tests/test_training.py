@@ -238,3 +238,89 @@ def test_forest_is_bounded(spark):
     assert TR.forest_sample(df) [1] == 1.0 and TR.forest_sample(df, rows_per_tree=None)[0].count() == 4000
     a, b = (TR.forest_sample(df.repartition(k), max_rows=1000)[0].agg(F.sum(F.hash("features"))).first()[0] for k in (2, 9))
     assert a == b
+
+
+def _noisy(spark, n=3000, d=9, classes=3, seed=4):
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.RandomState(seed)
+    X = np.round(rng.randn(n, d), 2)
+    y = (X[:, 0] > 0).astype(int) + (X[:, 1] > 0.5) * (classes - 2)
+    y = np.where(rng.rand(n) < 0.1, rng.randint(0, classes, n), y)
+    df = spark.createDataFrame([(i, int(y[i]), [float(v) for v in X[i]]) for i in range(n)], "id long, label int, features array<double>")
+    return df.withColumn("features_vec", array_to_vector("features")), X, y
+
+
+def test_no_query_samples_its_fit():
+    """Neither SMOTE, the folds nor the forest take fewer rows than there are unless asked to."""
+    import inspect
+    for f in (TR.bounded_per_class, TR.smote_oversample, TR.fold_training_set, TR.forest_sample, TR.random_forest_fit):
+        bounds = {k: p.default for k, p in inspect.signature(f).parameters.items() if k in ("max_rows", "max_rows_per_class", "rows_per_tree")}
+        assert bounds and set(bounds.values()) == {None}, f.__name__
+
+
+def test_training_takes_every_labelled_row(spark, monkeypatch):
+    from revsift.plans import pipelines as PL
+    monkeypatch.setattr(TR, "MAX_FIT_ROWS_PER_CLASS", 50)
+    df, X, y = _noisy(spark, 600)
+    _, pred, res = PL.train_pipeline(df, "id", "label", num_trees=3, max_depth=3)
+    test = {r.id for r in pred.select("id").collect()}
+    assert {r.id for r in res.where("not synthetic").collect()} == set(range(600)) - test
+
+
+def test_splits_of_small_and_large_nodes_are_the_best():
+    """Sorted entries and histograms find the same decrease, that of all splits tried one by one."""
+    from revsift.operators import forest as RF
+    rng = np.random.RandomState(1)
+    n, d, C, B, k = 400, 5, 4, 6, 7
+    bins, y = rng.randint(0, B, (n, d)).astype(np.uint8), rng.randint(0, C, n)
+    c = rng.randint(1, 4, n)
+    w = c * rng.choice([0.5, 1.25, 3.0], n)
+    node = np.sort(rng.randint(0, k, n))
+    feats = np.stack([np.sort(rng.permutation(d)[:3]) for _ in range(k)])
+    totals = np.stack([np.bincount(y[node == i], w[node == i], C) for i in range(k)])
+    best, pos, cut = RF._best_of_many(bins, y, w, c, node, feats, totals, B, 2)
+
+    def gini(r):
+        t = np.bincount(y[r], w[r], C)
+        return t.sum() - (t ** 2).sum() / t.sum()
+    for i in range(k):
+        mine = node == i
+        tried = {}
+        for j, f in enumerate(feats[i]):
+            for b in range(B - 1):
+                left, right = mine & (bins[:, f] <= b), mine & (bins[:, f] > b)
+                if c[left].sum() >= 2 and c[right].sum() >= 2:
+                    tried[j, b] = gini(mine) - gini(left) - gini(right)
+        assert abs(best[i] - max(tried.values())) < 1e-9 and abs(tried[pos[i], cut[i]] - best[i]) < 1e-9
+        h, k_rows = RF._histogram(bins, y, w, c, feats[i], B, C, np.flatnonzero(mine))
+        assert abs(RF._best_of_histograms(h[None], k_rows[None], 2)[0][0] - best[i]) < 1e-9
+    assert np.allclose(RF._best_of_histograms(*RF._histograms(bins, y, w, c, node, feats, B, C), 2)[0], best)
+
+
+def test_forest_over_blocks_does_what_the_broadcast_one_does(spark, monkeypatch):
+    """Upper nodes over all tasks, subtrees in one: about as accurate, every tree's root takes its whole bootstrap."""
+    from revsift.operators import forest as RF
+    df, X, y = _noisy(spark)
+    acc = []
+    for local, model_bytes in ((32 << 20, 32 << 20), (30_000, 5_000)):
+        monkeypatch.setattr(RF, "LOCAL_BYTES", local)
+        monkeypatch.setattr(RF, "MODEL_BYTES", model_bytes)
+        m = TR.random_forest_fit(df.coalesce(2), num_trees=8, max_depth=8)
+        assert (len(m.groups()) > 1) == (model_bytes == 5_000) and abs(m.importances.sum() - 1) < 1e-9
+        assert set(np.argsort(m.importances)[-2:]) == {0, 1}
+        shape = TR.forest_shape(spark, m).collect()
+        assert sorted(r.tree for r in shape) == list(range(8)) and all(1 < r.nodes < 2 ** 9 and 0 < r.depth <= 8 for r in shape)
+        got = TR.random_forest_predict(m, df).collect()
+        assert all(abs(sum(r.probabilities) - 1) < 1e-6 and r.probabilities[r.predicted_label] == r.prediction_confidence for r in got)
+        acc.append(np.mean([r.predicted_label == r.label for r in got]))
+    assert min(acc) > 0.85 and abs(acc[0] - acc[1]) < 0.03
+
+
+def test_forest_comes_back_from_storage(spark, tmp_path):
+    from revsift.operators import forest as RF
+    df, X, y = _noisy(spark, 300)
+    m = TR.random_forest_fit(df, num_trees=4, max_depth=5)
+    m.save(str(tmp_path / "f"))
+    a, b = (sorted((r.id, r.predicted_label, tuple(r.probabilities)) for r in TR.random_forest_predict(x, df).collect())
+            for x in (m, RF.Forest.load(spark, str(tmp_path / "f"))))
+    assert a == b and len(a) == 300
