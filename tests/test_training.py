@@ -324,3 +324,23 @@ def test_forest_comes_back_from_storage(spark, tmp_path):
     a, b = (sorted((r.id, r.predicted_label, tuple(r.probabilities)) for r in TR.random_forest_predict(x, df).collect())
             for x in (m, RF.Forest.load(spark, str(tmp_path / "f"))))
     assert a == b and len(a) == 300
+
+
+def test_a_row_goes_to_a_page_once(spark, monkeypatch):
+    """Many small blocks in pages of 64 rows, no structure to rule anything out: the answer of all pairs."""
+    from revsift.operators import neighbours as NB
+    monkeypatch.setattr(NB, "PAGE_ROWS", 64)
+    rng = np.random.RandomState(8)
+    X = np.round(rng.randn(500, 12), 1)
+    X[100:110] = X[0]
+    lab = rng.choice([0, 1], size=500, p=[0.8, 0.2])
+    df = spark.createDataFrame([(i, int(lab[i]), [float(v) for v in X[i]]) for i in range(500)], "id long, label int, features array<double>")
+    assert {r["id"]: r["nn_key"] for r in NB.nearest_neighbours(df, "label", "id", block_rows=4).collect()} == _brute(X, lab)
+
+
+def test_rows_asked_for_are_shuffled_by_page(spark):
+    """The plan sends a vector to pages, not to each of their blocks."""
+    from revsift.operators import neighbours as NB
+    df, X, lab = _points(spark, n=300)
+    plan = NB.nearest_neighbours(df, "label", "id", block_rows=8)._jdf.queryExecution().analyzed().toString()
+    assert "_page_nearest" in plan and "_until" in plan and "_lo" in plan
